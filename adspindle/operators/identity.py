@@ -30,7 +30,9 @@ def first_id(columns: Sequence[str] = ID_COLUMNS) -> Column:
 
 def identity_pairs(records: DataFrame) -> DataFrame:
     """Distinct ``(userid, id)`` of records ``(userid, ids)``."""
-    return records.select("userid", F.explode("ids").alias("id")).distinct()
+    # The outer form is not preceded by a test for empty lists that would build them twice.
+    listed = records.select("userid", F.explode_outer("ids").alias("id"))
+    return listed.where("id IS NOT NULL").distinct()
 
 
 def identity_edges(pairs: DataFrame) -> DataFrame:
@@ -55,11 +57,34 @@ def _small_star(links: DataFrame, hot_high: list) -> DataFrame:
     return joined.select(moved.alias("high"), F.col("lowest").alias("low")).distinct()
 
 
-_ROUND_METRICS = {
-    "print": F.sum(F.xxhash64("high", "low").cast("decimal(38,0)")),
-    "high_sketch": hot_key_sketch("high"),
-    "low_sketch": hot_key_sketch("low"),
-}
+def number_ids(ids: DataFrame, workspace: Workspace, name: str) -> DataFrame:
+    """Distinct identifiers with 64-bit numbers in the identifiers' order, as a written table.
+
+    Numbers make every later shuffle a fraction of the size, and their minimum is a hash
+    aggregate where that of a text is a sort. The order comes from a range partitioning.
+    """
+    ordered = ids.select("id").distinct().sort("id")
+    numbered, _ = workspace.save(
+        ordered.withColumn("number", F.monotonically_increasing_id()), name
+    )
+    return numbered
+
+
+def _swap(df: DataFrame, column: str, numbers: DataFrame, of: str, to: str, hot: list) -> DataFrame:
+    """Replace ``column``, an ``of``, by the matching ``to`` of the number table."""
+    table = numbers.select(F.col(of).alias(column), F.col(to).alias("__to"))
+    joined = skew_join(df, table, column, hot, how="inner", null_keys=False)
+    return joined.drop(column).withColumnRenamed("__to", column)
+
+
+def _save_round(links: DataFrame, workspace: Workspace, name: str) -> tuple[DataFrame, dict]:
+    return workspace.save(
+        links,
+        name,
+        print=F.sum(F.xxhash64("high", "low").cast("decimal(38,0)")),
+        high_sketch=hot_key_sketch("high"),
+        low_sketch=hot_key_sketch("low"),
+    )
 
 
 def connected_components(
@@ -69,27 +94,40 @@ def connected_components(
 
     Star contraction (alternating large and small stars): each round every vertex moves closer to
     the lowest identifier it can reach, the number of links never grows, and the number of rounds
-    is logarithmic. Links are ``high > low``, vertices are the identifiers themselves. A round is
-    one written table; the write also takes its fingerprint, which tells when nothing changes any
-    more, and a bounded sketch of its busiest vertices, whose rows the next round's joins spread.
+    is logarithmic. Links are ``high > low`` between the identifiers' numbers. A round is one
+    written table; the write also takes its fingerprint, which tells when nothing changes any more,
+    and a bounded sketch of its busiest vertices, whose rows the next round's joins spread.
     """
-    links = edges.where("u <> v").select(
-        F.greatest("u", "v").alias("high"), F.least("u", "v").alias("low")
+    upward = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges, seen = workspace.save(
+        upward.distinct(),
+        f"{name}-edges",
+        u_sketch=hot_key_sketch("u"),
+        v_sketch=hot_key_sketch("v"),
+    )
+
+    def hot(sketch: str) -> list:
+        return hot_keys_of_sketch(seen[sketch], seen["rows"], hub_rows)
+
+    ids = edges.select(F.explode(F.array("u", "v")).alias("id"))
+    numbers = number_ids(ids, workspace, f"{name}-ids")
+    links = _swap(edges, "u", numbers, "id", "number", hot("u_sketch"))
+    links = _swap(links, "v", numbers, "id", "number", hot("v_sketch"))
+    current, seen = _save_round(
+        links.select(F.col("u").alias("high"), F.col("v").alias("low")), workspace, f"{name}-0"
     )
-    current, seen = workspace.save(links.distinct(), f"{name}-0", **_ROUND_METRICS)
     number = 0
     while seen["rows"]:
-        hot_high = hot_keys_of_sketch(seen["high_sketch"], seen["rows"], hub_rows)
-        hot_low = hot_keys_of_sketch(seen["low_sketch"], seen["rows"], hub_rows)
         number += 1
         before = (seen["rows"], seen["print"])
-        current, seen = workspace.save(
-            _small_star(_large_star(current, hot_low), hot_high), f"{name}-{number}", **_ROUND_METRICS
-        )
+        moved = _small_star(_large_star(current, hot("low_sketch")), hot("high_sketch"))
+        current, seen = _save_round(moved, workspace, f"{name}-{number}")
         workspace.drop(f"{name}-{number - 1}")
         if (seen["rows"], seen["print"]) == before:
             break
-    return current.select(F.col("high").alias("id"), F.col("low").alias("component"))
+    found = _swap(current, "high", numbers, "number", "id", [])
+    found = _swap(found, "low", numbers, "number", "id", hot("low_sketch"))
+    return found.select(F.col("high").alias("id"), F.col("low").alias("component"))
 
 
 def all_components(ids: DataFrame, components: DataFrame) -> DataFrame:

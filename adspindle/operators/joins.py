@@ -16,16 +16,18 @@ from adspindle.functions.salting import salt_number
 
 # A table is sent whole to every executor only if its measured text size is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Past this multiple of the limit the optimizer's own estimate settles it without a measuring job.
+# Past this multiple of the limit the optimizer's own estimate settles it without a measuring job,
+# unless the estimate only says that nothing is known about a source.
 ESTIMATE_MARGIN = 64
+NO_ESTIMATE = 2**60
 
 SALT = "__salt"
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the table's content, measured in one distributed pass, is within ``limit`` bytes."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) > limit * ESTIMATE_MARGIN:
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if limit * ESTIMATE_MARGIN < estimate < NO_ESTIMATE:
         return False
     content = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
     return (df.agg(F.sum(content)).first()[0] or 0) <= limit
@@ -87,13 +89,13 @@ def skew_join(
     right: DataFrame,
     on: str,
     hot: Sequence,
-    salts: int = 64,
+    salts: int | None = None,
     how: str = "left",
     null_keys: bool = True,
 ) -> DataFrame:
     """Left or inner join in one pass over each side, the hot keys spread over ``salts`` tasks.
 
-    Left rows of a hot key get a salt, right rows of a hot key one copy per salt; all other rows
+    There are as many salts as shuffle partitions unless told otherwise. Left rows of a hot key get a salt, right rows of a hot key one copy per salt; all other rows
     carry salt 0. Left rows with a null key match nothing and are spread as well; with
     ``null_keys=False`` the caller knows that there are none.
     """
@@ -104,11 +106,13 @@ def skew_join(
     right = right.where(F.col(on).isNotNull())
     if not hot and not null_keys:
         return left.join(right, on, how)
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.col(on).isin(list(hot)) if hot else F.lit(False)
     spread = salt_number(salts, *_row_hash_columns(left), by_partition=True)
     salted = left.withColumn(SALT, F.when(F.col(on).isNull() | is_hot, spread).otherwise(F.lit(0)))
     last = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
-    copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)) if hot else F.lit(0))
+    # Also salt 0 alone comes from a generator: as a literal it would be folded out of the join key.
+    copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
     return salted.join(copies, [on, SALT], how).drop(SALT)
 
 

@@ -124,7 +124,8 @@ def distinct_locations(ods: DataFrame) -> DataFrame:
 
 def one_row_per_geohash(districts: DataFrame) -> DataFrame:
     """All district names of a geohash cell in one comma list, each once, in order."""
-    names = districts.select("geohash", F.explode(pieces(F.col("areas"))).alias("name")).distinct()
+    names = districts.select("geohash", F.explode_outer(pieces(F.col("areas"))).alias("name"))
+    names = names.where("name IS NOT NULL").distinct()
     listed = F.array_join(F.array_sort(F.collect_list("name")), ",")
     return names.groupBy("geohash").agg(listed.alias("areas"))
 

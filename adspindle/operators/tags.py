@@ -125,5 +125,10 @@ def tag_set(rules: Sequence[Rule] = ALL_RULES) -> Column:
 
 
 def tag_rows(df: DataFrame, keep: Sequence[str], rules: Sequence[Rule] = ALL_RULES) -> DataFrame:
-    """Long form: ``keep`` columns, ``tag`` and ``weight``."""
-    return df.select(*keep, F.explode(tag_set(rules)).alias("tag"), F.lit(1.0).alias("weight"))
+    """Long form: ``keep`` columns, ``tag`` and ``weight``.
+
+    The outer form of explode keeps the optimizer from testing for empty sets with a second
+    evaluation of all rules; rows without tags are dropped afterwards.
+    """
+    exploded = df.select(*keep, F.explode_outer(tag_set(rules)).alias("tag"))
+    return exploded.where("tag IS NOT NULL").withColumn("weight", F.lit(1.0))

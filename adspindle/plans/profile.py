@@ -43,8 +43,8 @@ def today_tags(ods: DataFrame, lookups: Lookups, rules: Sequence[Rule] = ALL_RUL
 
 
 def history_tags(history: DataFrame, factor: float = DECAY) -> DataFrame:
-    rows = history_records(history).select("userid", F.inline("entries"))
-    return decay_tags(rows, factor)
+    rows = history_records(history).select("userid", F.inline_outer("entries"))
+    return decay_tags(rows.where("tag IS NOT NULL"), factor)
 
 
 def user_profile_long(

@@ -26,14 +26,22 @@ def work_root(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """A folder of its own for the intermediate tables of one job run."""
+    """A folder of its own for the intermediate tables of one job run.
+
+    Every saved table gets a folder of its own too, also under a name used before, so a frame that
+    still reads an earlier table is never cut off from it.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.path = f"{work_root(spark)}/adspindle/{label}-{uuid.uuid4().hex}"
+        self._latest: dict[str, str] = {}
+        self._saved = 0
 
-    def table_path(self, name: str) -> str:
-        return f"{self.path}/{name}"
+    def fresh_path(self, name: str) -> str:
+        self._saved += 1
+        self._latest[name] = f"{self.path}/{self._saved:03d}-{name}"
+        return self._latest[name]
 
     def save(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
         """Write ``df`` and read it back; ``metrics`` are aggregates taken during the same write."""
@@ -41,11 +49,21 @@ class Workspace:
         watched = df.observe(
             seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]
         )
-        watched.write.mode("overwrite").parquet(self.table_path(name))
-        return self.spark.read.schema(df.schema).parquet(self.table_path(name)), seen.get
+        path = self.fresh_path(name)
+        watched.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get
 
     def drop(self, name: str) -> None:
-        """Remove a table that nothing reads any more."""
+        """Remove the table last saved under ``name``, which nothing reads any more."""
         sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.table_path(name))
+        path = sc._jvm.org.apache.hadoop.fs.Path(self._latest.pop(name))
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than that; otherwise the input as it is.
+
+    For scans only, ahead of work that costs much per row: a large input is already split.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -1,0 +1,147 @@
+import pytest
+from pyspark.sql import functions as F
+
+from adspindle.operators import aggregates, filters, joins
+from tests.conftest import rows
+
+CLASSES = [("class_01", "python"), ("class_02", "data"), ("class_03", "java")]
+
+
+def students(spark, keys):
+    data = [(i, f"s{i}", 20, k) for i, k in enumerate(keys, 1)]
+    return spark.createDataFrame(data, "id int, name string, age int, clazz_id string")
+
+
+def classes(spark):
+    return spark.createDataFrame(CLASSES, "clazz_id string, clazz string")
+
+
+FEW_HOT = ["class_01"] * 8 + ["class_02", "class_03"]
+MANY_HOT = ["class_01"] * 8 + ["class_02"] * 6 + ["class_03"]
+MOSTLY_BLANK = [""] * 7 + ["class_01", "class_02", "class_03"]
+
+
+def test_mostly_blank_keys(spark):
+    joined = joins.null_safe_left_join(students(spark, MOSTLY_BLANK), classes(spark), "clazz_id", blank_is_null=True)
+    assert joined.count() == 10
+    assert joined.where("clazz is null").count() == 7
+
+
+def test_blank_key_can_match_unless_told_otherwise(spark):
+    right = spark.createDataFrame([("", "none"), (None, "never")], "clazz_id string, clazz string")
+    left = students(spark, ["", None, "class_01"])
+    plain = left.join(right, "clazz_id", "left")
+    assert rows(joins.null_safe_left_join(left, right, "clazz_id").select(plain.columns)) == rows(plain)
+
+
+def test_salted_count(spark):
+    counted = aggregates.salted_count(students(spark, FEW_HOT), "clazz_id", "id")
+    assert rows(counted) == [("class_01", 8), ("class_02", 1), ("class_03", 1)]
+
+
+def test_few_hot_keys(spark):
+    left = students(spark, FEW_HOT)
+    joined = joins.skew_join(left, classes(spark), "clazz_id", ["class_01"], salts=4)
+    assert rows(joined) == rows(left.join(classes(spark), "clazz_id", "left"))
+    assert joined.where("clazz is not null").count() == 10
+
+
+def test_full_salt(spark):
+    left = students(spark, MANY_HOT)
+    joined = joins.skew_join_full_salt(left, classes(spark), "clazz_id")
+    assert rows(joined) == rows(left.join(classes(spark), "clazz_id", "left"))
+    assert joined.count() == 15
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Half of the rows on key 7, a tenth without key, and many exact copies."""
+    key = F.expr("case when id % 2 = 0 then 7 when id % 10 = 1 then null else id % 100 end")
+    left = spark.range(6000).select(key.alias("key"), (F.col("id") % 5).alias("x")).repartition(6)
+    right = spark.range(120).select((F.col("id") % 60).alias("key"), F.col("id").alias("y"))
+    return left.cache(), right.unionByName(spark.sql("select cast(null as bigint) as key, 1L as y"))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot", [[], [7], [7, 3, 1000]])
+def test_skew_join_equals_plain_join(skewed, how, hot):
+    left, right = skewed
+    plain = left.join(right, "key", how)
+    assert rows(joins.skew_join(left, right, "key", hot, salts=5, how=how)) == rows(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("limit", [0, joins.BROADCAST_BYTES])
+def test_lookup_join_equals_plain_join(skewed, how, limit):
+    left, right = skewed
+    joined = joins.lookup_join(left, right, "key", how, limit=limit, min_rows=100)
+    assert rows(joined) == rows(left.join(right, "key", how))
+
+
+def test_full_salt_equals_plain_join(skewed):
+    left, right = skewed
+    assert rows(joins.skew_join_full_salt(left, right, "key")) == rows(left.join(right, "key", "left"))
+
+
+def test_salt_reaches_the_shuffle_key(spark, skewed):
+    """Also without hot keys, so that rows without a key do not all meet in one task."""
+    left, right = skewed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for hot in ([], [7]):
+            plan = joins.skew_join(left, right, "key", hot)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("__salt") and "hashpartitioning(key#" in plan
+            assert all("__salt" in part.split(")")[0] for part in plan.split("hashpartitioning(key#")[1:])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_exact_copies_get_different_salts(spark):
+    copies = spark.range(8000).repartition(8).select(F.lit(1).alias("key"))
+    from adspindle.functions.salting import salt_number
+
+    salted = copies.select(salt_number(16, F.col("key"), by_partition=True).alias("salt"))
+    assert salted.distinct().count() > 2
+
+
+def test_hot_keys(skewed):
+    left, _ = skewed
+    assert joins.hot_keys(left, "key", min_rows=1000) == [7]
+    assert rows(joins.key_counts(left, "key", 1000)) == [(7, 3060)]
+
+
+def test_broadcast_only_within_the_limit(spark):
+    small = classes(spark)
+    assert joins.fits_broadcast(small)
+    assert not joins.fits_broadcast(small, limit=50)
+    large = spark.range(10**7).select(F.col("id").alias("clazz_id"), F.lit("x" * 100).alias("clazz"))
+    assert not joins.fits_broadcast(large)
+    left = students(spark, FEW_HOT)
+    near = joins.lookup_join(left, small, "clazz_id")._jdf.queryExecution().executedPlan().toString()
+    far = joins.lookup_join(left, small, "clazz_id", limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in near and "Broadcast" not in far
+
+
+def test_replicas_are_exactly_n(spark):
+    copies = joins.replicate(classes(spark), 10, "number")
+    assert rows(copies.groupBy("clazz_id").agg(F.count_distinct("number"), F.min("number"), F.max("number"))) == [
+        (k, 10, 0, 9) for k, _ in CLASSES
+    ]
+
+
+def test_split_keeps_rows_without_key(spark):
+    left = students(spark, ["class_01", None, "class_02", ""])
+    hot, cold = filters.split_by_key(left, "clazz_id", ["class_01"])
+    assert hot.count() == 1 and cold.count() == 3
+    assert filters.with_join_key(left, "clazz_id").count() == 2
+
+
+def test_union_distinct_and_all(spark):
+    left = students(spark, FEW_HOT).select("clazz_id")
+    assert aggregates.union_all(left, left).count() == 20
+    assert aggregates.union_distinct(left, left).count() == 3
+
+
+def test_partition_profile(spark):
+    profile = aggregates.partition_profile(spark.range(100).repartition(4))
+    assert sum(r.rows for r in profile.collect()) == 100 and profile.count() == 4

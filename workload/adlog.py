@@ -14,7 +14,7 @@ from adspindle.operators.identity import first_id, identity_ids
 from adspindle.operators.tags import tag_set
 from adspindle.schema import ODS_COLUMNS, RAW_COLUMNS
 from adspindle.sources.dictionary import SEPARATOR, device_dictionary, read_dictionary
-from adspindle.sources.workspace import Workspace
+from adspindle.sources.workspace import Workspace, spread_small
 
 # The day that separates history from today.
 TODAY = "20240116"
@@ -142,8 +142,10 @@ def derived(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFra
     return spark.sql(text.replace(f"from {source}\n", f"from {view}\n"))
 
 
-def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ods(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     events = table(spark, sf_dir, "events")
+    if spread:
+        events = spread_small(events)
     return events.selectExpr(*select_list([*EXTRA, *ODS_COLUMNS]))
 
 
@@ -170,7 +172,7 @@ def app_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(F.col("key") == F.col("value"), F.col("key")).otherwise(
         F.concat("key", F.lit(SEPARATOR), "value", F.lit(SEPARATOR))
     )
-    path = Workspace(spark, "apps").table_path("lines")
+    path = Workspace(spark, "apps").fresh_path("lines")
     entries.select(F.concat_ws("\n", outdated, line).alias("value")).write.text(path)
     return read_dictionary(spark, path)
 

@@ -366,7 +366,7 @@ _over_ods("fn_unsalt", "SELECT rid, keywords AS key FROM ods")
 _over_ods("fn_prefix", "SELECT rid, cast(rid % 10 AS string) || '#' || channelid AS key FROM ods")
 _over_ods("fn_blank", "SELECT rid, " + ", ".join(f"{_full(c)} AS {c}" for c in ("imei", "mac", "idfa", "appname")) + " FROM ods")
 _over_ods("fn_safe_ratio", """
-SELECT rid, round(cast(adorderid AS double) / nullif(requestmode - 2, 0), 6) AS ratio FROM ods""")
+SELECT rid, round(cast(adcreativeid AS double) / nullif(requestmode - 2, 0), 6) AS ratio FROM ods""")
 
 # Skew tools and SQL names
 

@@ -37,7 +37,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def scan_json_log(spark, sf):
-    path = Workspace(spark, "log").table_path("day")
+    path = Workspace(spark, "log").fresh_path("day")
     adlog.raw_log(spark, sf).drop("rid", "dt").write.json(path)
     log = read_ad_log(spark, path)
     return log.groupBy("channelid", "client").agg(
@@ -228,7 +228,7 @@ def skew_join_full_salt(spark, sf):
 
 
 def _user_ids(spark, sf) -> DataFrame:
-    return adlog.ods(spark, sf).select("rid", identity.first_id().alias("userid"), identity.identity_ids().alias("ids")).where(
+    return adlog.ods(spark, sf, spread=True).select("rid", identity.first_id().alias("userid"), identity.identity_ids().alias("ids")).where(
         "userid is not null"
     )
 
@@ -386,12 +386,12 @@ QUERIES["tag_business_area"] = _tag_query([tags.business_area_rule], _with_areas
 
 @query
 def tag_all(spark, sf):
-    return tags.tag_rows(profile_plan.tagged_log(adlog.ods(spark, sf), _lookups(spark, sf)), ["rid"])
+    return tags.tag_rows(profile_plan.tagged_log(adlog.ods(spark, sf, spread=True), _lookups(spark, sf)), ["rid"])
 
 
 @query
 def merge_user_tags(spark, sf):
-    log, work = adlog.ods(spark, sf), Workspace(spark, "merge")
+    log, work = adlog.ods(spark, sf, spread=True), Workspace(spark, "merge")
     rules = [tags.channel_rule, tags.keyword_rule, tags.age_rule, tags.sex_rule]
     rows = tags.tag_rows(
         log.withColumn("userid", identity.first_id()).where("userid is not null"), ["userid"], rules
@@ -407,7 +407,7 @@ def merge_user_tags(spark, sf):
 
 @query
 def user_profile_today(spark, sf):
-    log = adlog.ods(spark, sf)
+    log = adlog.ods(spark, sf, spread=True)
     merged, _ = profile_plan.user_profile_long(log, _lookups(spark, sf), Workspace(spark, "today"))
     return rounded(merged, "weight")
 
@@ -416,7 +416,7 @@ def user_profile_today(spark, sf):
 
 
 def _two_days(spark, sf) -> tuple[DataFrame, DataFrame, profile_plan.Lookups]:
-    log, lookups = adlog.ods(spark, sf), _lookups(spark, sf)
+    log, lookups = adlog.ods(spark, sf, spread=True), _lookups(spark, sf)
     past = adlog.history(profile_plan.tagged_log(log.where(F.col("dt") < TODAY), lookups))
     return log.where(F.col("dt") >= TODAY), past, lookups
 
@@ -549,7 +549,7 @@ def fn_blank(spark, sf):
 
 @query
 def fn_safe_ratio(spark, sf):
-    ratio = text.safe_ratio(F.col("adorderid"), F.col("requestmode") - 2)
+    ratio = text.safe_ratio(F.col("adcreativeid"), F.col("requestmode") - 2)
     return adlog.ods(spark, sf).select("rid", F.round(ratio, 6).alias("ratio"))
 
 

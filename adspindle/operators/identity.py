@@ -127,7 +127,8 @@ def connected_components(
             break
     found = _swap(current, "high", numbers, "number", "id", [])
     found = _swap(found, "low", numbers, "number", "id", hot("low_sketch"))
-    return found.select(F.col("high").alias("id"), F.col("low").alias("component"))
+    found = found.select(F.col("high").alias("id"), F.col("low").alias("component"))
+    return workspace.save(found, name)[0]
 
 
 def all_components(ids: DataFrame, components: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from adspindle.functions.salting import salt_number
 
-# A table is sent whole to every executor only if its measured text size is at most this.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A table is sent whole to every executor only if its measured content is at most this.
+BROADCAST_BYTES = 128 * 1024 * 1024
 # Past this multiple of the limit the optimizer's own estimate settles it without a measuring job,
 # unless the estimate only says that nothing is known about a source.
 ESTIMATE_MARGIN = 64
@@ -24,13 +24,26 @@ NO_ESTIMATE = 2**60
 SALT = "__salt"
 
 
+def content_bytes(df: DataFrame) -> Column:
+    """Size of a row's values: texts by their length, nested values as JSON, the others 8 bytes."""
+
+    def of(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(column)))
+        return F.lit(8)
+
+    return sum((of(f) for f in df.schema.fields), F.lit(0))
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the table's content, measured in one distributed pass, is within ``limit`` bytes."""
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if limit * ESTIMATE_MARGIN < estimate < NO_ESTIMATE:
         return False
-    content = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
-    return (df.agg(F.sum(content)).first()[0] or 0) <= limit
+    return (df.agg(F.sum(content_bytes(df))).first()[0] or 0) <= limit
 
 
 def key_counts(df: DataFrame, key: str, min_rows: int) -> DataFrame:
@@ -44,7 +57,7 @@ def key_counts(df: DataFrame, key: str, min_rows: int) -> DataFrame:
 
 
 # A key counts as hot from one row in HOT_SHARE; there can be no more such keys than that.
-HOT_SHARE = 256
+HOT_SHARE = 1024
 
 
 def hot_key_sketch(key: str) -> Column:

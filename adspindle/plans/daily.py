@@ -49,3 +49,4 @@ def run_day(
     history = read_daily(spark, root, TAGS, previous_dt) if previous_dt else None
     profiles = user_profile(ods, lookups, workspace, history)
     write_daily(profiles, root, TAGS, dt, ["userid", "part"])
+    workspace.remove()

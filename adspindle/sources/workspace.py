@@ -55,8 +55,15 @@ class Workspace:
 
     def drop(self, name: str) -> None:
         """Remove the table last saved under ``name``, which nothing reads any more."""
+        self._delete(self._latest.pop(name))
+
+    def remove(self) -> None:
+        """Remove all tables, once the job's results are written elsewhere."""
+        self._delete(self.path)
+
+    def _delete(self, folder: str) -> None:
         sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self._latest.pop(name))
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 

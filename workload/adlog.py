@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspindle.operators.history import format_ids, format_tag_string
+from adspindle.operators.history import format_ids
 from adspindle.operators.identity import first_id, identity_ids
 from adspindle.operators.tags import tag_set
 from adspindle.schema import ODS_COLUMNS, RAW_COLUMNS
@@ -182,10 +182,9 @@ def devices(spark: SparkSession) -> DataFrame:
 
 
 def history(tagged: DataFrame) -> DataFrame:
-    """Stored profiles, one per usable row of a tagged log."""
-    one = F.transform(tag_set(), lambda t: F.struct(t.alias("tag"), F.lit(1.0).alias("weight")))
+    """Stored profiles, one per usable row of a tagged log, every weight 1."""
     return tagged.select(
         first_id().alias("userid"),
         format_ids(identity_ids()).alias("allUserId"),
-        format_tag_string(one).alias("tags"),
+        F.concat(F.array_join(tag_set(), " -> 1.0,"), F.lit(" -> 1.0")).alias("tags"),
     ).where("userid is not null")

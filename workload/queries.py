@@ -348,7 +348,8 @@ def canonical_user_id(spark, sf):
 def _lookups(spark, sf) -> profile_plan.Lookups:
     work = Workspace(spark, "lookups")
     districts, _ = work.save(_districts(spark, sf), "districts")
-    return profile_plan.Lookups(adlog.app_dictionary(spark, sf), adlog.devices(spark), districts)
+    apps, _ = work.save(adlog.app_dictionary(spark, sf), "apps")
+    return profile_plan.Lookups(apps, adlog.devices(spark), districts)
 
 
 def _tag_query(rules: list[tags.Rule], prepare: Callable[[SparkSession, str, DataFrame], DataFrame]) -> Query:

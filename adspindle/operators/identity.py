@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adspindle.functions.text import not_blank
 from adspindle.operators.joins import (
+    fits_broadcast,
     hot_key_sketch,
     hot_keys_of_sketch,
     lookup_join,
@@ -159,6 +161,40 @@ def component_attach_join(
     )
 
 
+@dataclass(frozen=True)
+class Users:
+    """Resolved users: ``members`` (userid, id), and what it takes to relabel records."""
+
+    components: DataFrame
+    members: DataFrame
+    small: bool
+    hot: Sequence
+
+    def relabel(self, df: DataFrame) -> DataFrame:
+        """Rows with ``userid`` replaced by the user that it belongs to."""
+        attached = attach_component(df, self.components, small=self.small, hot=self.hot)
+        return attached.withColumn("userid", F.col("component")).drop("component")
+
+
+def resolve_users(records: DataFrame, workspace: Workspace) -> Users:
+    """Users of all records ``(userid, ids)``.
+
+    The pass that collects the identifiers also sketches the busiest of them, whose records
+    ``relabel`` will have to spread.
+    """
+    seen = Observation()
+    watched = records.observe(seen, F.count(F.lit(1)).alias("rows"), hot_key_sketch("userid").alias("sketch"))
+    pairs, _ = workspace.save(identity_pairs(watched), "pairs")
+    components = connected_components(identity_edges(pairs), workspace)
+    members = all_components(pairs.select("id").distinct(), components)
+    return Users(
+        components,
+        members.select(F.col("component").alias("userid"), "id"),
+        fits_broadcast(components),
+        hot_keys_of_sketch(seen.get["sketch"], seen.get["rows"]),
+    )
+
+
 def canonical_user_id(members: DataFrame) -> DataFrame:
     """One identifier per component, the lowest, whatever the order of arrival."""
     return members.groupBy("component").agg(F.min("id").alias("userid"))

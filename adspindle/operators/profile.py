@@ -6,12 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adspindle.operators.history import format_ids, format_tag_string
-from adspindle.operators.identity import (
-    all_components,
-    attach_component,
-    connected_components,
-    identity_edges,
-)
 from adspindle.operators.joins import hot_key_sketch, hot_keys_of_sketch, lookup_join
 from adspindle.sources.workspace import Workspace
 
@@ -20,33 +14,13 @@ from adspindle.sources.workspace import Workspace
 ROW_ENTRIES = 100_000
 
 
-def user_weights(tag_rows: DataFrame) -> DataFrame:
-    """Sum per (userid, tag) of long tag rows, with a map-side partial."""
-    return tag_rows.groupBy("userid", "tag").agg(F.sum("weight").alias("weight"))
-
-
-def merge_user_tags(
-    pairs: DataFrame, tag_rows: DataFrame, workspace: Workspace
-) -> tuple[DataFrame, DataFrame]:
-    """Resolve users and sum their tags: ``(userid, tag, weight)`` and ``(userid, id)``.
+def merge_user_tags(tag_rows: DataFrame) -> DataFrame:
+    """Sum per user and tag of rows ``(userid, tag, weight)`` whose users are resolved.
 
-    ``pairs`` are distinct (userid, id), ``tag_rows`` are (userid, tag, weight). Tags are summed per
-    identifier before they meet the components, so a default identifier shared by a third of the
-    log comes down to its distinct tags; if those are still many, they are spread over tasks.
+    Rows are summed where they are before they are shuffled, so a user with a third of the log
+    comes down to its distinct tags.
     """
-    pairs, _ = workspace.save(pairs, "pairs")
-    components = connected_components(identity_edges(pairs), workspace)
-    weights, seen = workspace.save(
-        user_weights(tag_rows), "weights", sketch=hot_key_sketch("userid")
-    )
-    hot = hot_keys_of_sketch(seen["sketch"], seen["rows"])
-    merged = (
-        attach_component(weights, components, hot=hot)
-        .groupBy(F.col("component").alias("userid"), "tag")
-        .agg(F.sum("weight").alias("weight"))
-    )
-    members = all_components(pairs.select("id").distinct(), components)
-    return merged, members.select(F.col("component").alias("userid"), "id")
+    return tag_rows.groupBy("userid", "tag").agg(F.sum("weight").alias("weight"))
 
 
 def fold_profiles(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adspindle.operators.history import DECAY, decay_tags, history_records
-from adspindle.operators.identity import first_id, identity_ids, identity_pairs
+from adspindle.operators.identity import first_id, identity_ids, resolve_users
 from adspindle.operators.places import geohash_district_join
 from adspindle.operators.profile import fold_profiles, merge_user_tags, profile_table
 from adspindle.operators.tags import ALL_RULES, Rule, tag_rows, with_dictionary_values
@@ -37,13 +37,14 @@ def today_records(ods: DataFrame) -> DataFrame:
     return records.where("userid is not null")
 
 
-def today_tags(ods: DataFrame, lookups: Lookups, rules: Sequence[Rule] = ALL_RULES) -> DataFrame:
-    known = ods.withColumn("userid", first_id()).where("userid is not null").drop("areas")
-    return tag_rows(tagged_log(known, lookups), ["userid"], rules)
+def known_users(ods: DataFrame) -> DataFrame:
+    """The log's usable rows, with ``userid``."""
+    return ods.withColumn("userid", first_id()).where("userid is not null").drop("areas")
 
 
-def history_tags(history: DataFrame, factor: float = DECAY) -> DataFrame:
-    rows = history_records(history).select("userid", F.inline_outer("entries"))
+def history_tags(records: DataFrame, factor: float = DECAY) -> DataFrame:
+    """Long tag rows of history records, their weights decayed."""
+    rows = records.select("userid", F.inline_outer("entries"))
     return decay_tags(rows.where("tag IS NOT NULL"), factor)
 
 
@@ -58,13 +59,19 @@ def user_profile_long(
     """``(userid, tag, weight)`` and ``(userid, id)`` over today and, if given, the decayed history.
 
     Identity is resolved once over both days: merged identifier lists keep a history's links, so
-    resolving today first and then again with the history gives the same users and sums.
+    resolving today first and then again with the history gives the same users and sums. Users are
+    put on the narrow log rows before these become many tag rows each, so tag rows are shuffled
+    only once, already summed.
     """
-    records, tags = today_records(ods), today_tags(ods, lookups, rules)
-    if history is not None:
-        records = records.unionByName(history_records(history).select("userid", "ids"))
-        tags = tags.unionByName(history_tags(history, factor))
-    return merge_user_tags(identity_pairs(records), tags, workspace)
+    records = today_records(ods)
+    past = None if history is None else history_records(history)
+    if past is not None:
+        records = records.unionByName(past.select("userid", "ids"))
+    users = resolve_users(records, workspace)
+    tags = tag_rows(tagged_log(users.relabel(known_users(ods)), lookups), ["userid"], rules)
+    if past is not None:
+        tags = tags.unionByName(history_tags(users.relabel(past), factor))
+    return merge_user_tags(tags), users.members
 
 
 def user_profile(

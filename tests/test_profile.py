@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adspindle.operators import history, profile, tags
-from adspindle.operators.identity import identity_pairs
+from adspindle.operators.identity import resolve_users
 from adspindle.plans import profile as plan
 from adspindle.schema import ODS_SCHEMA
 from adspindle.sources.dictionary import device_dictionary
@@ -57,7 +57,8 @@ def test_own_rules_can_be_added(spark):
 
 def test_rows_are_tagged_once(spark, lookups):
     """The tag set is one expression of one explode; nothing evaluates the rules a second time."""
-    text = plan.today_tags(log_rows(spark, {"imei": "a"}), lookups)._jdf.queryExecution().optimizedPlan().toString()
+    tagged = tags.tag_rows(plan.tagged_log(log_rows(spark, {"imei": "a"}), lookups), ["imei"])
+    text = tagged._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("array_distinct") == 1
 
 
@@ -89,9 +90,10 @@ def test_resolving_in_two_steps_gives_the_same(spark, lookups, workspace):
     first, ids = plan.user_profile_long(today, lookups, workspace, rules=[tags.age_rule])
     carried = profile.profile_table(profile.fold_profiles(first, ids, workspace))
     resolved = history.history_records(carried)
-    records = resolved.select("userid", "ids").unionByName(history.history_records(past).select("userid", "ids"))
-    weights = resolved.select("userid", F.inline("entries")).unionByName(plan.history_tags(past))
-    in_steps = profile.merge_user_tags(identity_pairs(records), weights, workspace)[0]
+    older = history.history_records(past)
+    users = resolve_users(resolved.unionByName(older).select("userid", "ids"), workspace)
+    weights = plan.history_tags(resolved, 1.0).unionByName(plan.history_tags(older))
+    in_steps = profile.merge_user_tags(users.relabel(weights))
     rounded = lambda df: rows(df.select("userid", "tag", F.round("weight", 6)))
     assert rounded(at_once) == rounded(in_steps)
 
@@ -102,7 +104,7 @@ def test_large_profiles_are_stored_in_parts_and_come_back_whole(spark, lookups,
         F.concat(F.lit("T"), F.col("id") % 250).alias("tag"),
         F.lit(1.0).alias("weight"),
     )
-    weights = profile.user_weights(weights)
+    weights = profile.merge_user_tags(weights)
     members = weights.select("userid", F.col("userid").alias("id")).distinct().unionByName(
         spark.range(300).select(F.lit("big").alias("userid"), F.concat(F.lit("cig"), F.col("id")).alias("id"))
     )
@@ -114,7 +116,7 @@ def test_large_profiles_are_stored_in_parts_and_come_back_whole(spark, lookups,
 
     table = profile.profile_table(folded)
     records = history.history_records(table)
-    again = profile.user_weights(records.select("userid", F.inline("entries")))
+    again = profile.merge_user_tags(records.select("userid", F.inline("entries")))
     assert rows(again) == rows(weights)
     back = records.select("userid", F.explode("ids").alias("id")).distinct()
     assert rows(back) == rows(members.distinct())

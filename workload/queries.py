@@ -394,12 +394,10 @@ def tag_all(spark, sf):
 def merge_user_tags(spark, sf):
     log, work = adlog.ods(spark, sf, spread=True), Workspace(spark, "merge")
     rules = [tags.channel_rule, tags.keyword_rule, tags.age_rule, tags.sex_rule]
-    rows = tags.tag_rows(
-        log.withColumn("userid", identity.first_id()).where("userid is not null"), ["userid"], rules
-    )
-    merged, members = profile.merge_user_tags(identity.identity_pairs(_user_ids(spark, sf)), rows, work)
-    folded = profile.with_tag_map(profile.fold_profiles(merged, members, work))
-    return folded.select(
+    users = identity.resolve_users(profile_plan.today_records(log), work)
+    rows = tags.tag_rows(users.relabel(profile_plan.known_users(log)), ["userid"], rules)
+    folded = profile.fold_profiles(profile.merge_user_tags(rows), users.members, work)
+    return profile.with_tag_map(folded).select(
         "userid",
         history.format_ids(F.col("ids")).alias("ids"),
         history.format_tag_map(F.col("tags"), 6).alias("tags"),

@@ -180,7 +180,8 @@ def resolve_users(records: DataFrame, workspace: Workspace) -> Users:
     """Users of all records ``(userid, ids)``.
 
     The pass that collects the identifiers also sketches the busiest of them, whose records
-    ``relabel`` will have to spread.
+    ``relabel`` will have to spread. A task that runs twice may be sketched twice; that can only
+    make a key look hotter than it is.
     """
     seen = Observation()
     watched = records.observe(seen, F.count(F.lit(1)).alias("rows"), hot_key_sketch("userid").alias("sketch"))

@@ -34,24 +34,27 @@ def block_ranges(ranges: DataFrame) -> DataFrame:
     """The ranges cut at block borders, as ``(block, low, high, ...)``.
 
     An address belongs to the range with the greatest start at or below it. Should ranges overlap,
-    each is cut off before the next one starts, so that no address has two places.
+    each is cut off before the next one starts, so that no address has two places. Repeated ranges
+    are one range, and of several with one start the widest stays, so that a block never has more
+    rows than addresses, whatever the table holds.
     """
     start, end = F.col("ip_start"), F.col("ip_end")
     first = F.shiftleft(F.col("block"), BLOCK_BITS)
     cut = (
-        ranges.where(start <= end)
+        ranges.select("ip_start", "ip_end", *PLACE_FIELDS)
+        .where(start <= end)
+        .distinct()
         .withColumn("block", F.explode(F.sequence(_block(start), _block(end))))
-        .select(
-            "block",
-            F.greatest(start, first).alias("low"),
-            F.least(end, first + _LAST_IN_BLOCK).alias("high"),
-            *PLACE_FIELDS,
-        )
+        .groupBy("block", F.greatest(start, first).alias("low"))
+        .agg(F.max(F.struct(F.least(end, first + _LAST_IN_BLOCK).alias("high"), *PLACE_FIELDS)).alias("place"))
+    )
+    next_low = F.lead("low").over(Window.partitionBy("block").orderBy("low"))
+    return cut.select(
+        "block",
+        "low",
+        F.least("place.high", next_low - 1).alias("high"),
+        *[f"place.{f}" for f in PLACE_FIELDS],
     )
-    in_order = Window.partitionBy("block").orderBy("low", "high", *PLACE_FIELDS)
-    return cut.withColumn(
-        "high", F.least("high", F.lead("low").over(in_order) - 1)
-    ).where("low <= high")
 
 
 def _places_by_merge(numbers: DataFrame, blocks: DataFrame) -> DataFrame:

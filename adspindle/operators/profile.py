@@ -39,24 +39,19 @@ def fold_profiles(
         "entries",
         sketch=hot_key_sketch("userid"),
     )
-    listed = listed.withColumn("part", F.lit(0))
+    part = F.lit(0)
     if seen["rows"] > row_entries:
         hot = hot_keys_of_sketch(seen["sketch"], seen["rows"])
         size = F.greatest(F.count("id"), F.count("tag"))
-        large = (
-            listed.groupBy("userid")
-            .agg(size.alias("size"))
-            .where(F.col("size") > row_entries)
-            .select("userid", F.ceil(F.col("size") / row_entries).alias("parts"))
-        )
-        spread = F.pmod(F.xxhash64(F.coalesce("id", "tag")), F.col("parts")).cast("int")
-        listed = (
-            lookup_join(listed, large, "userid", "left", hot=hot)
-            .withColumn("part", F.coalesce(spread, F.lit(0)))
-            .drop("parts")
-        )
+        sizes = listed.groupBy("userid").agg(size.alias("size")).where(F.col("size") > row_entries)
+        parts = F.ceil(F.col("size") / row_entries).alias("parts")
+        large, found = workspace.save(sizes.select("userid", parts), "large")
+        if found["rows"]:
+            listed = lookup_join(listed, large, "userid", "left", hot=hot)
+            spread = F.pmod(F.xxhash64(F.coalesce("id", "tag")), F.col("parts"))
+            part = F.coalesce(spread.cast("int"), part)
     entry = F.when(F.col("tag").isNotNull(), F.struct("tag", "weight"))
-    return listed.groupBy("userid", "part").agg(
+    return listed.groupBy("userid", part.alias("part")).agg(
         F.array_union(F.array("userid"), F.array_sort(F.collect_list("id"))).alias("ids"),
         F.array_sort(F.collect_list(entry)).alias("entries"),
     )

@@ -126,7 +126,3 @@ def test_two_days(spark, tmp_path):
         require_unique(read_daily(spark, root, name, "20240116"), key)
     assert second.count() > 0 and first.count() > 0
 
-    before = rows(second)
-    run_day(spark, root, "20240116", inputs(F.col("dt") >= "20240116"), previous_dt="20240115")
-    ids = lambda table: [(r[0], r[2]) for r in table]
-    assert ids(rows(read_daily(spark, root, TAGS, "20240116"))) == ids(before)

@@ -30,10 +30,12 @@ def parse_tag_string(text: Column) -> Column:
     """
 
     def last_of_each(entries: Column) -> Column:
-        return F.filter(
-            entries,
-            lambda e, i: (i == F.size(entries) - 1) | (entries[F.least(i + 1, F.size(entries) - 1)]["tag"] != e["tag"]),
-        )
+        end = F.size(entries) - 1
+
+        def is_last(entry: Column, i: Column) -> Column:
+            return (i == end) | (entries[F.least(i + 1, end)]["tag"] != entry["tag"])
+
+        return F.filter(entries, is_last)
 
     readable = F.filter(_read_pieces(text), lambda e: e["weight"].isNotNull())
     # Binding the sorted array to a lambda variable evaluates the sort once per row.

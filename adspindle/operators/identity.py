@@ -94,19 +94,20 @@ def connected_components(
 ) -> DataFrame:
     """``(id, component)`` of every vertex that is not the lowest of its component.
 
+    ``edges`` (u, v) are read a few times, so they should come from a stored table.
+
     Star contraction (alternating large and small stars): each round every vertex moves closer to
     the lowest identifier it can reach, the number of links never grows, and the number of rounds
     is logarithmic. Links are ``high > low`` between the identifiers' numbers. A round is one
     written table; the write also takes its fingerprint, which tells when nothing changes any more,
     and a bounded sketch of its busiest vertices, whose rows the next round's joins spread.
     """
-    upward = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges, seen = workspace.save(
-        upward.distinct(),
-        f"{name}-edges",
-        u_sketch=hot_key_sketch("u"),
-        v_sketch=hot_key_sketch("v"),
-    )
+    edges = edges.where("u <> v")
+    seen = edges.agg(
+        F.count(F.lit(1)).alias("rows"),
+        hot_key_sketch("u").alias("u_sketch"),
+        hot_key_sketch("v").alias("v_sketch"),
+    ).first()
 
     def hot(sketch: str) -> list:
         return hot_keys_of_sketch(seen[sketch], seen["rows"], hub_rows)
@@ -115,9 +116,8 @@ def connected_components(
     numbers = number_ids(ids, workspace, f"{name}-ids")
     links = _swap(edges, "u", numbers, "id", "number", hot("u_sketch"))
     links = _swap(links, "v", numbers, "id", "number", hot("v_sketch"))
-    current, seen = _save_round(
-        links.select(F.col("u").alias("high"), F.col("v").alias("low")), workspace, f"{name}-0"
-    )
+    links = links.select(F.greatest("u", "v").alias("high"), F.least("u", "v").alias("low"))
+    current, seen = _save_round(links, workspace, f"{name}-0")
     number = 0
     while seen["rows"]:
         number += 1

@@ -108,9 +108,10 @@ def skew_join(
 ) -> DataFrame:
     """Left or inner join in one pass over each side, the hot keys spread over ``salts`` tasks.
 
-    There are as many salts as shuffle partitions unless told otherwise. Left rows of a hot key get a salt, right rows of a hot key one copy per salt; all other rows
-    carry salt 0. Left rows with a null key match nothing and are spread as well; with
-    ``null_keys=False`` the caller knows that there are none.
+    There are as many salts as shuffle partitions unless told otherwise. Left rows of a hot key get
+    a salt, right rows of a hot key one copy per salt; all other rows carry salt 0. Left rows with a
+    null key match nothing and are spread as well; with ``null_keys=False`` the caller knows that
+    there are none.
     """
     if how not in ("left", "inner"):
         raise ValueError("salting the left side fits left and inner joins only")

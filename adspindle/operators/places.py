@@ -40,13 +40,14 @@ def block_ranges(ranges: DataFrame) -> DataFrame:
     """
     start, end = F.col("ip_start"), F.col("ip_end")
     first = F.shiftleft(F.col("block"), BLOCK_BITS)
+    place = F.struct(F.least(end, first + _LAST_IN_BLOCK).alias("high"), *PLACE_FIELDS)
     cut = (
         ranges.select("ip_start", "ip_end", *PLACE_FIELDS)
         .where(start <= end)
         .distinct()
         .withColumn("block", F.explode(F.sequence(_block(start), _block(end))))
         .groupBy("block", F.greatest(start, first).alias("low"))
-        .agg(F.max(F.struct(F.least(end, first + _LAST_IN_BLOCK).alias("high"), *PLACE_FIELDS)).alias("place"))
+        .agg(F.max(place).alias("place"))
     )
     next_low = F.lead("low").over(Window.partitionBy("block").orderBy("low"))
     return cut.select(

@@ -228,9 +228,11 @@ def skew_join_full_salt(spark, sf):
 
 
 def _user_ids(spark, sf) -> DataFrame:
-    return adlog.ods(spark, sf, spread=True).select("rid", identity.first_id().alias("userid"), identity.identity_ids().alias("ids")).where(
-        "userid is not null"
+    log = adlog.ods(spark, sf, spread=True)
+    picked = log.select(
+        "rid", identity.first_id().alias("userid"), identity.identity_ids().alias("ids")
     )
+    return picked.where("userid is not null")
 
 
 def _all_components(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -330,9 +332,8 @@ def connected_components(spark, sf):
 def identity_resolve(spark, sf):
     records = _user_ids(spark, sf)
     work = Workspace(spark, "resolve")
-    linked = identity.connected_components(
-        identity.identity_edges(identity.identity_pairs(records)), work
-    )
+    pairs, _ = work.save(identity.identity_pairs(records), "pairs")
+    linked = identity.connected_components(identity.identity_edges(pairs), work)
     return identity.attach_component(records.drop("ids"), linked)
 
 
@@ -444,7 +445,9 @@ def parse_tag_string(spark, sf):
 
 @query
 def format_tag_string(spark, sf):
-    log = adlog.ods(spark, sf).select("rid", _tag_text().alias("text"), identity.identity_ids().alias("ids"))
+    log = adlog.ods(spark, sf).select(
+        "rid", _tag_text().alias("text"), identity.identity_ids().alias("ids")
+    )
     return log.select(
         "rid",
         history.format_ids(F.col("ids")).alias("allUserId"),
@@ -481,7 +484,8 @@ def fn_ip_to_long(spark, sf):
 
 @query
 def fn_long_to_ip(spark, sf):
-    return adlog.ods(spark, sf).select("rid", place.long_to_ip((F.col("rid") * 429496) % 4294967296).alias("ip"))
+    number = (F.col("rid") * 429496) % 4294967296
+    return adlog.ods(spark, sf).select("rid", place.long_to_ip(number).alias("ip"))
 
 
 def _country_query(function: Callable[[Column], Column], name: str) -> Query:
@@ -503,7 +507,8 @@ def fn_area_clean(spark, sf):
 
 @query
 def fn_private_ip(spark, sf):
-    ip = F.when(F.col("rid") % 4 == 0, F.concat(F.lit("192.168.1."), F.col("rid") % 250)).otherwise(F.col("ip"))
+    home = F.concat(F.lit("192.168.1."), F.col("rid") % 250)
+    ip = F.when(F.col("rid") % 4 == 0, home).otherwise(F.col("ip"))
     return adlog.ods(spark, sf).select("rid", place.public_ip(ip).alias("ip"))
 
 
@@ -516,7 +521,8 @@ def fn_geohash(spark, sf):
 
 @query
 def fn_parse_districts(spark, sf):
-    return adlog.replies(spark, sf).select("rid", place.districts_of_reply(F.col("response")).alias("areas"))
+    areas = place.districts_of_reply(F.col("response"))
+    return adlog.replies(spark, sf).select("rid", areas.alias("areas"))
 
 
 @query
@@ -524,7 +530,10 @@ def fn_salt(spark, sf):
     salted = salting.add_salt(F.col("channelid"), F.col("rid"))
     number = F.split(salted, salting.MARK)[0].cast("int")
     return adlog.ods(spark, sf).select(
-        "rid", "channelid", number.between(0, 9).alias("in_range"), salting.remove_salt(salted).alias("unsalted")
+        "rid",
+        "channelid",
+        number.between(0, 9).alias("in_range"),
+        salting.remove_salt(salted).alias("unsalted"),
     )
 
 
@@ -536,7 +545,8 @@ def fn_unsalt(spark, sf):
 
 @query
 def fn_prefix(spark, sf):
-    return adlog.ods(spark, sf).select("rid", salting.add_prefix(F.col("rid") % 10, F.col("channelid")).alias("key"))
+    key = salting.add_prefix(F.col("rid") % 10, F.col("channelid"))
+    return adlog.ods(spark, sf).select("rid", key.alias("key"))
 
 
 @query
@@ -572,7 +582,8 @@ def partition_profile(spark, sf):
 def replicate_rows(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     copies = joins.replicate(customers, 10, "number")
-    return copies.select("c_custkey", salting.add_prefix(F.col("number"), F.col("c_mktsegment")).alias("key"))
+    key = salting.add_prefix(F.col("number"), F.col("c_mktsegment"))
+    return copies.select("c_custkey", key.alias("key"))
 
 
 @query

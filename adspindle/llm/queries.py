@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspindle.llm import mixing, outliers, packing, quality, secret_scan, sharding, tokens, urls
+from adspindle.llm import jaccard, mixing, outliers, packing, quality, secret_scan, sharding, tokens, urls
 from adspindle.llm.ship import ship_package
 from adspindle.sources.workspace import Workspace
 
@@ -67,6 +67,12 @@ def op6_sharding(spark, sf_dir):
     )
 
 
+@query
+def op7_ngram_jaccard_join(spark, sf_dir):
+    found = jaccard.jaccard_components(_table(spark, sf_dir, "documents"), Workspace(spark, "op7"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op8_mixing(spark, sf_dir):
     drawn = mixing.sample_copies(_table(spark, sf_dir, "documents"), Workspace(spark, "op8"))

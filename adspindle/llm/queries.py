@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspindle.llm import jaccard, mixing, outliers, packing, quality, secret_scan, sharding, tokens, urls
+from adspindle.llm import jaccard, mixing, neighbours, outliers, packing, quality, secret_scan, sharding, tokens, urls
 from adspindle.llm.ship import ship_package
 from adspindle.sources.workspace import Workspace
 
@@ -40,6 +40,12 @@ def op1_quality_classifier(spark, sf_dir):
     return quality.classify_quality(docs, labels, Workspace(spark, "op1"))
 
 
+@query
+def op2_nearest_neighbours(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0, Workspace(spark, "op2"))
+
+
 @query
 def op3_url_filters(spark, sf_dir):
     return urls.judge_urls(_table(spark, sf_dir, "pages"))

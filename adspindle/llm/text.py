@@ -66,6 +66,13 @@ def raw_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
 
 
+def compact(texts: pa.Array) -> pa.Array:
+    """The same texts, without nulls, in an array whose bytes begin with the first of them."""
+    offsets, data = raw_texts(texts)
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_string(), len(texts), buffers)
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Consecutive texts of about ``limit`` bytes: first row, offsets, bytes. A longer text is a slice of its own."""
     if not len(texts):

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from adspindle.llm.text import compact
+
 # Known chunks are kept up to this many; then the table starts anew, so a task's memory is bounded.
-CACHE = 1_000_000
+CACHE = 800_000
 # A single space before a character that is certainly no white space begins a new pre-token in every
 # byte-level vocabulary, whatever stands before it. Texts are cut there, so equal chunks are met again.
 _ODD = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -23,7 +25,7 @@ _CUT = re.compile(r" (?=[^\s\x1c-\x1f\x85])")
 # Texts in which some space stands before white space or at the end; most have none.
 _HARD = rf" (?:[{_ODD}]|$)"
 LONGEST = 64  # longer chunks are not remembered
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 LIMIT = 512
 
 
@@ -104,7 +106,7 @@ class Counter:
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """Token counts; each distinct chunk of the texts is looked at once."""
-        texts = texts.cast(pa.large_string()).fill_null("")
+        texts = compact(texts)
         hard = pc.match_substring_regex(texts, self.hard).to_numpy(zero_copy_only=False)
         totals = np.zeros(len(texts), dtype=np.int64)
         for i in np.flatnonzero(hard):
@@ -170,13 +172,20 @@ class WordEncoder:
     """Ids of whole texts by a vocabulary that works on white-space separated words one by one.
 
     Its normalizer turns runs of white space into one space, which its pre-tokenizer then removes, so
-    a text's ids are those of its words in a row, and a word met before need not be encoded again.
-    Special strings may span words and are cut out first.
+    a text's ids are those of its words in a row, and a word met before need not be encoded again. It
+    lowers case, and a letter never shares a pre-token with the mark after it, so ``Thing`` and
+    ``thing.`` are the word ``thing``, with and without a point. Special strings may span words and are
+    cut out first.
     """
 
     def __init__(self, path: str):
         self.known = tokenizer(path)
         self.special = special_pattern(path)
+        suffix = self.known.model.end_of_word_suffix
+        names = self.known.get_vocab(True)
+        self.ends = np.zeros(max(names.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for n, i in names.items() if n.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -187,19 +196,31 @@ class WordEncoder:
         new = [w for w in words if w not in self.number]
         if not new:
             return
-        self.number.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
-        found = [e.ids for e in self.known.encode_batch_fast(new, add_special_tokens=False)]
-        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), dtype=np.int64, count=len(found))])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
+        # Words of letters alone are one pre-token each, whose last id says that it ends there; so many
+        # are encoded as one text and told apart afterwards.
+        plain = [w for w in new if _PLAIN.fullmatch(w)] if self.ends.any() else []
+        rows = [" ".join(plain[i : i + 500]) for i in range(0, len(plain), 500)]
+        ids = [np.array(e.ids, dtype=np.uint32) for e in self.known.encode_batch_fast(rows, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
+        sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        others = [w for w in new if not _PLAIN.fullmatch(w)] if len(plain) == len(sizes) and plain else new
+        if others is new:
+            plain, ids, sizes = [], ids[:0], sizes[:0]
+        found = [e.ids for e in self.known.encode_batch_fast(others, add_special_tokens=False)]
+        more = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        self.number.update(zip(plain + others, range(len(self.sizes), len(self.sizes) + len(new))))
+        self.sizes = np.concatenate([self.sizes, sizes, more])
+        self.ids = np.concatenate([self.ids, ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row as unsigned 32-bit numbers, and where each text's begin; one entry more than texts."""
-        texts = texts.cast(pa.large_string()).fill_null("")
+        texts = compact(texts)
         if len(self.number) > CACHE:
             self._forget()
-        split = pc.ascii_split_whitespace(texts)
+        spaced = pc.replace_substring_regex(pc.ascii_lower(texts), _BEFORE_MARK, r"\1 \2")
+        split = pc.ascii_split_whitespace(spaced)
         if self.special is not None:
-            special = pc.match_substring_regex(texts, self.special.pattern).to_numpy(zero_copy_only=False)
+            special = pc.match_substring_regex(texts, self.special.pattern, ignore_case=True).to_numpy(zero_copy_only=False)
             if special.any():
                 split = pa.array(
                     [self._words(t) if s else w for t, s, w in zip(texts.to_pylist(), special, split.to_pylist())],
@@ -230,3 +251,6 @@ def encoder(path: str) -> WordEncoder:
 
 
 _SPACE = re.compile(r"[ \t-\r]+")
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+# A letter and an ASCII mark after it, other than the apostrophe of a contraction.
+_BEFORE_MARK = r"([a-z])([!-&(-/:-@\[-`{-~])"

@@ -58,6 +58,20 @@ def test_ids_are_the_librarys(texts):
         assert ids[a:b].tolist() == known.encode(text or "", add_special_tokens=False).ids
 
 
+def test_parts_of_a_table(texts):
+    whole, known = pa.array(texts), Tokenizer.from_file(WORD_VOCABULARY)
+    cuts = list(tokens.parts(whole, 300))
+    assert len(cuts) > 20 and pa.concat_arrays(cuts).equals(whole)
+    counter, encoder, at = Counter(BYTE_VOCABULARY), WordEncoder(WORD_VOCABULARY), 0
+    for part in cuts:
+        ids, first = encoder.encode(part)
+        counts = counter.count(part)
+        for i, text in enumerate(texts[at : at + len(part)]):
+            assert ids[first[i] : first[i + 1]].tolist() == known.encode(text or "", add_special_tokens=False).ids
+            assert counts[i] == counter.count_one(text or "")
+        at += len(part)
+
+
 def test_count_query(spark, make_docs, odd_texts):
     found = count_tokens(make_docs(odd_texts + [(None, "the end")]), BYTE_VOCABULARY).collect()
     known = Tokenizer.from_file(BYTE_VOCABULARY)

@@ -16,6 +16,7 @@ def _cell(value: str, span: int) -> str:
     return f"CAST(conv(bin(least(greatest({number}, 0), 1048575)), 4, 10) AS BIGINT)"
 
 
+# The names and argument lists, spelled as callers know them.
 SQL_FUNCTIONS = {
     "geoHashCode(longitude FLOAT, latitude FLOAT) RETURNS STRING": f"""
         CASE WHEN longitude BETWEEN -180 AND 180 AND latitude BETWEEN -90 AND 90 THEN

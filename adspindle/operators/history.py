@@ -80,17 +80,24 @@ def format_ids(ids: Column) -> Column:
     return F.array_join(ids, ",")
 
 
-def history_records(history: DataFrame) -> DataFrame:
-    """Stored profiles ``(userid, allUserId, tags)`` as records ``(userid, ids, entries)``.
+def read_ids(text: Column) -> Column:
+    """The identifiers of a comma list that are not blank."""
+    listed = F.filter(pieces(text), not_blank)
+    return F.coalesce(listed, F.array().cast("array<string>"))
 
-    The stored user is one of its own identifiers, so that parts of one profile stay together.
+
+def import_profiles(profiles: DataFrame, allow_bad: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Profiles in text form, ``(userid, allUserId, tags)``, as ``(userid, tag, weight)`` and ``(userid, id)``.
+
+    Fails if a text holds a piece that cannot be read, unless the caller allows such pieces to be left
+    out. The stored user is one of its own identifiers.
     """
-    listed = F.filter(pieces(F.col("allUserId")), not_blank)
-    return history.where(not_blank(F.col("userid"))).select(
-        "userid",
-        F.array_union(F.array("userid"), F.coalesce(listed, F.array().cast("array<string>"))).alias("ids"),
-        parse_tag_string(F.col("tags")).alias("entries"),
-    )
+    known = profiles.where(not_blank(F.col("userid")))
+    if not allow_bad and not known.where(bad_pieces(F.col("tags")) > 0).isEmpty():
+        raise ValueError("some profile texts hold pieces without a readable weight")
+    tags = known.select("userid", F.inline_outer(parse_tag_string(F.col("tags")))).where("tag IS NOT NULL")
+    ids = known.select("userid", F.explode(F.array_union(F.array("userid"), read_ids(F.col("allUserId")))).alias("id"))
+    return tags, ids
 
 
 def decay_tags(tags: DataFrame, factor: float = DECAY) -> DataFrame:

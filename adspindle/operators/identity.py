@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from adspindle.functions.text import not_blank
 from adspindle.operators.joins import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
     fits_broadcast,
     hot_key_sketch,
     hot_keys_of_sketch,
@@ -17,7 +19,7 @@ from adspindle.operators.joins import (
     skew_join,
 )
 from adspindle.schema import ID_COLUMNS
-from adspindle.sources.workspace import Workspace
+from adspindle.sources.workspace import Workspace, observed
 
 
 def identity_ids(columns: Sequence[str] = ID_COLUMNS) -> Column:
@@ -42,19 +44,19 @@ def identity_edges(pairs: DataFrame) -> DataFrame:
     return pairs.where("userid <> id").select(F.col("userid").alias("u"), F.col("id").alias("v"))
 
 
-def _large_star(links: DataFrame, hot_low: list) -> DataFrame:
+def _large_star(links: DataFrame, hot_low: Mapping) -> DataFrame:
     """Hang every vertex on the lowest neighbour of the vertex below it."""
     lowest = links.groupBy(F.col("high").alias("low")).agg(F.min("low").alias("lowest"))
-    joined = skew_join(links, lowest, "low", hot_low, how="left", null_keys=False)
+    joined = skew_join(links, lowest, "low", hot_low, how="left", null_keys=False, spread=["high"])
     return joined.select("high", F.coalesce("lowest", "low").alias("low"))
 
 
-def _small_star(links: DataFrame, hot_high: list) -> DataFrame:
+def _small_star(links: DataFrame, hot_high: Mapping) -> DataFrame:
     """Hang every vertex's lower neighbours, and the vertex itself, on the lowest of them."""
     # Without hot vertices one shuffle by vertex serves duplicates, minimum and join alike.
     links = (links if hot_high else links.repartition("high")).distinct()
     lowest = links.groupBy("high").agg(F.min("low").alias("lowest"))
-    joined = skew_join(links, lowest, "high", hot_high, how="inner", null_keys=False)
+    joined = skew_join(links, lowest, "high", hot_high, how="inner", null_keys=False, spread=["low"])
     moved = F.when(F.col("low") == F.col("lowest"), F.col("high")).otherwise(F.col("low"))
     return joined.select(moved.alias("high"), F.col("lowest").alias("low")).distinct()
 
@@ -72,10 +74,10 @@ def number_ids(ids: DataFrame, workspace: Workspace, name: str) -> DataFrame:
     return numbered
 
 
-def _swap(df: DataFrame, column: str, numbers: DataFrame, of: str, to: str, hot: list) -> DataFrame:
+def _swap(df: DataFrame, column: str, numbers: DataFrame, of: str, to: str, hot: Mapping) -> DataFrame:
     """Replace ``column``, an ``of``, by the matching ``to`` of the number table."""
     table = numbers.select(F.col(of).alias(column), F.col(to).alias("__to"))
-    joined = skew_join(df, table, column, hot, how="inner", null_keys=False)
+    joined = skew_join(df, table, column, hot, how="inner", null_keys=False, spread=df.columns)
     return joined.drop(column).withColumnRenamed("__to", column)
 
 
@@ -84,13 +86,13 @@ def _save_round(links: DataFrame, workspace: Workspace, name: str) -> tuple[Data
         links,
         name,
         print=F.sum(F.xxhash64("high", "low").cast("decimal(38,0)")),
-        high_sketch=hot_key_sketch("high"),
-        low_sketch=hot_key_sketch("low"),
+        high_sketch=hot_key_sketch(workspace.spark, "high"),
+        low_sketch=hot_key_sketch(workspace.spark, "low"),
     )
 
 
 def connected_components(
-    edges: DataFrame, workspace: Workspace, hub_rows: int = 1_000_000, name: str = "components"
+    edges: DataFrame, workspace: Workspace, hub_rows: int = HOT_ROWS, name: str = "components"
 ) -> DataFrame:
     """``(id, component)`` of every vertex that is not the lowest of its component.
 
@@ -105,12 +107,12 @@ def connected_components(
     edges = edges.where("u <> v")
     seen = edges.agg(
         F.count(F.lit(1)).alias("rows"),
-        hot_key_sketch("u").alias("u_sketch"),
-        hot_key_sketch("v").alias("v_sketch"),
+        hot_key_sketch(workspace.spark, "u").alias("u_sketch"),
+        hot_key_sketch(workspace.spark, "v").alias("v_sketch"),
     ).first()
 
-    def hot(sketch: str) -> list:
-        return hot_keys_of_sketch(seen[sketch], seen["rows"], hub_rows)
+    def hot(sketch: str) -> Mapping:
+        return hot_keys_of_sketch(workspace.spark, seen[sketch], seen["rows"], hub_rows)
 
     ids = edges.select(F.explode(F.array("u", "v")).alias("id"))
     numbers = number_ids(ids, workspace, f"{name}-ids")
@@ -127,7 +129,7 @@ def connected_components(
         workspace.drop(f"{name}-{number - 1}")
         if (seen["rows"], seen["print"]) == before:
             break
-    found = _swap(current, "high", numbers, "number", "id", [])
+    found = _swap(current, "high", numbers, "number", "id", {})
     found = _swap(found, "low", numbers, "number", "id", hot("low_sketch"))
     found = found.select(F.col("high").alias("id"), F.col("low").alias("component"))
     return workspace.save(found, name)[0]
@@ -144,21 +146,24 @@ def attach_component(
     components: DataFrame,
     key: str = "userid",
     small: bool | None = None,
-    hot: Sequence | None = None,
+    hot: Mapping | None = None,
+    **options,
 ) -> DataFrame:
-    """Records with the component of their user; repeated records stay, lone users stand for themselves."""
+    """Records with the component of their user; repeated records stay, lone users stand for themselves.
+
+    The records have no null keys.
+    """
     known = components.select(F.col("id").alias(key), "component")
-    joined = lookup_join(records, known, key, "left", small=small, hot=hot)
+    joined = lookup_join(records, known, key, "left", small=small, hot=hot, null_keys=False, **options)
     return joined.withColumn("component", F.coalesce("component", key))
 
 
 def component_attach_join(
-    records: DataFrame, components: DataFrame, key: str = "userid", hot: Sequence | None = None
+    records: DataFrame, components: DataFrame, key: str = "userid", hot: Mapping | None = None, **options
 ) -> DataFrame:
     """Inner join of records to a table with the component of every identifier."""
-    return lookup_join(
-        records, components.select(F.col("id").alias(key), "component"), key, "inner", hot=hot
-    )
+    known = components.select(F.col("id").alias(key), "component")
+    return lookup_join(records, known, key, "inner", hot=hot, **options)
 
 
 @dataclass(frozen=True)
@@ -168,7 +173,7 @@ class Users:
     components: DataFrame
     members: DataFrame
     small: bool
-    hot: Sequence
+    hot: Mapping
 
     def relabel(self, df: DataFrame) -> DataFrame:
         """Rows with ``userid`` replaced by the user that it belongs to."""
@@ -176,23 +181,27 @@ class Users:
         return attached.withColumn("userid", F.col("component")).drop("component")
 
 
-def resolve_users(records: DataFrame, workspace: Workspace) -> Users:
+def resolve_users(
+    records: DataFrame, workspace: Workspace, limit: int = BROADCAST_BYTES, min_rows: int = HOT_ROWS
+) -> Users:
     """Users of all records ``(userid, ids)``.
 
     The pass that collects the identifiers also sketches the busiest of them, whose records
     ``relabel`` will have to spread. A task that runs twice may be sketched twice; that can only
-    make a key look hotter than it is.
+    make a key look hotter than it is. Without any record there is nothing to spread.
     """
+    spark = workspace.spark
     seen = Observation()
-    watched = records.observe(seen, F.count(F.lit(1)).alias("rows"), hot_key_sketch("userid").alias("sketch"))
+    watched = records.observe(seen, F.count(F.lit(1)).alias("rows"), hot_key_sketch(spark, "userid").alias("sketch"))
     pairs, _ = workspace.save(identity_pairs(watched), "pairs")
-    components = connected_components(identity_edges(pairs), workspace)
+    found = observed(seen)
+    components = connected_components(identity_edges(pairs), workspace, min_rows)
     members = all_components(pairs.select("id").distinct(), components)
     return Users(
         components,
         members.select(F.col("component").alias("userid"), "id"),
-        fits_broadcast(components),
-        hot_keys_of_sketch(seen.get["sketch"], seen.get["rows"]),
+        fits_broadcast(components, limit),
+        hot_keys_of_sketch(spark, found.get("sketch"), found["rows"], min_rows),
     )
 
 

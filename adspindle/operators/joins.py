@@ -6,13 +6,13 @@ plain join gives, duplicates included.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adspindle.functions.salting import salt_number
+from adspindle.sources.workspace import Workspace
 
 # A table is sent whole to every executor only if its measured content is at most this.
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -21,7 +21,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 ESTIMATE_MARGIN = 64
 NO_ESTIMATE = 2**60
 
-SALT = "__salt"
+SALT, SALTS = "__salt", "__salts"
 
 
 def content_bytes(df: DataFrame) -> Column:
@@ -56,40 +56,49 @@ def key_counts(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     )
 
 
-# A key counts as hot from one row in HOT_SHARE; there can be no more such keys than that.
-HOT_SHARE = 1024
+# A key is hot when its rows make up more than this many mean shuffle partitions.
+HOT_PARTITIONS = 4
+# Below so many rows no key is worth spreading.
+HOT_ROWS = 100_000
+# The sketch tracks this many counters per key that it may have to name.
+SKETCH_COUNTERS = 16
 
 
-def hot_key_sketch(key: str) -> Column:
-    """An aggregate of fixed size that holds every key with more than one row in HOT_SHARE.
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    It can ride along with any pass over the data.
-    """
-    return F.expr(f"approx_top_k({key}, {HOT_SHARE}, {HOT_SHARE * 16})")
 
+def hot_key_sketch(spark: SparkSession, key: str) -> Column:
+    """An aggregate of fixed size that holds every key that can be hot.
+
+    There are fewer such keys than shuffle partitions. It can ride along with any pass over the data.
+    """
+    most = max(8, min(shuffle_partitions(spark), 50_000))
+    return F.expr(f"approx_top_k({key}, {most}, {most * SKETCH_COUNTERS})")
 
-def hot_keys_of_sketch(sketch: list | None, rows: int, min_rows: int = 1_000_000) -> list:
-    floor = max(rows / HOT_SHARE, min_rows)
-    return [e["item"] for e in sketch or [] if e["item"] is not None and e["count"] >= floor]
 
+def hot_keys_of_sketch(
+    spark: SparkSession, sketch: list | None, rows: int, min_rows: int = HOT_ROWS
+) -> dict[object, int]:
+    """Hot keys and how many tasks to spread each over: as many as it fills mean partitions."""
+    mean = max(1, rows / shuffle_partitions(spark))
+    floor = max(HOT_PARTITIONS * mean, min_rows)
+    found = [(e["item"], e["count"]) for e in sketch or [] if e["item"] is not None]
+    return {key: max(2, -int(-n // mean)) for key, n in found if n >= floor}
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> list:
-    """Keys that hold at least one row in HOT_SHARE and ``min_rows`` rows; at most HOT_SHARE of them."""
-    seen = df.agg(F.count(F.lit(1)).alias("rows"), hot_key_sketch(key).alias("sketch")).first()
-    return hot_keys_of_sketch(seen["sketch"], seen["rows"], min_rows)
 
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> dict[object, int]:
+    """Keys of more rows than a few shuffle partitions hold, with the number of tasks to spread each over."""
+    spark = df.sparkSession
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), hot_key_sketch(spark, key).alias("sketch")).first()
+    return hot_keys_of_sketch(spark, seen["sketch"], seen["rows"], min_rows)
 
-def _row_hash_columns(df: DataFrame) -> list[Column]:
-    def hashable(t: T.DataType) -> bool:
-        if isinstance(t, T.MapType):
-            return False
-        if isinstance(t, T.ArrayType):
-            return hashable(t.elementType)
-        if isinstance(t, T.StructType):
-            return all(hashable(f.dataType) for f in t.fields)
-        return True
 
-    return [F.col(f.name) for f in df.schema.fields if hashable(f.dataType)]
+def _spread_number(left: DataFrame, spread: Sequence[str] | None) -> Column:
+    """A number that differs from row to row, from the named columns or from the row's place in its partition."""
+    if spread is None:
+        return F.xxhash64(F.monotonically_increasing_id())
+    return F.xxhash64(*[F.col(c) for c in spread], F.spark_partition_id())
 
 
 def replicate(df: DataFrame, n: int, column: str = SALT) -> DataFrame:
@@ -101,17 +110,22 @@ def skew_join(
     left: DataFrame,
     right: DataFrame,
     on: str,
-    hot: Sequence,
+    hot: Sequence | Mapping[object, int],
     salts: int | None = None,
     how: str = "left",
     null_keys: bool = True,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Left or inner join in one pass over each side, the hot keys spread over ``salts`` tasks.
+    """Left or inner join in one pass over each side, each hot key spread over several tasks.
+
+    ``hot`` maps keys to their number of salts; for a plain list it is ``salts``, or the number of
+    shuffle partitions. Left rows of a hot key get one of its salts, right rows of it one copy per
+    salt; all other rows carry salt 0. Left rows with a null key match nothing and are spread over all
+    partitions; with ``null_keys=False`` the caller knows that there are none.
 
-    There are as many salts as shuffle partitions unless told otherwise. Left rows of a hot key get
-    a salt, right rows of a hot key one copy per salt; all other rows carry salt 0. Left rows with a
-    null key match nothing and are spread as well; with ``null_keys=False`` the caller knows that
-    there are none.
+    The salt comes from the row's place in its partition, so no further column is read for it. That
+    place is the same on every attempt where the left side is read from stored files. Above a shuffle
+    it may not be; then the caller names columns in ``spread`` to take it from.
     """
     if how not in ("left", "inner"):
         raise ValueError("salting the left side fits left and inner joins only")
@@ -120,23 +134,46 @@ def skew_join(
     right = right.where(F.col(on).isNotNull())
     if not hot and not null_keys:
         return left.join(right, on, how)
-    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(on).isin(list(hot)) if hot else F.lit(False)
-    spread = salt_number(salts, *_row_hash_columns(left), by_partition=True)
-    salted = left.withColumn(SALT, F.when(F.col(on).isNull() | is_hot, spread).otherwise(F.lit(0)))
-    last = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
+    spark = left.sparkSession
+    everywhere = shuffle_partitions(spark)
+    counts = dict(hot) if isinstance(hot, Mapping) else dict.fromkeys(hot, salts or everywhere)
+    key_type = left.schema[on].dataType
+    if counts:
+        # Fewer rows than shuffle partitions.
+        fields = [T.StructField(on, key_type), T.StructField(SALTS, T.IntegerType())]
+        table = F.broadcast(spark.createDataFrame(list(counts.items()), T.StructType(fields)))
+        left, right = left.join(table, on, "left"), right.join(table, on, "left")
+    else:
+        left, right = (df.withColumn(SALTS, F.lit(None).cast("int")) for df in (left, right))
+    of = F.when(F.col(on).isNull(), F.lit(everywhere)).otherwise(F.coalesce(SALTS, F.lit(1)))
+    number = F.when(of > 1, F.pmod(_spread_number(left, spread), of.cast("bigint")).cast("int")).otherwise(F.lit(0))
+    salted = left.withColumn(SALT, number).drop(SALTS)
     # Also salt 0 alone comes from a generator: as a literal it would be folded out of the join key.
-    copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
+    last = F.coalesce(F.col(SALTS), F.lit(1)) - 1
+    copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), last))).drop(SALTS)
     return salted.join(copies, [on, SALT], how).drop(SALT)
 
 
 def skew_join_full_salt(
-    left: DataFrame, right: DataFrame, on: str, salts: int = 10, how: str = "left"
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    salts: int = 10,
+    how: str = "left",
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """For many hot keys against an even table: salt all of the left, copy all of the right."""
-    spread = salt_number(salts, *_row_hash_columns(left), by_partition=True)
-    salted = left.withColumn(SALT, spread)
-    return salted.join(replicate(right, salts), [on, SALT], how).drop(SALT)
+    number = F.pmod(_spread_number(left, spread), F.lit(salts).cast("bigint")).cast("int")
+    return left.withColumn(SALT, number).join(replicate(right, salts), [on, SALT], how).drop(SALT)
+
+
+def measured(df: DataFrame, workspace: Workspace, name: str) -> tuple[DataFrame, int]:
+    """The table written once, and the size of its content, taken during the write.
+
+    A table that is going to be joined is computed once so, not once to be measured and once again.
+    """
+    table, seen = workspace.save(df, name, content=F.sum(content_bytes(df)))
+    return table, seen.get("content") or 0
 
 
 def lookup_join(
@@ -145,15 +182,17 @@ def lookup_join(
     on: str,
     how: str = "left",
     limit: int = BROADCAST_BYTES,
-    min_rows: int = 1_000_000,
+    min_rows: int = HOT_ROWS,
     small: bool | None = None,
-    hot: Sequence | None = None,
+    hot: Sequence | Mapping[object, int] | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Big table against a table that is usually small.
 
     Within the size limit the right side is broadcast and the left is not shuffled at all. Beyond
     it the left's hot keys are looked up and the join is shuffled with those keys spread. A caller
-    that has already measured the right side, or knows the hot keys, passes what it found.
+    that has already measured the right side, or knows the hot keys, passes what it found; one whose
+    left side has no null keys says so.
     """
     if small is None:
         small = fits_broadcast(right, limit)
@@ -161,7 +200,7 @@ def lookup_join(
         return left.join(F.broadcast(right), on, how)
     if hot is None:
         hot = hot_keys(left, on, min_rows)
-    return skew_join(left, right, on, hot, how=how)
+    return skew_join(left, right, on, hot, how=how, null_keys=null_keys)
 
 
 def null_safe_left_join(
@@ -171,14 +210,13 @@ def null_safe_left_join(
     blank_is_null: bool = False,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left join whose keyless rows go round the shuffle; they can match nothing.
+    """Left join in one pass whose keyless rows, which can match nothing, are spread over all tasks.
 
-    Empty-text keys go round it too only with ``blank_is_null``, since the right side may hold one.
+    Empty-text keys are keyless too only with ``blank_is_null``, since the right side may hold one.
+    The key column comes out as it went in.
     """
-    keyed = F.col(on).isNotNull()
-    if blank_is_null:
-        keyed = keyed & (F.col(on) != "")
-    matched = lookup_join(left.where(keyed), right, on, "left", limit)
-    added = [f for f in right.schema.fields if f.name != on]
-    keyless = left.where(~keyed).withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
-    return matched.unionByName(keyless)
+    if not blank_is_null:
+        return lookup_join(left, right, on, "left", limit)
+    key = "__" + on
+    keyed = left.withColumn(key, F.when(F.col(on) != "", F.col(on)))
+    return lookup_join(keyed, right.withColumnRenamed(on, key), key, "left", limit).drop(key)

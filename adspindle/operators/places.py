@@ -16,12 +16,15 @@ from adspindle.functions.place import (
 )
 from adspindle.functions.text import pieces
 from adspindle.operators.filters import nonempty, with_location
-from adspindle.operators.joins import BROADCAST_BYTES, fits_broadcast, hot_keys, lookup_join, skew_join
+from adspindle.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, lookup_join, measured, skew_join
+from adspindle.sources.workspace import Workspace
 
-# Addresses are matched inside blocks of 2^16. Ranges of a location table do not overlap, so cutting
-# them at block borders adds at most one row per block, 65,536 in all, however wide they are.
-BLOCK_BITS = 16
-_LAST_IN_BLOCK = 2**BLOCK_BITS - 1
+# Addresses are matched inside blocks of 2^16, dense blocks inside cells of 2^8. Ranges that don't
+# overlap are cut at these borders, which adds at most one row per block or cell, however wide they are.
+BLOCK_BITS, CELL_BITS = 16, 8
+# A block with more ranges is dense, so no address is compared with more ranges than this.
+DENSE_RANGES = 256
+WHOLE_BLOCK = -1
 
 PLACE_FIELDS = ["country", "area", "longitude", "latitude"]
 
@@ -30,32 +33,56 @@ def _block(number: Column) -> Column:
     return F.shiftright(number, BLOCK_BITS)
 
 
-def block_ranges(ranges: DataFrame) -> DataFrame:
-    """The ranges cut at block borders, as ``(block, low, high, ...)``.
+def _cell(number: Column) -> Column:
+    return F.shiftright(number, CELL_BITS).bitwiseAND(2 ** (BLOCK_BITS - CELL_BITS) - 1)
+
 
-    An address belongs to the range with the greatest start at or below it. Should ranges overlap,
-    each is cut off before the next one starts, so that no address has two places. Repeated ranges
-    are one range, and of several with one start the widest stays, so that a block never has more
-    rows than addresses, whatever the table holds.
+def separate_ranges(ranges: DataFrame) -> DataFrame:
+    """The ranges without overlaps, as ``(low, high, ...)``: each ends before the next one starts.
+
+    An address belongs to the range with the greatest start at or below it, if that reaches so far.
+    Repeated ranges are one range, and of several with one start the widest stays. The next start is
+    looked for within a block of addresses, and for a block's last range among the first starts of the
+    later blocks, of which there are 65,536 at most.
     """
     start, end = F.col("ip_start"), F.col("ip_end")
-    first = F.shiftleft(F.col("block"), BLOCK_BITS)
-    place = F.struct(F.least(end, first + _LAST_IN_BLOCK).alias("high"), *PLACE_FIELDS)
-    cut = (
-        ranges.select("ip_start", "ip_end", *PLACE_FIELDS)
-        .where(start <= end)
-        .distinct()
-        .withColumn("block", F.explode(F.sequence(_block(start), _block(end))))
-        .groupBy("block", F.greatest(start, first).alias("low"))
-        .agg(F.max(place).alias("place"))
-    )
-    next_low = F.lead("low").over(Window.partitionBy("block").orderBy("low"))
-    return cut.select(
-        "block",
-        "low",
-        F.least("place.high", next_low - 1).alias("high"),
-        *[f"place.{f}" for f in PLACE_FIELDS],
-    )
+    widest = F.max(F.struct(end.alias("high"), *PLACE_FIELDS)).alias("place")
+    single = ranges.where(start <= end).groupBy(start.alias("low")).agg(widest)
+    single = single.withColumn("block", _block(F.col("low")))
+    firsts = single.groupBy("block").agg(F.min("low").alias("first"))
+    later = firsts.select("block", F.lead("first").over(Window.orderBy("block")).alias("first_later"))
+    inside = F.lead("low").over(Window.partitionBy("block").orderBy("low"))
+    known = single.withColumn("next", inside).join(later, "block")
+    last = F.least("place.high", F.coalesce("next", "first_later") - 1)
+    return known.select("low", last.alias("high"), *[f"place.{f}" for f in PLACE_FIELDS])
+
+
+def _cut(ranges: DataFrame, number, bits: int, name: str) -> DataFrame:
+    """Ranges cut at multiples of ``2^bits``, with the number of their part in ``name``."""
+    part = F.explode(F.sequence(F.shiftright("low", bits), F.shiftright("high", bits))).alias("__part")
+    cut = ranges.select("*", part)
+    first = F.shiftleft("__part", bits)
+    return cut.withColumns(
+        {
+            "low": F.greatest("low", first),
+            "high": F.least("high", first + (2**bits - 1)),
+            name: number(F.shiftleft("__part", bits)),
+        }
+    ).drop("__part")
+
+
+def block_ranges(ranges: DataFrame) -> DataFrame:
+    """The separated ranges cut at block borders, and in dense blocks at cell borders.
+
+    ``(block, cell, low, high, ...)``; the cell is -1 in a block that is not cut further.
+    """
+    blocks = _cut(separate_ranges(ranges), _block, BLOCK_BITS, "block")
+    dense = blocks.groupBy("block").agg((F.count(F.lit(1)) > DENSE_RANGES).alias("__dense"))
+    blocks = blocks.join(dense, "block")
+    whole = blocks.where("NOT __dense").withColumn("cell", F.lit(WHOLE_BLOCK).cast("bigint"))
+    cells = _cut(blocks.where("__dense"), _cell, CELL_BITS, "cell")
+    columns = ["block", "cell", "low", "high", *PLACE_FIELDS]
+    return whole.select(*columns).unionByName(cells.select(*columns))
 
 
 def _places_by_merge(numbers: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -64,6 +91,7 @@ def _places_by_merge(numbers: DataFrame, blocks: DataFrame) -> DataFrame:
     A block holds at most 65,536 addresses and as many starts, so no group grows with the log.
     """
     place = F.struct("high", *PLACE_FIELDS)
+    # Cells need no place in the order: they only cut ranges of the same block further.
     starts = blocks.select("block", F.col("low").alias("at"), place.alias("place"))
     asked = numbers.select(_block(F.col("__ip")).alias("block"), F.col("__ip").alias("at"))
     events = starts.withColumn("asked", F.lit(False)).unionByName(
@@ -80,26 +108,37 @@ def _places_by_merge(numbers: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def ip_range_join(
-    df: DataFrame, ranges: DataFrame, ip: str = "ip", limit: int = BROADCAST_BYTES
+    df: DataFrame,
+    ranges: DataFrame,
+    ip: str = "ip",
+    limit: int = BROADCAST_BYTES,
+    min_rows: int = HOT_ROWS,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Left join to the range that holds each address; every row of ``df`` is kept once.
 
     A valid address outside all ranges gets the texts for unknown places; a missing or malformed
-    one gets nulls. While the cut range table is within the size limit the log is not shuffled at
-    all; beyond it only the distinct addresses are, and the answer is joined back with the hot
-    addresses spread.
+    one gets nulls. The cut range table is written once. While it is within the size limit the log is
+    not shuffled at all, and a row is compared with the ranges of its block or, in a dense block, of
+    its cell: 256 at most. Beyond the limit only the distinct addresses are shuffled, and the answer
+    is joined back with the hot addresses spread.
     """
-    blocks = block_ranges(ranges)
+    workspace = workspace or Workspace(df.sparkSession, "ranges")
+    blocks, size = measured(block_ranges(ranges), workspace, "blocks")
     asked = df.withColumn("__ip", ip_to_long(F.col(ip)))
-    if fits_broadcast(blocks, limit):
-        inside = (_block(F.col("__ip")) == F.col("block")) & F.col("__ip").between(
-            F.col("low"), F.col("high")
-        )
-        joined = asked.join(F.broadcast(blocks), inside, "left").drop("block", "low", "high")
+    if size <= limit:
+        # 65,536 blocks at most.
+        dense = blocks.where(F.col("cell") != WHOLE_BLOCK).select(F.col("block").alias("__dense")).distinct()
+        asked = asked.join(F.broadcast(dense), _block(F.col("__ip")) == F.col("__dense"), "left")
+        cell = F.when(F.col("__dense").isNull(), F.lit(WHOLE_BLOCK)).otherwise(_cell(F.col("__ip")))
+        asked = asked.withColumn("__cell", cell.cast("bigint")).drop("__dense")
+        inside = (_block(F.col("__ip")) == F.col("block")) & (F.col("__cell") == F.col("cell"))
+        inside = inside & F.col("__ip").between(F.col("low"), F.col("high"))
+        joined = asked.join(F.broadcast(blocks), inside, "left").drop("block", "cell", "low", "high", "__cell")
     else:
         numbers = asked.select("__ip").where("__ip is not null").distinct()
         places = _places_by_merge(numbers, blocks)
-        joined = skew_join(asked, places, "__ip", hot_keys(asked, "__ip"))
+        joined = skew_join(asked, places, "__ip", hot_keys(asked, "__ip", min_rows))
     valid = F.col("__ip").isNotNull()
     return joined.withColumns(
         {
@@ -109,9 +148,11 @@ def ip_range_join(
     ).drop("__ip")
 
 
-def ip_geo_enrich(log: DataFrame, ranges: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def ip_geo_enrich(
+    log: DataFrame, ranges: DataFrame, limit: int = BROADCAST_BYTES, workspace: Workspace | None = None
+) -> DataFrame:
     """The log with ``longitude, latitude, region, city`` looked up, one row out per row in."""
-    placed = ip_range_join(log, ranges, "ip", limit)
+    placed = ip_range_join(log, ranges, "ip", limit, workspace=workspace)
     return placed.withColumns(
         {
             "longitude": F.col("longitude").cast("float"),
@@ -153,10 +194,9 @@ def build_district_dictionary(ods: DataFrame, replies: DataFrame) -> DataFrame:
 
 
 def geohash_district_join(
-    df: DataFrame, districts: DataFrame, limit: int = BROADCAST_BYTES
+    df: DataFrame, districts: DataFrame, limit: int = BROADCAST_BYTES, **options
 ) -> DataFrame:
     """Add ``areas`` for the cell of each row's coordinates; ``districts`` has one row per cell."""
     celled = df.withColumn("geohash", geohash8(F.col("longitude"), F.col("latitude")))
-    return lookup_join(celled, districts.select("geohash", "areas"), "geohash", "left", limit).drop(
-        "geohash"
-    )
+    found = lookup_join(celled, districts.select("geohash", "areas"), "geohash", "left", limit, **options)
+    return found.drop("geohash")

@@ -1,57 +1,32 @@
-"""Merging the tags of all records of one person."""
+"""Merging the tags of all records of one person, and the profile as one row of text."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.operators.history import format_ids, format_tag_string
-from adspindle.operators.joins import hot_key_sketch, hot_keys_of_sketch, lookup_join
-from adspindle.sources.workspace import Workspace
-
-# A stored profile row lists at most about this many identifiers or tags; a larger profile is
-# stored as several rows of the same user.
-ROW_ENTRIES = 100_000
+from adspindle.operators.history import format_ids, format_tag_string, parse_tag_string, read_ids
 
 
 def merge_user_tags(tag_rows: DataFrame) -> DataFrame:
     """Sum per user and tag of rows ``(userid, tag, weight)`` whose users are resolved.
 
     Rows are summed where they are before they are shuffled, so a user with a third of the log
-    comes down to its distinct tags.
+    comes down to its distinct tags. This long form is what is stored: it has no limit of size.
     """
     return tag_rows.groupBy("userid", "tag").agg(F.sum("weight").alias("weight"))
 
 
-def fold_profiles(
-    tags: DataFrame, members: DataFrame, workspace: Workspace, row_entries: int = ROW_ENTRIES
-) -> DataFrame:
-    """One row per user, ``(userid, part, ids, entries)``, from the two long tables.
+def fold_profiles(tags: DataFrame, members: DataFrame) -> DataFrame:
+    """One row per user, ``(userid, ids, entries)``, from the two long tables.
 
-    A user with more than ``row_entries`` identifiers or tags gets several rows with different
-    ``part``, each of a bounded size and all with the user among their ``ids``; reading them back as
-    history gives the same user again. Nobody's entries are left out.
+    For exports: a row holds all of its user's entries, so this is not what the daily job stores.
     """
     nothing = {"id": "string", "tag": "string", "weight": "double"}
     listed = members.select("userid", "id").unionByName(tags, allowMissingColumns=True)
-    listed, seen = workspace.save(
-        listed.select("userid", *[F.col(c).cast(t) for c, t in nothing.items()]),
-        "entries",
-        sketch=hot_key_sketch("userid"),
-    )
-    part = F.lit(0)
-    if seen["rows"] > row_entries:
-        hot = hot_keys_of_sketch(seen["sketch"], seen["rows"])
-        size = F.greatest(F.count("id"), F.count("tag"))
-        sizes = listed.groupBy("userid").agg(size.alias("size")).where(F.col("size") > row_entries)
-        parts = F.ceil(F.col("size") / row_entries).alias("parts")
-        large, found = workspace.save(sizes.select("userid", parts), "large")
-        if found["rows"]:
-            listed = lookup_join(listed, large, "userid", "left", hot=hot)
-            spread = F.pmod(F.xxhash64(F.coalesce("id", "tag")), F.col("parts"))
-            part = F.coalesce(spread.cast("int"), part)
+    listed = listed.select("userid", *[F.col(c).cast(t) for c, t in nothing.items()])
     entry = F.when(F.col("tag").isNotNull(), F.struct("tag", "weight"))
-    return listed.groupBy("userid", part.alias("part")).agg(
+    return listed.groupBy("userid").agg(
         F.array_union(F.array("userid"), F.array_sort(F.collect_list("id"))).alias("ids"),
         F.array_sort(F.collect_list(entry)).alias("entries"),
     )
@@ -63,10 +38,18 @@ def with_tag_map(profiles: DataFrame) -> DataFrame:
 
 
 def profile_table(profiles: DataFrame, digits: int | None = None) -> DataFrame:
-    """The stored text form, ``(userid, part, allUserId, tags)``."""
+    """The text form, ``(userid, allUserId, tags)``, of folded profiles."""
     return profiles.select(
         "userid",
-        "part",
         format_ids(F.col("ids")).alias("allUserId"),
         format_tag_string(F.col("entries"), digits).alias("tags"),
     )
+
+
+def reads_back() -> Column:
+    """Whether a folded profile's text form holds all of it.
+
+    It does not if an identifier or a tag holds a comma, or a tag an arrow: the text has no escapes.
+    """
+    ids = F.array_sort(read_ids(format_ids(F.col("ids")))) == F.array_sort("ids")
+    return ids & (parse_tag_string(format_tag_string(F.col("entries"))) == F.array_sort("entries"))

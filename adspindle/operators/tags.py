@@ -26,22 +26,31 @@ def dictionary_lookup(
     name: str,
     limit: int = BROADCAST_BYTES,
     small: bool | None = None,
+    **options,
 ) -> DataFrame:
     """Add column ``name`` with the dictionary's value for ``key``, '' where there is none."""
     entries = dictionary.select(F.col("key").alias("__key"), F.col("value").alias(name))
-    found = lookup_join(df.withColumn("__key", key), entries, "__key", "left", limit, small=small)
+    found = lookup_join(df.withColumn("__key", key), entries, "__key", "left", limit, small=small, **options)
     return found.withColumn(name, F.coalesce(name, F.lit(""))).drop("__key")
 
 
 def with_dictionary_values(
-    df: DataFrame, apps: DataFrame, devices: DataFrame, limit: int = BROADCAST_BYTES
+    df: DataFrame,
+    apps: DataFrame,
+    devices: DataFrame,
+    limit: int = BROADCAST_BYTES,
+    small_apps: bool | None = None,
+    **options,
 ) -> DataFrame:
-    """Add the looked-up app name and the codes of client, carrier and network kind."""
-    df = dictionary_lookup(df, apps, F.col("appid"), APP_NAME, limit)
-    return with_device_codes(df, devices, limit)
+    """Add the looked-up app name and the codes of client, carrier and network kind.
+
+    ``small_apps`` tells whether the app dictionary, already measured, is within the limit.
+    """
+    df = dictionary_lookup(df, apps, F.col("appid"), APP_NAME, limit, small_apps, **options)
+    return with_device_codes(df, devices, limit, **options)
 
 
-def with_device_codes(df: DataFrame, devices: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def with_device_codes(df: DataFrame, devices: DataFrame, limit: int = BROADCAST_BYTES, **options) -> DataFrame:
     small = fits_broadcast(devices, limit)
     keys = {
         CLIENT_CODE: F.coalesce("client", F.lit(0)).cast("string"),
@@ -49,7 +58,7 @@ def with_device_codes(df: DataFrame, devices: DataFrame, limit: int = BROADCAST_
         NETWORK_CODE: F.col("networkmannername"),
     }
     for name, key in keys.items():
-        df = dictionary_lookup(df, devices, key, name, limit, small)
+        df = dictionary_lookup(df, devices, key, name, limit, small, **options)
     return df
 
 

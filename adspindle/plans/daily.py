@@ -8,13 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adspindle.operators.places import build_district_dictionary
 from adspindle.plans.ingest import enrich_log
-from adspindle.plans.profile import Lookups, user_profile
+from adspindle.plans.profile import History, Lookups, user_profile_long
 from adspindle.plans.reports import COUNT_KEY, COUNT_REPORT, FUNNEL_REPORTS, report_bundle, report_of_bundle
 from adspindle.sources.daily import read_daily, require_unique, write_daily
 from adspindle.sources.workspace import Workspace
 
 # Names of the other daily tables.
 ODS, DISTRICTS, TAGS = "ods", "business_area", "tags"
+# The identifiers of each profile; its tags are in TAGS, one row per user and tag.
+PROFILE_IDS = "profile_ids"
+
+TABLE_KEYS = {
+    COUNT_REPORT: COUNT_KEY,
+    **FUNNEL_REPORTS,
+    DISTRICTS: ["geohash"],
+    TAGS: ["userid", "tag"],
+    PROFILE_IDS: ["userid", "id"],
+}
 
 
 @dataclass(frozen=True)
@@ -31,22 +41,36 @@ def run_day(
 ) -> None:
     """Write every daily table of ``dt`` under ``root``; running it again replaces them.
 
-    ``previous_dt`` names the day whose profiles are carried over, if there is one.
+    ``previous_dt`` names the day whose profiles are carried over, if there is one. Profiles are stored
+    in long form, so they come back the next day exactly as they were written. Every table with a key
+    is checked for it; the log's own key, the address, repeats in any log and is not.
     """
     workspace = Workspace(spark, f"day-{dt}")
 
-    write_daily(enrich_log(inputs.log, inputs.ranges), root, ODS, dt)
-    ods = read_daily(spark, root, ODS, dt)
+    def store(df: DataFrame, name: str) -> DataFrame:
+        write_daily(df, root, name, dt, TABLE_KEYS[name])
+        return require_unique(read_daily(spark, root, name, dt), TABLE_KEYS[name]).drop("dt")
+
+    try:
+        write_daily(enrich_log(inputs.log, inputs.ranges, workspace), root, ODS, dt)
+        ods = read_daily(spark, root, ODS, dt)
+
+        bundle, _ = workspace.save(report_bundle(ods), "reports")
+        for report in (COUNT_REPORT, *FUNNEL_REPORTS):
+            store(report_of_bundle(bundle, report), report)
+
+        districts = store(build_district_dictionary(ods, inputs.replies), DISTRICTS)
+        lookups = Lookups(inputs.apps, inputs.devices, districts).stored(workspace)
 
-    bundle, _ = workspace.save(report_bundle(ods), "reports")
-    for report, key in {COUNT_REPORT: COUNT_KEY, **FUNNEL_REPORTS}.items():
-        write_daily(require_unique(report_of_bundle(bundle, report), key), root, report, dt, key)
+        history = stored_profiles(spark, root, previous_dt) if previous_dt else None
+        tags, members = user_profile_long(ods, lookups, workspace, history)
+        store(tags, TAGS)
+        store(members, PROFILE_IDS)
+    finally:
+        workspace.remove()
 
-    districts = build_district_dictionary(ods, inputs.replies)
-    write_daily(districts, root, DISTRICTS, dt, ["geohash"])
-    lookups = Lookups(inputs.apps, inputs.devices, read_daily(spark, root, DISTRICTS, dt))
 
-    history = read_daily(spark, root, TAGS, previous_dt) if previous_dt else None
-    profiles = user_profile(ods, lookups, workspace, history)
-    write_daily(profiles, root, TAGS, dt, ["userid", "part"])
-    workspace.remove()
+def stored_profiles(spark: SparkSession, root: str, dt: str) -> History:
+    """The profiles that ``run_day`` stored for a day."""
+    tags, ids = (read_daily(spark, root, name, dt).drop("dt") for name in (TAGS, PROFILE_IDS))
+    return History(tags, ids)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 
 from adspindle.operators.filters import ods_projection
 from adspindle.operators.places import ip_geo_enrich
+from adspindle.sources.workspace import Workspace
 
 
-def enrich_log(log: DataFrame, ranges: DataFrame) -> DataFrame:
-    return ods_projection(ip_geo_enrich(log, ranges))
+def enrich_log(log: DataFrame, ranges: DataFrame, workspace: Workspace | None = None) -> DataFrame:
+    return ods_projection(ip_geo_enrich(log, ranges, workspace=workspace))

@@ -8,27 +8,49 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.operators.history import DECAY, decay_tags, history_records
+from adspindle.operators.history import DECAY, decay_tags
 from adspindle.operators.identity import first_id, identity_ids, resolve_users
+from adspindle.operators.joins import BROADCAST_BYTES, HOT_ROWS, measured
 from adspindle.operators.places import geohash_district_join
-from adspindle.operators.profile import fold_profiles, merge_user_tags, profile_table
+from adspindle.operators.profile import merge_user_tags
 from adspindle.operators.tags import ALL_RULES, Rule, tag_rows, with_dictionary_values
+from adspindle.schema import TAG_COLUMNS
 from adspindle.sources.workspace import Workspace
 
 
 @dataclass(frozen=True)
 class Lookups:
-    """The tables the tag rules look things up in."""
+    """The tables the tag rules look things up in; of those measured already, whether they are small."""
 
     apps: DataFrame
     devices: DataFrame
     districts: DataFrame
+    small_apps: bool | None = None
+    small_districts: bool | None = None
 
+    def stored(self, workspace: Workspace, limit: int = BROADCAST_BYTES) -> Lookups:
+        """The same tables, computed and measured once, in one write each."""
+        apps, app_bytes = measured(self.apps, workspace, "apps")
+        districts, district_bytes = measured(self.districts, workspace, "districts")
+        return Lookups(apps, self.devices, districts, app_bytes <= limit, district_bytes <= limit)
 
-def tagged_log(ods: DataFrame, lookups: Lookups) -> DataFrame:
+
+@dataclass(frozen=True)
+class History:
+    """Stored profiles in long form: ``(userid, tag, weight)`` and ``(userid, id)``."""
+
+    tags: DataFrame
+    ids: DataFrame
+
+
+def tagged_log(
+    ods: DataFrame, lookups: Lookups, limit: int = BROADCAST_BYTES, min_rows: int = HOT_ROWS
+) -> DataFrame:
     """The log with everything the tag rules read: areas, dictionary values."""
-    placed = geohash_district_join(ods, lookups.districts)
-    return with_dictionary_values(placed, lookups.apps, lookups.devices)
+    placed = geohash_district_join(ods, lookups.districts, limit, small=lookups.small_districts, min_rows=min_rows)
+    return with_dictionary_values(
+        placed, lookups.apps, lookups.devices, limit, small_apps=lookups.small_apps, min_rows=min_rows
+    )
 
 
 def today_records(ods: DataFrame) -> DataFrame:
@@ -37,51 +59,37 @@ def today_records(ods: DataFrame) -> DataFrame:
     return records.where("userid is not null")
 
 
-def known_users(ods: DataFrame) -> DataFrame:
-    """The log's usable rows, with ``userid``."""
-    return ods.withColumn("userid", first_id()).where("userid is not null").drop("areas")
-
-
-def history_tags(records: DataFrame, factor: float = DECAY) -> DataFrame:
-    """Long tag rows of history records, their weights decayed."""
-    rows = records.select("userid", F.inline_outer("entries"))
-    return decay_tags(rows.where("tag IS NOT NULL"), factor)
+def known_users(ods: DataFrame, columns: Sequence[str] = TAG_COLUMNS) -> DataFrame:
+    """The log's usable rows, with ``userid`` and the columns that the tag rules read."""
+    return ods.withColumn("userid", first_id()).where("userid is not null").select("userid", *columns)
 
 
 def user_profile_long(
     ods: DataFrame,
     lookups: Lookups,
     workspace: Workspace,
-    history: DataFrame | None = None,
+    history: History | None = None,
     factor: float = DECAY,
     rules: Sequence[Rule] = ALL_RULES,
+    columns: Sequence[str] = TAG_COLUMNS,
+    limit: int = BROADCAST_BYTES,
+    min_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(userid, tag, weight)`` and ``(userid, id)`` over today and, if given, the decayed history.
 
     Identity is resolved once over both days: merged identifier lists keep a history's links, so
     resolving today first and then again with the history gives the same users and sums. Users are
-    put on the narrow log rows before these become many tag rows each, so tag rows are shuffled
-    only once, already summed.
+    put on the narrow log rows, the ``columns`` that the rules read, before these become many tag rows
+    each, so tag rows are shuffled only once, already summed. A history's tag rows are relabelled as
+    they are, one row per tag.
     """
     records = today_records(ods)
-    past = None if history is None else history_records(history)
-    if past is not None:
-        records = records.unionByName(past.select("userid", "ids"))
-    users = resolve_users(records, workspace)
-    tags = tag_rows(tagged_log(users.relabel(known_users(ods)), lookups), ["userid"], rules)
-    if past is not None:
-        tags = tags.unionByName(history_tags(users.relabel(past), factor))
+    if history is not None:
+        known = history.ids.select("userid", F.array_distinct(F.array("userid", "id")).alias("ids"))
+        records = records.unionByName(known)
+    users = resolve_users(records, workspace, limit, min_rows)
+    placed = users.relabel(known_users(ods, columns))
+    tags = tag_rows(tagged_log(placed, lookups, limit, min_rows), ["userid"], rules)
+    if history is not None:
+        tags = tags.unionByName(decay_tags(users.relabel(history.tags), factor))
     return merge_user_tags(tags), users.members
-
-
-def user_profile(
-    ods: DataFrame,
-    lookups: Lookups,
-    workspace: Workspace,
-    history: DataFrame | None = None,
-    factor: float = DECAY,
-    digits: int | None = None,
-) -> DataFrame:
-    """The table of stored profiles for the day."""
-    tags, members = user_profile_long(ods, lookups, workspace, history, factor)
-    return profile_table(fold_profiles(tags, members, workspace), digits)

@@ -27,6 +27,12 @@ RAW_COLUMNS = [c for c in ODS_COLUMNS if c not in PLACE_COLUMNS]
 
 ID_COLUMNS = ["imei", "mac", "idfa", "openudid", "androidid"]
 
+# What the tag rules read of the log.
+TAG_COLUMNS = (
+    "longitude latitude appid appname device client ispname networkmannername devicetype "
+    "provincename cityname keywords channelid age sex"
+).split()
+
 _BIGINT = set(
     "requestmode processnode adplatformproviderid iseffective isbilling isbid iswin "
     "adorderid adcreativeid client devicetype networkmannerid".split()

@@ -31,24 +31,19 @@ def read_daily(spark: SparkSession, root: str, name: str, dt: str) -> DataFrame:
 def write_daily(
     df: DataFrame, root: str, name: str, dt: str, keys: Sequence[str] = (), n: int | None = None
 ) -> None:
-    """Replace one day of a daily table; running a day again gives the same table.
+    """Replace one day of a daily table; running a day again gives the same table, also an empty one.
 
     With ``keys`` and ``n`` the rows go into ``n`` hash partitions of the keys. With ``keys`` alone
     the engine sizes the files and splits oversized groups of one key. Without keys nothing is
     shuffled: that is for the log itself, whose rows are already spread over the input splits and
     whose keys are not unique.
     """
-    out = df.drop("dt").withColumn("dt", F.lit(dt))
+    out = df.drop("dt")
     if keys and n:
         out = out.repartition(n, *keys)
     elif keys:
         out = out.hint("rebalance", *keys)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(f"{root}/{name}")
-    )
+    out.write.mode("overwrite").parquet(f"{root}/{name}/dt={dt}")
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -106,10 +106,32 @@ def test_exact_copies_get_different_salts(spark):
 
 def test_hot_keys(skewed):
     left, _ = skewed
-    assert joins.hot_keys(left, "key", min_rows=1000) == [7]
+    # Half of all rows, on four partitions: two of them.
+    spark = left.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        assert joins.hot_keys(left, "key", min_rows=1000) == {7: 51}
+        assert joins.hot_keys(left, "key", min_rows=10_000) == {}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert rows(joins.key_counts(left, "key", 1000)) == [(7, 3060)]
 
 
+def test_each_hot_key_has_its_own_salts(skewed):
+    left, right = skewed
+    assert rows(joins.skew_join(left, right, "key", {7: 9, 3: 2})) == rows(left.join(right, "key", "left"))
+
+
+def test_salting_reads_no_further_column(spark, tmp_path):
+    spark.range(100).selectExpr("id % 3 AS key", "id AS x", *[f"id AS c{i}" for i in range(30)]).write.parquet(str(tmp_path / "t"))
+    left = spark.read.parquet(str(tmp_path / "t"))
+    right = spark.range(3).selectExpr("id AS key", "id AS y")
+    joined = joins.skew_join(left, right, "key", {1: 3}).select("key", "x", "y")
+    scan = [line for line in joined._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in line]
+    assert scan and all("c1#" not in line for line in scan)
+
+
 def test_broadcast_only_within_the_limit(spark):
     small = classes(spark)
     assert joins.fits_broadcast(small)

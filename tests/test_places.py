@@ -1,3 +1,4 @@
+import bisect
 import random
 
 import pytest
@@ -64,6 +65,33 @@ def test_overlapping_ranges_never_multiply_rows(spark, limit):
     assert (named["0.0.0.9"], named["0.0.0.12"], named["0.0.0.17"]) == ("c0", "c10", "c15")
 
 
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0])
+def test_nested_ranges_across_blocks(spark, limit):
+    """The greatest start at or below an address decides, also where a wide range goes on in later blocks."""
+    pick = random.Random(4)
+    spans = [(0, 200_000), (10, 20)]
+    spans += [(a, a + pick.choice([0, 50, 3000, 90_000, 400_000])) for a in pick.sample(range(300_000), 400)]
+    spans += [(70_000 + 3 * i, 70_000 + 3 * i + i % 5) for i in range(900)]  # a dense block
+    asked = [50, 15, 20, 21, 65_536, 70_000] + [pick.randrange(500_000) for _ in range(1500)]
+    log = spark.createDataFrame([(i, dotted(n)) for i, n in enumerate(asked)], "rid int, ip string")
+    widest = {}
+    for a, b in spans:
+        widest[a] = max(b, widest.get(a, b))
+    starts = sorted(widest)
+    for row in places.ip_range_join(log, ranges(spark, spans), limit=limit).collect():
+        at = bisect.bisect_right(starts, asked[row.rid]) - 1
+        hit = at >= 0 and asked[row.rid] <= widest[starts[at]]
+        assert row.country == (f"c{starts[at]}" if hit else "未知国家")
+
+
+def test_no_address_meets_many_ranges(spark):
+    dense = [(a, a) for a in range(0, 65_536, 2)] + [(70_000, 400_000), (500_000, 500_100)]
+    cut = places.block_ranges(ranges(spark, dense))
+    most = cut.groupBy("block", "cell").count().agg(F.max("count")).first()[0]
+    assert most <= places.DENSE_RANGES
+    assert rows(cut.where("low > 65536").select("cell").distinct()) == [(places.WHOLE_BLOCK,)]
+
+
 def test_copies_of_a_range_are_one_range(spark):
     copies = ranges(spark, [(0, 10), (20, 200_000)]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500))))
     assert places.block_ranges(copies).count() == 5

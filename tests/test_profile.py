@@ -63,7 +63,8 @@ def test_rows_are_tagged_once(spark, lookups):
 
 
 def stored(spark, *given):
-    return spark.createDataFrame(list(given), "userid string, allUserId string, tags string")
+    texts = spark.createDataFrame(list(given), "userid string, allUserId string, tags string")
+    return plan.History(*history.import_profiles(texts))
 
 
 def profiles(df):
@@ -74,7 +75,7 @@ def test_history_decays_and_joins_today(spark, lookups, workspace):
     today = log_rows(spark, {"imei": "b", "mac": "c", "age": "1"}, {"imei": "b", "age": "1"}, {"idfa": "z", "age": "2"}, {"imei": " "})
     past = stored(spark, ("a", "a,c", "AGE_1 -> 2.0,OLD -> 1.0"), ("q", "q", "OLD -> 3.0"))
     long, members = plan.user_profile_long(today, lookups, workspace, past, rules=[tags.age_rule])
-    table = profile.profile_table(profile.fold_profiles(long, members, workspace), digits=6)
+    table = profile.profile_table(profile.fold_profiles(long, members), digits=6)
     assert profiles(table) == {
         "a": ("a,b,c", "AGE_1 -> 3.8,OLD -> 0.9"),
         "z": ("z", "AGE_2 -> 1.0"),
@@ -87,43 +88,63 @@ def test_resolving_in_two_steps_gives_the_same(spark, lookups, workspace):
     past = stored(spark, ("i3", "i3,x", "AGE_0 -> 1.0"), ("x", "x,m9", "AGE_1 -> 1.0"))
     at_once = plan.user_profile_long(today, lookups, workspace, past, rules=[tags.age_rule])[0]
 
-    first, ids = plan.user_profile_long(today, lookups, workspace, rules=[tags.age_rule])
-    carried = profile.profile_table(profile.fold_profiles(first, ids, workspace))
-    resolved = history.history_records(carried)
-    older = history.history_records(past)
-    users = resolve_users(resolved.unionByName(older).select("userid", "ids"), workspace)
-    weights = plan.history_tags(resolved, 1.0).unionByName(plan.history_tags(older))
-    in_steps = profile.merge_user_tags(users.relabel(weights))
+    first = plan.History(*plan.user_profile_long(today, lookups, workspace, rules=[tags.age_rule]))
+    nothing = log_rows(spark, {})
+    older = plan.History(history.decay_tags(past.tags), past.ids)
+    both = plan.History(first.tags.unionByName(older.tags), first.ids.unionByName(older.ids))
+    in_steps = plan.user_profile_long(nothing, lookups, workspace, both, factor=1.0)[0]
     rounded = lambda df: rows(df.select("userid", "tag", F.round("weight", 6)))
     assert rounded(at_once) == rounded(in_steps)
 
 
-def test_large_profiles_are_stored_in_parts_and_come_back_whole(spark, lookups, workspace):
-    weights = spark.range(500).select(
-        F.when(F.col("id") < 400, "big").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("userid"),
-        F.concat(F.lit("T"), F.col("id") % 250).alias("tag"),
-        F.lit(1.0).alias("weight"),
-    )
-    weights = profile.merge_user_tags(weights)
-    members = weights.select("userid", F.col("userid").alias("id")).distinct().unionByName(
-        spark.range(300).select(F.lit("big").alias("userid"), F.concat(F.lit("cig"), F.col("id")).alias("id"))
-    )
-    folded = profile.fold_profiles(weights, members, workspace, row_entries=40)
-    sizes = folded.select("userid", "part", F.size("ids").alias("i"), F.size("entries").alias("e")).collect()
-    big = [r for r in sizes if r.userid == "big"]
-    assert len(big) > 4 and max(max(r.i, r.e) for r in big) < 120
-    assert all(r.part == 0 for r in sizes if r.userid != "big") and len(sizes) == len(big) + 100
+def test_texts_that_cannot_hold_a_profile_are_told(spark):
+    given = [("plain", ["plain", "b"], "APP_x"), ("comma", ["comma"], "APP_Word, Excel"), ("arrow", ["arrow"], "KW_a -> b"), ("id", ["a,1"], "SEX_1")]
+    tags_long = spark.createDataFrame([(u, t, 2.0) for u, _, t in given], "userid string, tag string, weight double")
+    members = spark.createDataFrame([(u, i) for u, ids, _ in given for i in ids], "userid string, id string")
+    folded = profile.fold_profiles(tags_long, members)
+    assert rows(folded.where(profile.reads_back()).select("userid")) == [("plain",)]
+
+
+def test_unreadable_texts_are_not_imported_silently(spark):
+    texts = spark.createDataFrame([("u", "u,v", "A -> 1.0,broken -> x"), (" ", "w", "B -> 1.0")], "userid string, allUserId string, tags string")
+    with pytest.raises(ValueError):
+        history.import_profiles(texts)
+    tags_long, ids = history.import_profiles(texts, allow_bad=True)
+    assert rows(tags_long) == [("u", "A", 1.0)] and rows(ids) == [("u", "u"), ("u", "v")]
+
+
+@pytest.mark.parametrize("limit, min_rows", [(0, 1), (0, 10**6), (2**27, 10**6)])
+def test_profiles_are_the_same_on_every_path(spark, lookups, workspace, limit, min_rows):
+    today = log_rows(spark, *[{"imei": "hot" if n % 3 == 0 else f"i{n}", "mac": f"m{n % 11}", "age": str(n % 4)} for n in range(90)])
+    past = stored(spark, *[("hot", f"hot,x{n}", f"OLD_{n} -> 1.0") for n in range(20)])
+    found, members = plan.user_profile_long(today, lookups, workspace, past, limit=limit, min_rows=min_rows)
+    usual, usual_members = plan.user_profile_long(today, lookups, workspace, past)
+    rounded = lambda df: rows(df.select("userid", "tag", F.round("weight", 6)))
+    assert rounded(found) == rounded(usual) and rows(members) == rows(usual_members)
+
+
+def test_tagging_reads_the_same_columns_on_both_paths(spark, lookups, workspace, tmp_path):
+    log_rows(spark, *[{"imei": f"i{n % 3}", "mac": f"m{n}"} for n in range(60)]).write.parquet(str(tmp_path / "log"))
+    ods = spark.read.parquet(str(tmp_path / "log"))
+
+    def read_columns(limit):
+        users = resolve_users(plan.today_records(ods), workspace, limit, min_rows=1)
+        assert users.small == (limit > 0)
+        found = tags.tag_rows(users.relabel(plan.known_users(ods, ["age", "sex"])), ["userid"], [tags.age_rule, tags.sex_rule])
+        plan_text = found._jdf.queryExecution().executedPlan().toString()
+        (schema,) = [line for line in plan_text.splitlines() if "FileScan parquet" in line and "age#" in line]
+        return schema.split("FileScan parquet [")[1].split("]")[0].count("#")
+
+    assert read_columns(2**27) == read_columns(0) == 7
+
 
-    table = profile.profile_table(folded)
-    records = history.history_records(table)
-    again = profile.merge_user_tags(records.select("userid", F.inline("entries")))
-    assert rows(again) == rows(weights)
-    back = records.select("userid", F.explode("ids").alias("id")).distinct()
-    assert rows(back) == rows(members.distinct())
+def test_a_day_without_identifiers(spark, lookups, workspace):
+    found, members = plan.user_profile_long(log_rows(spark, {"age": "1"}, {"imei": " "}), lookups, workspace)
+    assert found.count() == 0 and members.count() == 0
 
 
-def test_tag_map(spark, workspace):
+def test_tag_map(spark):
     weights = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0)], "userid string, tag string, weight double")
     members = spark.createDataFrame([("a", "a"), ("a", "b")], "userid string, id string")
-    row = profile.with_tag_map(profile.fold_profiles(weights, members, workspace)).first()
+    row = profile.with_tag_map(profile.fold_profiles(weights, members)).first()
     assert (row.ids, row.tags) == (["a", "b"], {"x": 1.0, "y": 2.0})

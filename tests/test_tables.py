@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from adspindle.operators.funnel import REPORT_COLUMNS, ad_funnel
 from adspindle.plans import reports
-from adspindle.plans.daily import DISTRICTS, ODS, TAGS, DayInputs, run_day
+from adspindle.plans.daily import DISTRICTS, ODS, PROFILE_IDS, TABLE_KEYS, TAGS, DayInputs, run_day
 from adspindle.schema import ODS_COLUMNS, ODS_SCHEMA, RAW_COLUMNS
 from adspindle.sources.adlog import read_ad_log
 from adspindle.sources.daily import read_daily, repeated_keys, require_unique, today_keys, write_daily
@@ -107,22 +107,51 @@ def test_bundle_reads_the_log_once(spark):
     assert "partial_sum" in plan or "partial_count" in plan
 
 
-def test_two_days(spark, tmp_path):
-    root, log = str(tmp_path), adlog.raw_log(spark, SF)
+def test_an_empty_rerun_empties_the_day(spark, tmp_path):
+    root, day = str(tmp_path), spark.createDataFrame([("a", 1)], "k string, n int")
+    for keys in ([], ["k"]):
+        write_daily(day, root, "t", "20240101", keys)
+        write_daily(day.where("n > 1"), root, "t", "20240101", keys)
+        assert read_daily(spark, root, "t", "20240101").count() == 0
+        write_daily(day.where("n > 1"), root, "first" + "".join(keys), "20240101", keys)
+        assert read_daily(spark, root, "first" + "".join(keys), "20240101").columns == ["k", "n", "dt"]
 
-    def inputs(day):
-        return DayInputs(
-            log.where(day), adlog.ip_ranges(spark, SF), adlog.replies(spark, SF),
-            adlog.app_dictionary(spark, SF), adlog.devices(spark),
-        )
 
-    run_day(spark, root, "20240115", inputs(F.col("dt") < "20240116"))
-    run_day(spark, root, "20240116", inputs(F.col("dt") >= "20240116"), previous_dt="20240115")
+def day_inputs(spark, log, replies=None):
+    return DayInputs(
+        log, adlog.ip_ranges(spark, SF), replies if replies is not None else adlog.replies(spark, SF),
+        adlog.app_dictionary(spark, SF), adlog.devices(spark),
+    )
+
+
+def test_two_days(spark, tmp_path):
+    root, log = str(tmp_path), adlog.raw_log(spark, SF)
+    run_day(spark, root, "20240115", day_inputs(spark, log.where("dt < '20240116'")))
+    run_day(spark, root, "20240116", day_inputs(spark, log.where("dt >= '20240116'")), previous_dt="20240115")
     first, second = (read_daily(spark, root, TAGS, dt) for dt in ("20240115", "20240116"))
     ods = read_daily(spark, root, ODS, "20240116")
     assert ods.count() == log.where("dt >= '20240116'").count()
     assert not set(ODS_COLUMNS) - set(ods.columns)
-    for name, key in {**reports.FUNNEL_REPORTS, reports.COUNT_REPORT: reports.COUNT_KEY, DISTRICTS: ["geohash"], TAGS: ["userid", "part"]}.items():
-        require_unique(read_daily(spark, root, name, "20240116"), key)
+    assert set(TABLE_KEYS) == {*reports.FUNNEL_REPORTS, reports.COUNT_REPORT, DISTRICTS, TAGS, PROFILE_IDS}
     assert second.count() > 0 and first.count() > 0
+    # No user's weights are lost: the first day's come back decayed, the second's are added.
+    weights = lambda df: df.agg(F.sum("weight")).first()[0]
+    run_day(spark, root + "/alone", "20240116", day_inputs(spark, log.where("dt >= '20240116'")))
+    alone = read_daily(spark, root + "/alone", TAGS, "20240116")
+    assert weights(second) == pytest.approx(0.9 * weights(first) + weights(alone))
 
+
+def test_days_without_replies_or_identifiers(spark, tmp_path):
+    root, log = str(tmp_path), adlog.raw_log(spark, SF)
+    garbage = adlog.replies(spark, SF).withColumn("response", F.lit("garbage"))
+    run_day(spark, root, "20240115", day_inputs(spark, log, garbage))
+    assert read_daily(spark, root, DISTRICTS, "20240115").count() == 0
+    before = read_daily(spark, root, TAGS, "20240115")
+    assert before.count() > 0
+    nobody = log.withColumns({c: F.lit(None).cast("string") for c in ("imei", "mac", "idfa", "openudid", "androidid")})
+    run_day(spark, root, "20240116", day_inputs(spark, nobody), previous_dt="20240115")
+    after = read_daily(spark, root, TAGS, "20240116")
+    assert after.count() == before.count()
+    run_day(spark, root, "20240117", day_inputs(spark, nobody.where("rid < 0")))
+    assert read_daily(spark, root, TAGS, "20240117").count() == 0
+    assert read_daily(spark, root, ODS, "20240117").count() == 0

@@ -14,7 +14,7 @@ from adspindle.operators.identity import first_id, identity_ids
 from adspindle.operators.tags import tag_set
 from adspindle.schema import ODS_COLUMNS, RAW_COLUMNS
 from adspindle.sources.dictionary import SEPARATOR, device_dictionary, read_dictionary
-from adspindle.sources.workspace import Workspace, spread_small
+from adspindle.sources.workspace import Workspace
 
 # The day that separates history from today.
 TODAY = "20240116"
@@ -103,6 +103,22 @@ from (
 ) ranged
 """
 
+# Wide ranges that hold narrow ones, some over many blocks of addresses.
+NESTED_RANGES = f"""
+select 167772160 + (k % 7) * 65536 + cast(floor(k / 7) as bigint) * 97 as ip_start,
+  167772160 + (k % 7) * 65536 + cast(floor(k / 7) as bigint) * 97
+    + case when k % 11 = 0 then 300000 when k % 3 = 0 then 5000 else k % 60 end as ip_end,
+  'n' || {_text('k')} as country, 'net' || {_text('k % 9')} as area,
+  cast(k % 360 as double) - 180 as longitude, cast(k % 180 as double) - 90 as latitude
+from (
+  select s_suppkey as k
+  from supplier
+) numbered
+"""
+
+# A log column that no job reads; a query can number rows in it.
+ROW_COLUMN = "sessionid"
+
 _REPLY_OPEN, _REPLY_CLOSE = '{"regeocode":{"addressComponent":{"businessAreas":', "}}}"
 REPLIES = f"""
 select {_LONGITUDE.format(key='c_custkey')} as longitude, {_LATITUDE.format(key='c_custkey')} as latitude,
@@ -142,11 +158,8 @@ def derived(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFra
     return spark.sql(text.replace(f"from {source}\n", f"from {view}\n"))
 
 
-def ods(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    if spread:
-        events = spread_small(events)
-    return events.selectExpr(*select_list([*EXTRA, *ODS_COLUMNS]))
+def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(*select_list([*EXTRA, *ODS_COLUMNS]))
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +170,10 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, RANGES, "supplier")
 
 
+def nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived(spark, sf_dir, NESTED_RANGES, "supplier")
+
+
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, REPLIES, "customer")
 

@@ -6,7 +6,9 @@ from adspindle.operators.funnel import REPORT_COLUMNS
 from adspindle.plans.reports import FUNNEL_REPORTS
 from adspindle.schema import ODS_COLUMNS, RAW_COLUMNS
 from adspindle.sources.dictionary import DEVICE_CODES
-from workload.adlog import APP_ENTRIES, COUNTRIES, EXTRA, RANGES, REPLIES, TODAY, select_list
+from workload.adlog import (
+    APP_ENTRIES, COUNTRIES, EXTRA, NESTED_RANGES, RANGES, REPLIES, ROW_COLUMN, TODAY, select_list,
+)
 
 ORACLES: dict[str, str] = {}
 
@@ -83,6 +85,13 @@ FROM (SELECT *, {_NUMBER} AS number FROM log) l
 LEFT JOIN ranges r ON l.number BETWEEN r.ip_start AND r.ip_end"""
 _WITH_PLACED = _cte(log=RAW, ranges=RANGES, placed=_PLACED)
 ORACLES["ip_range_join"] = _WITH_PLACED + "SELECT rid, ip, country, area, longitude, latitude FROM placed"
+ORACLES["ip_range_join_shuffled"] = ORACLES["ip_range_join"]
+_FOUND = "CASE WHEN l.ip IS NULL THEN NULL WHEN l.number <= r.ip_end THEN {} ELSE {} END"
+ORACLES["ip_range_join_nested"] = _cte(log=RAW, ranges=NESTED_RANGES) + f"""
+SELECT l.rid, l.ip, {_FOUND.format('r.country', "'未知国家'")} AS country, {_FOUND.format('r.area', "'未知地区'")} AS area,
+  {_FOUND.format('r.longitude', 'NULL')} AS longitude, {_FOUND.format('r.latitude', 'NULL')} AS latitude, way
+FROM (SELECT *, {_NUMBER} AS number FROM log) l
+ASOF LEFT JOIN ranges r ON l.number >= r.ip_start, (VALUES ('broadcast'), ('shuffled')) ways(way)"""
 
 
 def _province(c: str) -> str:
@@ -95,10 +104,21 @@ def _city(c: str) -> str:
     return f"CASE WHEN {kept} LIKE '%省%' THEN split_part({kept}, '省', 2) ELSE {c} END"
 
 
-ORACLES["ip_geo_enrich"] = _WITH_PLACED + f"""
-SELECT ip, appid, imei, {_province('country')} AS provincename, {_city('country')} AS cityname,
-  cast(cast(longitude AS float) AS double) AS longitude, cast(cast(latitude AS float) AS double) AS latitude
-FROM placed"""
+_ENRICHED = {
+    "provincename": _province("country"),
+    "cityname": _city("country"),
+    "longitude": "cast(longitude AS float)",
+    "latitude": "cast(latitude AS float)",
+}
+_SHOWN = {
+    **_ENRICHED,
+    "longitude": "cast(cast(longitude AS float) AS double)",
+    "latitude": "cast(cast(latitude AS float) AS double)",
+    ROW_COLUMN: "cast(rid AS string)",
+}
+ORACLES["ip_geo_enrich"] = _WITH_PLACED + (
+    "SELECT " + ", ".join(f"{_SHOWN.get(c, c)} AS {c}" for c in ODS_COLUMNS) + " FROM placed"
+)
 
 
 def _geohash(lon: str, lat: str) -> str:
@@ -143,6 +163,7 @@ WHERE name <> '' GROUP BY geohash""",
 ORACLES["build_district_dictionary"] = _cte(**_DISTRICT_PARTS) + "SELECT geohash, areas FROM districts"
 ORACLES["geohash_district_join"] = _cte(**_DISTRICT_PARTS) + f"""
 SELECT rid, areas FROM ods LEFT JOIN districts ON {_geohash('longitude', 'latitude')} = geohash"""
+ORACLES["geohash_district_join_shuffled"] = ORACLES["geohash_district_join"]
 
 # Joins
 
@@ -161,6 +182,7 @@ LEFT JOIN devices n ON o.networkmannername = n.key""",
 }
 ORACLES["dictionary_lookup_join"] = _cte(**_LOOKUP_PARTS) + """
 SELECT rid, app_name_found, client_code, isp_code, network_code FROM tagged"""
+ORACLES["dictionary_lookup_join_shuffled"] = ORACLES["dictionary_lookup_join"]
 
 
 def _lines(key: str) -> str:
@@ -177,7 +199,7 @@ ORACLES["broadcast_join"] = """
 SELECT l_suppkey, l_orderkey, l_linenumber, s_name FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey"""
 _over_ods("null_safe_left_join", """
 SELECT o.rid, o.imei, k.last_rid FROM ods o LEFT JOIN
-  (SELECT imei, max(rid) AS last_rid FROM ods WHERE rid % 3 = 0 AND imei <> '' GROUP BY imei) k
+  (SELECT imei, max(rid) AS last_rid FROM ods WHERE imei <> '' GROUP BY imei) k
 ON o.imei = k.imei""")
 
 # Reports
@@ -237,7 +259,7 @@ ORACLES["report_bundle"] = _LABELLED + " UNION ALL ".join(
 ORACLES["salted_two_phase_agg"] = f"SELECT {_HOT} AS key, count(*) AS num FROM lineitem GROUP BY 1"
 ORACLES["hot_key_detect"] = f"SELECT {_HOT} AS key, count(*) AS rows FROM lineitem GROUP BY 1 HAVING count(*) >= 100"
 _over_ods("union_all", """
-SELECT appid, channelid FROM ods UNION ALL SELECT appid, channelid FROM ods WHERE channelid = 'CH3'""")
+SELECT appid, channelid FROM ods UNION ALL SELECT appid, upper(channelid) FROM ods""")
 _over_ods("union_distinct", "SELECT DISTINCT cityname, channelid FROM ods")
 
 # Identity
@@ -264,7 +286,7 @@ def _over_ids(name: str, body: str) -> None:
 _over_ids("identity_ids", "SELECT rid, userid, ids, cast(n AS integer) AS n FROM users")
 _over_ids("identity_edges", "SELECT u, v FROM edges")
 _over_ids("connected_components", "SELECT id, component FROM members")
-for _name in ("component_attach_join", "identity_resolve"):
+for _name in ("component_attach_join", "component_attach_join_shuffled", "identity_resolve"):
     _over_ids(_name, "SELECT rid, userid, component FROM users JOIN members ON userid = id")
 _over_ids("canonical_user_id", "SELECT component, min(id) AS userid FROM members GROUP BY component")
 
@@ -318,19 +340,53 @@ GROUP BY component, tag"""
 
 
 _TEXT_FORM = f"""
-SELECT t.userid, {{extra}}m.ids AS {{ids}}, t.tags FROM
+SELECT t.userid, m.ids AS {{ids}}, t.tags FROM
   (SELECT userid, {_TAG_TEXT} AS tags FROM merged GROUP BY userid) t JOIN
   (SELECT component AS userid, string_agg(id, ',' ORDER BY id) AS ids FROM members GROUP BY component) m
   USING (userid)"""
 ORACLES["merge_user_tags"] = _cte(
     **_ID_PARTS, tagged="SELECT * FROM ods", row_tags=_tags(_SOME_RULES), merged=_merged("1e0")
-) + _TEXT_FORM.format(extra="", ids="ids")
+) + _TEXT_FORM.format(ids="ids")
 _PROFILE_PARTS = {**_LOOKUP_PARTS, **_ID_PARTS, "row_tags": _tags(_EVERY_RULE)}
 ORACLES["user_profile_today"] = _cte(**_PROFILE_PARTS, merged=_merged("1e0")) + """
 SELECT userid, tag, round(weight, 6) AS weight FROM merged"""
 ORACLES["user_profile_with_history"] = _cte(
     **_PROFILE_PARTS, merged=_merged(f"CASE WHEN users.dt < '{TODAY}' THEN 0.9e0 ELSE 1e0 END")
-) + _TEXT_FORM.format(extra="cast(0 AS integer) AS part, ", ids='"allUserId"')
+) + _TEXT_FORM.format(ids='"allUserId"')
+ORACLES["user_profile_with_history_shuffled"] = ORACLES["user_profile_with_history"]
+
+_over_ods("profile_round_trip", """
+SELECT userid, tag, round(count(*) * 0.9e0 * 0.9e0, 6) AS weight, cast(1 AS bigint) AS ids FROM (
+  SELECT CASE WHEN rid % 2 = 0 THEN 'a,1' ELSE 'u -> ' || cast(rid % 10 AS string) END AS userid,
+    CASE WHEN rid % 2 = 0 THEN 'KW_x, y -> ' || cast(rid AS string)
+      ELSE concat_ws(' -> ', 'KW_a', channelid, keywords) END AS tag FROM ods)
+GROUP BY userid, tag""")
+
+# Two days of the daily job: places from the addresses, and each day's own district dictionary.
+_DAY = f"dt < '{TODAY}'"
+_DAY_PARTS = {
+    "log": RAW,
+    "ranges": RANGES,
+    "placed": _PLACED,
+    "ods": "SELECT rid, dt, " + ", ".join(f"{_ENRICHED.get(c, c)} AS {c}" for c in ODS_COLUMNS) + " FROM placed",
+    "replies": REPLIES,
+    "districts": f"""
+SELECT first_day, geohash, string_agg(name, ',' ORDER BY name) AS areas FROM (
+  SELECT DISTINCT o.first_day, {_geohash('r.longitude', 'r.latitude')} AS geohash,
+    unnest(string_split({_AREAS.replace('response', 'r.response')}, ',')) AS name
+  FROM replies r JOIN (SELECT DISTINCT {_DAY} AS first_day, longitude, latitude FROM ods) o
+    ON r.longitude = o.longitude AND r.latitude = o.latitude)
+WHERE name <> '' GROUP BY first_day, geohash""",
+    "apps": APP_ENTRIES,
+    "devices": DEVICES,
+    "tagged": _LOOKUP_PARTS["tagged"].replace("= d.geohash", f"= d.geohash AND d.first_day = ({_DAY})"),
+}
+ORACLES["run_day_twice"] = _cte(
+    **_DAY_PARTS,
+    **{k: v for k, v in _ID_PARTS.items() if k != "ods"},
+    row_tags=_tags(_EVERY_RULE),
+    merged=_merged(f"CASE WHEN users.{_DAY} THEN 0.9e0 ELSE 1e0 END"),
+) + "SELECT userid, tag, round(weight, 6) AS weight FROM merged"
 
 # History
 
@@ -370,7 +426,7 @@ SELECT rid, round(cast(adcreativeid AS double) / nullif(requestmode - 2, 0), 6)
 
 # Skew tools and SQL names
 
-ORACLES["partition_profile"] = "SELECT cast(4 AS bigint) AS partitions, count(*) AS rows FROM lineitem"
+ORACLES["partition_profile"] = "SELECT count(*) AS all_rows, true AS sound FROM lineitem"
 ORACLES["replicate_rows"] = """
 SELECT c_custkey, cast(i AS string) || '#' || c_mktsegment AS key FROM customer, range(10) r(i)"""
 _over_ods("sql_functions", f"""

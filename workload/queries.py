@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adspindle.functions import place, salting, text
 from adspindle.functions.registry import register_functions
 from adspindle.operators import aggregates, filters, history, identity, joins, places, profile, tags
+from adspindle.plans import daily
 from adspindle.plans import profile as profile_plan
 from adspindle.plans import reports
 from adspindle.plans.ingest import enrich_log
@@ -20,6 +21,7 @@ from workload import adlog
 from workload.adlog import TODAY, table
 
 Query = Callable[[SparkSession, str], DataFrame]
+ROW_COLUMN = adlog.ROW_COLUMN
 QUERIES: dict[str, Query] = {}
 
 
@@ -67,7 +69,15 @@ def scan_daily_table(spark, sf):
 @query
 def write_daily_keyed(spark, sf):
     root = _stored_counts(spark, sf, 3)
+    # Run again with nothing, and then as it should be: both replace what was there.
     again = reports.report_province_city(adlog.ods(spark, sf).where(F.col("dt") >= TODAY))
+    write_daily(again.where("number < 0"), root, reports.COUNT_REPORT, TODAY, reports.COUNT_KEY, 3)
+    write_daily(again.where("number < 0"), root, reports.COUNT_REPORT, "20240117", reports.COUNT_KEY)
+    empty = read_daily(spark, root, reports.COUNT_REPORT, TODAY).unionByName(
+        read_daily(spark, root, reports.COUNT_REPORT, "20240117")
+    )
+    if not empty.isEmpty():
+        raise ValueError("an empty rerun left rows of the day behind")
     write_daily(again, root, reports.COUNT_REPORT, TODAY, reports.COUNT_KEY, 3)
     return read_daily(spark, root, reports.COUNT_REPORT, "20240115").unionByName(
         read_daily(spark, root, reports.COUNT_REPORT, TODAY)
@@ -149,32 +159,59 @@ def ip_range_join(spark, sf):
     return places.ip_range_join(log, adlog.ip_ranges(spark, sf))
 
 
+@query
+def ip_range_join_shuffled(spark, sf):
+    """The same beyond the size limit, with addresses spread that are hot even here."""
+    log = adlog.raw_log(spark, sf).select("rid", "ip")
+    return places.ip_range_join(log, adlog.ip_ranges(spark, sf), limit=0, min_rows=10)
+
+
+@query
+def ip_range_join_nested(spark, sf):
+    """Wide ranges around narrow ones: the nearest start decides, across all blocks."""
+    log, ranges = adlog.raw_log(spark, sf).select("rid", "ip"), adlog.nested_ranges(spark, sf)
+    near = places.ip_range_join(log, ranges).withColumn("way", F.lit("broadcast"))
+    return near.unionByName(places.ip_range_join(log, ranges, limit=0).withColumn("way", F.lit("shuffled")))
+
+
 @query
 def ip_geo_enrich(spark, sf):
-    enriched = enrich_log(adlog.raw_log(spark, sf), adlog.ip_ranges(spark, sf))
-    shown = enriched.select(
-        "ip", "appid", "imei", "provincename", "cityname",
-        F.col("longitude").cast("double"), F.col("latitude").cast("double"),
-    )
-    return shown
+    # The row number travels in a column of the log that nothing else reads.
+    log = adlog.raw_log(spark, sf).withColumn(ROW_COLUMN, F.col("rid").cast("string"))
+    enriched = enrich_log(log, adlog.ip_ranges(spark, sf))
+    return enriched.withColumns({c: F.col(c).cast("double") for c in ("longitude", "latitude")})
 
 
 def _districts(spark, sf) -> DataFrame:
     return places.build_district_dictionary(adlog.ods(spark, sf), adlog.replies(spark, sf))
 
 
-@query
-def geohash_district_join(spark, sf):
-    joined = places.geohash_district_join(adlog.ods(spark, sf), _districts(spark, sf))
-    return joined.select("rid", "areas")
+def _district_query(**options) -> Query:
+    def run(spark, sf):
+        districts, size = joins.measured(_districts(spark, sf), Workspace(spark, "districts"), "districts")
+        limit = options.get("limit", joins.BROADCAST_BYTES)
+        log = adlog.ods(spark, sf)
+        return places.geohash_district_join(log, districts, small=size <= limit, **options).select("rid", "areas")
 
+    return run
 
-@query
-def dictionary_lookup_join(spark, sf):
-    found = tags.with_dictionary_values(
-        adlog.ods(spark, sf), adlog.app_dictionary(spark, sf), adlog.devices(spark)
-    )
-    return found.select("rid", tags.APP_NAME, tags.CLIENT_CODE, tags.ISP_CODE, tags.NETWORK_CODE)
+
+def _dictionary_query(**options) -> Query:
+    def run(spark, sf):
+        apps, size = joins.measured(adlog.app_dictionary(spark, sf), Workspace(spark, "apps"), "apps")
+        small = size <= options.get("limit", joins.BROADCAST_BYTES)
+        found = tags.with_dictionary_values(adlog.ods(spark, sf), apps, adlog.devices(spark), small_apps=small, **options)
+        return found.select("rid", tags.APP_NAME, tags.CLIENT_CODE, tags.ISP_CODE, tags.NETWORK_CODE)
+
+    return run
+
+
+# Beyond the size limit the same joins shuffle, with keys spread that are hot even in a small table.
+SHUFFLED = {"limit": 0, "min_rows": 10}
+QUERIES["geohash_district_join"] = _district_query()
+QUERIES["geohash_district_join_shuffled"] = _district_query(**SHUFFLED)
+QUERIES["dictionary_lookup_join"] = _dictionary_query()
+QUERIES["dictionary_lookup_join_shuffled"] = _dictionary_query(**SHUFFLED)
 
 
 def _orders(spark, sf) -> DataFrame:
@@ -202,9 +239,7 @@ def left_join_plain(spark, sf):
 @query
 def null_safe_left_join(spark, sf):
     log = adlog.ods(spark, sf).select("rid", "imei")
-    known = (
-        log.where("rid % 3 = 0").groupBy("imei").agg(F.max("rid").alias("last_rid"))
-    )
+    known = log.groupBy("imei").agg(F.max("rid").alias("last_rid"))
     return joins.null_safe_left_join(log, known, "imei", blank_is_null=True)
 
 
@@ -228,7 +263,7 @@ def skew_join_full_salt(spark, sf):
 
 
 def _user_ids(spark, sf) -> DataFrame:
-    log = adlog.ods(spark, sf, spread=True)
+    log = adlog.ods(spark, sf)
     picked = log.select(
         "rid", identity.first_id().alias("userid"), identity.identity_ids().alias("ids")
     )
@@ -249,6 +284,12 @@ def component_attach_join(spark, sf):
     return identity.component_attach_join(records.drop("ids"), members)
 
 
+@query
+def component_attach_join_shuffled(spark, sf):
+    records, members = _all_components(spark, sf)
+    return identity.component_attach_join(records.drop("ids"), members, **SHUFFLED)
+
+
 # Aggregations
 
 
@@ -298,7 +339,7 @@ def hot_key_detect(spark, sf):
 @query
 def union_all(spark, sf):
     log = adlog.ods(spark, sf).select("appid", "channelid")
-    return aggregates.union_all(log, log.where("channelid = 'CH3'"))
+    return aggregates.union_all(log, log.withColumn("channelid", F.upper("channelid")))
 
 
 @query
@@ -347,10 +388,8 @@ def canonical_user_id(spark, sf):
 
 
 def _lookups(spark, sf) -> profile_plan.Lookups:
-    work = Workspace(spark, "lookups")
-    districts, _ = work.save(_districts(spark, sf), "districts")
-    apps, _ = work.save(adlog.app_dictionary(spark, sf), "apps")
-    return profile_plan.Lookups(apps, adlog.devices(spark), districts)
+    lookups = profile_plan.Lookups(adlog.app_dictionary(spark, sf), adlog.devices(spark), _districts(spark, sf))
+    return lookups.stored(Workspace(spark, "lookups"))
 
 
 def _tag_query(rules: list[tags.Rule], prepare: Callable[[SparkSession, str, DataFrame], DataFrame]) -> Query:
@@ -388,16 +427,16 @@ QUERIES["tag_business_area"] = _tag_query([tags.business_area_rule], _with_areas
 
 @query
 def tag_all(spark, sf):
-    return tags.tag_rows(profile_plan.tagged_log(adlog.ods(spark, sf, spread=True), _lookups(spark, sf)), ["rid"])
+    return tags.tag_rows(profile_plan.tagged_log(adlog.ods(spark, sf), _lookups(spark, sf)), ["rid"])
 
 
 @query
 def merge_user_tags(spark, sf):
-    log, work = adlog.ods(spark, sf, spread=True), Workspace(spark, "merge")
+    log, work = adlog.ods(spark, sf), Workspace(spark, "merge")
     rules = [tags.channel_rule, tags.keyword_rule, tags.age_rule, tags.sex_rule]
     users = identity.resolve_users(profile_plan.today_records(log), work)
     rows = tags.tag_rows(users.relabel(profile_plan.known_users(log)), ["userid"], rules)
-    folded = profile.fold_profiles(profile.merge_user_tags(rows), users.members, work)
+    folded = profile.fold_profiles(profile.merge_user_tags(rows), users.members)
     return profile.with_tag_map(folded).select(
         "userid",
         history.format_ids(F.col("ids")).alias("ids"),
@@ -407,7 +446,7 @@ def merge_user_tags(spark, sf):
 
 @query
 def user_profile_today(spark, sf):
-    log = adlog.ods(spark, sf, spread=True)
+    log = adlog.ods(spark, sf)
     merged, _ = profile_plan.user_profile_long(log, _lookups(spark, sf), Workspace(spark, "today"))
     return rounded(merged, "weight")
 
@@ -415,10 +454,11 @@ def user_profile_today(spark, sf):
 # History
 
 
-def _two_days(spark, sf) -> tuple[DataFrame, DataFrame, profile_plan.Lookups]:
-    log, lookups = adlog.ods(spark, sf, spread=True), _lookups(spark, sf)
-    past = adlog.history(profile_plan.tagged_log(log.where(F.col("dt") < TODAY), lookups))
-    return log.where(F.col("dt") >= TODAY), past, lookups
+def _two_days(spark, sf) -> tuple[DataFrame, profile_plan.History, profile_plan.Lookups]:
+    """Today's log, and a history of one stored profile per row of the days before."""
+    log, lookups, work = adlog.ods(spark, sf), _lookups(spark, sf), Workspace(spark, "history")
+    texts, _ = work.save(adlog.history(profile_plan.tagged_log(log.where(F.col("dt") < TODAY), lookups)), "texts")
+    return log.where(F.col("dt") >= TODAY), profile_plan.History(*history.import_profiles(texts)), lookups
 
 
 def _tag_text() -> Column:
@@ -462,12 +502,63 @@ def decay_tags(spark, sf):
     return rounded(history.decay_tags(rows), "weight")
 
 
+def _profile_texts(spark, sf, **options) -> DataFrame:
+    today, past, lookups = _two_days(spark, sf)
+    tags_long, members = profile_plan.user_profile_long(
+        today, lookups, Workspace(spark, "profile"), past, **options
+    )
+    return profile.profile_table(profile.fold_profiles(tags_long, members), digits=6)
+
+
 @query
 def user_profile_with_history(spark, sf):
-    today, past, lookups = _two_days(spark, sf)
-    work = Workspace(spark, "profile")
-    table_form = profile_plan.user_profile(today, lookups, work, past, digits=6)
-    return table_form.select("userid", "part", "allUserId", "tags")
+    return _profile_texts(spark, sf)
+
+
+@query
+def user_profile_with_history_shuffled(spark, sf):
+    return _profile_texts(spark, sf, **SHUFFLED)
+
+
+@query
+def profile_round_trip(spark, sf):
+    """Three days of storing and reading back profiles whose tags and identifiers hold commas and arrows.
+
+    One user has a tag for each row of the log.
+    """
+    root = Workspace(spark, "round-trip").path
+    log = adlog.ods(spark, sf).select("rid", "keywords", "channelid")
+    tagged = log.select(
+        F.when(F.col("rid") % 2 == 0, "a,1").otherwise(F.concat(F.lit("u -> "), F.col("rid") % 10)).alias("userid"),
+        F.when(F.col("rid") % 2 == 0, F.concat(F.lit("KW_x, y -> "), "rid"))
+        .otherwise(F.concat_ws(" -> ", F.lit("KW_a"), "channelid", "keywords"))
+        .alias("tag"),
+        F.lit(1.0).alias("weight"),
+    )
+    members = tagged.select("userid", F.col("userid").alias("id")).distinct()
+    write_daily(profile.merge_user_tags(tagged), root, daily.TAGS, "20240114", daily.TABLE_KEYS[daily.TAGS])
+    write_daily(members, root, daily.PROFILE_IDS, "20240114", daily.TABLE_KEYS[daily.PROFILE_IDS])
+    nothing, lookups = adlog.ods(spark, sf).where("rid < 0"), _lookups(spark, sf)
+    for before, dt in (("20240114", "20240115"), ("20240115", "20240116")):
+        past = daily.stored_profiles(spark, root, before)
+        found, ids = profile_plan.user_profile_long(nothing, lookups, Workspace(spark, "day"), past)
+        write_daily(found, root, daily.TAGS, dt, daily.TABLE_KEYS[daily.TAGS])
+        write_daily(ids, root, daily.PROFILE_IDS, dt, daily.TABLE_KEYS[daily.PROFILE_IDS])
+    last = daily.stored_profiles(spark, root, "20240116")
+    listed = last.ids.groupBy("userid").agg(F.count(F.lit(1)).alias("ids"))
+    return rounded(last.tags.join(listed, "userid").select("userid", "tag", "weight", "ids"), "weight")
+
+
+@query
+def run_day_twice(spark, sf):
+    """The daily job over two days, the second carrying the first one's profiles over."""
+    root, log = Workspace(spark, "days").path, adlog.raw_log(spark, sf)
+    shared = (
+        adlog.ip_ranges(spark, sf), adlog.replies(spark, sf), adlog.app_dictionary(spark, sf), adlog.devices(spark)
+    )
+    daily.run_day(spark, root, "20240115", daily.DayInputs(log.where(F.col("dt") < TODAY), *shared))
+    daily.run_day(spark, root, TODAY, daily.DayInputs(log.where(F.col("dt") >= TODAY), *shared), "20240115")
+    return rounded(read_daily(spark, root, daily.TAGS, TODAY).drop("dt"), "weight")
 
 
 # Scalar functions
@@ -572,10 +663,13 @@ def build_district_dictionary(spark, sf):
 
 @query
 def partition_profile(spark, sf):
-    lines = _lines(spark, sf).repartition(4)
-    return aggregates.partition_profile(lines).agg(
-        F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows")
-    )
+    """One row per partition of the scan; told by what must hold, since the layout is the engine's."""
+    profiled = aggregates.partition_profile(_lines(spark, sf))
+    total = F.sum("rows").over(Window.partitionBy())
+    # A scan has few partitions; each is named once and has rows.
+    named = F.row_number().over(Window.partitionBy("partition").orderBy("rows")) == 1
+    checked = profiled.select(total.alias("all_rows"), (named & (F.col("rows") > 0)).alias("sound"))
+    return checked.distinct()
 
 
 @query

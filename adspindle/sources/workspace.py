@@ -7,6 +7,8 @@ executor never loses a round of work.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,13 +17,19 @@ from pyspark.sql import functions as F
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; a private one only for local, unconfigured sessions."""
+    """The shared folder named by the session.
+
+    A local session that names none gets a private folder, which goes when the process ends.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="adspindle-"))
+    private = tempfile.mkdtemp(prefix="adspindle-")
+    atexit.register(shutil.rmtree, private, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(private)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 

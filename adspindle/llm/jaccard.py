@@ -1,4 +1,4 @@
-"""Near copies: all pairs of texts whose sets of word shingles have a Jaccard similarity of 0.9 or more.
+"""Near copies: all pairs of texts whose sets of word shingles have a Jaccard similarity of some percent or more.
 
 Equal sets are one class. Which classes can be similar is settled by signatures, exactly: the shingle
 space is dealt into more buckets than two similar sets can differ in shingles, so similar sets agree
@@ -18,16 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.llm.text import WORD, mix, shingles_of, slices, words_of
+from adspindle.llm.text import mix, shingles_of, slices, words_of
 from adspindle.operators.identity import connected_components
 from adspindle.sources.workspace import Workspace
 
-SHINGLE = 3
-PERCENT = 90
+# By default near copies are texts whose sets of five-word shingles are similar by 0.8 or more.
+SHINGLE, PERCENT = 5, 80
 # Bands of set sizes; similar sets lie in one band or in neighbouring ones.
 BAND = 1.25
 # A block with more shingles than this is searched in cells of half this size, pair by pair.
-BLOCK_SHINGLES = 4_000_000
+BLOCK_SHINGLES = 2_000_000
 # DivideSkip's weight of a binary probe against a step of the merge.
 PROBE_WEIGHT = 0.0085
 
@@ -52,10 +52,10 @@ def needed(a: int, b: int, percent: int = PERCENT) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def sets_of(texts: pa.Array) -> Iterator[np.ndarray]:
+def sets_of(texts: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
     """Each text's set of shingles as sorted 64-bit numbers."""
     for _, offsets, data in slices(texts):
-        numbers, first = shingles_of(words_of(offsets, data), SHINGLE)
+        numbers, first = shingles_of(words_of(offsets, data), size)
         for a, b in zip(first[:-1], first[1:]):
             yield np.unique(numbers[a:b])
 
@@ -66,21 +66,21 @@ def class_of(numbers: np.ndarray) -> int:
     return int((mix(total) >> np.uint64(1))[0])
 
 
-def signatures(numbers: np.ndarray) -> np.ndarray:
-    """A set's signatures, one per bucket of its band, and of the next lower band if a partner can lie there.
+def signatures(numbers: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """A set's signatures, one per bucket of its band and of each higher band that can hold a larger partner.
 
-    A band is that of the larger set of a pair. Buckets left empty have a signature as well: two sets
+    The band of a pair is that of its larger set. Buckets left empty have a signature as well: two sets
     may agree on nothing else.
     """
     n = len(numbers)
     band = int(np.searchsorted(BAND_EDGES, n, side="right")) - 1
-    # The larger partner of this set can lie in the next band.
-    bands = [band] + ([band + 1] if 100 * n >= PERCENT * BAND_EDGES[band + 1] else [])
+    last = int(np.searchsorted(BAND_EDGES, 100 * n // percent, side="right")) - 1
+    bands = range(band, last + 1)
     spread = mix(numbers ^ np.uint64(0x2545F491)) >> np.uint64(32)
     content = mix(numbers ^ np.uint64(0x9E3779B9))
     found = []
     for b in bands:
-        buckets = most_different(int(BAND_EDGES[b + 1]) - 1) + 1
+        buckets = most_different(int(BAND_EDGES[b + 1]) - 1, percent) + 1
         if buckets == 1:
             continue  # only equal sets are linked
         sums = np.zeros(buckets, dtype=np.uint64)
@@ -90,14 +90,14 @@ def signatures(numbers: np.ndarray) -> np.ndarray:
     return (np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)).view(np.int64)
 
 
-def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classify(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, names, signs = [], [], []
-        for numbers in sets_of(batch.column("__text")):
+        for numbers in sets_of(batch.column("__text"), size):
             sizes.append(len(numbers))
             names.append(class_of(numbers) if len(numbers) else None)
-            signs.append(signatures(numbers).tobytes() if len(numbers) else None)
-        made = {"doc_id": batch.column("doc_id"), "key": batch.column("key"), "n_shingles": pa.array(sizes, pa.int64())}
+            signs.append(signatures(numbers, percent).tobytes() if len(numbers) else None)
+        made = {c: batch.column(c) for c in ("doc_id", "key", "place")} | {"n_shingles": pa.array(sizes, pa.int64())}
         made |= {"class": pa.array(names, pa.int64()), "signatures": pa.array(signs, pa.binary())}
         yield pa.RecordBatch.from_pydict(made)
 
@@ -234,7 +234,7 @@ def _merge_skip(lists: list[list[int]], threshold: int) -> Iterator[tuple[int, i
                 heapq.heappush(heap, (lists[i][at], i, at))
 
 
-def _search(names: list[int], sets: list[np.ndarray], sides: np.ndarray, across: bool) -> dict[str, list]:
+def _search(names: list[int], sets: list[np.ndarray], sides: np.ndarray, across: bool, percent: int) -> dict[str, list]:
     """Of each member: how many linked partners, and the first member of its group here."""
     root = list(range(len(sets)))
 
@@ -245,7 +245,7 @@ def _search(names: list[int], sets: list[np.ndarray], sides: np.ndarray, across:
         return i
 
     links = [0] * len(sets)
-    index = BlockSearch(sets)
+    index = BlockSearch(sets, percent)
     for x in range(len(sets)):
         for y in index.partners(x, sides != sides[x] if across else None):
             links[x] += 1
@@ -255,14 +255,14 @@ def _search(names: list[int], sets: list[np.ndarray], sides: np.ndarray, across:
     return {"class": names, "links": links, "root": [names[top(i)] for i in range(len(sets))]}
 
 
-def _search_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _search_tasks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Searches block after block; rows come sorted by task, set size and class."""
     task, names, sets, sides = None, [], [], []
 
     def done() -> Iterator[pa.RecordBatch]:
         if len(names) > 1:
             side = np.array(sides)
-            found = _search(names, sets, side, bool(side.min() != side.max()) or task.endswith("x"))
+            found = _search(names, sets, side, task.endswith("x"), percent)
             if any(found["links"]):
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in found.items()})
 
@@ -278,63 +278,63 @@ def _search_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from done()
 
 
-def _wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _wanted_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The set of each class, once per partition however often its row is repeated."""
     seen = set()
     for batch in batches:
         wanted = batch.column("class").to_pylist()
         keep, raw = [], []
-        for i, numbers in enumerate(sets_of(batch.column("__text"))):
+        for i, numbers in enumerate(sets_of(batch.column("__text"), size)):
             if wanted[i] not in seen:
                 seen.add(wanted[i])
                 keep.append(i)
                 raw.append(numbers.tobytes())
-        made = {"class": batch.column("class").take(pa.array(keep, pa.int64())), "set": pa.array(raw, pa.binary())}
-        yield pa.RecordBatch.from_pydict(made)
+        kept = batch.take(pa.array(keep, pa.int64()))
+        names = ["class", "n_shingles", "tasks"]
+        yield pa.RecordBatch.from_arrays([*[kept.column(n) for n in names], pa.array(raw, pa.binary())], names=[*names, "set"])
+
 
+TASKS = "array<struct<task: string, side: int>>"
 
-def _tasks(blocks: DataFrame) -> DataFrame:
-    """``class, task, side``: a block is one task, or if it is too large, all pairs of its cells of near sizes.
+
+def _tasks(blocks: DataFrame, percent: int) -> DataFrame:
+    """``blocks`` with ``tasks``: a block is one task, or if it is too large, all pairs of its cells of near sizes.
 
     Cells are bands of set sizes, so wide that partners lie in the same or the next one, and are dealt
-    further by the class. Every pair of classes that can be linked meets in exactly one task.
+    further by the class. Every pair of classes that can be linked meets in exactly one task; a task
+    whose name ends with x compares its two sides only with each other.
     """
+    columns = blocks.columns
     sums = blocks.groupBy(F.col("block").alias("b")).agg(F.sum("n_shingles").alias("all"))
     large = F.col("all") > BLOCK_SHINGLES
     known = blocks.join(sums, F.col("block") == F.col("b")).drop("b")
-    small = known.where(~large).select("class", F.concat(F.lit("b"), F.col("block")).alias("task"), F.lit(0).alias("side"))
-    band = F.floor(F.log(F.col("n_shingles")) / float(np.log(100 / PERCENT) * 1.0001)).cast("int")
-    rows = known.where(large).select("class", "block", "n_shingles", band.alias("band"))
+    one = F.array(F.struct(F.concat(F.lit("b"), F.col("block")).alias("task"), F.lit(0).alias("side")))
+    small = known.where(~large).select(*columns, one.alias("tasks"))
+    band = F.floor(F.log(F.col("n_shingles")) / float(np.log(100 / percent) * 1.0001)).cast("int")
+    rows = known.where(large).withColumn("band", band)
     cells = rows.groupBy("block", "band").agg(F.ceil(F.sum("n_shingles") / (BLOCK_SHINGLES / 2)).cast("int").alias("cells"))
     next_cells = cells.select("block", (F.col("band") - 1).alias("band"), F.col("cells").alias("above"))
     last_cells = cells.select("block", (F.col("band") + 1).alias("band"), F.col("cells").alias("below"))
-    rows = rows.join(cells, ["block", "band"]).join(next_cells, ["block", "band"], "left").join(last_cells, ["block", "band"], "left")
-    own = F.pmod(F.xxhash64("class"), F.col("cells")).cast("int")
-    rows = rows.withColumn("own", own)
+    for more, how in ((cells, "inner"), (next_cells, "left"), (last_cells, "left")):
+        rows = rows.join(more, ["block", "band"], how)
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("class"), F.col("cells")).cast("int"))
+    here, mine = F.col("band"), F.col("mine")
 
-    def name(low_band, low, high_band, high):
-        return F.concat_ws("-", F.lit("c"), F.col("block"), low_band, low, high_band, high, F.lit("x"))
+    def across(low_band: Column, low: Column, high_band: Column, high: Column, side: Column) -> Column:
+        name = F.concat_ws("-", F.lit("c"), F.col("block"), low_band, low, high_band, high, F.lit("x"))
+        return F.struct(name.alias("task"), side.cast("int").alias("side"))
 
-    def upto(count):
+    def upto(count: Column) -> Column:
         return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
-    here, mine = F.col("band"), F.col("own")
+    alone = F.array(F.struct(F.concat_ws("-", F.lit("c"), F.col("block"), here, mine).alias("task"), F.lit(0).alias("side")))
     same = F.transform(
-        upto(F.col("cells")),
-        lambda j: F.struct(
-            F.when(j == mine, F.concat_ws("-", F.lit("c"), F.col("block"), here, mine)).otherwise(
-                name(here, F.least(mine, j), here, F.greatest(mine, j))
-            ).alias("task"),
-            F.when(j < mine, 1).otherwise(0).alias("side"),
-        ),
-    )
-    above = F.transform(
-        upto(F.coalesce("above", F.lit(0))), lambda j: F.struct(name(here, mine, here + 1, j).alias("task"), F.lit(0).alias("side"))
+        F.filter(upto(F.col("cells")), lambda j: j != mine),
+        lambda j: across(here, F.least(mine, j), here, F.greatest(mine, j), (j < mine)),
     )
-    below = F.transform(
-        upto(F.coalesce("below", F.lit(0))), lambda j: F.struct(name(here - 1, j, here, mine).alias("task"), F.lit(1).alias("side"))
-    )
-    split = rows.select("class", F.explode(F.concat(same, above, below)).alias("t")).select("class", "t.task", "t.side")
+    above = F.transform(upto(F.coalesce("above", F.lit(0))), lambda j: across(here, mine, here + 1, j, F.lit(0)))
+    below = F.transform(upto(F.coalesce("below", F.lit(0))), lambda j: across(here - 1, j, here, mine, F.lit(1)))
+    split = rows.select(*columns, F.concat(alone, same, above, below).alias("tasks"))
     return small.unionByName(split)
 
 
@@ -346,18 +346,19 @@ def _all_vertices(components: DataFrame, name: str) -> DataFrame:
 
 def _first() -> Column:
     """The row of a group that stands for it: the smallest doc_id, rows without one last."""
-    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "place"))
 
 
-def _grouped(docs: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
-    """All rows ``doc_id, key, n_shingles, class``, and ``class, first, links`` of every class.
+def _grouped(docs: DataFrame, workspace: Workspace, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All rows ``doc_id, key, place, n_shingles, class``, and ``class, first, links`` of every class.
 
     ``first`` is the row that stands for the class's component.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    narrow = docs.select("doc_id", _key().alias("key"), F.col("text").alias("__text"))
-    schema = f"doc_id {kind}, key bigint, n_shingles bigint, class bigint, signatures binary"
-    rows, _ = workspace.save(narrow.mapInArrow(_classify, schema), "classes")
+    place = F.monotonically_increasing_id().alias("place")
+    narrow = docs.select("doc_id", F.xxhash64("text").alias("key"), place, F.col("text").alias("__text"))
+    schema = f"doc_id {kind}, key bigint, place bigint, n_shingles bigint, class bigint, signatures binary"
+    rows, _ = workspace.save(narrow.mapInArrow(lambda b: _classify(b, size, percent), schema), "classes")
     full = rows.where("class IS NOT NULL")
     one = full.select("class", "signatures").where("octet_length(signatures) > 0").dropDuplicates(["class"])
     postings = one.mapInArrow(_postings, "signature bigint, class bigint, leader bigint")
@@ -366,13 +367,16 @@ def _grouped(docs: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFram
     blocks = _all_vertices(connected_components(edges, workspace, name="blocks"), "block")
     firsts = full.groupBy("class").agg(_first().alias("own"), F.max("n_shingles").alias("n_shingles"))
     firsts, _ = workspace.save(firsts, "firsts")
-    members, _ = workspace.save(blocks.join(firsts, "class"), "members")
-    wanted = members.select("class", F.col("own.doc_id").alias("__id"), F.col("own.key").alias("__key"))
+    members, _ = workspace.save(_tasks(blocks.join(firsts, "class"), percent), "members")
+    # Members grow with the table, so they are not sent to every task, whatever their number.
+    wanted = members.select("class", "n_shingles", "tasks", F.col("own.doc_id").alias("__id"), F.col("own.key").alias("__key"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
-    sets = narrow.join(wanted, same).select("class", "__text").mapInArrow(_wanted_sets, "class bigint, set binary")
-    work = sets.join(_tasks(members), "class").join(members.select("class", "n_shingles"), "class")
-    work = work.repartition("task").sortWithinPartitions("task", "n_shingles", "class").select("task", "class", "side", "set")
-    found, _ = workspace.save(work.mapInArrow(_search_tasks, "class bigint, links bigint, root bigint"), "links")
+    texts = narrow.join(wanted.hint("shuffle_hash"), same).select("class", "n_shingles", "tasks", "__text")
+    sets = texts.mapInArrow(lambda b: _wanted_sets(b, size), f"class bigint, n_shingles bigint, tasks {TASKS}, set binary")
+    work = sets.select("class", "n_shingles", F.explode("tasks").alias("t"), "set").select("t.task", "n_shingles", "class", "t.side", "set")
+    work = work.repartition("task").sortWithinPartitions("task", "n_shingles", "class")
+    found = work.mapInArrow(lambda b: _search_tasks(b, percent), "class bigint, links bigint, root bigint")
+    found, _ = workspace.save(found, "links")
     ties = found.select(F.col("class").alias("u"), F.col("root").alias("v")).where("u <> v").distinct()
     ties, _ = workspace.save(ties, "ties")
     groups = _all_vertices(connected_components(ties, workspace, name="groups"), "group")
@@ -384,15 +388,13 @@ def _grouped(docs: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFram
     return rows.drop("signatures"), classes
 
 
-def _key() -> Column:
-    return F.xxhash64("text")
-
-
-def jaccard_components(docs: DataFrame, workspace: Workspace) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, workspace: Workspace, size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """``doc_id, n_shingles, component_id, links`` of every row of ``docs``.
 
-    Two rows are linked if 100 times the shingles they share is at least 90 times those that either
-    has; shingles are runs of three lower-cased words, or all words of a shorter text. ``component_id``
+    Two rows are linked if 100 times the shingles they share is at least ``percent`` times those that
+    either has; shingles are runs of ``size`` lower-cased words, or all words of a shorter text. ``component_id``
     is the smallest doc_id that links lead to, the row's own included; ``links`` is the number of
     different other sets that the row's set is linked to.
 
@@ -401,7 +403,7 @@ def jaccard_components(docs: DataFrame, workspace: Workspace) -> DataFrame:
     have an empty set, linked with nothing; equal rows are linked. Null doc_ids don't count as
     smallest. An empty table gives no rows. Only ``doc_id`` and ``text`` are read.
     """
-    rows, classes = _grouped(docs, workspace)
+    rows, classes = _grouped(docs, workspace, size, percent)
     known = rows.where("class IS NOT NULL").join(classes, "class")
     alone = rows.where("class IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("links")
@@ -409,15 +411,18 @@ def jaccard_components(docs: DataFrame, workspace: Workspace) -> DataFrame:
     return known.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), "links").unionByName(alone)
 
 
-def keep_representatives(docs: DataFrame, workspace: Workspace) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the one with the smallest doc_id.
+def keep_representatives(
+    docs: DataFrame, workspace: Workspace, size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """The stored table ``docs`` with one row of each group of near copies: the one with the smallest doc_id.
 
-    If that row is repeated it stays once. Rows with an empty set are in no group and stay.
+    If that row is repeated the first one stays, by its place in the table. Rows with an empty set are
+    in no group and stay.
     """
-    rows, classes = _grouped(docs, workspace)
-    first = classes.select(F.col("first.doc_id").alias("__id"), F.col("first.key").alias("__key")).distinct()
-    solid = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))
-    kept = docs.where(solid).withColumn("__text_key", _key()).join(first, same, "left_semi")
-    kept = kept.dropDuplicates(["doc_id", "__text_key"]).drop("__text_key")
-    return kept.unionByName(docs.where(~solid))
+    rows, classes = _grouped(docs, workspace, size, percent)
+    first = classes.select(F.col("first.place").alias("__place"), F.col("first.doc_id").alias("__id")).distinct()
+    alone = rows.where("class IS NULL").select(F.col("place").alias("__place"), F.col("doc_id").alias("__id"))
+    # What stays grows with the table: the narrow side is hashed part by part, the texts are not sorted.
+    staying = first.unionByName(alone).hint("shuffle_hash")
+    same = (F.col("__at") == F.col("__place")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    return docs.withColumn("__at", F.monotonically_increasing_id()).join(staying, same, "left_semi").drop("__at")

@@ -75,7 +75,8 @@ def op6_sharding(spark, sf_dir):
 
 @query
 def op7_ngram_jaccard_join(spark, sf_dir):
-    found = jaccard.jaccard_components(_table(spark, sf_dir, "documents"), Workspace(spark, "op7"))
+    docs = _table(spark, sf_dir, "documents")
+    found = jaccard.jaccard_components(docs, Workspace(spark, "op7"), size=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id")
 
 

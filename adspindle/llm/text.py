@@ -1,4 +1,4 @@
-"""Words of whole texts as 64-bit numbers, a few megabytes of text at a time.
+"""Words of whole texts as 64-bit numbers, about a megabyte of text at a time.
 
 A word is a run of bytes other than the six ASCII white-space characters; A-Z count as a-z. Words
 are hashed by a polynomial over random byte values modulo 2**64, all words of a slice in a few array
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -56,13 +56,18 @@ _powers = _Powers()
 
 
 def raw_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offsets (one more than texts) and bytes of a string array; nulls are empty."""
-    kind = pa.large_binary() if pa.types.is_binary(texts.type) else pa.large_string()
-    texts = texts.cast(kind).fill_null(b"" if pa.types.is_binary(texts.type) else "")
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
+    """Byte offsets (one more than texts) and bytes of a string or binary array; nulls are empty.
+
+    The bytes are those of the array itself, not a copy.
+    """
+    if texts.null_count:
+        texts = texts.fill_null(b"" if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else "")
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    _, bounds, data = texts.buffers()
     if data is None:
         return np.zeros(len(texts) + 1, dtype=np.int64), np.zeros(0, dtype=np.uint8)
+    offsets = np.frombuffer(bounds, dtype=np.int64 if wide else np.int32)
+    offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     return offsets - offsets[0], np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
 
 

@@ -14,14 +14,15 @@ def words(text):
     return re.findall(WORD, text or "")
 
 
-def shingles(text):
+def shingles(text, size):
     w = words(lower(text))
-    return {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
+    runs = {tuple(w[k : k + size]) for k in range(len(w) - size + 1)}
+    return runs or ({tuple(w)} if w else set())
 
 
-def components(rows):
+def components(rows, size=3, percent=90):
     """(doc_id, n_shingles, component_id) of rows (doc_id, text)."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def top(i):
@@ -31,7 +32,7 @@ def components(rows):
 
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = top(i), top(j)
                 root[max(x, y)] = min(x, y)
     groups = collections.defaultdict(list)

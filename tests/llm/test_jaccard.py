@@ -32,13 +32,14 @@ def corpus(seed, n=120):
     return texts
 
 
-def check(df, rows):
-    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect()), key=repr)
-    assert got == sorted(brute.components(rows), key=repr)
+def check(docs, ws, rows, size=3, percent=90):
+    found = jaccard_components(docs, ws, size, percent).collect()
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=repr)
+    assert got == sorted(brute.components(rows, size, percent), key=repr)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_search_finds_all_pairs(seed):
+@pytest.mark.parametrize("seed, percent", [(1, 90), (2, 80), (3, 60)])
+def test_search_finds_all_pairs(seed, percent):
     rng = random.Random(seed)
     for _ in range(60):
         bases = [rng.sample(range(10**6), rng.randint(8, 120)) for _ in range(3)]
@@ -49,41 +50,42 @@ def test_search_finds_all_pairs(seed):
                 members[rng.randrange(len(members))] = rng.randrange(10**6)
             sets.append(np.unique(mix(np.array(members, dtype=np.uint64))))
         sets.sort(key=len)
-        index = BlockSearch(sets)
+        index = BlockSearch(sets, percent)
         for x, a in enumerate(sets):
-            want = [y for y in range(x + 1, len(sets)) if linked(len(np.intersect1d(a, sets[y])), len(a), len(sets[y]))]
+            want = [y for y in range(x + 1, len(sets)) if linked(len(np.intersect1d(a, sets[y])), len(a), len(sets[y]), percent)]
             assert sorted(index.partners(x)) == want
             for y in want:
                 same = class_of(a) == class_of(sets[y])
-                assert same or len(np.intersect1d(signatures(a), signatures(sets[y])))
+                assert same or len(np.intersect1d(signatures(a, percent), signatures(sets[y], percent)))
 
 
-def test_components_match_brute_force(make_docs, ws):
+@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80)])
+def test_components_match_brute_force(make_docs, ws, size, percent):
     rows = list(enumerate(corpus(3)))
-    check(jaccard_components(make_docs(rows), ws), rows)
+    check(make_docs(rows), ws, rows, size, percent)
 
 
 def test_large_blocks_are_searched_in_cells(make_docs, ws, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 300)
     rows = list(enumerate(corpus(4)))
-    check(jaccard_components(make_docs(rows), ws), rows)
+    check(make_docs(rows), ws, rows)
 
 
 def test_odd_rows(make_docs, ws, odd_texts):
     rows = list(enumerate(odd_texts)) + [(3, "a b c"), (None, "q r s t"), (None, "q r s t"), (7, "q r s t"), (None, "z z y")]
-    check(jaccard_components(make_docs(rows), ws), rows)
+    check(make_docs(rows), ws, rows)
 
 
 def test_empty_table(make_docs, ws):
     assert jaccard_components(make_docs([]), ws).count() == 0
 
 
-def test_one_of_each_group_stays(make_docs, ws):
+def test_one_of_each_group_stays(make_docs, ws, tmp_path):
     texts = corpus(5)
     rows = list(enumerate(texts)) + [(0, texts[0]), (None, "lone one here"), (None, None), (500, "  ")]
-    docs = make_docs(rows)
+    docs = make_docs(rows, tmp_path / "docs")
     kept = keep_representatives(docs, ws)
     assert kept.columns == docs.columns
-    want = {d for d, n, c in brute.components(rows) if d == c and n} | {None, 500}
+    want = {d for d, n, c in brute.components(rows, 5, 80) if d == c and n} | {None, 500}
     got = [r["doc_id"] for r in kept.collect()]
     assert set(got) == want and len(got) == len(want) + 1  # two rows without an id

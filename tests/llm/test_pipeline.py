@@ -26,7 +26,7 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in first.collect()} == good
 
     rows = [(r["doc_id"], r["text"]) for r in first.collect()]
-    assert sorted(r["doc_id"] for r in second.collect()) == sorted(d for d, n, c in brute.components(rows) if not n or d == c)
+    assert sorted(r["doc_id"] for r in second.collect()) == sorted(d for d, n, c in brute.components(rows, 5, 80) if not n or d == c)
 
     assert third.count() == second.count()
     texts = {r["doc_id"]: r["text"] for r in second.collect()}

@@ -27,7 +27,7 @@ PIECE_ROWS = 2048
 # Recall is calibrated on so many queries, against all vectors.
 CALIBRATION = 256
 RECALL = 0.95
-FIRST_LEAVES = 4
+FIRST_LEAVES, WIDEN = 4, 4
 # Beyond any rounding error of a double inner product of unit-sized vectors, relative to their norms.
 SLACK = 1e-9
 
@@ -138,13 +138,11 @@ def _in_order(embedding: Column) -> Column:
     return embedding.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(embedding, lambda x: x != 0)
 
 
-def _usable(table: DataFrame, k: int) -> tuple[DataFrame, int]:
-    """Vectors that take part and their dimension; of equal vectors the ``k + 1`` smallest ids.
+def _usable(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
+    """Vectors of the most common length, and that length; of equal vectors the ``k + 1`` smallest ids.
 
     A vector's ``k`` nearest can't hold more of them: those with smaller ids win the ties.
     """
-    vectors = table.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
-    vectors = vectors.where(F.col("vec_id").isNotNull() & _in_order(F.col("embedding")))
     sizes = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
     common = sizes.orderBy(F.desc("n"), "dim").first()
     dim = common["dim"] if common else 1
@@ -174,26 +172,26 @@ def nearest_neighbours(
     neighbour of its own row. Every vector is placed in a leaf of a k-means tree. A query visits leaves
     best bin first, and scans them whole. How many leaves, the same number for all queries, is widened
     until on calibration queries, compared with all vectors, ``recall`` of the true neighbours lie in
-    visited leaves. The first few leaves give each query a bound; from the others only vectors that
-    reach it are sent on.
+    visited leaves. Leaves are visited in rounds, few at first; the nearest so far give each query a bound,
+    and only vectors that reach it are sent on.
 
     The tree is fitted on at most ``FIT_ROWS`` vectors and holds ``MOST_LEAVES`` leaves at most, so it
     can be sent to all tasks; leaves are scanned in pieces of bounded size. Vectors that are null,
     zero, or hold null or non-finite components take no part, nor do those of another length than most,
-    nor rows without an id. Of equal vectors each can be found, the smallest ids first. Repeated rows
-    of one id count as one. With fewer than ``k`` other vectors all are returned; an empty table gives
+    nor rows without an id. Of equal vectors those with the smallest ids are found first. Repeated rows
+    of one id count as one, with the smallest of their vectors. With fewer than ``k`` other vectors all are returned; an empty table gives
     no rows. Only ``vec_id`` and ``embedding`` are read.
     """
-    usable, dim = _usable(table.dropDuplicates(["vec_id"]), k)
+    vectors = table.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    vectors = vectors.where(F.col("vec_id").isNotNull() & _in_order(F.col("embedding")))
+    single, _ = workspace.save(vectors.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "single")
+    usable, dim = _usable(single, k)
     vectors, seen = workspace.save(usable, "vectors")
-    asked = table.dropDuplicates(["vec_id"]).where(queries & F.col("vec_id").isNotNull())
-    asked = asked.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
-    asked = asked.where(_in_order(F.col("embedding")) & (F.size("embedding") == dim))
-    asked, n_asked = workspace.save(asked, "queries")
+    asked, n_asked = workspace.save(single.where(queries & (F.size("embedding") == dim)), "queries")
     count = seen["rows"]
     sample = vectors.orderBy(_hashed("vec_id"), "vec_id").limit(FIT_ROWS).select("embedding").collect()
     if not sample or not n_asked["rows"]:
-        return _empty(vectors)
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     leaves = int(min(MOST_LEAVES, max(1, LEAVES_PER_ROOT * math.sqrt(count))))
     tree = Tree.fit(np.array([r[0] for r in sample], dtype=np.float64), leaves)
     placed, _ = workspace.save(_placed(vectors, tree, dim), "leaves")
@@ -201,11 +199,6 @@ def nearest_neighbours(
     return _search(placed, asked, tree, dim, k, most, workspace)
 
 
-def _empty(like: DataFrame) -> DataFrame:
-    schema = "query_id bigint, rank int, vec_id bigint, score double"
-    return like.sparkSession.createDataFrame([], schema)
-
-
 def _placed(vectors: DataFrame, tree: Tree, dim: int) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,13 +321,19 @@ def _ranked(candidates: DataFrame, k: int) -> DataFrame:
 
 
 def _search(placed: DataFrame, asked: DataFrame, tree: Tree, dim: int, k: int, most: int, workspace: Workspace) -> DataFrame:
-    nothing = F.lit(float("-inf"))
-    first = _visits(asked.withColumn("bound", nothing), tree, dim, 0, min(FIRST_LEAVES, most))
-    near, _ = workspace.save(_ranked(_scan(placed, first, dim, k), k), "near")
-    if most <= FIRST_LEAVES:
-        return near
-    bounds = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
-    known = asked.join(bounds, F.col("vec_id") == F.col("query_id"), "left")
-    known = known.select("vec_id", "embedding", F.coalesce("bound", nothing).alias("bound"))
-    rest = _scan(placed, _visits(known, tree, dim, FIRST_LEAVES, most), dim, k)
-    return _ranked(near.drop("rank").unionByName(rest), k)
+    """Visits in rounds, each ``WIDEN`` times as many leaves as before, with the bound that the last one left.
+
+    So a round brings a query a few times ``k`` candidates, however large the table.
+    """
+    near, begin, end = None, 0, min(FIRST_LEAVES, most)
+    while True:
+        known = asked.withColumn("bound", F.lit(float("-inf")))
+        if near is not None:
+            bounds = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("__bound"))
+            known = known.join(bounds, F.col("vec_id") == F.col("query_id"), "left")
+            known = known.select("vec_id", "embedding", F.coalesce("__bound", "bound").alias("bound"))
+        found = _scan(placed, _visits(known, tree, dim, begin, end), dim, k)
+        near, _ = workspace.save(_ranked(found if near is None else near.drop("rank").unionByName(found), k), "near")
+        if end >= most:
+            return near
+        begin, end = end, min(end * WIDEN, most)

@@ -97,7 +97,10 @@ def sample_copies(
 
 
 def _targets(narrow: DataFrame, weights: Sequence[float], share: float, cap: int) -> DataFrame:
-    """One row per source: ``__source, __source_size, __target``. The table of sources goes to the driver."""
+    """One row per source: ``__source, __source_size, __target``.
+
+    Targets depend on all sources in their order, so the driver sees one name and one sum per source.
+    """
     rows = narrow.groupBy("__source").agg(F.sum("__size").alias("n")).collect()
     rows.sort(key=lambda r: (r[0] is None, (r[0] or "").encode()))
     sizes = [r["n"] for r in rows]
@@ -111,13 +114,13 @@ def _targets(narrow: DataFrame, weights: Sequence[float], share: float, cap: int
 def _expected(narrow: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
     """Documents with their certain copies and the odds of one more."""
     same = F.col("__source").eqNullSafe(F.col("__s"))
-    known = narrow.join(F.broadcast(targets.withColumnRenamed("__source", "__s")), same, "left").drop("__s")
+    known = narrow.join(targets.withColumnRenamed("__source", "__s"), same, "left").drop("__s")
     mean = narrow.groupBy(F.col("__source").alias("__s")).agg(F.avg("__size").alias("__mean"))
-    known = known.join(F.broadcast(mean), same, "left").drop("__s")
+    known = known.join(mean, same, "left").drop("__s")
     lean = 1 + LEAN * F.coalesce(F.try_divide(F.col("__size") - F.col("__mean"), F.col("__size") + F.col("__mean")), F.lit(0))
     known = known.withColumn("__lean", lean)
     scale = known.groupBy(F.col("__source").alias("__s")).agg(F.sum(F.col("__size") * F.col("__lean")).alias("__scale"))
-    known = known.join(F.broadcast(scale), same, "left").drop("__s")
+    known = known.join(scale, same, "left").drop("__s")
     copies = F.coalesce(F.try_divide(F.col("__lean") * F.col("__target"), F.col("__scale")), F.lit(0))
     copies = F.when(F.col("__size") > 0, F.least(copies, F.lit(float(cap)))).otherwise(0.0)
     known = known.withColumn("__expected", copies)
@@ -140,13 +143,13 @@ def _sample(expected: DataFrame, workspace: Workspace) -> DataFrame:
     )
     same = F.col("__source").eqNullSafe(F.col("__s"))
     placed = totals_before(ranked, ["__source"], {"__before": F.col("__size")})
-    placed = placed.join(F.broadcast(certain), same).drop("__s")
+    placed = placed.join(certain, same).drop("__s")
     sampled = (F.col("__rank") < float("inf")) & (F.col("__before") + F.col("__size") <= F.col("__need"))
     placed, _ = workspace.save(placed.withColumn("__in", sampled), "placed")
     # Sizes are positive here, so what is taken is a first part of the order.
     gap = F.first("__need") - F.coalesce(F.sum(F.when(F.col("__in"), F.col("__size"))), F.lit(0))
     gaps = placed.groupBy(F.col("__source").alias("__s")).agg(gap.alias("__gap"))
-    open_ = placed.where("NOT __in AND __size > 0 AND __rank < double('inf')").join(F.broadcast(gaps), same)
+    open_ = placed.where("NOT __in AND __size > 0 AND __rank < double('inf')").join(gaps, same)
     miss = F.abs(F.col("__gap") - F.col("__size"))
     last = (
         open_.groupBy("__s")
@@ -155,7 +158,7 @@ def _sample(expected: DataFrame, workspace: Workspace) -> DataFrame:
         .select(F.col("best.__read").alias("__closing"))
     )
     one_more = F.col("__in") | F.col("__closing").isNotNull()
-    return placed.join(F.broadcast(last), F.col("__read") == F.col("__closing"), "left").select(
+    return placed.join(last, F.col("__read") == F.col("__closing"), "left").select(
         "doc_id", "__read", "__size", "__source_size", "__target",
         (F.col("__whole") + one_more.cast("bigint")).alias("__copies"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import weakref
 import zipfile
@@ -21,7 +23,9 @@ def ship_package(spark: SparkSession) -> None:
     if context in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / f"{package.name}.zip"
+    folder = tempfile.mkdtemp(prefix=f"{package.name}-")  # on the driver only
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, file.relative_to(package.parent))

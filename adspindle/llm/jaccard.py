@@ -18,16 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.llm.text import mix, shingles_of, slices, words_of
+from adspindle.llm.text import in_task, mix, shingles_of, slices, words_of
 from adspindle.operators.identity import connected_components
 from adspindle.sources.workspace import Workspace
 
-# By default near copies are texts whose sets of five-word shingles are similar by 0.8 or more.
-SHINGLE, PERCENT = 5, 80
+# The contract's fixed values. Lower similarities make smaller buckets and so larger blocks: at 80
+# percent of five-word shingles, texts that share a passage already meet in one block.
+SHINGLE, PERCENT = 3, 90
 # Bands of set sizes; similar sets lie in one band or in neighbouring ones.
 BAND = 1.25
 # A block with more shingles than this is searched in cells of half this size, pair by pair.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 400_000
 # DivideSkip's weight of a binary probe against a step of the merge.
 PROBE_WEIGHT = 0.0085
 
@@ -358,12 +359,12 @@ def _grouped(docs: DataFrame, workspace: Workspace, size: int, percent: int) ->
     place = F.monotonically_increasing_id().alias("place")
     narrow = docs.select("doc_id", F.xxhash64("text").alias("key"), place, F.col("text").alias("__text"))
     schema = f"doc_id {kind}, key bigint, place bigint, n_shingles bigint, class bigint, signatures binary"
-    rows, _ = workspace.save(narrow.mapInArrow(lambda b: _classify(b, size, percent), schema), "classes")
+    rows, _ = workspace.save(narrow.mapInArrow(in_task(_classify, size, percent), schema), "classes")
     full = rows.where("class IS NOT NULL")
     one = full.select("class", "signatures").where("octet_length(signatures) > 0").dropDuplicates(["class"])
-    postings = one.mapInArrow(_postings, "signature bigint, class bigint, leader bigint")
+    postings = one.mapInArrow(in_task(_postings), "signature bigint, class bigint, leader bigint")
     placed = postings.repartition("signature").sortWithinPartitions("signature", "class")
-    edges, _ = workspace.save(placed.mapInArrow(_stars, "u bigint, v bigint").distinct(), "edges")
+    edges, _ = workspace.save(placed.mapInArrow(in_task(_stars), "u bigint, v bigint").distinct(), "edges")
     blocks = _all_vertices(connected_components(edges, workspace, name="blocks"), "block")
     firsts = full.groupBy("class").agg(_first().alias("own"), F.max("n_shingles").alias("n_shingles"))
     firsts, _ = workspace.save(firsts, "firsts")
@@ -372,10 +373,10 @@ def _grouped(docs: DataFrame, workspace: Workspace, size: int, percent: int) ->
     wanted = members.select("class", "n_shingles", "tasks", F.col("own.doc_id").alias("__id"), F.col("own.key").alias("__key"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
     texts = narrow.join(wanted.hint("shuffle_hash"), same).select("class", "n_shingles", "tasks", "__text")
-    sets = texts.mapInArrow(lambda b: _wanted_sets(b, size), f"class bigint, n_shingles bigint, tasks {TASKS}, set binary")
+    sets = texts.mapInArrow(in_task(_wanted_sets, size), f"class bigint, n_shingles bigint, tasks {TASKS}, set binary")
     work = sets.select("class", "n_shingles", F.explode("tasks").alias("t"), "set").select("t.task", "n_shingles", "class", "t.side", "set")
     work = work.repartition("task").sortWithinPartitions("task", "n_shingles", "class")
-    found = work.mapInArrow(lambda b: _search_tasks(b, percent), "class bigint, links bigint, root bigint")
+    found = work.mapInArrow(in_task(_search_tasks, percent), "class bigint, links bigint, root bigint")
     found, _ = workspace.save(found, "links")
     ties = found.select(F.col("class").alias("u"), F.col("root").alias("v")).where("u <> v").distinct()
     ties, _ = workspace.save(ties, "ties")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adspindle.llm.text import mix
+from adspindle.llm.text import in_task, mix
 from adspindle.sources.workspace import Workspace
 
 NEIGHBOURS = 20
@@ -27,7 +27,7 @@ PIECE_ROWS = 2048
 # Recall is calibrated on so many queries, against all vectors.
 CALIBRATION = 256
 RECALL = 0.95
-FIRST_LEAVES, WIDEN = 4, 4
+FIRST_LEAVES, WIDEN = 4, 2
 # Beyond any rounding error of a double inner product of unit-sized vectors, relative to their norms.
 SLACK = 1e-9
 
@@ -205,7 +205,7 @@ def _placed(vectors: DataFrame, tree: Tree, dim: int) -> DataFrame:
             leaf = tree.place(_matrix(batch.column("embedding"), dim))
             yield batch.append_column("leaf", pa.array(leaf.astype(np.int32)))
 
-    found = vectors.mapInArrow(place, "vec_id bigint, embedding array<float>, leaf int")
+    found = vectors.mapInArrow(in_task(place), "vec_id bigint, embedding array<float>, leaf int")
     sizes = found.groupBy(F.col("leaf").alias("__leaf")).agg(F.ceil(F.count(F.lit(1)) / PIECE_ROWS).alias("__pieces"))
     joined = found.join(F.broadcast(sizes), F.col("leaf") == F.col("__leaf"))
     piece = F.pmod(F.xxhash64("vec_id"), F.col("__pieces")).cast("int")
@@ -236,7 +236,7 @@ def _calibrate(placed: DataFrame, asked: DataFrame, tree: Tree, dim: int, k: int
             [pa.array(c, t) for c, t in zip(columns, kinds)], names=["q", "score", "vec_id", "leaf"]
         )
 
-    found = placed.select("vec_id", "embedding", "leaf").mapInArrow(truth, "q int, score double, vec_id bigint, leaf int")
+    found = placed.select("vec_id", "embedding", "leaf").mapInArrow(in_task(truth), "q int, score double, vec_id bigint, leaf int")
     order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     nearest = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("q", "leaf").collect()
     # At which visit each true neighbour's leaf comes; widened by doubling, so few searches go far.
@@ -264,7 +264,7 @@ def _visits(asked: DataFrame, tree: Tree, dim: int, begin: int, end: int) -> Dat
                 yield made.append_column("leaf", pa.array([x for f in found for x in f], pa.int32()))
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema.fields)
-    return asked.mapInArrow(visit, f"{kinds}, leaf int")
+    return asked.mapInArrow(in_task(visit), f"{kinds}, leaf int")
 
 
 def _scan(placed: DataFrame, visits: DataFrame, dim: int, k: int) -> DataFrame:
@@ -311,7 +311,7 @@ def _scan(placed: DataFrame, visits: DataFrame, dim: int, k: int) -> DataFrame:
                 names=["query_id", "vec_id", "score"],
             )
 
-    return both.mapInArrow(scan, "query_id bigint, vec_id bigint, score double")
+    return both.mapInArrow(in_task(scan), "query_id bigint, vec_id bigint, score double")
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:

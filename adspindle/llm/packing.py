@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adspindle.llm.text import in_task
 from adspindle.llm.tokens import encoder, parts
 from adspindle.sources.workspace import Workspace
 
@@ -212,7 +213,7 @@ def pack_by_mixture(
     kind = docs.schema[key].dataType.simpleString()
     narrow = docs.select(F.col(key).alias("key"), F.spark_partition_id().alias("part"), queue.alias("queue"), F.col("text").alias("__text"))
     schema = f"key {kind}, part int, queue int, tokens bigint, begin bigint, width int, ids binary"
-    encoded, _ = workspace.save(narrow.mapInArrow(lambda b: _encode(b, path, end), schema), "ids")
+    encoded, _ = workspace.save(narrow.mapInArrow(in_task(_encode, path, end), schema), "ids")
     sums = encoded.groupBy("part", "queue").agg(F.sum("tokens").alias("n"))
     sums, _ = workspace.save(sums, "sums")
     totals = [0] * max(len(names), 1)
@@ -225,5 +226,5 @@ def pack_by_mixture(
     placed = encoded.join(base, ["part", "queue"]).withColumn("begin", F.col("begin") + F.col("__base"))
     placed = placed.select("key", "queue", "tokens", "begin", "width", "ids")
     schema = f"key {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
-    pieces = placed.mapInArrow(lambda b: _pieces(b, phases, sequence), schema)
+    pieces = placed.mapInArrow(in_task(_pieces, phases, sequence), schema)
     return pieces.withColumnRenamed("key", key)

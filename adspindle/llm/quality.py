@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.llm.text import shingles_of, slices, words_of
+from adspindle.llm.text import in_task, shingles_of, slices, words_of
 from adspindle.sources.workspace import Workspace
 
 FEATURES = (
@@ -176,12 +176,12 @@ def classify_quality(docs: DataFrame, labels: DataFrame, workspace: Workspace) -
 def measure(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     narrow = docs.select("doc_id", F.col("text").alias("__text"))
-    return narrow.mapInArrow(_measure, f"doc_id {kind}, x array<double>")
+    return narrow.mapInArrow(in_task(_measure), f"doc_id {kind}, x array<double>")
 
 
 def predictions(measured: DataFrame, model: Discriminant | None) -> DataFrame:
     kind = measured.schema["doc_id"].dataType.simpleString()
-    scored = measured.mapInArrow(lambda b: _score(b, model), f"doc_id {kind}, score double")
+    scored = measured.mapInArrow(in_task(_score, model), f"doc_id {kind}, score double")
     return scored.select(
         "doc_id",
         (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"),
@@ -200,4 +200,4 @@ def keep_good(docs: DataFrame, model: Discriminant | None) -> DataFrame:
             good = model.scores(x) >= 0.5 if model else np.ones(len(x), dtype=bool)
             yield batch.filter(pa.array(good))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(in_task(kept), docs.schema)

@@ -75,8 +75,7 @@ def op6_sharding(spark, sf_dir):
 
 @query
 def op7_ngram_jaccard_join(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents")
-    found = jaccard.jaccard_components(docs, Workspace(spark, "op7"), size=3, percent=90)
+    found = jaccard.jaccard_components(_table(spark, sf_dir, "documents"), Workspace(spark, "op7"))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
@@ -137,3 +136,56 @@ SELECT f.page_id, f.host, f.path, f.rule,
        CASE WHEN f.rule IS NULL THEN m.met END AS "glob"
 FROM fit f LEFT JOIN met m ON f.page_id = m.page_id AND f.host = m.host AND f.path = m.path
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op6_sharding"] = f"""
+WITH codes AS (
+    SELECT list(code ORDER BY i) AS code FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS code
+        FROM range(256) t(i))
+), raw AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+    SELECT doc_id, length(h) // 2 + 8 AS size,
+           xor(list_reduce(
+               list_transform(range(length(h) // 2), lambda k: cast('0x' || substr(h, 2 * k + 1, 2) AS BIGINT)),
+               lambda c, b: xor(c >> 8, code[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+    FROM raw, codes
+), placed AS (
+    SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS whole
+    FROM sized
+), sharded AS (
+    SELECT *, cast((2 * upto - size) * {SHARDS} // (2 * whole) AS INTEGER) AS shard FROM placed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot,
+       cast(NULL AS INTEGER) AS grown_shard
+FROM sharded
+"""
+
+ORACLES["op7_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE split AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT r, doc_id, list_distinct(CASE
+        WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingles
+    FROM split
+), listed AS (
+    SELECT r, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+    SELECT a.r AS a, b.r AS b FROM listed a JOIN listed b ON a.shingle = b.shingle AND a.r < b.r
+    GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), links AS (
+    SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach(r, other) AS (
+    SELECT r, r FROM sets UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, min(o.doc_id) AS component_id
+FROM sets s JOIN reach ON s.r = reach.r JOIN sets o ON reach.other = o.r
+GROUP BY s.r, s.doc_id, s.shingles
+"""

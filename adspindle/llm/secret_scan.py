@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from adspindle.llm.text import slices
+from adspindle.llm.text import in_task, slices
 
 FLAGS = re.ASCII
 
@@ -234,7 +234,7 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", rules: Sequence[Rule] = R
     kind = docs.schema[key].dataType.simpleString()
     counts = "".join(f"n_{r.kind} bigint, " for r in rules if r.base)
     narrow = docs.selectExpr(f"`{key}` AS key", "text AS __text")
-    found = narrow.mapInArrow(lambda b: _scan(b, rules), f"key {kind}, {counts}base_sha256 string, spans string")
+    found = narrow.mapInArrow(in_task(_scan, rules), f"key {kind}, {counts}base_sha256 string, spans string")
     return found.withColumnRenamed("key", key)
 
 
@@ -270,4 +270,4 @@ def mask_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """
     rules = tuple(rules)
     length = "n_chars" if "n_chars" in docs.columns else None
-    return docs.mapInArrow(lambda b: _mask(b, rules, "text", length), docs.schema)
+    return docs.mapInArrow(in_task(_mask, rules, "text", length), docs.schema)

@@ -7,7 +7,8 @@ operations, and then mixed. Two different words get one number with a probabilit
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,9 @@ _values = mix(np.arange(1, 257, dtype=np.uint64))
 _values[ord("A") : ord("Z") + 1] = _values[ord("a") : ord("z") + 1]
 
 
+_exact_values = [mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(k)) for k in (1009, 1013)]
+
+
 class _Powers:
     """Powers of the polynomial's base, as many as the longest slice so far needs."""
 
@@ -120,6 +124,38 @@ def words_of(offsets: np.ndarray, data: np.ndarray) -> Words:
     return Words(start, end, np.searchsorted(start, offsets), number)
 
 
+def names_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit numbers of each whole text, case included; together they tell texts apart."""
+    up, down = _powers.upto(len(data) + 1)
+    found = []
+    for values in _exact_values:
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(values[data] * up[: len(data)], out=sums[1:])
+        number = (sums[offsets[1:]] - sums[offsets[:-1]]) * down[offsets[:-1]]
+        found.append(mix(number + np.diff(offsets).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    return found[0], found[1]
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker process goes on to other tasks, and others share its host."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def in_task(step: Callable[..., Iterator[pa.RecordBatch]], *given) -> Callable:
+    """``step`` over a task's batches, for ``mapInArrow``; its memory is given back when it ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches, *given)
+        finally:
+            give_back()
+
+    return run
+
+
 def shingles_of(words: Words, size: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of each text's runs of ``size`` words, repeats included, and where each text's begin.
 

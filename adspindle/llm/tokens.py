@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from adspindle.llm.text import compact
+from adspindle.llm.text import compact, in_task, names_of, raw_texts
 
 # Known chunks are kept up to this many; then the table starts anew, so a task's memory is bounded.
 CACHE = 800_000
@@ -164,7 +164,7 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", limit: int = L
     kind = docs.schema[key].dataType.simpleString()
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
     narrow = docs.select(F.col(key).alias("key"), size.alias("n_bytes"), F.col("text").alias("__text"))
-    counted = narrow.mapInArrow(lambda b: _count(b, path), f"key {kind}, n_bytes bigint, n_tokens bigint")
+    counted = narrow.mapInArrow(in_task(_count, path), f"key {kind}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit).withColumnRenamed("key", key)
 
 
@@ -189,33 +189,54 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.sizes, self.ids = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+        # Known words by their first number, sorted; the second number; where in the lists below they are.
+        self.first, self.second = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        self.place = np.zeros(0, dtype=np.int32)
+        self.sizes, self.ids = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        new = [w for w in words if w not in self.number]
-        if not new:
-            return
+    def _encoded(self, words: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Sizes and ids of words that are not known yet, and the order in which they come."""
         # Words of letters alone are one pre-token each, whose last id says that it ends there; so many
         # are encoded as one text and told apart afterwards.
-        plain = [w for w in new if _PLAIN.fullmatch(w)] if self.ends.any() else []
-        rows = [" ".join(plain[i : i + 500]) for i in range(0, len(plain), 500)]
+        plain = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)] if self.ends.any() else []
+        rows = [" ".join(words[i] for i in plain[at : at + 500]) for at in range(0, len(plain), 500)]
         ids = [np.array(e.ids, dtype=np.uint32) for e in self.known.encode_batch_fast(rows, add_special_tokens=False)]
         ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
         sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
-        others = [w for w in new if not _PLAIN.fullmatch(w)] if len(plain) == len(sizes) and plain else new
-        if others is new:
+        if len(sizes) != len(plain):
             plain, ids, sizes = [], ids[:0], sizes[:0]
-        found = [e.ids for e in self.known.encode_batch_fast(others, add_special_tokens=False)]
+        alone = set(plain)
+        others = [i for i in range(len(words)) if i not in alone]
+        found = [e.ids for e in self.known.encode_batch_fast([words[i] for i in others], add_special_tokens=False)]
         more = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        self.number.update(zip(plain + others, range(len(self.sizes), len(self.sizes) + len(new))))
-        self.sizes = np.concatenate([self.sizes, sizes, more])
-        self.ids = np.concatenate([self.ids, ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
+        more_ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32)
+        return plain + others, np.concatenate([sizes, more]), np.concatenate([ids, more_ids])
+
+    def _places(self, names: pa.Array) -> np.ndarray:
+        """Where each distinct word's size and ids are; new words are encoded and remembered."""
+        first, second = names_of(*raw_texts(names))
+        at = np.searchsorted(self.first, first)
+        there = np.minimum(at, max(len(self.first) - 1, 0))
+        known = np.zeros(len(first), dtype=bool)
+        if len(self.first):
+            known = (self.first[there] == first) & (self.second[there] == second)
+        places = np.zeros(len(first), dtype=np.int64)
+        places[known] = self.place[there[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            order, sizes, ids = self._encoded(names.take(pa.array(new)).to_pylist())
+            places[new[order]] = len(self.sizes) + np.arange(len(new))
+            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+            self.ids = np.concatenate([self.ids, ids])
+            new = new[np.argsort(first[new], kind="stable")]
+            for name, values in (("second", second), ("place", places.astype(np.int32)), ("first", first)):
+                setattr(self, name, np.insert(getattr(self, name), at[new], values[new]))
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row as unsigned 32-bit numbers, and where each text's begin; one entry more than texts."""
         texts = compact(texts)
-        if len(self.number) > CACHE:
+        if len(self.first) > CACHE:
             self._forget()
         spaced = pc.replace_substring_regex(pc.ascii_lower(texts), _BEFORE_MARK, r"\1 \2")
         split = pc.ascii_split_whitespace(spaced)
@@ -227,14 +248,14 @@ class WordEncoder:
                     pa.list_(pa.large_string()),
                 )
         words = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
-        names, which = _numbered(split.flatten())
-        self._learn(names)
-        numbers = np.array([self.number[n] for n in names], dtype=np.int64)[which] if names else which
-        begins = np.cumsum(self.sizes) - self.sizes
-        own = self.sizes[numbers]
-        ends = np.concatenate([[0], np.cumsum(own)])
+        coded = split.flatten().dictionary_encode()
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        numbers = self._places(coded.dictionary)[which] if len(which) else which
+        begins = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        own = self.sizes[numbers].astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(own)]).astype(np.int64)
         at = np.repeat(begins[numbers] - ends[:-1], own) + np.arange(ends[-1])
-        return self.ids[at], ends[np.concatenate([[0], words])].astype(np.int64)
+        return self.ids[at], ends[np.concatenate([[0], words]).astype(np.int64)]
 
     def _words(self, text: str) -> list[str]:
         words, done = [], 0

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.llm.text import raw_texts
+from adspindle.llm.text import in_task, raw_texts
 
 # The contract's fixed rules, (verdict, host, path).
 RULES = (
@@ -166,5 +166,5 @@ def judge_urls(
     kind = pages.schema[key].dataType.simpleString()
     schema = f"key {kind}, host string, path string, rule string, verdict string, glob string"
     rules, globs = tuple(rules), tuple(globs)
-    judged = keyed.mapInArrow(lambda batches: _judge(batches, rules, globs), schema)
+    judged = keyed.mapInArrow(in_task(_judge, rules, globs), schema)
     return judged.withColumnRenamed("key", key)

@@ -3,6 +3,10 @@
 import collections
 import re
 
+import duckdb
+
+from adspindle.llm.queries import ORACLES
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,3 +67,14 @@ def url_parts(url):
     rest = url.split("://", 1)[1]
     host = re.match(r"[^/?#]*", rest)[0]
     return lower(host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def same_as_oracle(found, name, sf_dir):
+    """Whether a query's rows are those of its SQL."""
+    duck = duckdb.connect()
+    for table in ("documents", "pages"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
+    answer = duck.execute(ORACLES[name])
+    names = [d[0] for d in answer.description]
+    assert sorted(names) == sorted(found.columns)
+    assert sorted(map(repr, answer.fetchall())) == sorted(repr(tuple(r[n] for n in names)) for r in found.collect())

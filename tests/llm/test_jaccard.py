@@ -5,6 +5,7 @@ import pytest
 
 from adspindle.llm import jaccard
 from adspindle.llm.jaccard import BlockSearch, class_of, jaccard_components, keep_representatives, linked, signatures
+from adspindle.llm.queries import QUERIES
 from adspindle.llm.text import mix
 
 from . import brute
@@ -86,6 +87,11 @@ def test_one_of_each_group_stays(make_docs, ws, tmp_path):
     docs = make_docs(rows, tmp_path / "docs")
     kept = keep_representatives(docs, ws)
     assert kept.columns == docs.columns
-    want = {d for d, n, c in brute.components(rows, 5, 80) if d == c and n} | {None, 500}
+    want = {d for d, n, c in brute.components(rows) if d == c and n} | {None, 500}
     got = [r["doc_id"] for r in kept.collect()]
     assert set(got) == want and len(got) == len(want) + 1  # two rows without an id
+
+
+def test_query_equals_its_oracle(spark):
+    sf = "/root/testdata/sf0.01"
+    brute.same_as_oracle(QUERIES["op7_ngram_jaccard_join"](spark, sf), "op7_ngram_jaccard_join", sf)

@@ -123,3 +123,8 @@ def test_inclusion_odds_follow_the_expectation(spark, make_docs, ws):
     drawn = sample_copies(make_docs([(i, f"w{i} x y z") for i in range(400)]), ws, weights=(1,), share=1.5)
     copies = collections.Counter(r["__copies"] for r in drawn.collect())
     assert copies == {1: 200, 2: 200}
+
+
+def test_shards_equal_their_oracle(spark):
+    sf = "/root/testdata/sf0.001"
+    brute.same_as_oracle(QUERIES["op6_sharding"](spark, sf), "op6_sharding", sf)

@@ -167,3 +167,14 @@ def test_union_distinct_and_all(spark):
 def test_partition_profile(spark):
     profile = aggregates.partition_profile(spark.range(100).repartition(4))
     assert sum(r.rows for r in profile.collect()) == 100 and profile.count() == 4
+
+
+def test_a_lookup_table_is_computed_once(spark, workspace):
+    """Measuring and joining both use the written table; what it was made from is not read again."""
+    made = spark.range(50).selectExpr("id AS key", "concat('v', id) AS value").repartition(3)
+    table, size = joins.measured(made, workspace, "lookup")
+    assert size == sum(8 + 8 + len(f"v{i}") for i in range(50))
+    joined = joins.lookup_join(spark.range(9).selectExpr("id AS key"), table, "key", small=size <= joins.BROADCAST_BYTES)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and plan.count("Range (") == 1 and "RoundRobin" not in plan
+    assert joins.measured(made.where("key < 0"), workspace, "lookup")[1] == 0

@@ -15,8 +15,8 @@ from adspindle.sources.workspace import Workspace
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_COPIES = 2
-# How far a document's expected copies may lean on its length, either way.
-LEAN = 0.25
+# How far a document's expected copies may lean on its length, either way, in millionths.
+LEAN, WHOLE = 250_000, 1_000_000
 
 
 def fill_targets(sizes: Sequence[int], weights: Sequence[float], total: float, cap: float) -> list[float]:
@@ -60,8 +60,8 @@ def mix_sources(
     one whose size comes nearest to what is still missing, closes the gap. No document is cut.
 
     The ranking is a global sort by source and rank with running sums from partition totals, so no
-    source has to fit a task. Random numbers come from a hash of doc_id, text and the row's place, so
-    reruns agree. A null source is a source of its own; documents without words are never taken.
+    source has to fit a task. Random numbers come from a hash of doc_id and text, ties go by the
+    row's place in the table, and sums are of whole numbers, so reruns agree. A null source is a source of its own; documents without words are never taken.
     An empty table gives no rows. The columns of ``docs`` may have any name not led by two underscores.
     """
     taken = sample_copies(docs, workspace, weights, share, max_copies)
@@ -92,36 +92,42 @@ def sample_copies(
     )
     narrow, _ = workspace.save(narrow, "sizes")
     targets = _targets(narrow, weights, share, max_copies)
-    expected, _ = workspace.save(_expected(narrow, targets, max_copies), "expected")
+    expected, _ = workspace.save(_expected(narrow, targets, max_copies, workspace), "expected")
     return _sample(expected, workspace)
 
 
 def _targets(narrow: DataFrame, weights: Sequence[float], share: float, cap: int) -> DataFrame:
-    """One row per source: ``__source, __source_size, __target``.
+    """One row per source: ``__s, __source_size, __target, __mean``, the mean size of its documents.
 
-    Targets depend on all sources in their order, so the driver sees one name and one sum per source.
+    Targets depend on all sources in their order, so the driver sees one name and its sums per source.
     """
-    rows = narrow.groupBy("__source").agg(F.sum("__size").alias("n")).collect()
+    rows = narrow.groupBy("__source").agg(F.sum("__size").alias("n"), F.avg("__size").alias("mean")).collect()
     rows.sort(key=lambda r: (r[0] is None, (r[0] or "").encode()))
     sizes = [r["n"] for r in rows]
     given = [float(weights[i % len(weights)]) for i in range(len(rows))]
     targets = fill_targets(sizes, given, share * sum(sizes), cap)
-    made = [(r[0], r["n"], t) for r, t in zip(rows, targets)]
-    session = narrow.sparkSession
-    return session.createDataFrame(made, "__source string, __source_size bigint, __target double")
+    made = [(r[0], r["n"], t, r["mean"]) for r, t in zip(rows, targets)]
+    return narrow.sparkSession.createDataFrame(
+        made, "__s string, __source_size bigint, __target double, __mean double"
+    )
+
 
+def _expected(narrow: DataFrame, targets: DataFrame, cap: int, workspace: Workspace) -> DataFrame:
+    """Documents with their certain copies and the odds of one more.
 
-def _expected(narrow: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
-    """Documents with their certain copies and the odds of one more."""
+    Tables of one row per source are local or written, so the join is planned by their size.
+    """
     same = F.col("__source").eqNullSafe(F.col("__s"))
-    known = narrow.join(targets.withColumnRenamed("__source", "__s"), same, "left").drop("__s")
-    mean = narrow.groupBy(F.col("__source").alias("__s")).agg(F.avg("__size").alias("__mean"))
-    known = known.join(mean, same, "left").drop("__s")
-    lean = 1 + LEAN * F.coalesce(F.try_divide(F.col("__size") - F.col("__mean"), F.col("__size") + F.col("__mean")), F.lit(0))
+    known = narrow.join(targets, same, "left").drop("__s")
+    away = F.try_divide(F.col("__size") - F.col("__mean"), F.col("__size") + F.col("__mean"))
+    lean = (WHOLE + F.round(LEAN * F.coalesce(away, F.lit(0.0)))).cast("decimal(18,0)")
     known = known.withColumn("__lean", lean)
-    scale = known.groupBy(F.col("__source").alias("__s")).agg(F.sum(F.col("__size") * F.col("__lean")).alias("__scale"))
+    scale = known.groupBy(F.col("__source").alias("__s")).agg(
+        F.sum(F.col("__lean") * F.col("__size").cast("decimal(18,0)")).cast("double").alias("__scale")
+    )
+    scale, _ = workspace.save(scale, "scale")
     known = known.join(scale, same, "left").drop("__s")
-    copies = F.coalesce(F.try_divide(F.col("__lean") * F.col("__target"), F.col("__scale")), F.lit(0))
+    copies = F.coalesce(F.try_divide(F.col("__lean").cast("double") * F.col("__target"), F.col("__scale")), F.lit(0))
     copies = F.when(F.col("__size") > 0, F.least(copies, F.lit(float(cap)))).otherwise(0.0)
     known = known.withColumn("__expected", copies)
     return known.select(
@@ -141,14 +147,15 @@ def _sample(expected: DataFrame, workspace: Workspace) -> DataFrame:
     certain = ranked.groupBy(F.col("__source").alias("__s")).agg(
         (F.first("__target") - F.sum(F.col("__whole") * F.col("__size"))).alias("__need")
     )
+    certain, _ = workspace.save(certain, "certain")
     same = F.col("__source").eqNullSafe(F.col("__s"))
-    placed = totals_before(ranked, ["__source"], {"__before": F.col("__size")})
+    placed = totals_before(ranked, ["__source"], {"__before": F.col("__size")}, workspace)
     placed = placed.join(certain, same).drop("__s")
     sampled = (F.col("__rank") < float("inf")) & (F.col("__before") + F.col("__size") <= F.col("__need"))
     placed, _ = workspace.save(placed.withColumn("__in", sampled), "placed")
     # Sizes are positive here, so what is taken is a first part of the order.
     gap = F.first("__need") - F.coalesce(F.sum(F.when(F.col("__in"), F.col("__size"))), F.lit(0))
-    gaps = placed.groupBy(F.col("__source").alias("__s")).agg(gap.alias("__gap"))
+    gaps, _ = workspace.save(placed.groupBy(F.col("__source").alias("__s")).agg(gap.alias("__gap")), "gaps")
     open_ = placed.where("NOT __in AND __size > 0 AND __rank < double('inf')").join(gaps, same)
     miss = F.abs(F.col("__gap") - F.col("__size"))
     last = (
@@ -157,6 +164,7 @@ def _sample(expected: DataFrame, workspace: Workspace) -> DataFrame:
         .where("best.miss < abs(best.__gap)")
         .select(F.col("best.__read").alias("__closing"))
     )
+    last, _ = workspace.save(last, "last")
     one_more = F.col("__in") | F.col("__closing").isNotNull()
     return placed.join(last, F.col("__read") == F.col("__closing"), "left").select(
         "doc_id", "__read", "__size", "__source_size", "__target",

@@ -104,7 +104,7 @@ def _features(stats: DataFrame) -> DataFrame:
     return stats.withColumns({n: F.round(x * GRID) / GRID for n, x in made.items()})
 
 
-def _with_group(rows: DataFrame) -> DataFrame:
+def _with_group(rows: DataFrame, workspace: Workspace) -> DataFrame:
     """``__g``: language and source; small ones join the rest of their language, small rests join each other."""
     by_source = F.to_json(F.struct("lang", "source"))
     by_lang = F.to_json(F.struct("lang"))
@@ -119,6 +119,8 @@ def _with_group(rows: DataFrame) -> DataFrame:
         .otherwise(F.lit("rest"))
         .alias("__g"),
     )
+    # Written, so that its size is known when the join is planned.
+    chosen, _ = workspace.save(chosen, "groups")
     return named.join(chosen, F.col("__source_group") == F.col("__s")).drop("__source_group", "__lang_group", "__s")
 
 
@@ -229,7 +231,7 @@ def robust_outliers(docs: DataFrame, workspace: Workspace, keep: tuple[str, ...]
     columns = {f"__keep{i}": F.col(c) for i, c in enumerate(keep)}
     own = docs.select("text", "lang", "source", *[c.alias(n) for n, c in columns.items()])
     stats, _ = workspace.save(_features(statistics(own, "lang", "source", *columns)), "statistics")
-    rows = _with_group(stats)
+    rows = _with_group(stats, workspace)
     sound = rows.where(~F.col("base_failed"))
     estimates = _medians_and_spreads(sound, workspace)
     for step in range(STEPS):

@@ -24,7 +24,9 @@ def numbered(df: DataFrame, order: Sequence[str], workspace: Workspace, name: st
     return workspace.save(placed, name)[0]
 
 
-def totals_before(df: DataFrame, group: Sequence[str], values: dict[str, Column]) -> DataFrame:
+def totals_before(
+    df: DataFrame, group: Sequence[str], values: dict[str, Column], workspace: Workspace
+) -> DataFrame:
     """Rows of ``numbered`` with the sum of each value over all earlier rows of their group.
 
     Partitions are summed up first; only those sums, one row for each partition and group, are put
@@ -37,6 +39,8 @@ def totals_before(df: DataFrame, group: Sequence[str], values: dict[str, Column]
         *[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"__base_{n}") for n in values],
     )
+    # Written, so that its size is known when the join is planned.
+    base, _ = workspace.save(base, "sums")
     same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)]
     inside = Window.partitionBy(*keys).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
     own = df.withColumns({n: F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in values.items()})

@@ -32,7 +32,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, workspace: Workspace) -> DataFr
     )
     narrow, _ = workspace.save(narrow, "sizes")
     ordered = numbered(narrow, ["doc_id", "text_crc32", "size", "__read"], workspace, "ordered")
-    placed = totals_before(ordered, [], {"__bytes": F.col("size"), "__rows": F.lit(1)})
+    placed = totals_before(ordered, [], {"__bytes": F.col("size"), "__rows": F.lit(1)}, workspace)
     total = ordered.agg(F.sum("size")).first()[0] or 1
     # Twice the middle, so that it is a whole number; a decimal, since it is multiplied by the shards.
     middle = (2 * F.col("__bytes") + F.col("size")).cast("decimal(38,0)")

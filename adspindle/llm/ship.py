@@ -11,14 +11,19 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# Texts reach a task in batches of about this size; a worker process holds one, and what it makes of it.
+BATCH_BYTES = 8 * 1024 * 1024
+
 _shipped: weakref.WeakSet = weakref.WeakSet()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Hands the package's modules to the session once, so that executors import the driver's version.
+    """Hands the package's modules to the session, so that executors import the driver's version.
 
-    Spark itself sends the archive to every executor, also to those that join later.
+    Spark itself sends the archive to every executor, also to those that join later. The session's
+    batches are bounded in bytes, since some texts are very long.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context in _shipped:
         return

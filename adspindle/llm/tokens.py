@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -16,8 +17,11 @@ from tokenizers import Tokenizer
 
 from adspindle.llm.text import compact, in_task, names_of, raw_texts
 
+# Spark runs as many tasks as there are cores; a task's library needs no threads of its own.
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
 # Known chunks are kept up to this many; then the table starts anew, so a task's memory is bounded.
-CACHE = 800_000
+CACHE = 600_000
 # A single space before a character that is certainly no white space begins a new pre-token in every
 # byte-level vocabulary, whatever stands before it. Texts are cut there, so equal chunks are met again.
 _ODD = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -25,7 +29,7 @@ _CUT = re.compile(r" (?=[^\s\x1c-\x1f\x85])")
 # Texts in which some space stands before white space or at the end; most have none.
 _HARD = rf" (?:[{_ODD}]|$)"
 LONGEST = 64  # longer chunks are not remembered
-BATCH_BYTES = 4 * 1024 * 1024
+BATCH_BYTES = 2 * 1024 * 1024
 LIMIT = 512
 
 
@@ -200,7 +204,11 @@ class WordEncoder:
         # are encoded as one text and told apart afterwards.
         plain = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)] if self.ends.any() else []
         rows = [" ".join(words[i] for i in plain[at : at + 500]) for at in range(0, len(plain), 500)]
-        ids = [np.array(e.ids, dtype=np.uint32) for e in self.known.encode_batch_fast(rows, add_special_tokens=False)]
+        ids = [
+            np.array(e.ids, dtype=np.uint32)
+            for at in range(0, len(rows), 20)
+            for e in self.known.encode_batch_fast(rows[at : at + 20], add_special_tokens=False)
+        ]
         ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
         sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
         if len(sizes) != len(plain):

@@ -2,8 +2,10 @@
 
 Equal sets are one class. Which classes can be similar is settled by signatures, exactly: the shingle
 space is dealt into more buckets than two similar sets can differ in shingles, so similar sets agree
-on a whole bucket, and a bucket's content is a signature. Classes that are connected by signatures form
-a block; blocks are small, since a signature stands for several shingles at once. Within a block a
+on a whole bucket, and a bucket's content is a signature. For lower similarities a set's signatures are
+its rarest shingles instead, as many as a linked set can't all be without. Classes that are connected by
+signatures form a block; blocks are small, since a signature stands for several shingles at once or for
+one that few texts have. Within a block a
 T-occurrence search over inverted lists finds the classes that share enough shingles with each class.
 """
 
@@ -22,9 +24,15 @@ from adspindle.llm.text import in_task, mix, shingles_of, slices, words_of
 from adspindle.operators.identity import connected_components
 from adspindle.sources.workspace import Workspace
 
-# The contract's fixed values. Lower similarities make smaller buckets and so larger blocks: at 80
-# percent of five-word shingles, texts that share a passage already meet in one block.
+# The contract's fixed values.
 SHINGLE, PERCENT = 3, 90
+# Below this similarity buckets hold so few shingles that unlike texts agree on empty ones and nearly
+# all meet in one block: signatures are then each set's rarest shingles.
+BUCKET_PERCENT = 90
+# Which shingles are common is judged from about so many texts; the order of no more than so many is kept.
+SAMPLE_TEXTS, MOST_COMMON = 16_384, 2**17
+# So many classes with the same shingle are compared one by one; more are taken together.
+FEW = 128
 # Bands of set sizes; similar sets lie in one band or in neighbouring ones.
 BAND = 1.25
 # A block with more shingles than this is searched in cells of half this size, pair by pair.
@@ -91,13 +99,47 @@ def signatures(numbers: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return (np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)).view(np.int64)
 
 
-def _classify(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+def rarest(numbers: np.ndarray, percent: int, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A set's signatures: so many of its shingles, rarest first, that it shares one with every linked set.
+
+    A linked set shares ``percent`` of these or more, so leaves out fewer than are taken here. That holds
+    for any one order of all shingles; ``common``, sorted, and its ``counts`` only decide how few unlike
+    sets meet.
+    """
+    n = len(numbers)
+    at = np.minimum(np.searchsorted(common, numbers), max(len(common) - 1, 0))
+    level = np.where(common[at] == numbers, counts[at], 0) if len(common) else np.zeros(n, dtype=np.int64)
+    names = mix(numbers ^ np.uint64(0x9E3779B9))
+    return names[np.lexsort((names, level))[: n + percent * -n // 100 + 1]].view(np.int64)
+
+
+def _shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for numbers in sets_of(batch.column("__text"), size):
+            yield pa.RecordBatch.from_pydict({"shingle": pa.array(numbers.view(np.int64))})
+
+
+def _common(narrow: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several different texts of a sample have, sorted, and in how many."""
+    every = max(1, narrow.count() // SAMPLE_TEXTS)
+    texts = narrow.where(F.pmod("key", F.lit(every)) == 0).dropDuplicates(["key"]).select("__text")
+    counts = texts.mapInArrow(in_task(_shingles, size), "shingle bigint").groupBy("shingle").count().where("count > 1")
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).collect()
+    found = np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], np.array([r[1] for r in rows], dtype=np.int64)[order]
+
+
+def _classify(
+    batches: Iterator[pa.RecordBatch], size: int, percent: int, common: tuple[np.ndarray, np.ndarray] | None
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, names, signs = [], [], []
         for numbers in sets_of(batch.column("__text"), size):
             sizes.append(len(numbers))
             names.append(class_of(numbers) if len(numbers) else None)
-            signs.append(signatures(numbers, percent).tobytes() if len(numbers) else None)
+            made = signatures(numbers, percent) if common is None else rarest(numbers, percent, *common)
+            signs.append(made.tobytes() if len(numbers) else None)
         made = {c: batch.column(c) for c in ("doc_id", "key", "place")} | {"n_shingles": pa.array(sizes, pa.int64())}
         made |= {"class": pa.array(names, pa.int64()), "signatures": pa.array(signs, pa.binary())}
         yield pa.RecordBatch.from_pydict(made)
@@ -156,6 +198,99 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"u": pa.array(found[:, 0]), "v": pa.array(found[:, 1])})
 
 
+def _sized_postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """``_postings`` with set sizes and the signature's place in the set's order.
+
+    Of more than ``FEW`` classes in a narrow band of sizes, only the smallest and the largest are sent. Any
+    two of a band are near enough in size to be linked, so a class from elsewhere that is near enough to
+    one of the band is so to one that is sent.
+    """
+    for batch in batches:
+        signs = batch.column("signatures").to_pylist()
+        counts = np.array([len(s) // 8 for s in signs], dtype=np.int64)
+        sign = np.frombuffer(b"".join(signs), dtype=np.int64)
+        owner, n = (
+            np.repeat(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64), counts) for c in ("class", "n_shingles")
+        )
+        at = np.arange(len(sign)) - np.repeat(np.cumsum(counts) - counts, counts)
+        order = np.lexsort((owner, n, sign))
+        sign, owner, n, at = sign[order], owner[order], n[order], at[order]
+        band = np.floor(np.log(n) / (np.log(100 / percent) * 0.999))
+        head = np.ones(len(sign), dtype=bool)
+        head[1:] = (sign[1:] != sign[:-1]) | (band[1:] != band[:-1])
+        group = np.cumsum(head) - 1
+        many = np.bincount(group)[group] > FEW if len(sign) else head
+        sent = ~many | head | np.append(head[1:], True)[: len(head)]
+        leader = owner[head][group] if len(sign) else owner
+        tied = np.unique(np.stack([owner[~sent], leader[~sent]], axis=1), axis=0)
+        none = np.zeros(len(tied), dtype=np.int64)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "signature": pa.array(np.concatenate([sign[sent], mix(tied[:, 0].astype(np.uint64)).view(np.int64)])),
+                "size": pa.array(np.concatenate([n[sent], none])),
+                "class": pa.array(np.concatenate([owner[sent], tied[:, 0]])),
+                "at": pa.array(np.concatenate([np.where(many, -1, at)[sent], none])),
+                "leader": pa.array(
+                    np.concatenate([np.zeros(sent.sum(), dtype=np.int64), tied[:, 1]]),
+                    mask=np.concatenate([np.ones(sent.sum(), dtype=bool), np.zeros(len(tied), dtype=bool)]),
+                ),
+            }
+        )
+
+
+def _sized_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Edges between classes with the same signature that sizes and places allow to be linked.
+
+    Rows come sorted by signature, size and class. A signature's classes fall apart where the next larger
+    set is too large. Up to ``FEW`` classes that stay together are compared one by one: of the first signature
+    that two linked sets share, enough of both orders must be left. More are tied to the first of them.
+    """
+    held = np.zeros((4, 0), dtype=np.int64)
+
+    def heads(rows: np.ndarray) -> np.ndarray:
+        head = np.ones(rows.shape[1], dtype=bool)
+        head[1:] = (rows[0, 1:] != rows[0, :-1]) | (100 * rows[1, :-1] < percent * rows[1, 1:])
+        return head
+
+    def edges(rows: np.ndarray) -> np.ndarray:
+        _, n, owner, at = rows
+        head = heads(rows)
+        group = np.cumsum(head) - 1
+        many = ((np.bincount(group) > FEW) | (np.bincount(group, at < 0) > 0))[group] if len(n) else head
+        found = [np.stack([owner[many], owner[head][group[many]]], axis=1)]
+        left = n - at
+        x = np.flatnonzero(~many)
+        for k in range(1, FEW):
+            x = x[x + k < len(n)]
+            x = x[(group[x] == group[x + k]) & (100 * n[x] >= percent * n[x + k])]
+            if not len(x):
+                break
+            y = x + k
+            near = np.minimum(left[x], left[y]) >= -(-percent * (n[x] + n[y]) // (100 + percent))
+            found.append(np.stack([owner[x][near], owner[y][near]], axis=1))
+        return np.concatenate(found)
+
+    def batch_of(found: np.ndarray) -> pa.RecordBatch:
+        found = np.unique(found[found[:, 0] != found[:, 1]], axis=0)
+        return pa.RecordBatch.from_pydict({"u": pa.array(found[:, 0]), "v": pa.array(found[:, 1])})
+
+    for batch in batches:
+        columns = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("signature", "size", "class", "at")]
+        known = batch.column("leader").is_valid().to_numpy(zero_copy_only=False)
+        tied = np.stack([columns[2][known], batch.column("leader").drop_null().to_numpy(zero_copy_only=False)], axis=1)
+        rows = np.concatenate([held, np.stack(columns)[:, ~known]], axis=1)
+        # The last classes may go on in the next batch; of many the first and the last will do.
+        last = int(np.flatnonzero(heads(rows))[-1]) if rows.shape[1] else 0
+        held, rows = rows[:, last:], rows[:, :last]
+        found = [tied, edges(rows)]
+        if held.shape[1] > FEW:
+            found.append(edges(held))
+            held = held[:, [0, -1]]
+            held[3] = -1
+        yield batch_of(np.concatenate(found))
+    yield batch_of(edges(held))
+
+
 class BlockSearch:
     """The inverted lists of a block: sorted keys ``list * members + member``, members by ascending set size."""
 
@@ -295,6 +430,7 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([*[kept.column(n) for n in names], pa.array(raw, pa.binary())], names=[*names, "set"])
 
 
+SIZED = "signature bigint, size bigint, class bigint, at bigint, leader bigint"
 TASKS = "array<struct<task: string, side: int>>"
 
 
@@ -359,12 +495,21 @@ def _grouped(docs: DataFrame, workspace: Workspace, size: int, percent: int) ->
     place = F.monotonically_increasing_id().alias("place")
     narrow = docs.select("doc_id", F.xxhash64("text").alias("key"), place, F.col("text").alias("__text"))
     schema = f"doc_id {kind}, key bigint, place bigint, n_shingles bigint, class bigint, signatures binary"
-    rows, _ = workspace.save(narrow.mapInArrow(in_task(_classify, size, percent), schema), "classes")
+    common = _common(narrow, size) if percent < BUCKET_PERCENT else None
+    rows, _ = workspace.save(narrow.mapInArrow(in_task(_classify, size, percent, common), schema), "classes")
     full = rows.where("class IS NOT NULL")
-    one = full.select("class", "signatures").where("octet_length(signatures) > 0").dropDuplicates(["class"])
-    postings = one.mapInArrow(in_task(_postings), "signature bigint, class bigint, leader bigint")
-    placed = postings.repartition("signature").sortWithinPartitions("signature", "class")
-    edges, _ = workspace.save(placed.mapInArrow(in_task(_stars), "u bigint, v bigint").distinct(), "edges")
+    signed = full.where("octet_length(signatures) > 0")
+    if common is None:
+        one = signed.select("class", "signatures").dropDuplicates(["class"])
+        postings = one.mapInArrow(in_task(_postings), "signature bigint, class bigint, leader bigint")
+        placed = postings.repartition("signature").sortWithinPartitions("signature", "class")
+        edges = placed.mapInArrow(in_task(_stars), "u bigint, v bigint")
+    else:
+        one = signed.select("class", "n_shingles", "signatures").dropDuplicates(["class"])
+        postings = one.mapInArrow(in_task(_sized_postings, percent), SIZED)
+        placed = postings.repartition("signature").sortWithinPartitions("signature", "size", "class")
+        edges = placed.mapInArrow(in_task(_sized_stars, percent), "u bigint, v bigint")
+    edges, _ = workspace.save(edges.distinct(), "edges")
     blocks = _all_vertices(connected_components(edges, workspace, name="blocks"), "block")
     firsts = full.groupBy("class").agg(_first().alias("own"), F.max("n_shingles").alias("n_shingles"))
     firsts, _ = workspace.save(firsts, "firsts")

@@ -27,9 +27,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: the one with the smallest doc_id."""
+    """Keeps one document of each group of near copies: the one with the smallest doc_id.
+
+    Near copies share 80 percent of their runs of five words.
+    """
     ship_package(spark)
-    return jaccard.keep_representatives(docs, Workspace(spark, "jaccard"))
+    return jaccard.keep_representatives(docs, Workspace(spark, "jaccard"), size=5, percent=80)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from adspindle.llm import jaccard
-from adspindle.llm.jaccard import BlockSearch, class_of, jaccard_components, keep_representatives, linked, signatures
+from adspindle.llm.jaccard import BlockSearch, class_of, jaccard_components, keep_representatives, linked, rarest, sets_of, signatures
 from adspindle.llm.queries import QUERIES
 from adspindle.llm.text import mix
 
@@ -95,3 +96,57 @@ def test_one_of_each_group_stays(make_docs, ws, tmp_path):
 def test_query_equals_its_oracle(spark):
     sf = "/root/testdata/sf0.01"
     brute.same_as_oracle(QUERIES["op7_ngram_jaccard_join"](spark, sf), "op7_ngram_jaccard_join", sf)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_linked_sets_share_one_of_their_rarest(percent):
+    rng = random.Random(percent)
+    pool = rng.sample(range(10**6), 60)
+    common = np.unique(mix(np.array(rng.sample(pool, 25), dtype=np.uint64)))
+    counts = np.array([rng.randint(2, 9) for _ in common])
+    met = 0
+    for _ in range(3000):
+        a = rng.sample(pool, rng.randint(1, 40))
+        b = a[: len(a) - rng.randint(0, len(a) // 3)] + rng.sample(range(10**6, 2 * 10**6), rng.randint(0, 6))
+        x, y = (np.unique(mix(np.array(s, dtype=np.uint64))) for s in (a, b))
+        if linked(len(np.intersect1d(x, y)), len(x), len(y), percent):
+            met += 1
+            assert len(np.intersect1d(rarest(x, percent, common, counts), rarest(y, percent, common, counts)))
+    assert met > 100
+
+
+@pytest.mark.parametrize("few", [2, 4, 32])
+@pytest.mark.parametrize("percent", [60, 80])
+def test_linked_sets_are_tied_by_their_rarest(monkeypatch, few, percent):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    sets = {class_of(s): s for s in sets_of(pa.array(corpus(few + percent, 400)), 5) if len(s)}
+    classes = list(sets)
+    signs = [rarest(sets[c], percent, *none).tobytes() for c in classes]
+    sizes = [len(sets[c]) for c in classes]
+    table = pa.table({"class": pa.array(classes), "n_shingles": pa.array(sizes), "signatures": pa.array(signs, pa.binary())})
+    sent = pa.Table.from_batches(jaccard._sized_postings(table.to_batches(40), percent))
+    sent = sent.sort_by([("signature", "ascending"), ("size", "ascending"), ("class", "ascending")])
+    root = {c: c for c in classes}
+
+    def top(c):
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    for batch in jaccard._sized_stars(iter(sent.to_batches(7)), percent):  # groups go over the batches' ends
+        for u, v in zip(batch["u"].to_pylist(), batch["v"].to_pylist()):
+            root[top(u)] = top(v)
+    links = 0
+    for i, a in enumerate(classes):
+        for b in classes[:i]:
+            if linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]), percent):
+                links += 1
+                assert top(a) == top(b)
+    assert links > 100
+
+
+def test_one_of_each_group_stays_at_the_pipelines_setting(make_docs, ws, tmp_path):
+    rows = list(enumerate(corpus(6))) + [(500, None), (501, "one two")]
+    kept = keep_representatives(make_docs(rows, tmp_path / "docs"), ws, 5, 80)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, n, c in brute.components(rows, 5, 80) if not n or d == c)

@@ -51,3 +51,21 @@ def test_stages(spark, tmp_path):
 def test_whole_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_near_copies_of_five_words_and_80_percent(spark, make_docs, tmp_path):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base + [f"n{i}" for i in range(extra)]) for extra in (0, 30, 70)]
+    rows = list(enumerate([*texts, " ".join(reversed(base)), "few words here"]))
+    kept = corpus_pipeline.keep_one_of_each_group(spark, make_docs(rows, tmp_path / "docs"), SF)
+    # 15 percent more text is a near copy; 35 percent more is near the second, not the first.
+    want = sorted(d for d, n, c in brute.components(rows, 5, 80) if d == c)
+    assert want == [0, 3, 4]
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
+def test_near_copy_stage_at_five_words_and_80_percent(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, n, c in brute.components(rows, 5, 80) if not n or d == c)

@@ -486,14 +486,17 @@ def _first() -> Column:
     return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "place"))
 
 
-def _grouped(docs: DataFrame, workspace: Workspace, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _grouped(
+    docs: DataFrame, workspace: Workspace, size: int, percent: int, place: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """All rows ``doc_id, key, place, n_shingles, class``, and ``class, first, links`` of every class.
 
-    ``first`` is the row that stands for the class's component.
+    ``first`` is the row that stands for the class's component. ``place`` is a stored number of each row,
+    for who looks rows up by it; other scans of the table may number them in another way.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    place = F.monotonically_increasing_id().alias("place")
-    narrow = docs.select("doc_id", F.xxhash64("text").alias("key"), place, F.col("text").alias("__text"))
+    place = F.monotonically_increasing_id() if place is None else place
+    narrow = docs.select("doc_id", F.xxhash64("text").alias("key"), place.alias("place"), F.col("text").alias("__text"))
     schema = f"doc_id {kind}, key bigint, place bigint, n_shingles bigint, class bigint, signatures binary"
     common = _common(narrow, size) if percent < BUCKET_PERCENT else None
     rows, _ = workspace.save(narrow.mapInArrow(in_task(_classify, size, percent, common), schema), "classes")
@@ -560,15 +563,17 @@ def jaccard_components(
 def keep_representatives(
     docs: DataFrame, workspace: Workspace, size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """The stored table ``docs`` with one row of each group of near copies: the one with the smallest doc_id.
+    """``docs`` with one row of each group of near copies: the one with the smallest doc_id.
 
     If that row is repeated the first one stays, by its place in the table. Rows with an empty set are
-    in no group and stay.
+    in no group and stay. The table is written with its rows numbered, since a second scan of it may be
+    split in another way.
     """
-    rows, classes = _grouped(docs, workspace, size, percent)
+    docs, _ = workspace.save(docs.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    rows, classes = _grouped(docs, workspace, size, percent, F.col("__at"))
     first = classes.select(F.col("first.place").alias("__place"), F.col("first.doc_id").alias("__id")).distinct()
     alone = rows.where("class IS NULL").select(F.col("place").alias("__place"), F.col("doc_id").alias("__id"))
     # What stays grows with the table: the narrow side is hashed part by part, the texts are not sorted.
     staying = first.unionByName(alone).hint("shuffle_hash")
     same = (F.col("__at") == F.col("__place")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return docs.withColumn("__at", F.monotonically_increasing_id()).join(staying, same, "left_semi").drop("__at")
+    return docs.join(staying, same, "left_semi").drop("__at")

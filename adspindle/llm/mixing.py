@@ -49,7 +49,7 @@ def mix_sources(
     share: float = SHARE,
     max_copies: int = MAX_COPIES,
 ) -> DataFrame:
-    """Every row of the stored table ``docs`` with ``__copies``, how often the mix takes it.
+    """Every row of ``docs`` with ``__copies``, how often the mix takes it.
 
     A source's target is its part by weight of ``share`` times all words, at most ``max_copies``
     times its own words. A document's expected copies are its source's ratio of target to words, a
@@ -63,12 +63,13 @@ def mix_sources(
     source has to fit a task. Random numbers come from a hash of doc_id and text, ties go by the
     row's place in the table, and sums are of whole numbers, so reruns agree. A null source is a source of its own; documents without words are never taken.
     An empty table gives no rows. The columns of ``docs`` may have any name not led by two underscores.
+    The table is written with its rows numbered, since a second scan of it may be split in another way.
     """
-    taken = sample_copies(docs, workspace, weights, share, max_copies)
+    read, _ = workspace.save(docs.withColumn("__number", F.monotonically_increasing_id()), "numbered")
+    taken = sample_copies(read, workspace, weights, share, max_copies, F.col("__number"))
     taken = taken.select("__read", F.col("doc_id").alias("__doc"), "__copies")
-    read = docs.withColumn("__read", F.monotonically_increasing_id())
     same = (F.col("__number") == F.col("__read")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
-    return read.withColumnRenamed("__read", "__number").join(taken, same).drop("__read", "__doc", "__number")
+    return read.join(taken, same).drop("__read", "__doc", "__number")
 
 
 def sample_copies(
@@ -77,15 +78,17 @@ def sample_copies(
     weights: Sequence[float] = WEIGHTS,
     share: float = SHARE,
     max_copies: int = MAX_COPIES,
+    place: Column | None = None,
 ) -> DataFrame:
     """``doc_id, __read, __size, __source_size, __target, __copies`` of every row; ``__read`` is its place in the scan.
 
-    ``mix_sources`` describes the sample.
+    ``place`` is a stored number of each row to take instead. ``mix_sources`` describes the sample.
     """
+    place = F.monotonically_increasing_id() if place is None else place
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     narrow = docs.select(
         "doc_id",
-        F.monotonically_increasing_id().alias("__read"),
+        place.alias("__read"),
         size.alias("__size"),
         F.col("source").alias("__source"),
         _uniform(F.col("doc_id"), F.col("text")).alias("__u"),

@@ -93,6 +93,18 @@ def test_one_of_each_group_stays(make_docs, ws, tmp_path):
     assert set(got) == want and len(got) == len(want) + 1  # two rows without an id
 
 
+def test_rows_are_found_again_when_the_table_is_split_in_another_way(spark, make_docs, ws, tmp_path):
+    rows = [(i, f"w{i} x{i} y{i}") for i in range(300)] + [(i, f"w{i} x{i} y{i}") for i in range(300)]
+    docs = make_docs(rows, tmp_path / "docs")
+    kept = keep_representatives(docs, ws)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
 def test_query_equals_its_oracle(spark):
     sf = "/root/testdata/sf0.01"
     brute.same_as_oracle(QUERIES["op7_ngram_jaccard_join"](spark, sf), "op7_ngram_jaccard_join", sf)

@@ -112,6 +112,17 @@ def test_mix_of_odd_rows(spark, make_docs, odd_texts, tmp_path):
     assert sample_copies(make_docs([]), Workspace(spark, "mix")).count() == 0
 
 
+def test_mixed_rows_are_found_again_when_the_table_is_split_in_another_way(spark, make_docs, ws, tmp_path):
+    mixed = mix_sources(make_docs([(i, f"w{i} x y z") for i in range(400)], tmp_path / "docs"), ws)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+        found = mixed.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert sorted(r["doc_id"] for r in found) == list(range(400)) and sum(r["__copies"] for r in found) == 600
+
+
 def test_repeated_rows_are_drawn_each(spark, make_docs, ws):
     drawn = sample_copies(make_docs([(1, "a b c")] * 30 + [(None, "a b c")] * 30), ws)
     assert drawn.count() == 60

@@ -55,12 +55,14 @@ def mix_sources(
     times its own words. A document's expected copies are its source's ratio of target to words, a
     quarter more or less for long and short documents, so inclusion odds differ within a source too.
     The whole part of that number is certain. The rest is a Pareto order sample: documents are ranked
-    by the odds of a random number divided by the odds of that remainder, and taken in this order up
-    to the words still wanted. The sample is fixed in words, not in documents; one last document, the
-    one whose size comes nearest to what is still missing, closes the gap. No document is cut.
+    by the odds of a random number divided by the odds of that remainder, and taken in this order if
+    they fit into the words still wanted; who doesn't is passed over. The sample is fixed in words, not
+    in documents; one last document, the one whose size comes nearest to what is still missing, closes
+    the gap. No document is cut.
 
     The ranking is a global sort by source and rank with running sums from partition totals, so no
-    source has to fit a task. Random numbers come from a hash of doc_id and text, ties go by the
+    source has to fit a task; after each document too long for the words left the sums are taken anew
+    over those that fit. Random numbers come from a hash of doc_id and text, ties go by the
     row's place in the table, and sums are of whole numbers, so reruns agree. A null source is a source of its own; documents without words are never taken.
     An empty table gives no rows. The columns of ``docs`` may have any name not led by two underscores.
     The table is written with its rows numbered, since a second scan of it may be split in another way.
@@ -146,19 +148,24 @@ def _sample(expected: DataFrame, workspace: Workspace) -> DataFrame:
     # Documents without a remainder rank last: they take no part in the sample.
     chance = F.col("__part_copy")
     rank = F.when(chance > 0, odds(F.col("__u")) / odds(chance)).otherwise(F.lit(float("inf")))
-    ranked = numbered(expected.withColumn("__rank", rank), ["__source", "__rank", "__read"], workspace, "ranked")
-    certain = ranked.groupBy(F.col("__source").alias("__s")).agg(
-        (F.first("__target") - F.sum(F.col("__whole") * F.col("__size"))).alias("__need")
-    )
-    certain, _ = workspace.save(certain, "certain")
+    placed = numbered(expected.withColumn("__rank", rank), ["__source", "__rank", "__read"], workspace, "ranked")
+    placed = placed.withColumn("__in", F.lit(False))
+    columns = [c for c in placed.columns if c != "__in"]
+    taken = (F.col("__whole") + F.col("__in").cast("bigint")) * F.col("__size")
     same = F.col("__source").eqNullSafe(F.col("__s"))
-    placed = totals_before(ranked, ["__source"], {"__before": F.col("__size")}, workspace)
-    placed = placed.join(certain, same).drop("__s")
-    sampled = (F.col("__rank") < float("inf")) & (F.col("__before") + F.col("__size") <= F.col("__need"))
-    placed, _ = workspace.save(placed.withColumn("__in", sampled), "placed")
-    # Sizes are positive here, so what is taken is a first part of the order.
-    gap = F.first("__need") - F.coalesce(F.sum(F.when(F.col("__in"), F.col("__size"))), F.lit(0))
-    gaps, _ = workspace.save(placed.groupBy(F.col("__source").alias("__s")).agg(gap.alias("__gap")), "gaps")
+    while True:
+        gaps = placed.groupBy(F.col("__source").alias("__s")).agg((F.first("__target") - F.sum(taken)).alias("__gap"))
+        gaps, _ = workspace.save(gaps, "gaps")
+        known = placed.join(gaps, same).drop("__s")
+        # Sizes are positive here, so each round takes the first that fits of every source that has one.
+        fits = ~F.col("__in") & (F.col("__rank") < float("inf")) & (F.col("__size") <= F.col("__gap"))
+        if known.where(fits).isEmpty():
+            break
+        known = known.withColumn("__fits", fits)
+        size = F.when(F.col("__fits"), F.col("__size")).otherwise(F.lit(0))
+        known = totals_before(known, ["__source"], {"__before": size}, workspace)
+        now = F.col("__fits") & (F.col("__before") + F.col("__size") <= F.col("__gap"))
+        placed, _ = workspace.save(known.select(*columns, (F.col("__in") | now).alias("__in")), "placed")
     open_ = placed.where("NOT __in AND __size > 0 AND __rank < double('inf')").join(gaps, same)
     miss = F.abs(F.col("__gap") - F.col("__size"))
     last = (

@@ -129,6 +129,15 @@ def test_repeated_rows_are_drawn_each(spark, make_docs, ws):
     assert drawn.agg(F.sum(F.col("__copies") * F.col("__size"))).first()[0] == 60 * 3 * 1.5
 
 
+def test_a_document_longer_than_the_words_wanted_is_passed_over(make_docs, ws):
+    # Half a copy each: about as many words are wanted as the long one has, but a little fewer.
+    for seed in range(4):
+        rows = [(i, f"s{seed} " + "w " * (99 if i else 19_999)) for i in range(200)]
+        drawn = sample_copies(make_docs(rows), ws, weights=(1,), share=0.4).collect()
+        target, taken = drawn[0]["__target"], sum(r["__copies"] * r["__size"] for r in drawn)
+        assert target < 20_000 and abs(taken - target) <= 50
+
+
 def test_inclusion_odds_follow_the_expectation(spark, make_docs, ws):
     # Of equally long documents with 1.5 expected copies, each is taken once or twice, half of them twice.
     drawn = sample_copies(make_docs([(i, f"w{i} x y z") for i in range(400)]), ws, weights=(1,), share=1.5)

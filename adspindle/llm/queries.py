@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspindle.llm import jaccard, mixing, neighbours, outliers, packing, quality, secret_scan, sharding, tokens, urls
+from adspindle.llm import (
+    codes,
+    jaccard,
+    mixing,
+    neighbours,
+    outliers,
+    packing,
+    periodic,
+    quality,
+    secret_scan,
+    sharding,
+    tokens,
+    toxicity,
+    urls,
+)
 from adspindle.llm.ship import ship_package
 from adspindle.sources.workspace import Workspace
 
@@ -104,6 +118,22 @@ def op10_secret_scans(spark, sf_dir):
     return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_toxicity(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.classify_toxicity(docs, labels, Workspace(spark, "op11"))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    return codes.code_digests(_table(spark, sf_dir, "embeddings"), Workspace(spark, "op12"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return periodic.run_digests(_table(spark, sf_dir, "documents"))
+
+
 _PARTS = """
     SELECT page_id, coalesce(url, '') AS u, strpos(coalesce(url, ''), '://') AS edge FROM pages
 """
@@ -189,3 +219,105 @@ SELECT s.doc_id, len(s.shingles) AS n_shingles, min(o.doc_id) AS component_id
 FROM sets s JOIN reach ON s.r = reach.r JOIN sets o ON reach.other = o.r
 GROUP BY s.r, s.doc_id, s.shingles
 """
+
+_CRC_CODES = """
+    SELECT list(code ORDER BY i) AS code FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS code
+        FROM range(256) t(i))
+"""
+
+
+def _vector_code_rounds() -> str:
+    """The rounds of the codebooks, one step after the other."""
+    near = """
+    SELECT r, p, e FROM (
+        SELECT x.r, x.p, b.e, row_number() OVER (PARTITION BY x.r, x.p ORDER BY list_sum(list_transform(
+            range(1, len(x.v) + 1), lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i]))), b.e) AS place
+        FROM parts x JOIN book{n} b ON x.p = b.p)
+    WHERE place = 1
+    """
+    steps = []
+    for n in range(codes.ROUNDS):
+        steps.append(f"near{n} AS MATERIALIZED ({near.format(n=n)})")
+        steps.append(f"""book{n + 1} AS MATERIALIZED (
+    SELECT p, e, list(m ORDER BY i) AS v FROM (
+        SELECT b.p, b.e, i.i, CASE WHEN count(x.r) > 0
+                   THEN (sum(x.v[i.i]) - ((sum(x.v[i.i]) % count(x.r)) + count(x.r)) % count(x.r)) // count(x.r)
+                   ELSE any_value(b.v[i.i]) END AS m
+        FROM book{n} b CROSS JOIN (SELECT unnest(range(1, (SELECT max(len(v)) FROM parts) + 1)) AS i) i
+        LEFT JOIN near{n} a ON a.p = b.p AND a.e = b.e LEFT JOIN parts x ON x.r = a.r AND x.p = a.p
+        GROUP BY b.p, b.e, i.i)
+    GROUP BY p, e)""")
+    steps.append(f"final AS MATERIALIZED ({near.format(n=codes.ROUNDS)})")
+    return ", ".join(steps)
+
+
+ORACLES["op12_vector_codes"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+           list_transform(embedding, lambda x: cast(floor(x::DOUBLE * {codes.SCALE}) AS BIGINT)) AS w
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT r, p, w[p * len(w) // {codes.PARTS} + 1 : (p + 1) * len(w) // {codes.PARTS}] AS v
+    FROM kept CROSS JOIN (SELECT unnest(range({codes.PARTS})) AS p)
+), book0 AS (
+    SELECT p, r - 1 AS e, v FROM parts WHERE r <= {codes.ENTRIES}
+), {_vector_code_rounds()}, coded AS (
+    SELECT x.r, string_agg(printf('%02x', f.e), '' ORDER BY x.p) AS code,
+           cast(sum(list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i])))) AS BIGINT) AS error
+    FROM parts x JOIN final f ON f.r = x.r AND f.p = x.p JOIN book{codes.ROUNDS} b ON b.p = f.p AND b.e = f.e
+    GROUP BY x.r
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{codes.ROUNDS}
+)
+SELECT k.vec_id, c.code, c.error, cast(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept k JOIN coded c ON c.r = k.r CROSS JOIN digest
+"""
+
+# Two places that share five words at some distance lie in a stretch that repeats at that distance; a run has such places.
+ORACLES["op13_periodic_runs"] = rf"""
+WITH codes AS ({_CRC_CODES}
+), split AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w, hex(encode(doc_id::VARCHAR)) AS h
+    FROM documents
+), seeded AS (
+    SELECT r, doc_id, w, len(w) AS n, xor(list_reduce(
+               list_prepend(4294967295, list_transform(range(length(h) // 2), lambda k: cast('0x' || substr(h, 2 * k + 1, 2) AS BIGINT))),
+               lambda c, b: xor(c >> 8, code[(xor(c, b) & 255) + 1])), 4294967295) AS seed
+    FROM split, codes
+), placed AS (
+    SELECT *, (seed // 10) % greatest(n, 1) AS a FROM seeded
+), made AS MATERIALIZED (
+    SELECT r, doc_id, n, CASE WHEN seed % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+               w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (seed // 10) % 8)) END]) ELSE w END AS w
+    FROM placed
+), fives AS MATERIALIZED (
+    SELECT r, i, hash(w[i + 1], w[i + 2], w[i + 3], w[i + 4], w[i + 5]) AS five
+    FROM (SELECT r, w, unnest(range(n - 4)) AS i FROM made WHERE n >= 6)
+), near AS (
+    SELECT a.r, a.i, b.i - a.i AS q FROM fives a JOIN fives b ON a.r = b.r AND a.five = b.five AND b.i > a.i
+    JOIN made m ON m.r = a.r AND 4 * (b.i - a.i) <= m.n
+), islands AS (
+    SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM near
+), stretches AS (
+    SELECT r, q, min(i) AS start, count(*) + 4 + q AS length FROM islands GROUP BY r, q, island
+), runs AS MATERIALIZED (
+    SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length
+), dropped AS (
+    SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), staying AS (
+    SELECT m.r, string_agg(m.word, ' ' ORDER BY m.i) AS collapsed
+    FROM (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM made) m LEFT JOIN dropped d ON d.r = m.r AND d.i = m.i
+    WHERE d.r IS NULL GROUP BY m.r
+), listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS all_runs FROM runs GROUP BY r
+), best AS (
+    SELECT a.r, a.start, a.length, a.period FROM runs a
+    QUALIFY row_number() OVER (PARTITION BY a.r ORDER BY a.length::DOUBLE / a.period DESC, a.start, a.period) = 1
+)
+SELECT m.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+       sha256(coalesce(l.all_runs, '')) AS runs_sha256, sha256(coalesce(s.collapsed, '')) AS collapsed_sha256
+FROM made m LEFT JOIN listed l ON l.r = m.r LEFT JOIN best b ON b.r = m.r LEFT JOIN staying s ON s.r = m.r
+"""

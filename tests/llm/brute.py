@@ -72,9 +72,74 @@ def url_parts(url):
 def same_as_oracle(found, name, sf_dir):
     """Whether a query's rows are those of its SQL."""
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     answer = duck.execute(ORACLES[name])
     names = [d[0] for d in answer.description]
     assert sorted(names) == sorted(found.columns)
     assert sorted(map(repr, answer.fetchall())) == sorted(repr(tuple(r[n] for n in names)) for r in found.collect())
+
+
+def runs(w):
+    """All runs of a list of words, (start, length, period), straight from the definition."""
+    found = {}
+    for q in range(1, len(w) // 4 + 1):
+        start = 0
+        while start + q < len(w):
+            end = start + q
+            while end < len(w) and w[end] == w[end - q]:
+                end += 1
+            if end - start >= max(6, 4 * q):
+                found.setdefault((start, end - start), q)
+            start = max(end - q, start) + 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def best_segments(scores):
+    """The segments with the greatest sum, each between those found before; only those above zero."""
+    best, at = 0, None
+    for a in range(len(scores)):
+        for b in range(a + 1, len(scores) + 1):
+            if sum(scores[a:b]) > best + 1e-12:
+                best, at = sum(scores[a:b]), (a, b)
+    if at is None:
+        return []
+    a, b = at
+    right = [(x + b, y + b, s) for x, y, s in best_segments(scores[b:])]
+    return [*best_segments(scores[:a]), (a, b, best), *right]
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """(vec_id, code, error, label_error) and all final entries of rows (vec_id, vector, label)."""
+    import math
+
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    cut = []
+    for _, v, _ in kept:
+        whole = [math.floor(4096 * x) for x in v]
+        size = len(whole) // parts
+        cut.append([whole[p * size : (p + 1) * size] for p in range(parts)])
+    books = [[list(c[p]) for c in cut[:entries]] for p in range(parts)]
+
+    def away(a, b):
+        return sum((x - y) ** 2 for x, y in zip(a, b))
+
+    def nearest(p, v):
+        return min(range(len(books[p])), key=lambda e: (away(books[p][e], v), e))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = collections.defaultdict(list)
+            for c in cut:
+                groups[nearest(p, c[p])].append(c[p])
+            for e, own in groups.items():
+                books[p][e] = [sum(x) // len(own) for x in zip(*own)]
+    coded = []
+    for c in cut:
+        near = [nearest(p, c[p]) for p in range(parts)]
+        coded.append(("".join(f"{e:02x}" for e in near), sum(away(books[p][e], c[p]) for p, e in enumerate(near))))
+    labels = collections.Counter()
+    for (_, _, label), (_, error) in zip(kept, coded):
+        labels[label] += error
+    return [(r[0], code, error, labels[r[2]]) for r, (code, error) in zip(kept, coded)], books

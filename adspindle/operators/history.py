@@ -100,5 +100,14 @@ def import_profiles(profiles: DataFrame, allow_bad: bool = False) -> tuple[DataF
     return tags, ids
 
 
+AS_OF = "as_of"
+
+
+def weights_on(tags: DataFrame, day: Column, factor: float = DECAY) -> DataFrame:
+    """Tag rows whose weights belong to the day ``as_of``, as they are on ``day``: decayed once for each day since."""
+    days = F.datediff(day, F.col(AS_OF))
+    return tags.withColumn("weight", F.col("weight") * F.pow(F.lit(factor), days)).drop(AS_OF)
+
+
 def decay_tags(tags: DataFrame, factor: float = DECAY) -> DataFrame:
     return tags.withColumn("weight", F.col("weight") * F.lit(factor))

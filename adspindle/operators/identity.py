@@ -16,6 +16,7 @@ from adspindle.operators.joins import (
     hot_key_sketch,
     hot_keys_of_sketch,
     lookup_join,
+    measured,
     skew_join,
 )
 from adspindle.schema import ID_COLUMNS
@@ -205,6 +206,84 @@ def resolve_users(
     )
 
 
+@dataclass(frozen=True)
+class Increment:
+    """What a day's records change in a stored table of members.
+
+    ``users`` resolves the day's records. ``touched`` (userid, to) has every stored user that the records meet
+    with its user from now on; ``small`` tells whether it may be broadcast. ``members`` are the stored ones under
+    their users' names of now, ``fresh`` those that the records add.
+    """
+
+    users: Users
+    touched: DataFrame
+    small: bool
+    members: DataFrame
+    fresh: DataFrame
+
+    def all_members(self) -> DataFrame:
+        return self.members.unionByName(self.fresh)
+
+
+def resolve_increment(
+    records: DataFrame,
+    stored: DataFrame,
+    workspace: Workspace,
+    limit: int = BROADCAST_BYTES,
+    min_rows: int = HOT_ROWS,
+) -> Increment:
+    """Users of records ``(userid, ids)`` and of stored members ``(userid, id)``, at the cost of the records.
+
+    The stored members are a star forest: each identifier hangs on its user, the lowest of them. Only the
+    day's identifiers are looked up in it; each stands for its user, so the day's pairs become links between
+    stored users and new identifiers, and only these are contracted. A user's lowest identifier is among
+    what is contracted, so names come out as if everything had been resolved at once. Of the stored members
+    those of users that now have another name are renamed, in a pass that moves nothing while the names are few.
+    """
+    spark = workspace.spark
+    seen = Observation()
+    watched = records.observe(seen, F.count(F.lit(1)).alias("rows"), hot_key_sketch(spark, "userid").alias("sketch"))
+    pairs, _ = workspace.save(identity_pairs(watched), "day-pairs")
+    found = observed(seen)
+    ids, ids_bytes = measured(pairs.select("id").distinct(), workspace, "day-ids")
+
+    # The day's identifiers are sent to the stored ones, which are not moved, while that is possible.
+    known = stored.select(F.col("userid").alias("star"), "id")
+    known = known.join(F.broadcast(ids) if ids_bytes <= limit else ids.hint("shuffle_hash"), "id")
+    known, known_bytes = measured(known.select("id", "star"), workspace, "day-known")
+    small_known = known_bytes <= limit
+
+    def starred(df: DataFrame, column: str) -> DataFrame:
+        table = known.select(F.col("id").alias(column), "star")
+        joined = lookup_join(df, table, column, "left", limit, min_rows, small=small_known, null_keys=False)
+        return joined.withColumn(column, F.coalesce("star", column)).drop("star")
+
+    edges = identity_edges(starred(starred(pairs, "userid"), "id")).distinct()
+    edges, _ = workspace.save(edges, "day-edges")
+    linked, linked_bytes = measured(connected_components(edges, workspace, min_rows, "day-components"), workspace, "day-linked")
+
+    today = lookup_join(ids, known, "id", "left", limit, min_rows, small=small_known, null_keys=False)
+    today = today.withColumn("old", F.coalesce("star", "id"))
+    names = linked.select(F.col("id").alias("old"), "component")
+    today = lookup_join(today, names, "old", "left", limit, min_rows, small=linked_bytes <= limit, null_keys=False)
+    today = today.select("id", "star", F.coalesce("component", "old").alias("component"))
+    today, today_bytes = measured(today, workspace, "day-users")
+
+    touched = today.where("star IS NOT NULL").select(F.col("star").alias("userid"), F.col("component").alias("to")).distinct()
+    touched, touched_bytes = measured(touched, workspace, "day-touched")
+    renamed = touched.where("userid <> to")
+    members = lookup_join(stored.select("userid", "id"), renamed, "userid", "left", limit, min_rows, touched_bytes <= limit, null_keys=False)
+    members = members.select(F.coalesce("to", "userid").alias("userid"), "id")
+    fresh = today.where("star IS NULL").select(F.col("component").alias("userid"), "id")
+    users = Users(
+        today.select("id", "component"),
+        today.select(F.col("component").alias("userid"), "id"),
+        today_bytes <= limit,
+        hot_keys_of_sketch(spark, found.get("sketch"), found["rows"], min_rows),
+    )
+    return Increment(users, touched, touched_bytes <= limit, members, fresh)
+
+
 def canonical_user_id(members: DataFrame) -> DataFrame:
     """One identifier per component, the lowest, whatever the order of arrival."""
     return members.groupBy("component").agg(F.min("id").alias("userid"))

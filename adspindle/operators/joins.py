@@ -203,20 +203,166 @@ def lookup_join(
     return skew_join(left, right, on, hot, how=how, null_keys=null_keys)
 
 
+# A grid sends at most this many times the rows of a key; more cells need a higher value.
+GRID_COPIES = 2.0
+
+
+def grid_shape(left_rows: int, right_rows: int, cells: int, copies: float = GRID_COPIES) -> tuple[int, int]:
+    """Into how many rows and columns of a grid a key's left and right rows are dealt.
+
+    Each left row is sent to every column, each right row to every row: left * columns + right * rows in all,
+    which stays within ``copies`` times the rows there are. Of these shapes one with about the most cells, up
+    to ``cells``; both sides get parts of about the same size.
+    """
+    budget = copies * (left_rows + right_rows)
+    columns = max(1, int(budget / (2 * max(left_rows, 1))))
+    columns = min(columns, max(right_rows, 1), cells)
+    rows = max(1, int((budget - left_rows * columns) / max(right_rows, 1)))
+    rows = min(rows, max(left_rows, 1), max(1, cells // columns))
+    # What the left side has left over goes to the columns.
+    columns = max(columns, min(int((budget - right_rows * rows) / max(left_rows, 1)), max(right_rows, 1), cells // rows))
+    return rows, columns
+
+
+def grid_shapes(
+    left: DataFrame, right: DataFrame, on: str, min_rows: int = HOT_ROWS, copies: float = GRID_COPIES
+) -> dict[object, tuple[int, int]]:
+    """The grid of every key that is hot on either side, from its exact numbers of rows on both."""
+    spark = left.sparkSession
+    hot = hot_keys(left, on, min_rows)
+    for key, tasks in hot_keys(right, on, min_rows).items():
+        hot[key] = hot.get(key, 1) * tasks
+    if not hot:
+        return {}
+    # Fewer keys than both sides have shuffle partitions.
+    named = spark.createDataFrame([(k,) for k in hot], T.StructType([T.StructField(on, left.schema[on].dataType)]))
+    counts = []
+    for side in (left, right):
+        counted = side.select(on).join(F.broadcast(named), on).groupBy(on).count().collect()
+        counts.append({r[0]: r[1] for r in counted})
+    return {k: grid_shape(counts[0].get(k, 0), counts[1].get(k, 0), tasks, copies) for k, tasks in hot.items()}
+
+
+def grid_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    grids: Mapping[object, tuple[int, int]] | None = None,
+    how: str = "left",
+    min_rows: int = HOT_ROWS,
+    spread: tuple[Sequence[str], Sequence[str]] | None = None,
+) -> DataFrame:
+    """Left or inner join for keys that are hot on both sides: each such key is a grid of tasks.
+
+    A left row goes to one row of its key's grid and there to every column, a right row to one column and
+    there to every row, so each pair meets once and no task has all of either side. Other keys are joined
+    as usual, left rows without a key are spread. ``spread`` names columns of both sides to deal rows by where
+    these come from a shuffle (see ``skew_join``).
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("a grid fits left and inner joins only")
+    spark = left.sparkSession
+    right = right.where(F.col(on).isNotNull())
+    if grids is None:
+        grids = grid_shapes(left, right, on, min_rows)
+    if how == "inner":
+        left = left.where(F.col(on).isNotNull())
+    fields = [T.StructField(on, left.schema[on].dataType)]
+    fields += [T.StructField(c, T.IntegerType()) for c in ("__rows", "__columns")]
+    # As few rows as there are hot keys.
+    table = F.broadcast(spark.createDataFrame([(k, *shape) for k, shape in grids.items()], T.StructType(fields)))
+    numbers = [_spread_number(side, names) for side, names in zip((left, right), spread or (None, None))]
+
+    def dealt(n: Column, number: Column) -> Column:
+        return F.when(n > 1, F.pmod(number, n.cast("bigint")).cast("int")).otherwise(F.lit(0))
+
+    everywhere = F.when(F.col(on).isNull(), F.lit(shuffle_partitions(spark)))
+    rows, columns = F.coalesce("__rows", everywhere, F.lit(1)), F.coalesce("__columns", F.lit(1))
+    placed = left.join(table, on, "left").withColumn("__row", dealt(rows, numbers[0])).withColumn("__many", columns > 1)
+    placed = placed.withColumn("__column", F.explode(F.sequence(F.lit(0), columns - 1))).drop("__rows", "__columns")
+    copied = right.join(table, on, "left").withColumn("__column", dealt(F.coalesce("__columns", F.lit(1)), numbers[1]))
+    copied = copied.withColumn("__row", F.explode(F.sequence(F.lit(0), F.coalesce("__rows", F.lit(1)) - 1)))
+    copied = copied.drop("__rows", "__columns").withColumn("__met", F.lit(True))
+    joined = placed.join(copied, [on, "__row", "__column"], how)
+    if how == "left":
+        # Of a key with several columns the right side has rows; a column without any adds nothing.
+        joined = joined.where(F.col("__met") | ~F.col("__many"))
+    return joined.drop("__row", "__column", "__many", "__met")
+
+
+# Bits of the filter of a table's keys: 16 MiB, whatever the table's size. More keys make it let more rows through.
+KEY_BITS = 2**27
+_BITMAP_BITS = 8 * 4096
+
+
+def key_filter(df: DataFrame, key: str, bits: int = KEY_BITS) -> DataFrame:
+    """``(__part, __bits)``: a bitmap of the hashes of all keys, in at most ``bits`` / 32768 rows of 4 KiB.
+
+    One aggregate whose tasks send no more than the bitmap itself.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    known = df.where(F.col(key).isNotNull()).select(place.alias("__place"))
+    part = F.expr(f"__place div {_BITMAP_BITS}").alias("__part")
+    position = F.col("__place") % _BITMAP_BITS
+    return known.groupBy(part).agg(F.bitmap_construct_agg(position).alias("__bits"))
+
+
+def with_possible_match(df: DataFrame, key: str, known: DataFrame, name: str, bits: int = KEY_BITS) -> DataFrame:
+    """``df`` with whether the row's key may be among those of a ``key_filter``; a key that is there always may."""
+    asked = df.withColumn("__place", F.pmod(F.xxhash64(key), F.lit(bits)))
+    # Bounded by ``bits``, not by the table.
+    joined = asked.join(F.broadcast(known), F.expr(f"__place div {_BITMAP_BITS}") == F.col("__part"), "left")
+    byte = F.expr(f"substring(__bits, cast(__place % {_BITMAP_BITS} div 8 as int) + 1, 1)")
+    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("__place") % 8).cast("int")) == 1
+    may = F.coalesce(hit & F.col(key).isNotNull(), F.lit(False))
+    return joined.withColumn(name, may).drop("__place", "__part", "__bits")
+
+
+def filtered_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    bits: int = KEY_BITS,
+    min_rows: int = HOT_ROWS,
+    hot: Sequence | Mapping[object, int] | None = None,
+) -> DataFrame:
+    """Left join of two large tables in which many left rows match nothing: these go round the shuffle.
+
+    A bitmap of the right keys tells which left rows can match; only they are shuffled, with hot keys spread.
+    The others, rows without a key among them, get nulls where they are. The left side is scanned twice.
+    """
+    known = key_filter(right, on, bits)
+    asked = with_possible_match(left, on, known, "__may", bits)
+    may, none = asked.where("__may").drop("__may"), asked.where("NOT __may").drop("__may")
+    if hot is None:
+        hot = hot_keys(may, on, min_rows)
+    met = skew_join(may, right, on, hot, null_keys=False)
+    added = {f.name: F.lit(None).cast(f.dataType) for f in right.schema.fields if f.name != on}
+    return met.unionByName(none.withColumns(added) if added else none)
+
+
 def null_safe_left_join(
     left: DataFrame,
     right: DataFrame,
     on: str,
     blank_is_null: bool = False,
     limit: int = BROADCAST_BYTES,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Left join in one pass whose keyless rows, which can match nothing, are spread over all tasks.
+    """Left join whose rows without a partner are not shuffled: keyless ones, and keys the right side doesn't have.
 
     Empty-text keys are keyless too only with ``blank_is_null``, since the right side may hold one.
-    The key column comes out as it went in.
+    The key column comes out as it went in. A right side within the limit is broadcast and nothing is
+    shuffled; beyond it see ``filtered_left_join``.
     """
+
+    def joined(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+        if fits_broadcast(right, limit):
+            return left.join(F.broadcast(right), key, "left")
+        return filtered_left_join(left, right, key, min_rows=min_rows)
+
     if not blank_is_null:
-        return lookup_join(left, right, on, "left", limit)
+        return joined(left, right, on)
     key = "__" + on
     keyed = left.withColumn(key, F.when(F.col(on) != "", F.col(on)))
-    return lookup_join(keyed, right.withColumnRenamed(on, key), key, "left", limit).drop(key)
+    return joined(keyed, right.withColumnRenamed(on, key), key).drop(key)

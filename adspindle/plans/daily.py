@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from adspindle.operators.history import AS_OF, weights_on
 from adspindle.operators.places import build_district_dictionary
 from adspindle.plans.ingest import enrich_log
-from adspindle.plans.profile import History, Lookups, user_profile_long
+from adspindle.plans.profile import History, Lookups, user_profile_increment, user_profile_long
 from adspindle.plans.reports import COUNT_KEY, COUNT_REPORT, FUNNEL_REPORTS, report_bundle, report_of_bundle
-from adspindle.sources.daily import read_daily, require_unique, write_daily
+from adspindle.sources.daily import StagedDay, in_buckets, read_daily
 from adspindle.sources.workspace import Workspace
 
 # Names of the other daily tables.
@@ -41,36 +43,46 @@ def run_day(
 ) -> None:
     """Write every daily table of ``dt`` under ``root``; running it again replaces them.
 
-    ``previous_dt`` names the day whose profiles are carried over, if there is one. Profiles are stored
-    in long form, so they come back the next day exactly as they were written. Every table with a key
-    is checked for it; the log's own key, the address, repeats in any log and is not.
+    ``previous_dt`` names the day whose profiles are carried over, if there is one. Of these only what the
+    day's records meet is resolved and added to; the rest is copied where it is, with weights that say which
+    day they are of. All tables are published together at the end: if anything fails before, a key that does
+    not hold for instance, the day stays as it was. The log's own key, the address, repeats in any log and is
+    not checked.
     """
     workspace = Workspace(spark, f"day-{dt}")
-
-    def store(df: DataFrame, name: str) -> DataFrame:
-        write_daily(df, root, name, dt, TABLE_KEYS[name])
-        return require_unique(read_daily(spark, root, name, dt), TABLE_KEYS[name]).drop("dt")
-
+    day = F.to_date(F.lit(dt), "yyyyMMdd")
     try:
-        write_daily(enrich_log(inputs.log, inputs.ranges, workspace), root, ODS, dt)
-        ods = read_daily(spark, root, ODS, dt)
-
-        bundle, _ = workspace.save(report_bundle(ods), "reports")
-        for report in (COUNT_REPORT, *FUNNEL_REPORTS):
-            store(report_of_bundle(bundle, report), report)
-
-        districts = store(build_district_dictionary(ods, inputs.replies), DISTRICTS)
-        lookups = Lookups(inputs.apps, inputs.devices, districts).stored(workspace)
-
-        history = stored_profiles(spark, root, previous_dt) if previous_dt else None
-        tags, members = user_profile_long(ods, lookups, workspace, history)
-        store(tags, TAGS)
-        store(members, PROFILE_IDS)
+        with StagedDay(spark, root, dt) as tables:
+            ods = tables.write(enrich_log(inputs.log, inputs.ranges, workspace), ODS)
+
+            bundle, _ = workspace.save(report_bundle(ods), "reports")
+            for report in (COUNT_REPORT, *FUNNEL_REPORTS):
+                tables.write(report_of_bundle(bundle, report), report, TABLE_KEYS[report])
+
+            districts = tables.write(build_district_dictionary(ods, inputs.replies), DISTRICTS, TABLE_KEYS[DISTRICTS])
+            lookups = Lookups(inputs.apps, inputs.devices, districts).stored(workspace)
+
+            if previous_dt:
+                history = _stored_as_written(spark, root, previous_dt)
+                tags, members = user_profile_increment(ods, lookups, workspace, history, day)
+            else:
+                tags, members = user_profile_long(ods, lookups, workspace)
+                tags, members = in_buckets(tags.withColumn(AS_OF, day), "userid"), in_buckets(members, "id")
+            tables.write(tags, TAGS, TABLE_KEYS[TAGS], bucket_by="userid")
+            tables.write(members, PROFILE_IDS, TABLE_KEYS[PROFILE_IDS], bucket_by="id")
     finally:
         workspace.remove()
 
 
-def stored_profiles(spark: SparkSession, root: str, dt: str) -> History:
-    """The profiles that ``run_day`` stored for a day."""
+def _stored_as_written(spark: SparkSession, root: str, dt: str) -> History:
+    """The stored profiles of a day, each weight with its day; weights stored without are of ``dt``."""
     tags, ids = (read_daily(spark, root, name, dt).drop("dt") for name in (TAGS, PROFILE_IDS))
+    if AS_OF not in tags.columns:
+        tags = tags.withColumn(AS_OF, F.to_date(F.lit(dt), "yyyyMMdd"))
     return History(tags, ids)
+
+
+def stored_profiles(spark: SparkSession, root: str, dt: str) -> History:
+    """The profiles that ``run_day`` stored for a day, with their weights on that day."""
+    history = _stored_as_written(spark, root, dt)
+    return History(weights_on(history.tags, F.to_date(F.lit(dt), "yyyyMMdd")), history.ids)

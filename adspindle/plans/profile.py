@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.operators.history import DECAY, decay_tags
-from adspindle.operators.identity import first_id, identity_ids, resolve_users
+from adspindle.operators.history import AS_OF, DECAY, decay_tags, weights_on
+from adspindle.operators.identity import Increment, first_id, identity_ids, resolve_increment, resolve_users
 from adspindle.operators.joins import BROADCAST_BYTES, HOT_ROWS, measured
 from adspindle.operators.places import geohash_district_join
 from adspindle.operators.profile import merge_user_tags
 from adspindle.operators.tags import ALL_RULES, Rule, tag_rows, with_dictionary_values
 from adspindle.schema import TAG_COLUMNS
+from adspindle.sources.daily import in_buckets
 from adspindle.sources.workspace import Workspace
 
 
@@ -93,3 +94,49 @@ def user_profile_long(
     if history is not None:
         tags = tags.unionByName(decay_tags(users.relabel(history.tags), factor))
     return merge_user_tags(tags), users.members
+
+
+def carried_tags(
+    tags: DataFrame, today: DataFrame, increment: Increment, day: Column, factor: float = DECAY
+) -> tuple[DataFrame, DataFrame]:
+    """Stored tag rows ``(userid, tag, weight, as_of)`` after a day with tag rows ``today`` of resolved users.
+
+    Two parts: the rows of users that the day does not meet, as they are stored, and of those that it meets,
+    under their users' names of now, decayed to ``day`` and added to the day's. A weight says which
+    day it is of, so only what is added to has to be changed. Stored rows stay where they are: users met are
+    sent to them, or beyond the limit dealt into their buckets. The second part is in buckets too.
+    """
+    touched = increment.touched
+    met = F.broadcast(touched) if increment.small else touched.hint("shuffle_hash")
+    untouched = tags.join(met.select("userid"), "userid", "left_anti").select("userid", "tag", "weight", AS_OF)
+    carried = weights_on(tags.join(met, "userid"), day, factor).select(F.col("to").alias("userid"), "tag", "weight")
+    # Both are summed up already as far as they can be; one exchange serves the sum and the buckets.
+    merged = merge_user_tags(in_buckets(today.unionByName(carried), "userid")).withColumn(AS_OF, day)
+    return untouched, merged
+
+
+def user_profile_increment(
+    ods: DataFrame,
+    lookups: Lookups,
+    workspace: Workspace,
+    history: History,
+    day: Column,
+    factor: float = DECAY,
+    rules: Sequence[Rule] = ALL_RULES,
+    columns: Sequence[str] = TAG_COLUMNS,
+    limit: int = BROADCAST_BYTES,
+    min_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """What ``user_profile_long`` gives for a log and a history, at the cost of the log, to be filed into buckets.
+
+    ``history.tags`` has weights with their days, ``(userid, tag, weight, as_of)``, and ``history.ids`` the
+    members; the results have the same columns. Rows that the day does not change come from where they are
+    stored, all others are dealt into buckets of ``userid`` (tags) and ``id`` (members).
+    """
+    increment = resolve_increment(today_records(ods), history.ids, workspace, limit, min_rows)
+    placed = increment.users.relabel(known_users(ods, columns))
+    tags = merge_user_tags(tag_rows(tagged_log(placed, lookups, limit, min_rows), ["userid"], rules))
+    untouched, merged = carried_tags(history.tags, tags, increment, day, factor)
+    # Where too many users have new names to be sent to the stored members, these have been shuffled by user.
+    members = increment.members if increment.small else in_buckets(increment.members, "id")
+    return untouched.unionByName(merged), members.unionByName(in_buckets(increment.fresh, "id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,20 +51,32 @@ def report_ad_channel(ods: DataFrame) -> DataFrame:
     return ad_funnel(ods, FUNNEL_REPORTS["ad_channel_analysis"])
 
 
-def report_bundle(ods: DataFrame) -> DataFrame:
+# Rows are brought down to tuples of dimensions first if there are so many times fewer of these.
+TUPLE_GAIN = 4
+
+
+def fewer_tuples(log: DataFrame, dims: Sequence[str], gain: float = TUPLE_GAIN) -> bool:
+    """Whether the log has far fewer different tuples of dimensions than rows; reads the dimensions only."""
+    seen = log.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(*dims)).alias("tuples")).first()
+    return seen["tuples"] * gain <= seen["rows"]
+
+
+def report_bundle(ods: DataFrame, by_tuples: bool | None = None) -> DataFrame:
     """All reports from one scan of the log: every grouping in one aggregate, told apart by ``report``.
 
     Clients are grouped by label here, so that every report has its key. The province and city
-    count is the ``number`` column of the region rows.
+    count is the ``number`` column of the region rows. A log with far fewer tuples of all dimensions than
+    rows is brought down to these tuples, each with its measures, and only they are copied for every
+    grouping; ``by_tuples`` tells whether to, otherwise it is found out.
     """
     dims = [d for key in FUNNEL_REPORTS.values() for d in key]
     labelled = ods.withColumn("client", client_label(F.col("client")))
     sets = [[F.col(d) for d in key] for key in FUNNEL_REPORTS.values()]
-    grouped = labelled.groupingSets(sets, *dims).agg(
-        F.grouping_id().alias("grouping"),
-        F.count(F.lit(1)).alias("number"),
-        *funnel_measures(),
-    )
+    measures = [F.count(F.lit(1)).alias("number"), *funnel_measures()]
+    if fewer_tuples(labelled, dims) if by_tuples is None else by_tuples:
+        labelled = labelled.groupBy(*dims).agg(*measures)
+        measures = [F.sum(c).alias(c) for c in labelled.columns if c not in dims]
+    grouped = labelled.groupingSets(sets, *dims).agg(F.grouping_id().alias("grouping"), *measures)
     name = F.lit(None).cast("string")
     for report, key in FUNNEL_REPORTS.items():
         # A dimension that is not part of the grouping sets its bit, the first dimension the highest.

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adspindle.operators import identity
+from adspindle.sources.workspace import Workspace
 from tests.conftest import rows
 
 
@@ -93,3 +94,64 @@ def test_numbers_follow_the_order_of_identifiers(spark, workspace):
     numbered = identity.number_ids(ids, workspace, "ids").orderBy("number").collect()
     assert [r.id for r in numbered] == sorted(r.id for r in numbered)
     assert len({r.number for r in numbered}) == 5000
+
+
+class Watched(Workspace):
+    """A workspace that remembers how many rows it has written under which names."""
+
+    def __init__(self, spark):
+        super().__init__(spark, "watched")
+        self.rows = {}
+
+    def save(self, df, name, **metrics):
+        table, seen = super().save(df, name, **metrics)
+        self.rows[name] = seen["rows"]
+        return table, seen
+
+
+def records_of(spark, listed):
+    return spark.createDataFrame([(ids[0], list(ids)) for ids in listed], "userid string, ids array<string>")
+
+
+@pytest.mark.parametrize("limit, min_rows", [(2**27, 10**6), (0, 10**6), (0, 3)])
+def test_days_one_by_one_are_all_at_once(spark, limit, min_rows):
+    pick = random.Random(4)
+    days = [
+        [[f"id{pick.randrange(250):03d}" for _ in range(pick.randrange(1, 4))] for _ in range(n)] for n in (120, 60, 40)
+    ]
+    days[1] += [["id000", f"id{i:03d}"] for i in range(0, 60, 3)]  # one user that many are merged into
+    days[2].append(["a-lower-name", "id001"])
+    stored = spark.createDataFrame([], "userid string, id string")
+    seen = []
+    for day in days:
+        old = dict((i, u) for u, i in rows(stored))
+        found = identity.resolve_increment(records_of(spark, day), stored, Watched(spark), limit, min_rows)
+        members = rows(found.all_members())
+        seen += [(ids[0], i) for ids in day for i in ids]
+        want = union_find(seen)
+        assert dict((i, u) for u, i in members) == want and len(members) == len(want)
+        met = {i for ids in day for i in ids}
+        assert dict(rows(found.touched)) == {old[i]: want[i] for i in met if i in old}
+        assert dict(rows(found.users.components)) == {i: want[i] for i in met}
+        stored = spark.createDataFrame(members, "userid string, id string")
+
+
+def test_a_small_day_costs_little(spark):
+    stored = spark.createDataFrame([(f"u{i // 4:05d}", f"u{i // 4:05d}" if i % 4 == 0 else f"x{i}") for i in range(8000)], "userid string, id string")
+    day = records_of(spark, [["x1", "x9"], ["znew", "x9"], ["zlone", "zlone"], ["x6", "u00001"]])
+    workspace = Watched(spark)
+    found = identity.resolve_increment(day, stored, workspace)
+    # Two stored users become one, one new identifier joins them, and one record stays within its user.
+    assert dict(rows(found.touched)) == {"u00000": "u00000", "u00001": "u00001", "u00002": "u00000"}
+    assert rows(found.fresh) == [("u00000", "znew"), ("zlone", "zlone")]
+    assert found.all_members().count() == 8002
+    assert max(workspace.rows.values()) <= 8 and sum(workspace.rows.values()) <= 60
+
+
+def test_a_first_day_and_a_day_without_records(spark, workspace):
+    nothing = spark.createDataFrame([], "userid string, id string")
+    first = identity.resolve_increment(records_of(spark, [["b", "a"], ["c"]]), nothing, workspace)
+    assert rows(first.all_members()) == [("a", "a"), ("a", "b"), ("c", "c")] and first.touched.count() == 0
+    stored = spark.createDataFrame(rows(first.all_members()), "userid string, id string")
+    later = identity.resolve_increment(spark.createDataFrame([], "userid string, ids array<string>"), stored, workspace)
+    assert rows(later.all_members()) == rows(stored) and later.touched.count() == 0

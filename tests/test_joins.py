@@ -178,3 +178,149 @@ def test_a_lookup_table_is_computed_once(spark, workspace):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and plan.count("Range (") == 1 and "RoundRobin" not in plan
     assert joins.measured(made.where("key < 0"), workspace, "lookup")[1] == 0
+
+
+@pytest.fixture(scope="module")
+def hot_both(spark):
+    """A third of both sides on key 7, keys of one side only, rows without a key, and copies."""
+    left = spark.range(900).selectExpr("case when id % 3 = 0 then 7 when id % 20 = 1 then null else id % 50 end as key", "id % 6 as x")
+    right = spark.range(300).selectExpr("case when id % 3 = 0 then 7 when id % 30 = 1 then null else id % 70 end as key", "id % 9 as y")
+    return left.repartition(5).cache(), right.repartition(3).cache()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("grids", [{}, {7: (1, 1)}, {7: (3, 2)}, {7: (2, 100), 5: (2, 1), 49: (4, 1), 1000: (3, 3)}, None])
+def test_grid_join_equals_plain_join(hot_both, how, grids):
+    left, right = hot_both
+    joined = joins.grid_join(left, right, "key", grids, how, min_rows=10)
+    assert rows(joined) == rows(left.join(right, "key", how))
+
+
+def test_grid_of_a_key_only_one_side_has(spark, hot_both):
+    left, right = hot_both
+    grids = joins.grid_shapes(left, right.where("key <> 7"), "key", min_rows=10)
+    assert all(columns == 1 for _, columns in grids.values())
+    joined = joins.grid_join(left, right.where("key <> 7"), "key", {7: joins.grid_shape(300, 0, 8)})
+    assert rows(joined) == rows(left.join(right.where("key <> 7"), "key", "left"))
+
+
+@pytest.mark.parametrize("left_rows, right_rows", [(1000, 1000), (1000, 1), (1, 1000), (10**6, 300), (300, 10**6), (5, 0), (2, 3), (777, 1200)])
+@pytest.mark.parametrize("copies", [2.0, 5.0])
+def test_a_grid_copies_no_more_than_it_may(left_rows, right_rows, copies):
+    for cells in (2, 16, 1000):
+        r, c = joins.grid_shape(left_rows, right_rows, cells, copies)
+        assert 1 <= r * c <= cells and r <= max(left_rows, 1) and c <= max(right_rows, 1)
+        assert left_rows * c + right_rows * r <= copies * (left_rows + right_rows)
+    if left_rows == right_rows == 1000 and copies == 2:
+        assert (r, c) == (2, 2)
+
+
+@pytest.fixture()
+def shuffled_joins(spark):
+    """The engine broadcasts none of the small test tables by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_grid_sends_no_more_than_twice_the_hot_rows(spark, shuffled_joins):
+    left = spark.range(900).selectExpr("if(id % 3 = 0, 7, 10 + id) as key", "id as x").repartition(5).cache()
+    right = spark.range(900).selectExpr("if(id % 3 = 1, 7, 10 + id) as key", "id as y").repartition(3).cache()
+    grids = {7: joins.grid_shape(300, 300, 16)}
+    assert grids == {7: (2, 2)}
+    joined = joins.grid_join(left, right, "key", grids)
+    assert joined.count() == 300 * 300 + 600
+    joined.collect()
+    # 600 other rows of each side once, 600 hot ones twice.
+    assert sum(shuffled_rows(joined)) == 2 * 600 + 2 * 600
+
+
+def shuffled_rows(df):
+    """Rows written by every exchange of a frame that has been run."""
+    found = []
+
+    def walk(plan):
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(plan.plan())
+        if name == "Exchange":
+            found.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        children = plan.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+@pytest.mark.parametrize("bits", [2**15, 2**20])
+def test_filtered_left_join_equals_plain_join(hot_both, bits):
+    left, right = hot_both
+    joined = joins.filtered_left_join(left, right.where("key % 10 = 7"), "key", bits, hot={7: 3})
+    assert joined.columns == ["key", "x", "y"]
+    assert rows(joined) == rows(left.join(right.where("key % 10 = 7"), "key", "left"))
+    nothing = right.where("y < 0")
+    assert rows(joins.filtered_left_join(left, nothing, "key", bits)) == rows(left.join(nothing, "key", "left"))
+    assert joins.filtered_left_join(left.where("x < 0"), right, "key", bits).count() == 0
+
+
+def test_rows_without_a_partner_are_not_shuffled(spark, tmp_path, shuffled_joins):
+    spark.range(20_000).selectExpr("if(id % 4 = 0, null, concat('k', id)) as key", "id as x").write.parquet(str(tmp_path / "left"))
+    spark.range(500).selectExpr("concat('k', id * 40 + 1) as key", "id as y").write.parquet(str(tmp_path / "right"))
+    left, right = (spark.read.parquet(str(tmp_path / name)) for name in ("left", "right"))
+    joined = joins.null_safe_left_join(left, right, "key", blank_is_null=True, limit=0)
+    assert joined.where("y is not null").count() == 500
+    found = joins.filtered_left_join(left, right, "key", hot={})
+    found.collect()
+    sent = sorted(shuffled_rows(found))
+    # The parts of the bitmap, the right rows, and of 20,000 left rows the 500 with a partner and few more.
+    assert len(sent) == 3 and sent[1] >= 500 and sent[2] < 600
+
+
+def test_the_filter_keeps_every_key(spark):
+    keys = spark.range(3000).selectExpr("concat('k', id) as key")
+    known = joins.key_filter(keys, "key", 2**18)
+    assert known.count() <= 8
+    asked = joins.with_possible_match(keys.unionByName(spark.range(3000).selectExpr("concat('n', id) as key")), "key", known, "may", 2**18)
+    counts = dict(rows(asked.groupBy(F.substring("key", 1, 1).alias("kind")).agg(F.count_if("may"))))
+    assert counts["k"] == 3000 and counts["n"] < 100
+
+
+def test_distinct_values_per_key(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 7, if(id % 50 = 1, null, id % 40)) as key", "if(id % 11 = 0, null, id % 130) as value")
+    none = spark.sql("select 99L as key, cast(null as bigint) as value")
+    df = df.unionByName(none)
+    want = df.groupBy("key").agg(F.count_distinct("value").alias("values"))
+    assert rows(aggregates.distinct_per_key(df, "key", "value")) == rows(want)
+    assert aggregates.distinct_per_key(df.where("key < 0"), "key", "value").count() == 0
+
+
+def test_quantiles_per_key(spark, workspace):
+    df = spark.range(4000).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 50 = 1, null, concat('k', id % 40))) as key",
+        "if(id % 13 = 0, null, (id * 7919) % 1001 * 0.5D) as value",
+    ).unionByName(spark.sql("select 'none' as key, cast(null as double) as value"))
+    found = aggregates.quantiles_per_key(df, "key", "value", [0.1, 0.5, 1.0], workspace)
+    lists = {}
+    for key, value in df.collect():
+        if value is not None:
+            lists.setdefault(key, []).append(value)
+    want = []
+    for key, values in lists.items():
+        values.sort()
+        want += [(key, q, values[max(1, -int(-q * len(values) // 1)) - 1]) for q in (0.1, 0.5, 1.0)]
+    assert rows(found) == sorted(want, key=repr)
+    assert aggregates.quantiles_per_key(df.where("value < 0"), "key", "value", [0.5], workspace).count() == 0
+
+
+def test_a_hot_key_is_looked_through_in_shares(spark, workspace):
+    df = spark.range(50_000).selectExpr("1 as key", "id as value")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    try:
+        found = aggregates.quantiles_per_key(df, "key", "value", [0.5], workspace)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows(found) == [(1, 0.5, 24_999)]
+    assert spark.read.parquet(f"{workspace._latest['quantile-shares']}").select("__part").distinct().count() > 1

@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from adspindle.operators import history, profile, tags
-from adspindle.operators.identity import resolve_users
+from adspindle.operators.identity import resolve_increment, resolve_users
 from adspindle.plans import profile as plan
 from adspindle.schema import ODS_SCHEMA
+from adspindle.sources.daily import StagedDay, in_buckets
 from adspindle.sources.dictionary import device_dictionary
 from tests.conftest import rows
 
@@ -83,6 +84,91 @@ def test_history_decays_and_joins_today(spark, lookups, workspace):
     }
 
 
+def as_of(df, day):
+    return df.withColumn("as_of", F.to_date(F.lit(day), "yyyyMMdd"))
+
+
+def on(day):
+    return F.to_date(F.lit(day), "yyyyMMdd")
+
+
+@pytest.mark.parametrize("limit", [2**27, 0])
+def test_days_by_increment_are_the_full_job(spark, lookups, workspace, limit):
+    """Each day added to what is stored gives what a resolution and decay of everything gives."""
+    rules = [tags.age_rule, tags.channel_rule]
+    days = [
+        log_rows(spark, *[
+            {"imei": f"i{(n * k) % 31}", "mac": f"m{n % 17}" if n % 3 == k % 3 else None, "age": str(n % 5), "channelid": f"c{k}"}
+            for n in range(40)
+        ])
+        for k in (1, 2, 5, 7)
+    ]
+    full = history_now = None
+    for number, log in enumerate(days):
+        day = f"2024011{number}"
+        full = plan.History(*plan.user_profile_long(log, lookups, workspace, full, rules=rules))
+        full = plan.History(*(workspace.save(x, "full")[0] for x in (full.tags, full.ids)))
+        if history_now is None:
+            stored_tags, stored_ids = as_of(full.tags, day), full.ids
+        else:
+            stored_tags, stored_ids = plan.user_profile_increment(
+                log, lookups, workspace, history_now, on(day), rules=rules, limit=limit, min_rows=20
+            )
+        history_now = plan.History(*(workspace.save(x, "stored")[0] for x in (stored_tags, stored_ids)))
+        rounded = lambda df: rows(df.select("userid", "tag", F.round("weight", 6)))
+        assert rounded(history.weights_on(history_now.tags, on(day))) == rounded(full.tags)
+        assert rows(history_now.ids) == rows(full.ids)
+
+
+def test_users_that_are_not_met_are_copied_as_they_are(spark, lookups, workspace):
+    past = spark.createDataFrame([("a", "T", 2.0), ("b", "T", 3.0), ("c", "T", 4.0)], "userid string, tag string, weight double")
+    ids = spark.createDataFrame([("a", "a"), ("b", "b"), ("c", "c"), ("c", "z")], "userid string, id string")
+    log = log_rows(spark, {"imei": "z", "mac": "b", "age": "1"})
+    found, members = plan.user_profile_increment(
+        log, lookups, workspace, plan.History(as_of(past, "20240110"), ids), on("20240112"), rules=[tags.age_rule]
+    )
+    got = {(r.userid, r.tag): (round(r.weight, 6), str(r.as_of)) for r in found.collect()}
+    assert got == {
+        ("a", "T"): (2.0, "2024-01-10"),
+        ("b", "T"): (round(7 * 0.81, 6), "2024-01-12"),
+        ("b", "AGE_1"): (1.0, "2024-01-12"),
+    }
+    assert rows(members) == [("a", "a"), ("b", "b"), ("b", "c"), ("b", "z")]
+
+
+def scans_under_exchange(df, column):
+    """Whether a scan with a column is somewhere below an exchange, in the plan as it starts."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    found, open_ = [], []
+    for line in text.split("== Initial Plan ==")[-1].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*("))
+        open_ = [x for x in open_ if x[0] < depth]
+        open_.append((depth, line))
+        if "FileScan parquet" in line and f"{column}#" in line:
+            found.append(any("Exchange" in above and "BroadcastExchange" not in above for _, above in open_))
+    return found
+
+
+@pytest.mark.parametrize("limit", [2**27, 0])
+def test_stored_tags_are_not_shuffled(spark, workspace, tmp_path, limit):
+    tag_table = spark.range(2000).selectExpr("cast(id % 500 as string) as userid", "cast(id as string) as tag", "1e0 as weight")
+    id_table = spark.range(500).selectExpr("cast(id as string) as userid", "cast(id as string) as id")
+    with StagedDay(spark, str(tmp_path), "20240101") as day:
+        stored = day.write(in_buckets(as_of(tag_table, "20240101"), "userid"), "tags", bucket_by="userid")
+        ids = day.write(in_buckets(id_table, "id"), "ids", bucket_by="id")
+    records = spark.createDataFrame([("3", ["3", "4"]), ("new", ["new"])], "userid string, ids array<string>")
+    increment = resolve_increment(records, ids, workspace, limit)
+    assert increment.small == (limit > 0)
+    today = spark.createDataFrame([("3", "T", 1.0)], "userid string, tag string, weight double")
+    untouched, merged = plan.carried_tags(stored, today, increment, on("20240102"))
+    assert scans_under_exchange(untouched, "weight") == [False]
+    carried = history.weights_on(stored.join(increment.touched.hint("shuffle_hash"), "userid"), on("20240102"))
+    assert scans_under_exchange(carried, "weight") == [False]
+    assert untouched.count() == 1992 and merged.count() == 9
+    # What was met is dealt into the buckets it is filed in.
+    assert merged.rdd.getNumPartitions() == 4
+
+
 def test_resolving_in_two_steps_gives_the_same(spark, lookups, workspace):
     today = log_rows(spark, *[{"imei": f"i{n % 7}", "mac": f"m{n % 5}" if n % 3 else None, "age": str(n % 4)} for n in range(40)])
     past = stored(spark, ("i3", "i3,x", "AGE_0 -> 1.0"), ("x", "x,m9", "AGE_1 -> 1.0"))

@@ -3,10 +3,12 @@ from pyspark.sql import functions as F
 
 from adspindle.operators.funnel import REPORT_COLUMNS, ad_funnel
 from adspindle.plans import reports
-from adspindle.plans.daily import DISTRICTS, ODS, PROFILE_IDS, TABLE_KEYS, TAGS, DayInputs, run_day
+from adspindle.plans.daily import DISTRICTS, ODS, PROFILE_IDS, TABLE_KEYS, TAGS, DayInputs, run_day, stored_profiles
 from adspindle.schema import ODS_COLUMNS, ODS_SCHEMA, RAW_COLUMNS
 from adspindle.sources.adlog import read_ad_log
-from adspindle.sources.daily import read_daily, repeated_keys, require_unique, today_keys, write_daily
+from adspindle.sources.daily import (
+    StagedDay, published, read_daily, repeated_keys, require_unique, today_keys, write_daily,
+)
 from adspindle.sources.dictionary import read_dictionary
 from adspindle.sources.workspace import work_root
 from tests.conftest import rows
@@ -51,6 +53,70 @@ def test_daily_tables_replace_only_their_day(spark, tmp_path):
     assert rows(read_daily(spark, root, "t", "20240102")) == [(k, 3, "20240102") for k in "abc"]
 
 
+def test_a_table_that_breaks_its_key_is_not_published(spark, tmp_path):
+    root, day = str(tmp_path), spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    write_daily(day, root, "t", "20240101", ["k"])
+    with pytest.raises(ValueError, match="repeat the key"):
+        write_daily(day.unionByName(day), root, "t", "20240101", ["k"])
+    assert rows(read_daily(spark, root, "t", "20240101").drop("dt")) == [("a", 1), ("b", 2)]
+    # Nothing is left of the version that was refused.
+    assert len(list((tmp_path / "t" / "dt=20240101").iterdir())) == 1
+    with pytest.raises(ValueError, match="no table"):
+        read_daily(spark, root, "t", "20240102")
+
+
+def test_versions_of_a_day(spark, tmp_path):
+    root = str(tmp_path)
+    number = lambda n: spark.createDataFrame([("a", n)], "k string, n int")
+    with StagedDay(spark, root, "20240101") as day:
+        day.write(number(1), "t")
+        day.write(number(10), "other")
+        day.write(number(2), "t")  # written again before anyone sees it
+        assert published(spark, root, "20240101") == {}
+    reading = read_daily(spark, root, "t", "20240101")
+    write_daily(number(3), root, "t", "20240101")
+    # Who began to read the version before can go on; the one before that is gone.
+    assert rows(reading) == [("a", 2, "20240101")]
+    assert rows(read_daily(spark, root, "t", "20240101")) == [("a", 3, "20240101")]
+    write_daily(number(4), root, "t", "20240101")
+    assert len(list((tmp_path / "t" / "dt=20240101").iterdir())) == 2
+    assert rows(read_daily(spark, root, "other", "20240101")) == [("a", 10, "20240101")]
+
+
+def test_bucketed_tables_are_read_in_buckets(spark, tmp_path):
+    with StagedDay(spark, str(tmp_path), "20240101") as day:
+        many = spark.range(1000).selectExpr("cast(id % 300 as string) as k", "id as n")
+        written = day.write(many.repartition(4, "k"), "t", ["n"], bucket_by="k")
+        day.write(many.where("n < 0"), "none", ["n"], bucket_by="k")
+        assert rows(written) == rows(many)
+    found = read_daily(spark, str(tmp_path), "t", "20240101")
+    counted = found.groupBy("k").count()
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert counted.count() == 300
+    assert read_daily(spark, str(tmp_path), "none", "20240101").count() == 0
+    assert read_daily(spark, str(tmp_path), "none", "20240101").columns == ["k", "n", "dt"]
+
+
+@pytest.mark.parametrize("broken", ["ad_region_analysis", TAGS, PROFILE_IDS])
+def test_a_day_that_fails_leaves_the_old_one(spark, tmp_path, monkeypatch, broken):
+    root, log = str(tmp_path), adlog.raw_log(spark, SF).where("rid < 400")
+    run_day(spark, root, "20240115", day_inputs(spark, log))
+    before = {name: rows(read_daily(spark, root, name, "20240115")) for name in (ODS, *TABLE_KEYS)}
+    write = StagedDay.write
+
+    def failing(self, df, name, *args, **options):
+        if name == broken:
+            # A table whose key does not hold.
+            df = df.unionByName(df)
+        return write(self, df, name, *args, **options)
+
+    monkeypatch.setattr(StagedDay, "write", failing)
+    with pytest.raises(ValueError, match="repeat the key"):
+        run_day(spark, root, "20240115", day_inputs(spark, log.where("rid < 200")))
+    assert {name: rows(read_daily(spark, root, name, "20240115")) for name in (ODS, *TABLE_KEYS)} == before
+    assert all(len(list((tmp_path / name / "dt=20240115").iterdir())) == 1 for name in (ODS, *TABLE_KEYS))
+
+
 def test_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3)], "k string, n int")
     assert rows(repeated_keys(df, ["k"])) == [("a", 2)]
@@ -107,6 +173,31 @@ def test_bundle_reads_the_log_once(spark):
     assert "partial_sum" in plan or "partial_count" in plan
 
 
+@pytest.mark.parametrize("by_tuples", [True, False, None])
+def test_bundle_by_tuples(spark, by_tuples):
+    log = adlog.ods(spark, SF)
+    usual, other = reports.report_bundle(log, by_tuples=False), reports.report_bundle(log, by_tuples)
+    exact = lambda df: rows(df.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in df.dtypes]))
+    assert exact(other) == exact(usual)
+    empty = log.where("rid < 0")
+    assert reports.report_bundle(empty, by_tuples).count() == 0
+
+
+def test_tuples_are_expanded_instead_of_rows(spark):
+    """Rows of few tuples are brought down before they are copied for each grouping."""
+    dims = [d for key in reports.FUNNEL_REPORTS.values() for d in key]
+    log = adlog.ods(spark, SF).withColumns({d: F.lit("x") for d in dims if d not in ("client", "networkmannerid")})
+    assert reports.fewer_tuples(log, dims) and not reports.fewer_tuples(adlog.ods(spark, SF), ["rid"])
+    plan_text = reports.report_bundle(log)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    lines = [line for line in plan_text.splitlines() if "Expand" in line or "Exchange" in line or "FileScan" in line]
+    expand = next(i for i, line in enumerate(lines) if "Expand" in line)
+    # Read from below: scan, shuffle of tuples, expand, shuffle of groups.
+    assert any("Exchange" in line for line in lines[expand + 1 :]) and "FileScan" in lines[-1]
+    direct = reports.report_bundle(log, by_tuples=False)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    lines = [line for line in direct.splitlines() if "Expand" in line or "Exchange" in line]
+    assert "Expand" in lines[-1]
+
+
 def test_an_empty_rerun_empties_the_day(spark, tmp_path):
     root, day = str(tmp_path), spark.createDataFrame([("a", 1)], "k string, n int")
     for keys in ([], ["k"]):
@@ -128,7 +219,7 @@ def test_two_days(spark, tmp_path):
     root, log = str(tmp_path), adlog.raw_log(spark, SF)
     run_day(spark, root, "20240115", day_inputs(spark, log.where("dt < '20240116'")))
     run_day(spark, root, "20240116", day_inputs(spark, log.where("dt >= '20240116'")), previous_dt="20240115")
-    first, second = (read_daily(spark, root, TAGS, dt) for dt in ("20240115", "20240116"))
+    first, second = (stored_profiles(spark, root, dt).tags for dt in ("20240115", "20240116"))
     ods = read_daily(spark, root, ODS, "20240116")
     assert ods.count() == log.where("dt >= '20240116'").count()
     assert not set(ODS_COLUMNS) - set(ods.columns)

@@ -18,6 +18,10 @@ from adspindle.sources.workspace import Workspace
 
 # The day that separates history from today.
 TODAY = "20240116"
+# Three days in a row, and which of them a row of the log falls on for jobs over three days. Rows that share
+# identifiers fall on different days.
+THREE_DAYS = ("20240114", "20240115", "20240116")
+DAY_OF_THREE = "(case when rid % 5 = 0 then 2 when rid % 3 = 0 then 1 else 0 end)"
 
 
 def _div(n: int) -> str:

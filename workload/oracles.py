@@ -7,7 +7,7 @@ from adspindle.plans.reports import FUNNEL_REPORTS
 from adspindle.schema import ODS_COLUMNS, RAW_COLUMNS
 from adspindle.sources.dictionary import DEVICE_CODES
 from workload.adlog import (
-    APP_ENTRIES, COUNTRIES, EXTRA, NESTED_RANGES, RANGES, REPLIES, ROW_COLUMN, TODAY, select_list,
+    APP_ENTRIES, COUNTRIES, DAY_OF_THREE, EXTRA, NESTED_RANGES, RANGES, REPLIES, ROW_COLUMN, TODAY, select_list,
 )
 
 ORACLES: dict[str, str] = {}
@@ -202,6 +202,16 @@ SELECT o.rid, o.imei, k.last_rid FROM ods o LEFT JOIN
   (SELECT imei, max(rid) AS last_rid FROM ods WHERE imei <> '' GROUP BY imei) k
 ON o.imei = k.imei""")
 
+ORACLES["null_safe_left_join_shuffled"] = """
+SELECT l.key, l_partkey, l_linenumber, l_quantity, o_orderstatus, o_totalprice
+FROM (SELECT CASE WHEN l_linenumber = 2 THEN NULL ELSE l_orderkey END AS key, l_partkey, l_linenumber, l_quantity FROM lineitem) l
+LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 10 = 0 AND o_orderstatus <> 'P') o ON l.key = o.o_orderkey"""
+ORACLES["grid_join"] = """
+SELECT c.key, c.c_custkey, count(p.p_partkey) AS parts, cast(sum(p.p_size) AS bigint) AS size, max(p.p_partkey) AS last
+FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN 7 ELSE c_custkey END AS key, c_custkey FROM customer) c
+LEFT JOIN (SELECT CASE WHEN p_partkey % 3 = 1 THEN 7 ELSE p_partkey END AS key, p_partkey, p_size FROM part) p ON c.key = p.key
+GROUP BY ALL"""
+
 # Reports
 
 _TRADED = "adplatformproviderid >= 100000 AND iseffective = 1 AND isbilling = 1"
@@ -254,8 +264,18 @@ ORACLES["report_bundle"] = _LABELLED + " UNION ALL ".join(
     for report, key in FUNNEL_REPORTS.items()
 )
 
+ORACLES["report_bundle_by_tuples"] = ORACLES["report_bundle"]
+
 # Other aggregates and set operations
 
+ORACLES["distinct_per_key"] = f"""
+SELECT {_HOT} AS key, count(DISTINCT CASE WHEN l_quantity > 3 THEN l_partkey END) AS values FROM lineitem GROUP BY 1"""
+ORACLES["quantiles_per_key"] = f"""
+SELECT key, quantile, min(l_partkey) AS l_partkey FROM (
+  SELECT {_HOT} AS key, l_partkey, row_number() OVER (PARTITION BY {_HOT} ORDER BY l_partkey) AS place, count(*) OVER (PARTITION BY {_HOT}) AS n
+  FROM lineitem), (SELECT unnest([0e0, 0.25e0, 0.5e0, 0.9e0, 1e0]) AS quantile)
+WHERE place >= ceil(quantile * n) GROUP BY key, quantile"""
+
 ORACLES["salted_two_phase_agg"] = f"SELECT {_HOT} AS key, count(*) AS num FROM lineitem GROUP BY 1"
 ORACLES["hot_key_detect"] = f"SELECT {_HOT} AS key, count(*) AS rows FROM lineitem GROUP BY 1 HAVING count(*) >= 100"
 _over_ods("union_all", """
@@ -288,6 +308,7 @@ _over_ids("identity_edges", "SELECT u, v FROM edges")
 _over_ids("connected_components", "SELECT id, component FROM members")
 for _name in ("component_attach_join", "component_attach_join_shuffled", "identity_resolve"):
     _over_ids(_name, "SELECT rid, userid, component FROM users JOIN members ON userid = id")
+_over_ids("identity_resolve_increment", "SELECT id, component FROM members")
 _over_ids("canonical_user_id", "SELECT component, min(id) AS userid FROM members GROUP BY component")
 
 # Tags
@@ -388,6 +409,20 @@ ORACLES["run_day_twice"] = _cte(
     merged=_merged(f"CASE WHEN users.{_DAY} THEN 0.9e0 ELSE 1e0 END"),
 ) + "SELECT userid, tag, round(weight, 6) AS weight FROM merged"
 
+# Three days, of which each has its own dictionary too.
+_THREE_PARTS = _DAY_PARTS | {
+    "districts": _DAY_PARTS["districts"].replace(f"DISTINCT {_DAY} AS first_day", f"DISTINCT {DAY_OF_THREE} AS first_day"),
+    "tagged": _LOOKUP_PARTS["tagged"].replace("= d.geohash", f"= d.geohash AND d.first_day = {DAY_OF_THREE}"),
+}
+ORACLES["run_three_days"] = _cte(
+    **_THREE_PARTS,
+    **{k: v for k, v in _ID_PARTS.items() if k != "ods"},
+    row_tags=_tags(_EVERY_RULE),
+    merged=_merged(f"CASE {DAY_OF_THREE} WHEN 0 THEN 0.9e0 * 0.9e0 WHEN 1 THEN 0.9e0 ELSE 1e0 END"),
+) + """
+SELECT userid, tag, round(weight, 6) AS weight, ids
+FROM merged JOIN (SELECT component AS userid, count(*) AS ids FROM members GROUP BY component) USING (userid)"""
+
 # History
 
 _PARSED_PARTS = {

@@ -243,6 +243,27 @@ def null_safe_left_join(spark, sf):
     return joins.null_safe_left_join(log, known, "imei", blank_is_null=True)
 
 
+@query
+def null_safe_left_join_shuffled(spark, sf):
+    """Beyond the size limit: most lines are of orders that the other side doesn't have, or have no key."""
+    lines = _lines(spark, sf, "case when l_linenumber = 2 then null else l_orderkey end")
+    some = _orders(spark, sf).where("key % 10 = 0 and o_orderstatus <> 'P'")
+    return joins.null_safe_left_join(lines, some, "key", limit=0, min_rows=10)
+
+
+@query
+def grid_join(spark, sf):
+    """A third of the rows of both sides on one key."""
+    left = table(spark, sf, "customer").selectExpr("case when c_custkey % 3 = 0 then 7 else c_custkey end as key", "c_custkey")
+    right = table(spark, sf, "part").selectExpr("case when p_partkey % 3 = 1 then 7 else p_partkey end as key", "p_partkey", "p_size")
+    counts = [{r["key"]: r["rows"] for r in joins.key_counts(side, "key", 30).collect()} for side in (left, right)]
+    grids = {k: joins.grid_shape(n, counts[1].get(k, 0), cells=16) for k, n in counts[0].items()}
+    joined = joins.grid_join(left, right, "key", grids)
+    return joined.groupBy("key", "c_custkey").agg(
+        F.count("p_partkey").alias("parts"), F.sum("p_size").cast("bigint").alias("size"), F.max("p_partkey").alias("last")
+    )
+
+
 @query
 def broadcast_join(spark, sf):
     supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
@@ -310,6 +331,7 @@ for _name in ("region", "app", "device", "network", "operator", "channel"):
     QUERIES[f"report_ad_{_name}"] = _report(getattr(reports, f"report_ad_{_name}"))
 QUERIES["report_ad_device_by_label"] = _report(lambda log: reports.report_ad_device(log, group_label=True))
 QUERIES["report_bundle"] = _report(reports.report_bundle)
+QUERIES["report_bundle_by_tuples"] = _report(lambda log: reports.report_bundle(log, by_tuples=True))
 
 
 @query
@@ -317,6 +339,18 @@ def salted_two_phase_agg(spark, sf):
     return aggregates.salted_count(_lines(spark, sf, HOT_LINES), "key", "l_partkey", "l_linenumber")
 
 
+@query
+def distinct_per_key(spark, sf):
+    lines = _lines(spark, sf, HOT_LINES).withColumn("l_partkey", F.when(F.col("l_quantity") > 3, F.col("l_partkey")))
+    return aggregates.distinct_per_key(lines, "key", "l_partkey")
+
+
+@query
+def quantiles_per_key(spark, sf):
+    lines, work = _lines(spark, sf, HOT_LINES), Workspace(spark, "quantiles")
+    return aggregates.quantiles_per_key(lines, "key", "l_partkey", [0.0, 0.25, 0.5, 0.9, 1.0], work)
+
+
 @query
 def distinct_locations(spark, sf):
     found = places.distinct_locations(adlog.ods(spark, sf))
@@ -558,7 +592,37 @@ def run_day_twice(spark, sf):
     )
     daily.run_day(spark, root, "20240115", daily.DayInputs(log.where(F.col("dt") < TODAY), *shared))
     daily.run_day(spark, root, TODAY, daily.DayInputs(log.where(F.col("dt") >= TODAY), *shared), "20240115")
-    return rounded(read_daily(spark, root, daily.TAGS, TODAY).drop("dt"), "weight")
+    return rounded(daily.stored_profiles(spark, root, TODAY).tags, "weight")
+
+
+def _day_inputs(spark, sf) -> tuple[DataFrame, ...]:
+    return adlog.ip_ranges(spark, sf), adlog.replies(spark, sf), adlog.app_dictionary(spark, sf), adlog.devices(spark)
+
+
+@query
+def run_three_days(spark, sf):
+    """The daily job over three days, each resolved and decayed against what the one before has stored."""
+    root, log = Workspace(spark, "three-days").path, adlog.raw_log(spark, sf)
+    shared, before = _day_inputs(spark, sf), None
+    for number, dt in enumerate(adlog.THREE_DAYS):
+        own = log.where(f"{adlog.DAY_OF_THREE} = {number}")
+        daily.run_day(spark, root, dt, daily.DayInputs(own, *shared), before)
+        before = dt
+    last = daily.stored_profiles(spark, root, before)
+    listed = last.ids.groupBy("userid").agg(F.count(F.lit(1)).alias("ids"))
+    return rounded(last.tags.join(listed, "userid").select("userid", "tag", "weight", "ids"), "weight")
+
+
+@query
+def identity_resolve_increment(spark, sf):
+    """Users of three days, each day's records contracted against the members of the days before."""
+    work, log = Workspace(spark, "increments"), adlog.ods(spark, sf)
+    members = spark.createDataFrame([], "userid string, id string")
+    for number in range(len(adlog.THREE_DAYS)):
+        records = profile_plan.today_records(log.where(f"{adlog.DAY_OF_THREE} = {number}"))
+        found = identity.resolve_increment(records, members, work)
+        members, _ = work.save(found.all_members(), f"members-{number}")
+    return members.select("id", F.col("userid").alias("component"))
 
 
 # Scalar functions

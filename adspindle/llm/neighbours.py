@@ -173,7 +173,8 @@ def nearest_neighbours(
     best bin first, and scans them whole. How many leaves, the same number for all queries, is widened
     until on calibration queries, compared with all vectors, ``recall`` of the true neighbours lie in
     visited leaves. Leaves are visited in rounds, few at first; the nearest so far give each query a bound,
-    and only vectors that reach it are sent on.
+    and only vectors that reach it are sent on. Queries whose leaves hold fewer than ``k`` vectors go on
+    alone, so every query finds ``k`` where there are so many.
 
     The tree is fitted on at most ``FIT_ROWS`` vectors and holds ``MOST_LEAVES`` leaves at most, so it
     can be sent to all tasks; leaves are scanned in pieces of bounded size. Vectors that are null,
@@ -247,8 +248,12 @@ def _calibrate(placed: DataFrame, asked: DataFrame, tree: Tree, dim: int, k: int
         turns = np.array([visits[r["q"]].get(r["leaf"], tree.leaves) for r in nearest])
         if most == tree.leaves or (turns < most).mean() >= recall:
             break
-    inside = np.sort(turns)
-    return int(inside[min(len(inside) - 1, math.ceil(recall * len(inside)))]) + 1 if len(inside) else 1
+    return visits_for(turns, recall)
+
+
+def visits_for(turns: np.ndarray, recall: float) -> int:
+    """How many visits reach ``recall`` of all, if each is reached at its turn, counted from 0."""
+    return int(np.sort(turns)[max(0, math.ceil(recall * len(turns)) - 1)]) + 1 if len(turns) else 1
 
 
 def _visits(asked: DataFrame, tree: Tree, dim: int, begin: int, end: int) -> DataFrame:
@@ -323,7 +328,8 @@ def _ranked(candidates: DataFrame, k: int) -> DataFrame:
 def _search(placed: DataFrame, asked: DataFrame, tree: Tree, dim: int, k: int, most: int, workspace: Workspace) -> DataFrame:
     """Visits in rounds, each ``WIDEN`` times as many leaves as before, with the bound that the last one left.
 
-    So a round brings a query a few times ``k`` candidates, however large the table.
+    So a round brings a query a few times ``k`` candidates, however large the table. After ``most`` leaves
+    only queries that have found fewer than ``k`` vectors go on, until they have them or have seen all leaves.
     """
     near, begin, end = None, 0, min(FIRST_LEAVES, most)
     while True:
@@ -332,8 +338,18 @@ def _search(placed: DataFrame, asked: DataFrame, tree: Tree, dim: int, k: int, m
             bounds = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("__bound"))
             known = known.join(bounds, F.col("vec_id") == F.col("query_id"), "left")
             known = known.select("vec_id", "embedding", F.coalesce("__bound", "bound").alias("bound"))
-        found = _scan(placed, _visits(known, tree, dim, begin, end), dim, k)
+        visits, here = _visits(known, tree, dim, begin, end), placed
+        if begin >= most:
+            visits, _ = workspace.save(visits, "visits")
+            # As many rows as there are leaves, at most.
+            here = placed.join(F.broadcast(visits.select("leaf").distinct()), "leaf", "left_semi")
+        found = _scan(here, visits, dim, k)
         near, _ = workspace.save(_ranked(found if near is None else near.drop("rank").unionByName(found), k), "near")
-        if end >= most:
+        if end >= tree.leaves:
             return near
-        begin, end = end, min(end * WIDEN, most)
+        if end >= most:
+            full = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+            asked, short = workspace.save(asked.join(full, "vec_id", "left_anti").select(*asked.columns), "short")
+            if not short["rows"]:
+                return near
+        begin, end = end, min(end * WIDEN, most if end < most else tree.leaves)

@@ -74,3 +74,42 @@ def test_tree_visits_every_leaf_once_and_best_first():
     assert tree.visit(points[0], 7) == visits[:7]
     assert set(tree.place(points)) <= set(range(tree.leaves))
     assert Tree.fit(np.ones((50, 4)), 10).leaves == 1
+
+
+def test_calibration_counts_the_visits_it_needs():
+    # Nineteen of twenty lie in the first two leaves; the last is in no visited one.
+    turns = np.array([0] * 10 + [1] * 9 + [180])
+    assert neighbours.visits_for(turns, 0.95) == 2
+    assert neighbours.visits_for(turns, 0.951) == 181
+    assert neighbours.visits_for(turns, 0.5) == 1
+    assert neighbours.visits_for(np.zeros(0), 0.95) == 1
+
+
+def test_clusters_and_lone_vectors_at_the_default_recall(spark, ws, monkeypatch):
+    """Tight clusters need few leaves, and queries in leaves with few vectors go on until they have enough."""
+    rng = np.random.default_rng(9)
+    middles = rng.normal(size=(150, 16))
+    tight = np.concatenate([middles[rng.integers(0, 150, 8000)] + rng.normal(size=(8000, 16)) * 0.02, np.zeros((8000, 16))], axis=1)
+    lone = np.concatenate([np.zeros((40, 16)), rng.normal(size=(40, 16)) * 40], axis=1)
+    points = np.concatenate([tight, lone])[rng.permutation(8040)].astype(np.float32)
+    table = spark.createDataFrame([(i, p) for i, p in enumerate(points.tolist())], "vec_id long, embedding array<float>")
+    most = []
+    calibrate = neighbours._calibrate
+
+    def watched(placed, asked, tree, *rest):
+        most.append((calibrate(placed, asked, tree, *rest), tree.leaves))
+        return most[-1][0]
+
+    monkeypatch.setattr(neighbours, "_calibrate", watched)
+    got = {}
+    for r in nearest_neighbours(table, F.col("vec_id") % 20 == 0, ws).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert most[0][0] < most[0][1] / 4
+    assert set(got) == set(range(0, 8040, 20))
+    wide, hits = points.astype(np.float64), 0
+    for query, found in got.items():
+        assert sorted(r for r, _ in found) == list(range(1, 21))
+        scores = wide @ wide[query]
+        scores[query] = -np.inf
+        hits += len(set(np.lexsort((np.arange(8040), -scores))[:20].tolist()) & {i for _, i in found})
+    assert hits >= 0.9 * 20 * len(got)

@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +124,94 @@ def test_target_weights_hold_until_a_source_runs_dry():
     assert place.max() < 2000 and (length <= 51).all()
 
 
+def round_robin(totals, weights, window, quantum):
+    """The stream of (source, token) of deficit round-robin, round by round."""
+    room = 1 << max(8, min(30, 60 - max(sum(totals) + quantum, window).bit_length()))
+    sent, deficit, stream = [0] * len(totals), [0] * len(totals), []
+    while any(s < t for s, t in zip(sent, totals)):
+        open_ = [s < t for s, t in zip(sent, totals)]
+        whole = sum(w for w, o in zip(weights, open_) if o) or 1
+        units = [max(1, round(w / whole * room)) if o else 0 for w, o in zip(weights, open_)]
+        # Whole tokens of credit go on with the sources that are left, but never cover all that one has.
+        deficit = [Fraction(min(int(d), t - s - 1)) if o else Fraction(0) for d, s, t, o in zip(deficit, sent, totals, open_)]
+        dry = False
+        while not dry:
+            for q, u in enumerate(units):
+                deficit[q] += Fraction(window * u, sum(units))
+                left = totals[q] - sent[q]
+                size = quantum if window * u < quantum * sum(units) else 1
+                n = left if deficit[q] >= left else int(deficit[q]) // size * size
+                stream += [(q, sent[q] + k) for k in range(n)]
+                sent[q], deficit[q] = sent[q] + n, deficit[q] - n
+                dry |= open_[q] and sent[q] == totals[q]
+    return stream
+
+
+def test_pieces_are_those_of_round_robin_step_by_step():
+    rng = random.Random(7)
+    for trial in range(60):
+        n, window, quantum = rng.randint(1, 7), rng.choice([16, 50, 128]), rng.choice([1, 4, 16])
+        totals = [rng.choice([0, rng.randint(1, 30), rng.randint(200, 1500)]) for _ in range(n)]
+        weights = rng.choice([totals, [rng.random() for _ in totals], [rng.choice([0.0, 0.01, 1.0]) for _ in totals]])
+        docs = []
+        for q, total in enumerate(totals):
+            at = 0
+            while at < total:
+                size = min(rng.randint(1, 90), total - at)
+                docs.append((q, at, size))
+                at += size
+        if not docs:
+            continue
+        queue, begin, length = (np.array(c) for c in zip(*docs))
+        phases = schedule(totals, weights, window, quantum)
+        doc, start, size, place = cut(phases, queue, begin, length, window)
+        stream = [None] * sum(totals)
+        for d, s, m, p in zip(doc.tolist(), start.tolist(), size.tolist(), place.tolist()):
+            for k in range(m):
+                assert stream[p + k] is None
+                stream[p + k] = (docs[d][0], docs[d][1] + s + k)
+        assert stream == round_robin(totals, weights, window, quantum)
+
+
+@pytest.mark.parametrize("rare", [1, 1000, 200_000])
+def test_a_rare_source_takes_little_memory(rare):
+    totals = [rare] + [7 * 10**9 // 19] * 19
+    phases = schedule(totals, totals, 2048)
+    tracemalloc.start()
+    doc, start, length, place = cut(phases, np.array([0]), np.array([0]), np.array([rare]), 2048)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 200 * 2**20
+    assert length.sum() == rare and len(doc) <= 2 * (rare // 64 + 2)
+    # Spread over the whole stream, in quanta; only sequence borders cut these.
+    if rare > 64:
+        assert place.min() < sum(totals) / 100 + 64 * sum(totals) / rare and place.max() > 0.99 * sum(totals)
+        assert np.median(length) == 64
+
+
+def test_a_hundred_sources_keep_their_targets(spark, make_docs, ws, tmp_path):
+    rng = random.Random(3)
+    texts = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(400, 900))), "en", f"s{i % 100:02d}") for i in range(400)]
+    docs = make_docs(texts, tmp_path / "docs")
+    weights = {f"s{q:02d}": 1.0 + q % 4 for q in range(100)}
+    pieces = pack_by_mixture(docs, WORD_VOCABULARY, ws, weights=weights, sequence=4096).collect()
+    source = {i: s for i, _, _, s in texts}
+    sequences = sorted({r["sequence_id"] for r in pieces})
+    taken = np.zeros((len(sequences), 100))
+    for r in pieces:
+        taken[r["sequence_id"], int(source[r["doc_id"]][1:])] += r["length"]
+    upto = taken.cumsum(axis=0)
+    # Until a source runs dry each has its share of the stream, but for what it saves up.
+    want = np.array([1.0 + q % 4 for q in range(100)]) / 250
+    whole = taken.sum(axis=0)
+    ahead = [n for n in range(len(sequences)) if (want * upto[n].sum() < whole - 100).all()]
+    assert len(ahead) > 10
+    for n in ahead:
+        assert np.abs(upto[n] - want * upto[n].sum()).max() < 2 * 128 + 20
+    with pytest.raises(ValueError, match="weights"):
+        pack_by_mixture(docs, WORD_VOCABULARY, ws, weights=weights, queues=99)
+
+
 def check_pieces(found, texts):
     known = Tokenizer.from_file(WORD_VOCABULARY)
     rows = sorted(found, key=lambda r: (r["sequence_id"], r["offset"]))

@@ -50,9 +50,13 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20, base=True),
     Rule("hex", r"[0-9a-f]+", 24, base=True),
 )
+# A private key's header, and the key: to its END line, or, where there is none, all base64 lines that follow.
+_KEY_HEADER = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_KEY_BODY = r"(?:[A-Za-z0-9+/=\\\x20\x09-\x0D]|(?:Proc-Type|DEK-Info):[^\n]*\n)*-----END [A-Z ]*PRIVATE KEY-----"
+_KEY_LINES = r"(?:[\x20\x09-\x0D]*[A-Za-z0-9+/=]{16,}(?![^\x20\x09-\x0D]))*"
 # What this scan adds to them.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", f"{_KEY_HEADER}(?:{_KEY_BODY}|{_KEY_LINES})"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),

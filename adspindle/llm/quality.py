@@ -23,6 +23,8 @@ DIM = len(FEATURES)
 TO_POOLED = 0.1
 TO_SPHERE = 0.05
 FOLDS, HELD_OUT = 3, 1
+# Where only labelled documents are measured, about so many of them, chosen by a hash of their ids; fewer are all used.
+FIT_DOCS = 200_000
 
 _symbols = np.isin(np.arange(256), list(b"#*$%&|<>@^~=_{}[]\\+/"))
 _points = np.isin(np.arange(256), list(b".,;:?"))
@@ -173,13 +175,34 @@ def classify_quality(docs: DataFrame, labels: DataFrame, workspace: Workspace) -
     return predictions(measured, model)
 
 
+def fitting_rows(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
+    """Rows of ``docs`` to learn from: those with a label that are in no held-out fold.
+
+    Beyond about ``fit_docs`` labelled ids a share of them is taken by a hash of the id, so that they can be
+    sent to the texts. Rows without an id, and labels other than 0 and 1, are not used.
+    """
+    ids = labels.where("quality IN (0, 1)").where(fold(F.col("doc_id")) != HELD_OUT).select(F.col("doc_id").alias("__id")).distinct()
+    share = fit_docs / max(ids.count(), 1)
+    if share < 1:
+        ids = ids.where(F.pmod(F.xxhash64("__id"), F.lit(2**30)) < int(share * 2**30))
+    return docs.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi")
+
+
 def measure(docs: DataFrame) -> DataFrame:
+    """``doc_id, x`` of every row: its statistics; those of a null or empty text are all zero.
+
+    Equal rows have equal statistics; an empty table gives no rows; only ``doc_id`` and ``text`` are read.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     narrow = docs.select("doc_id", F.col("text").alias("__text"))
     return narrow.mapInArrow(in_task(_measure), f"doc_id {kind}, x array<double>")
 
 
 def predictions(measured: DataFrame, model: Discriminant | None) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every measured row; without a model every score is 0.5.
+
+    A null doc_id is in no held-out fold; equal rows have equal scores; an empty table gives no rows.
+    """
     kind = measured.schema["doc_id"].dataType.simpleString()
     scored = measured.mapInArrow(in_task(_score, model), f"doc_id {kind}, score double")
     return scored.select(
@@ -191,7 +214,11 @@ def predictions(measured: DataFrame, model: Discriminant | None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Discriminant | None) -> DataFrame:
-    """Rows of ``docs`` whose text the model doesn't reject, unchanged and in one pass."""
+    """Rows of ``docs`` whose text the model doesn't reject, unchanged and in one pass.
+
+    A null text is judged like an empty one; of equal rows all or none stay; without a model all do. Columns
+    other than ``text`` may have any names.
+    """
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

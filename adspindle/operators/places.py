@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,6 +195,46 @@ def build_district_dictionary(ods: DataFrame, replies: DataFrame) -> DataFrame:
     return one_row_per_geohash(distinct_districts(answered))
 
 
+@dataclass(frozen=True)
+class Districts:
+    """A dictionary ``(geohash, areas)``, and the locations ``(longitude, latitude)`` whose replies are in it."""
+
+    dictionary: DataFrame
+    locations: DataFrame
+
+
+def extend_district_dictionary(
+    stored: Districts | None, ods: DataFrame, replies: DataFrame, workspace: Workspace, limit: int = BROADCAST_BYTES
+) -> Districts:
+    """The stored dictionary and what the replies say about locations of the log that it doesn't know yet.
+
+    Only replies of new locations are read out, and only cells that these lie in are put together anew. After any
+    number of days this is the dictionary of all their locations. A location whose reply names nothing, or that has
+    none, stays unknown and is asked about again.
+    """
+    locations = distinct_locations(ods)
+    if stored is not None:
+        locations = locations.join(stored.locations, ["longitude", "latitude"], "left_anti")
+    fresh, size = measured(locations, workspace, "new-locations")
+    asked = replies.select(F.col("longitude").cast("float"), F.col("latitude").cast("float"), "response")
+    asked = asked.join(F.broadcast(fresh) if size <= limit else fresh, ["longitude", "latitude"], "left_semi")
+    named = asked.distinct().select(
+        "longitude", "latitude",
+        geohash8(F.col("longitude"), F.col("latitude")).alias("geohash"),
+        districts_of_reply(F.col("response")).alias("areas"),
+    )
+    named, size = measured(nonempty(named, "areas").where("geohash is not null"), workspace, "new-districts")
+    known = named.select("longitude", "latitude").distinct()
+    if stored is None:
+        return Districts(one_row_per_geohash(named), known)
+    cells = named.select("geohash").distinct()
+    cells = F.broadcast(cells) if size <= limit else cells
+    met = stored.dictionary.join(cells, "geohash", "left_semi")
+    changed = one_row_per_geohash(met.select("geohash", "areas").unionByName(named.select("geohash", "areas")))
+    kept = stored.dictionary.join(cells, "geohash", "left_anti").select("geohash", "areas")
+    return Districts(kept.unionByName(changed), stored.locations.unionByName(known))
+
+
 def geohash_district_join(
     df: DataFrame, districts: DataFrame, limit: int = BROADCAST_BYTES, **options
 ) -> DataFrame:

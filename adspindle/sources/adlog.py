@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adspindle.schema import RAW_SCHEMA
@@ -22,3 +23,15 @@ def read_ad_log(
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return reader.schema(schema).json(path)
+
+
+def readable_rows(log: DataFrame) -> DataFrame:
+    """The rows of a log read with its unreadable lines, without these and their column."""
+    return log.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+
+
+def unreadable_lines(log: DataFrame) -> DataFrame:
+    """``(line, in_part)``: the lines that did not parse, and whether an address was read before parsing failed."""
+    bad = log.where(F.col(CORRUPT_COLUMN).isNotNull())
+    # The second column is read as well because the engine refuses to read the text of such lines alone.
+    return bad.select(F.col(CORRUPT_COLUMN).alias("line"), F.col("ip").isNotNull().alias("in_part"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from adspindle.operators import places
 from adspindle.operators.joins import BROADCAST_BYTES
+from adspindle.sources.workspace import Workspace
 from tests.conftest import rows
 
 RANGE = "ip_start long, ip_end long, country string, area string, longitude double, latitude double"
@@ -141,3 +142,41 @@ def test_dictionary_only_covers_places_of_the_log(spark):
     )
     log = spark.createDataFrame([(116.3974, 39.9093), (116.3974, 39.9093), (2.0, 2.0), (None, 1.0)], "longitude float, latitude float")
     assert rows(places.build_district_dictionary(log, replies)) == [("wx4g09q0", "w,x")]
+
+
+class Counted(Workspace):
+    """A workspace that remembers how many rows it has written under which names."""
+
+    def __init__(self, spark):
+        super().__init__(spark, "counted")
+        self.rows = {}
+
+    def save(self, df, name, **metrics):
+        table, seen = super().save(df, name, **metrics)
+        self.rows[name] = seen["rows"]
+        return table, seen
+
+
+@pytest.mark.parametrize("limit", [2**27, 0])
+def test_a_dictionary_extended_day_by_day_is_the_dictionary_of_all(spark, limit):
+    def reply(*names):
+        return '{"regeocode":{"addressComponent":{"businessAreas":[' + ",".join(f'{{"name":"{n}"}}' for n in names) + "]}}}"
+
+    # Three places share a cell, one has no name at first, and one never.
+    spots = [(10.0, 20.0), (10.00001, 20.0), (10.00002, 20.00001), (30.5, 40.5), (50.0, 60.0), (70.0, 80.0)]
+    answers = [reply("a", "c"), reply("b"), reply("a", "d"), reply("x"), reply(), "garbage"]
+    replies = spark.createDataFrame([(*s, r) for s, r in zip(spots, answers)] * 2, "longitude float, latitude float, response string")
+    late = replies.unionByName(spark.createDataFrame([(50.0, 60.0, reply("late"))], replies.schema))
+    log = lambda *at: spark.createDataFrame([spots[i] for i in at] + [(None, 1.0)], "longitude float, latitude float")
+    days = [((0, 4, 5), replies), ((0, 1, 3), replies), ((2, 4, 3), late), ((), late)]
+    stored, asked = None, set()
+    for at, known in days:
+        work = Counted(spark)
+        found = places.extend_district_dictionary(stored, log(*at), known, work, limit)
+        new = {i for i in at if i not in asked}
+        assert work.rows["new-locations"] == len(new) and work.rows["new-districts"] <= len(new)
+        stored = places.Districts(*[work.save(df, "stored")[0] for df in (found.dictionary, found.locations)])
+        asked |= {i for i in at if known is late or i not in (4, 5)} - {5}
+    want = places.build_district_dictionary(log(*range(6)), late)
+    assert rows(stored.dictionary) == rows(want)
+    assert stored.locations.count() == len(asked) == stored.locations.distinct().count()

@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from adspindle.operators.funnel import REPORT_COLUMNS, ad_funnel
 from adspindle.plans import reports
-from adspindle.plans.daily import DISTRICTS, ODS, PROFILE_IDS, TABLE_KEYS, TAGS, DayInputs, run_day, stored_profiles
+from adspindle.plans.daily import (
+    DISTRICTS, ODS, PROFILE_IDS, TABLE_KEYS, TAGS, UNREADABLE, DayInputs, run_day, stored_profiles,
+)
 from adspindle.schema import ODS_COLUMNS, ODS_SCHEMA, RAW_COLUMNS
 from adspindle.sources.adlog import read_ad_log
 from adspindle.sources.daily import (
@@ -232,6 +234,19 @@ def test_two_days(spark, tmp_path):
     assert weights(second) == pytest.approx(0.9 * weights(first) + weights(alone))
 
 
+def test_unreadable_lines_are_kept_apart(spark, tmp_path):
+    log = adlog.raw_log(spark, SF).where("rid < 60").drop("rid", "dt")
+    log.coalesce(1).write.json(str(tmp_path / "log"))
+    (tmp_path / "log" / "more.json").write_text('not json\n{"ip": "1.2.3.4", "client": tru\n')
+    read = read_ad_log(spark, str(tmp_path / "log"), keep_corrupt=True)
+    run_day(spark, str(tmp_path / "days"), "20240115", day_inputs(spark, read))
+    lines = read_daily(spark, str(tmp_path / "days"), UNREADABLE, "20240115")
+    assert sorted(r["line"] for r in lines.collect()) == ["not json", '{"ip": "1.2.3.4", "client": tru']
+    assert read_daily(spark, str(tmp_path / "days"), ODS, "20240115").count() == 60
+    run_day(spark, str(tmp_path / "plain"), "20240115", day_inputs(spark, log))
+    assert UNREADABLE not in published(spark, str(tmp_path / "plain"), "20240115")
+
+
 def test_days_without_replies_or_identifiers(spark, tmp_path):
     root, log = str(tmp_path), adlog.raw_log(spark, SF)
     garbage = adlog.replies(spark, SF).withColumn("response", F.lit("garbage"))

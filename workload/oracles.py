@@ -161,6 +161,7 @@ SELECT geohash, string_agg(name, ',' ORDER BY name) AS areas FROM (
 WHERE name <> '' GROUP BY geohash""",
 }
 ORACLES["build_district_dictionary"] = _cte(**_DISTRICT_PARTS) + "SELECT geohash, areas FROM districts"
+ORACLES["build_district_dictionary_increment"] = ORACLES["build_district_dictionary"]
 ORACLES["geohash_district_join"] = _cte(**_DISTRICT_PARTS) + f"""
 SELECT rid, areas FROM ods LEFT JOIN districts ON {_geohash('longitude', 'latitude')} = geohash"""
 ORACLES["geohash_district_join_shuffled"] = ORACLES["geohash_district_join"]

@@ -725,6 +725,15 @@ def build_district_dictionary(spark, sf):
     return _districts(spark, sf)
 
 
+@query
+def build_district_dictionary_increment(spark, sf):
+    """The dictionary of two days, the second of which reads out replies of its new locations only."""
+    log, replies, work = adlog.ods(spark, sf), adlog.replies(spark, sf), Workspace(spark, "districts")
+    first = places.extend_district_dictionary(None, log.where(F.col("dt") < TODAY), replies, work)
+    stored = [work.save(df, name)[0] for df, name in ((first.dictionary, "dictionary"), (first.locations, "locations"))]
+    return places.extend_district_dictionary(places.Districts(*stored), log.where(F.col("dt") >= TODAY), replies, work).dictionary
+
+
 @query
 def partition_profile(spark, sf):
     """One row per partition of the scan; told by what must hold, since the layout is the engine's."""

@@ -104,7 +104,8 @@ def sample_copies(
 def _targets(narrow: DataFrame, weights: Sequence[float], share: float, cap: int) -> DataFrame:
     """One row per source: ``__s, __source_size, __target, __mean``, the mean size of its documents.
 
-    Targets depend on all sources in their order, so the driver sees one name and its sums per source.
+    Targets depend on all sources in their order, so the driver sees one name and its sums per source. Sources
+    are the collections that a corpus is made of; a million of them, some 300 MB on the driver, is what this is for.
     """
     rows = narrow.groupBy("__source").agg(F.sum("__size").alias("n"), F.avg("__size").alias("mean")).collect()
     rows.sort(key=lambda r: (r[0] is None, (r[0] or "").encode()))

@@ -1,9 +1,12 @@
 import collections
+import math
+import random
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
+from adspindle.llm import mixing
 from adspindle.llm.mixing import fill_targets, mix_sources, sample_copies
 from adspindle.llm.queries import QUERIES
 from adspindle.llm.sharding import shard_by_bytes
@@ -138,6 +141,57 @@ def test_a_document_longer_than_the_words_wanted_is_passed_over(make_docs, ws):
         assert target < 20_000 and abs(taken - target) <= 50
 
 
+def drawn_one_by_one(rows):
+    """Copies of rows (size, source, uniform number): the sample drawn document by document, source by source."""
+    sizes = collections.Counter()
+    for size, source, _ in rows:
+        sizes[source] += size
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weights = [(5, 2, 1)[i % 3] for i in range(len(order))]
+    targets = dict(zip(order, fill_targets([sizes[s] for s in order], weights, 1.5 * sum(sizes.values()), 2)))
+    copies = [0] * len(rows)
+    for source in order:
+        own = [i for i, r in enumerate(rows) if r[1] == source]
+        mean = sum(rows[i][0] for i in own) / len(own)
+
+        def lean(i):
+            size = rows[i][0]
+            return 1_000_000 + math.floor(250_000 * (size - mean) / (size + mean) + 0.5 if size + mean else 0)
+
+        scale = sum(lean(i) * rows[i][0] for i in own)
+        ranks, left = [], targets[source]
+        for i in own:
+            size, _, u = rows[i]
+            expected = min(lean(i) * targets[source] / scale, 2.0) if size and scale else 0.0
+            copies[i] = int(expected)
+            left -= copies[i] * size
+            part = expected - copies[i]
+            if part > 0:
+                ranks.append((u / (1 - u) / (part / (1 - part)), i))
+        # Pareto order: taken one after the other if they fit, the others passed over.
+        passed = []
+        for rank, i in sorted(ranks):
+            if rows[i][0] <= left:
+                copies[i] += 1
+                left -= rows[i][0]
+            else:
+                passed.append((abs(left - rows[i][0]), rank, i))
+        if passed and min(passed)[0] < abs(left):
+            copies[min(passed)[2]] += 1
+    return copies
+
+
+def test_the_sample_is_that_of_drawing_one_by_one(spark, make_docs, ws, tmp_path):
+    rng = random.Random(12)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 3, 20, rng.randint(1, 400)])), "en", rng.choice([None, "a", "b", "c", "c", "c"])) for i in range(500)]
+    docs = make_docs(rows, tmp_path / "docs")
+    uniform = {r[0]: r[1] for r in docs.select("doc_id", mixing._uniform(F.col("doc_id"), F.col("text"))).collect()}
+    want = drawn_one_by_one([(len(brute.words(t)), s, uniform[i]) for i, t, _, s in rows])
+    found = {r["doc_id"]: r["__copies"] for r in sample_copies(docs, ws).collect()}
+    assert [found[i] for i in range(500)] == want
+    assert set(want) == {0, 1, 2}
+
+
 def test_inclusion_odds_follow_the_expectation(spark, make_docs, ws):
     # Of equally long documents with 1.5 expected copies, each is taken once or twice, half of them twice.
     drawn = sample_copies(make_docs([(i, f"w{i} x y z") for i in range(400)]), ws, weights=(1,), share=1.5)

@@ -98,12 +98,22 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def _catalog_name(path: str) -> str:
+    """The name under which the catalog knows a bucketed version's buckets; new for every version."""
+    return "adspindle_" + path.rsplit("-", 1)[1]
+
+
+def _delete(spark: SparkSession, root: str, path: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(path)}")
+    _Files(spark, root).delete(f"{root}/{path}")
+
+
 def _read(spark: SparkSession, root: str, entry: dict) -> DataFrame:
     path = f"{root}/{entry['path']}"
     if not entry.get("by"):
         return spark.read.schema(entry["schema"]).parquet(path)
-    # Only a table of the catalog tells the engine its buckets; the name is new for every version.
-    name = "adspindle_" + entry["path"].rsplit("-", 1)[1]
+    # Only a table of the catalog tells the engine its buckets.
+    name = _catalog_name(entry["path"])
     if not spark.catalog.tableExists(name):
         escaped = path.replace("'", "\\'")
         spark.sql(
@@ -147,19 +157,19 @@ class StagedDay:
         out = df.drop("dt")
         entry = {"path": f"{name}/dt={self.dt}/v-{uuid.uuid4().hex}", "schema": _ddl(out)}
         path = f"{self.root}/{entry['path']}"
+        if name in self.tables:
+            self._drop(self.tables[name])
+        # Named before it is there, so that also a write that fails is cleared away.
+        self.tables[name] = entry
         if bucket_by:
             entry |= {"by": bucket_by, "buckets": n or default_buckets(self.spark)}
-            name_here = "adspindle_" + entry["path"].rsplit("-", 1)[1]
-            out.write.bucketBy(entry["buckets"], bucket_by).option("path", path).saveAsTable(name_here)
+            out.write.bucketBy(entry["buckets"], bucket_by).option("path", path).saveAsTable(_catalog_name(path))
         else:
             if keys and n:
                 out = out.repartition(n, *keys)
             elif keys:
                 out = out.hint("rebalance", *keys)
             out.write.parquet(path)
-        if name in self.tables:
-            self._drop(self.tables[name])
-        self.tables[name] = entry
         written = _read(self.spark, self.root, entry)
         return require_unique(written, keys) if keys else written
 
@@ -173,7 +183,7 @@ class StagedDay:
         files.replace(_manifest(self.root, self.dt), json.dumps(manifest, indent=1))
         self.tables = {}
         for path in before["replaced"]:
-            files.delete(f"{self.root}/{path}")
+            _delete(self.spark, self.root, path)
 
     def discard(self) -> None:
         """Removes what has been written."""
@@ -182,7 +192,7 @@ class StagedDay:
         self.tables = {}
 
     def _drop(self, entry: dict) -> None:
-        _Files(self.spark, self.root).delete(f"{self.root}/{entry['path']}")
+        _delete(self.spark, self.root, entry["path"])
 
     def __enter__(self) -> StagedDay:
         return self

@@ -99,6 +99,20 @@ def test_bucketed_tables_are_read_in_buckets(spark, tmp_path):
     assert read_daily(spark, str(tmp_path), "none", "20240101").columns == ["k", "n", "dt"]
 
 
+def test_versions_that_are_gone_are_not_in_the_catalog(spark, tmp_path):
+    before = len(spark.catalog.listTables())
+    for n in range(5):
+        with StagedDay(spark, str(tmp_path), "20240101") as day:
+            day.write(spark.range(n), "t", bucket_by="id")
+    # The published version and the one it has replaced.
+    assert len(spark.catalog.listTables()) == before + 2
+    with pytest.raises(ValueError):
+        with StagedDay(spark, str(tmp_path), "20240101") as day:
+            day.write(spark.range(3).selectExpr("1 as id"), "t", ["id"], bucket_by="id")
+    assert len(spark.catalog.listTables()) == before + 2
+    assert read_daily(spark, str(tmp_path), "t", "20240101").count() == 4
+
+
 @pytest.mark.parametrize("broken", ["ad_region_analysis", TAGS, PROFILE_IDS])
 def test_a_day_that_fails_leaves_the_old_one(spark, tmp_path, monkeypatch, broken):
     root, log = str(tmp_path), adlog.raw_log(spark, SF).where("rid < 400")

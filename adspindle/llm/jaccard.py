@@ -3,9 +3,10 @@
 Equal sets are one class. Which classes can be similar is settled by signatures, exactly: the shingle
 space is dealt into more buckets than two similar sets can differ in shingles, so similar sets agree
 on a whole bucket, and a bucket's content is a signature. For lower similarities a set's signatures are
-its rarest shingles instead, as many as a linked set can't all be without. Classes that are connected by
-signatures form a block; blocks are small, since a signature stands for several shingles at once or for
-one that few texts have. Within a block a
+its rarest shingles instead, as many as a linked set can't all be without; two classes that share one are a
+candidate pair only if a short bitmap of each, the parities of their shingles' hashes, doesn't prove that they
+differ in too many. Classes that are connected by signatures form a block; blocks are small, since a signature
+stands for several shingles at once, or the pairs that connect them are nearly all similar. Within a block a
 T-occurrence search over inverted lists finds the classes that share enough shingles with each class.
 """
 
@@ -113,6 +114,49 @@ def rarest(numbers: np.ndarray, percent: int, common: np.ndarray, counts: np.nda
     return names[np.lexsort((names, level))[: n + percent * -n // 100 + 1]].view(np.int64)
 
 
+def parities(numbers: np.ndarray) -> bytes:
+    """A bitmap of one to two bits per shingle, a power of two of them: whether a bit's shingles are odd in number.
+
+    Of two such bitmaps, the longer one folded to the length of the other, no more bits differ than the sets
+    have shingles on one side only.
+    """
+    bits = max(64, 1 << (len(numbers) - 1).bit_length())
+    at = (mix(numbers ^ np.uint64(0x94D049BB)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_different(a: bytes, b: bytes) -> int:
+    """A number of shingles that two sets with these ``parities`` have on one side only, at least."""
+    if len(a) > len(b):
+        a, b = b, a
+    x, y, size = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
+    while size > 8 * len(a):
+        size //= 2
+        y = (y >> size) ^ (y & ((1 << size) - 1))
+    return (x ^ y).bit_count()
+
+
+def _near_enough(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs whose bitmaps leave it open that they are linked."""
+    for batch in batches:
+        u, v, nu, nv, a, b = (batch.column(c).to_pylist() for c in ("u", "v", "u_size", "v_size", "u_bits", "v_bits"))
+        # What is not on one side only is on both.
+        kept = [
+            linked((nu[i] + nv[i] - least_different(a[i], b[i])) // 2, nu[i], nv[i], percent) for i in range(len(u))
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(kept, pa.bool_()))
+
+
+def _candidates(edges: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """``edges`` (u, v, tied) without the pairs that bitmaps show to be too different; ties stay."""
+    pairs = edges.where("tied = 0")
+    for side in ("u", "v"):
+        named = maps.select(F.col("class").alias(side), F.col("n_shingles").alias(f"{side}_size"), F.col("bits").alias(f"{side}_bits"))
+        pairs = pairs.join(named.hint("shuffle_hash"), side)
+    near = pairs.mapInArrow(in_task(_near_enough, percent), "u bigint, v bigint")
+    return edges.where("tied = 1").select("u", "v").unionByName(near)
+
+
 def _shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for numbers in sets_of(batch.column("__text"), size):
@@ -134,14 +178,15 @@ def _classify(
     batches: Iterator[pa.RecordBatch], size: int, percent: int, common: tuple[np.ndarray, np.ndarray] | None
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, names, signs = [], [], []
+        sizes, names, signs, bits = [], [], [], []
         for numbers in sets_of(batch.column("__text"), size):
             sizes.append(len(numbers))
             names.append(class_of(numbers) if len(numbers) else None)
             made = signatures(numbers, percent) if common is None else rarest(numbers, percent, *common)
             signs.append(made.tobytes() if len(numbers) else None)
+            bits.append(parities(numbers) if len(numbers) and common is not None else None)
         made = {c: batch.column(c) for c in ("doc_id", "key", "place")} | {"n_shingles": pa.array(sizes, pa.int64())}
-        made |= {"class": pa.array(names, pa.int64()), "signatures": pa.array(signs, pa.binary())}
+        made |= {"class": pa.array(names, pa.int64()), "signatures": pa.array(signs, pa.binary()), "bits": pa.array(bits, pa.binary())}
         yield pa.RecordBatch.from_pydict(made)
 
 
@@ -243,7 +288,8 @@ def _sized_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 
     Rows come sorted by signature, size and class. A signature's classes fall apart where the next larger
     set is too large. Up to ``FEW`` classes that stay together are compared one by one: of the first signature
-    that two linked sets share, enough of both orders must be left. More are tied to the first of them.
+    that two linked sets share, enough of both orders must be left. More are tied to the first of them;
+    such an edge, ``tied`` = 1, only says that the two stay in one block.
     """
     held = np.zeros((4, 0), dtype=np.int64)
 
@@ -257,7 +303,7 @@ def _sized_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
         head = heads(rows)
         group = np.cumsum(head) - 1
         many = ((np.bincount(group) > FEW) | (np.bincount(group, at < 0) > 0))[group] if len(n) else head
-        found = [np.stack([owner[many], owner[head][group[many]]], axis=1)]
+        found = [rows_of(owner[many], owner[head][group[many]], 1)]
         left = n - at
         x = np.flatnonzero(~many)
         for k in range(1, FEW):
@@ -267,17 +313,20 @@ def _sized_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
                 break
             y = x + k
             near = np.minimum(left[x], left[y]) >= -(-percent * (n[x] + n[y]) // (100 + percent))
-            found.append(np.stack([owner[x][near], owner[y][near]], axis=1))
+            found.append(rows_of(np.minimum(owner[x], owner[y])[near], np.maximum(owner[x], owner[y])[near], 0))
         return np.concatenate(found)
 
+    def rows_of(u: np.ndarray, v: np.ndarray, tied: int) -> np.ndarray:
+        return np.stack([u, v, np.full(len(u), tied)], axis=1)
+
     def batch_of(found: np.ndarray) -> pa.RecordBatch:
         found = np.unique(found[found[:, 0] != found[:, 1]], axis=0)
-        return pa.RecordBatch.from_pydict({"u": pa.array(found[:, 0]), "v": pa.array(found[:, 1])})
+        return pa.RecordBatch.from_pydict({c: pa.array(found[:, i]) for i, c in enumerate(("u", "v", "tied"))})
 
     for batch in batches:
         columns = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("signature", "size", "class", "at")]
         known = batch.column("leader").is_valid().to_numpy(zero_copy_only=False)
-        tied = np.stack([columns[2][known], batch.column("leader").drop_null().to_numpy(zero_copy_only=False)], axis=1)
+        tied = rows_of(columns[2][known], batch.column("leader").drop_null().to_numpy(zero_copy_only=False), 1)
         rows = np.concatenate([held, np.stack(columns)[:, ~known]], axis=1)
         # The last classes may go on in the next batch; of many the first and the last will do.
         last = int(np.flatnonzero(heads(rows))[-1]) if rows.shape[1] else 0
@@ -497,7 +546,7 @@ def _grouped(
     kind = docs.schema["doc_id"].dataType.simpleString()
     place = F.monotonically_increasing_id() if place is None else place
     narrow = docs.select("doc_id", F.xxhash64("text").alias("key"), place.alias("place"), F.col("text").alias("__text"))
-    schema = f"doc_id {kind}, key bigint, place bigint, n_shingles bigint, class bigint, signatures binary"
+    schema = f"doc_id {kind}, key bigint, place bigint, n_shingles bigint, class bigint, signatures binary, bits binary"
     common = _common(narrow, size) if percent < BUCKET_PERCENT else None
     rows, _ = workspace.save(narrow.mapInArrow(in_task(_classify, size, percent, common), schema), "classes")
     full = rows.where("class IS NOT NULL")
@@ -511,7 +560,9 @@ def _grouped(
         one = signed.select("class", "n_shingles", "signatures").dropDuplicates(["class"])
         postings = one.mapInArrow(in_task(_sized_postings, percent), SIZED)
         placed = postings.repartition("signature").sortWithinPartitions("signature", "size", "class")
-        edges = placed.mapInArrow(in_task(_sized_stars, percent), "u bigint, v bigint")
+        edges = placed.mapInArrow(in_task(_sized_stars, percent), "u bigint, v bigint, tied bigint").distinct()
+        maps = signed.select("class", "n_shingles", "bits").dropDuplicates(["class"])
+        edges = _candidates(workspace.save(edges, "pairs")[0], maps, percent)
     edges, _ = workspace.save(edges.distinct(), "edges")
     blocks = _all_vertices(connected_components(edges, workspace, name="blocks"), "block")
     firsts = full.groupBy("class").agg(_first().alias("own"), F.max("n_shingles").alias("n_shingles"))
@@ -534,7 +585,7 @@ def _grouped(
     named = named.select("class", "own", F.coalesce("group", "class").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
     smallest = named.groupBy("group").agg(F.min("own").alias("first"))
     classes, _ = workspace.save(named.join(smallest, "group").select("class", "first", "links"), "named")
-    return rows.drop("signatures"), classes
+    return rows.drop("signatures", "bits"), classes
 
 
 def jaccard_components(

@@ -5,7 +5,10 @@ import pyarrow as pa
 import pytest
 
 from adspindle.llm import jaccard
-from adspindle.llm.jaccard import BlockSearch, class_of, jaccard_components, keep_representatives, linked, rarest, sets_of, signatures
+from adspindle.llm.jaccard import (
+    BlockSearch, class_of, jaccard_components, keep_representatives, least_different, linked, most_different, parities,
+    rarest, sets_of, signatures,
+)
 from adspindle.llm.queries import QUERIES
 from adspindle.llm.text import mix
 
@@ -162,3 +165,32 @@ def test_one_of_each_group_stays_at_the_pipelines_setting(make_docs, ws, tmp_pat
     rows = list(enumerate(corpus(6))) + [(500, None), (501, "one two")]
     kept = keep_representatives(make_docs(rows, tmp_path / "docs"), ws, 5, 80)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, n, c in brute.components(rows, 5, 80) if not n or d == c)
+
+
+def test_bitmaps_never_prove_too_much():
+    rng = np.random.default_rng(8)
+    for _ in range(400):
+        both, a, b = (rng.integers(0, 2**63, size=rng.integers(0, n), dtype=np.uint64) for n in (400, 120, 120))
+        x, y = np.unique(np.concatenate([both, a])), np.unique(np.concatenate([both, b]))
+        if len(x) and len(y):
+            different = len(np.setxor1d(x, y))
+            least = least_different(parities(x), parities(y))
+            assert least <= different and (different - least) % 2 == 0
+            assert least == least_different(parities(y), parities(x))
+    assert least_different(parities(x), parities(x)) == 0
+    far = [np.unique(rng.integers(0, 2**63, size=n, dtype=np.uint64)) for n in (1000, 1100)]
+    assert least_different(*map(parities, far)) > most_different(1100, 80)
+
+
+def test_texts_that_share_passages_do_not_meet(spark, make_docs, ws, tmp_path, monkeypatch):
+    """Each text shares a passage with the next: all are connected by candidate pairs, and no two are similar."""
+    # As in a table so large that these passages are not among the common ones.
+    monkeypatch.setattr(jaccard, "_common", lambda *_: (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    passages = [[f"p{i}x{k}" for k in range(60)] for i in range(41)]
+    texts = [" ".join(passages[i] + [f"t{i}w{k}" for k in range(200)] + passages[i + 1]) for i in range(40)]
+    texts += [" ".join([f"c{k}" for k in range(300)] + [f"e{i}"] * (i > 0)) for i in range(5)]
+    docs = make_docs(texts, tmp_path / "docs")
+    found = jaccard_components(docs, ws, 5, 80).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute.components(list(enumerate(texts)), 5, 80)
+    assert spark.read.parquet(ws._latest["pairs"]).where("tied = 0").count() > 30
+    assert spark.read.parquet(ws._latest["members"]).count() == 5

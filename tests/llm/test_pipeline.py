@@ -26,7 +26,7 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in first.collect()} == good
 
     rows = [(r["doc_id"], r["text"]) for r in first.collect()]
-    assert sorted(r["doc_id"] for r in second.collect()) == sorted(d for d, n, c in brute.components(rows) if not n or d == c)
+    assert sorted(r["doc_id"] for r in second.collect()) == sorted(d for d, n, c in brute.components(rows, 5, 80) if not n or d == c)
 
     assert third.count() == second.count()
     texts = {r["doc_id"]: r["text"] for r in second.collect()}
@@ -69,3 +69,49 @@ def test_near_copy_stage_at_five_words_and_80_percent(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     kept = corpus_pipeline.keep_one_of_each_group(spark, docs, SF)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, n, c in brute.components(rows, 5, 80) if not n or d == c)
+
+
+def written(spark, docs, path):
+    docs.write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_odd_rows_go_through_all_stages(spark, make_docs, odd_texts, tmp_path):
+    """Null ids, texts and sources, repeated rows, and columns with names that stages use themselves."""
+    texts = [(100 + i, f"some plain words in document number {i} " + " ".join(f"w{i}x{k}" for k in range(40 + i))) for i in range(12)]
+    rows = list(enumerate(odd_texts)) + texts + [texts[0]] * 3 + [(None, "no id here at all"), (None, None)]
+    rows = [(i, t, "en", [None, "a", "b"][n % 3]) for n, (i, t) in enumerate(rows)]
+    docs = make_docs(rows, tmp_path / "docs")
+    for name in ("key", "place", "class", "u", "bits", "tokens", "queue"):
+        docs = docs.withColumn(name, docs.n_chars)
+    docs = written(spark, docs, tmp_path / "more")
+    names = docs.columns
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = written(spark, stage(spark, docs, SF), tmp_path / str(n))
+        if n < 4:
+            assert docs.columns == names
+        if n == 1:
+            left = [(r["doc_id"], r["text"]) for r in docs.collect()]
+            assert len([1 for _, t in left if brute.words(t)]) == len({frozenset(brute.shingles(t, 5)) for _, t in left if brute.words(t)})
+    mixed = spark.read.parquet(str(tmp_path / "3"))
+    assert mixed.where("text is null or trim(text) = ''").count() == 0
+    total = sum(r["length"] for r in docs.collect())
+    offsets = sorted((r["sequence_id"], r["offset"], r["length"]) for r in docs.collect())
+    assert total == sum(n for _, _, n in offsets) and offsets[0][:2] == (0, 0)
+
+
+def test_an_empty_table_goes_through_all_stages(spark, make_docs, tmp_path):
+    docs = make_docs([], tmp_path / "docs")
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = written(spark, stage(spark, docs, SF), tmp_path / str(n))
+        assert docs.count() == 0
+
+
+def test_a_bounded_number_of_labelled_documents_is_measured(spark):
+    from adspindle.llm import quality
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    usable = labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 3 <> 1").count()
+    assert quality.fitting_rows(docs, labels).count() == usable
+    assert 0 < quality.fitting_rows(docs, labels, 100).count() < 160
+    assert quality.fitting_rows(docs, labels.where("quality > 1")).count() == 0

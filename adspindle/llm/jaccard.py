@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from adspindle.llm.text import in_task, mix, shingles_of, slices, words_of
 from adspindle.operators.identity import connected_components
+from adspindle.operators.joins import key_filter, with_possible_match
 from adspindle.sources.workspace import Workspace
 
 # The contract's fixed values.
@@ -571,7 +572,9 @@ def _grouped(
     # Members grow with the table, so they are not sent to every task, whatever their number.
     wanted = members.select("class", "n_shingles", "tasks", F.col("own.doc_id").alias("__id"), F.col("own.key").alias("__key"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
-    texts = narrow.join(wanted.hint("shuffle_hash"), same).select("class", "n_shingles", "tasks", "__text")
+    # Only texts that a bitmap of the members' keys lets through are shuffled to them.
+    near = with_possible_match(narrow, "key", key_filter(wanted, "__key"), "__may").where("__may").drop("__may")
+    texts = near.join(wanted.hint("shuffle_hash"), same).select("class", "n_shingles", "tasks", "__text")
     sets = texts.mapInArrow(in_task(_wanted_sets, size), f"class bigint, n_shingles bigint, tasks {TASKS}, set binary")
     work = sets.select("class", "n_shingles", F.explode("tasks").alias("t"), "set").select("t.task", "n_shingles", "class", "t.side", "set")
     work = work.repartition("task").sortWithinPartitions("task", "n_shingles", "class")
@@ -618,13 +621,15 @@ def keep_representatives(
 
     If that row is repeated the first one stays, by its place in the table. Rows with an empty set are
     in no group and stay. The table is written with its rows numbered, since a second scan of it may be
-    split in another way.
+    split in another way. Columns may have any names but those led by two underscores; an empty table gives
+    no rows.
     """
     docs, _ = workspace.save(docs.withColumn("__at", F.monotonically_increasing_id()), "numbered")
     rows, classes = _grouped(docs, workspace, size, percent, F.col("__at"))
-    first = classes.select(F.col("first.place").alias("__place"), F.col("first.doc_id").alias("__id")).distinct()
-    alone = rows.where("class IS NULL").select(F.col("place").alias("__place"), F.col("doc_id").alias("__id"))
-    # What stays grows with the table: the narrow side is hashed part by part, the texts are not sorted.
-    staying = first.unionByName(alone).hint("shuffle_hash")
-    same = (F.col("__at") == F.col("__place")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return docs.join(staying, same, "left_semi").drop("__at")
+    first = classes.select("class", F.col("first.place").alias("__first"))
+    gone = rows.where("class IS NOT NULL").join(first, "class").where(F.col("place") != F.col("__first"))
+    gone, _ = workspace.save(gone.select(F.col("place").alias("__at")), "gone")
+    # What goes may grow with the table: a bitmap of it tells which texts must be shuffled to find out.
+    asked = with_possible_match(docs, "__at", key_filter(gone, "__at"), "__may")
+    sure, unsure = asked.where("NOT __may"), asked.where("__may")
+    return sure.unionByName(unsure.join(gone.hint("shuffle_hash"), "__at", "left_anti")).drop("__at", "__may")

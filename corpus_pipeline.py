@@ -1,7 +1,9 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage reads the rows that the one before has written, works on all of them, and returns the
-columns of ``documents`` again; only the last returns pieces of token sequences.
+columns of ``documents`` again; only the last returns pieces of token sequences. Columns beyond those of
+``documents`` are carried along; their names must not begin with two underscores. An empty table goes through
+all stages and gives no pieces.
 """
 
 from __future__ import annotations
@@ -19,30 +21,39 @@ ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality classifier, learnt from the labelled ones among them, rejects."""
+    """Drops documents that the quality classifier, learnt from the labelled ones among them, rejects.
+
+    Of documents with a label outside the held-out fold about ``quality.FIT_DOCS`` are learnt from. A null text
+    is judged like an empty one; equal rows stay or go together; without labels of both classes all stay.
+    """
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    measured, _ = Workspace(spark, "quality").save(quality.measure(docs), "statistics")
+    fitting = quality.fitting_rows(docs, labels)
+    measured, _ = Workspace(spark, "quality").save(quality.measure(fitting), "statistics")
     return quality.keep_good(docs, quality.learn(measured, labels))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: the one with the smallest doc_id.
 
-    Near copies share 80 percent of their runs of five words.
+    Near copies share 80 percent of their runs of five words. Of equal rows one stays. Null texts and texts
+    without words are in no group and stay; null doc_ids come last in their group.
     """
     ship_package(spark)
     return jaccard.keep_representatives(docs, Workspace(spark, "jaccard"), size=5, percent=80)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks every secret found; no document goes."""
+    """Masks every secret found, and brings ``n_chars`` up to date; no document goes, and null texts stay null."""
     ship_package(spark)
     return secret_scan.mask_secrets(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and leaves out documents so that sources have their target weights."""
+    """Repeats and leaves out documents so that sources have their target weights.
+
+    A null source is a source of its own; documents without words, null texts among them, are left out.
+    """
     ship_package(spark)
     mixed = mixing.mix_sources(docs, Workspace(spark, "mixing"))
     times = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
@@ -50,7 +61,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents into sequences that mix the sources alike."""
+    """Packs all documents into sequences that mix the sources alike; repeated rows are packed each."""
     ship_package(spark)
     return packing.pack_by_mixture(docs, WORD_VOCABULARY, Workspace(spark, "packing"))
 

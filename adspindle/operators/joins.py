@@ -292,9 +292,16 @@ def grid_join(
 
 # Bits of the filter of a table's keys: 16 MiB, whatever the table's size. More keys make it let more rows through.
 KEY_BITS = 2**27
+# Where the number of keys is known, so many bits per key, up to 128 MiB in all.
+BITS_PER_KEY, MOST_BITS = 16, 2**30
 _BITMAP_BITS = 8 * 4096
 
 
+def key_bits(keys: int) -> int:
+    """Bits for a filter of so many keys, a power of two."""
+    return min(MOST_BITS, max(_BITMAP_BITS, 1 << (BITS_PER_KEY * max(keys, 1) - 1).bit_length()))
+
+
 def key_filter(df: DataFrame, key: str, bits: int = KEY_BITS) -> DataFrame:
     """``(__part, __bits)``: a bitmap of the hashes of all keys, in at most ``bits`` / 32768 rows of 4 KiB.
 

@@ -288,6 +288,11 @@ def test_the_filter_keeps_every_key(spark):
     assert counts["k"] == 3000 and counts["n"] < 100
 
 
+@pytest.mark.parametrize("keys, bits", [(0, 2**15), (2048, 2**15), (2049, 2**16), (10**6, 2**24), (10**12, 2**30)])
+def test_bits_for_a_number_of_keys(keys, bits):
+    assert joins.key_bits(keys) == bits
+
+
 def test_distinct_values_per_key(spark):
     df = spark.range(3000).selectExpr("if(id % 3 = 0, 7, if(id % 50 = 1, null, id % 40)) as key", "if(id % 11 = 0, null, id % 130) as value")
     none = spark.sql("select 99L as key, cast(null as bigint) as value")

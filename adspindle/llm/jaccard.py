@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from adspindle.llm.text import in_task, mix, shingles_of, slices, words_of
 from adspindle.operators.identity import connected_components
-from adspindle.operators.joins import key_filter, with_possible_match
+from adspindle.operators.joins import key_bits, key_filter, with_possible_match
 from adspindle.sources.workspace import Workspace
 
 # The contract's fixed values.
@@ -568,12 +568,13 @@ def _grouped(
     blocks = _all_vertices(connected_components(edges, workspace, name="blocks"), "block")
     firsts = full.groupBy("class").agg(_first().alias("own"), F.max("n_shingles").alias("n_shingles"))
     firsts, _ = workspace.save(firsts, "firsts")
-    members, _ = workspace.save(_tasks(blocks.join(firsts, "class"), percent), "members")
+    members, seen = workspace.save(_tasks(blocks.join(firsts, "class"), percent), "members")
     # Members grow with the table, so they are not sent to every task, whatever their number.
     wanted = members.select("class", "n_shingles", "tasks", F.col("own.doc_id").alias("__id"), F.col("own.key").alias("__key"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
     # Only texts that a bitmap of the members' keys lets through are shuffled to them.
-    near = with_possible_match(narrow, "key", key_filter(wanted, "__key"), "__may").where("__may").drop("__may")
+    bits = key_bits(seen["rows"])
+    near = with_possible_match(narrow, "key", key_filter(wanted, "__key", bits), "__may", bits).where("__may").drop("__may")
     texts = near.join(wanted.hint("shuffle_hash"), same).select("class", "n_shingles", "tasks", "__text")
     sets = texts.mapInArrow(in_task(_wanted_sets, size), f"class bigint, n_shingles bigint, tasks {TASKS}, set binary")
     work = sets.select("class", "n_shingles", F.explode("tasks").alias("t"), "set").select("t.task", "n_shingles", "class", "t.side", "set")
@@ -628,8 +629,9 @@ def keep_representatives(
     rows, classes = _grouped(docs, workspace, size, percent, F.col("__at"))
     first = classes.select("class", F.col("first.place").alias("__first"))
     gone = rows.where("class IS NOT NULL").join(first, "class").where(F.col("place") != F.col("__first"))
-    gone, _ = workspace.save(gone.select(F.col("place").alias("__at")), "gone")
+    gone, seen = workspace.save(gone.select(F.col("place").alias("__at")), "gone")
+    bits = key_bits(seen["rows"])
     # What goes may grow with the table: a bitmap of it tells which texts must be shuffled to find out.
-    asked = with_possible_match(docs, "__at", key_filter(gone, "__at"), "__may")
+    asked = with_possible_match(docs, "__at", key_filter(gone, "__at", bits), "__may", bits)
     sure, unsure = asked.where("NOT __may"), asked.where("__may")
     return sure.unionByName(unsure.join(gone.hint("shuffle_hash"), "__at", "left_anti")).drop("__at", "__may")

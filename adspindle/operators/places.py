@@ -18,7 +18,15 @@ from adspindle.functions.place import (
 )
 from adspindle.functions.text import pieces
 from adspindle.operators.filters import nonempty, with_location
-from adspindle.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, lookup_join, measured, skew_join
+from adspindle.operators.joins import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
+    content_bytes,
+    hot_keys,
+    lookup_join,
+    measured,
+    skew_join,
+)
 from adspindle.sources.workspace import Workspace
 
 # Addresses are matched inside blocks of 2^16, dense blocks inside cells of 2^8. Ranges that don't
@@ -126,13 +134,17 @@ def ip_range_join(
     is joined back with the hot addresses spread.
     """
     workspace = workspace or Workspace(df.sparkSession, "ranges")
-    blocks, size = measured(block_ranges(ranges), workspace, "blocks")
+    cut = block_ranges(ranges)
+    in_cells = F.count_if(F.col("cell") != WHOLE_BLOCK)
+    blocks, seen = workspace.save(cut, "blocks", content=F.sum(content_bytes(cut)), in_cells=in_cells)
     asked = df.withColumn("__ip", ip_to_long(F.col(ip)))
-    if size <= limit:
-        # 65,536 blocks at most.
-        dense = blocks.where(F.col("cell") != WHOLE_BLOCK).select(F.col("block").alias("__dense")).distinct()
-        asked = asked.join(F.broadcast(dense), _block(F.col("__ip")) == F.col("__dense"), "left")
-        cell = F.when(F.col("__dense").isNull(), F.lit(WHOLE_BLOCK)).otherwise(_cell(F.col("__ip")))
+    if (seen.get("content") or 0) <= limit:
+        cell = F.lit(WHOLE_BLOCK)
+        if seen.get("in_cells"):
+            # 65,536 blocks at most.
+            dense = blocks.where(F.col("cell") != WHOLE_BLOCK).select(F.col("block").alias("__dense")).distinct()
+            asked = asked.join(F.broadcast(dense), _block(F.col("__ip")) == F.col("__dense"), "left")
+            cell = F.when(F.col("__dense").isNull(), cell).otherwise(_cell(F.col("__ip")))
         asked = asked.withColumn("__cell", cell.cast("bigint")).drop("__dense")
         inside = (_block(F.col("__ip")) == F.col("block")) & (F.col("__cell") == F.col("cell"))
         inside = inside & F.col("__ip").between(F.col("low"), F.col("high"))

@@ -39,6 +39,8 @@ FEW = 128
 BAND = 1.25
 # A block with more shingles than this is searched in cells of half this size, pair by pair.
 BLOCK_SHINGLES = 400_000
+# So is one with more classes, in cells of half as many.
+BLOCK_CLASSES = 1024
 # DivideSkip's weight of a binary probe against a step of the merge.
 PROBE_WEIGHT = 0.0085
 
@@ -492,14 +494,15 @@ def _tasks(blocks: DataFrame, percent: int) -> DataFrame:
     whose name ends with x compares its two sides only with each other.
     """
     columns = blocks.columns
-    sums = blocks.groupBy(F.col("block").alias("b")).agg(F.sum("n_shingles").alias("all"))
-    large = F.col("all") > BLOCK_SHINGLES
+    sums = blocks.groupBy(F.col("block").alias("b")).agg(F.sum("n_shingles").alias("all"), F.count(F.lit(1)).alias("many"))
+    large = (F.col("all") > BLOCK_SHINGLES) | (F.col("many") > BLOCK_CLASSES)
     known = blocks.join(sums, F.col("block") == F.col("b")).drop("b")
     one = F.array(F.struct(F.concat(F.lit("b"), F.col("block")).alias("task"), F.lit(0).alias("side")))
     small = known.where(~large).select(*columns, one.alias("tasks"))
     band = F.floor(F.log(F.col("n_shingles")) / float(np.log(100 / percent) * 1.0001)).cast("int")
     rows = known.where(large).withColumn("band", band)
-    cells = rows.groupBy("block", "band").agg(F.ceil(F.sum("n_shingles") / (BLOCK_SHINGLES / 2)).cast("int").alias("cells"))
+    size = F.greatest(F.sum("n_shingles") / (BLOCK_SHINGLES / 2), F.count(F.lit(1)) / (BLOCK_CLASSES / 2))
+    cells = rows.groupBy("block", "band").agg(F.ceil(size).cast("int").alias("cells"))
     next_cells = cells.select("block", (F.col("band") - 1).alias("band"), F.col("cells").alias("above"))
     last_cells = cells.select("block", (F.col("band") + 1).alias("band"), F.col("cells").alias("below"))
     for more, how in ((cells, "inner"), (next_cells, "left"), (last_cells, "left")):

@@ -70,8 +70,9 @@ def test_components_match_brute_force(make_docs, ws, size, percent):
     check(make_docs(rows), ws, rows, size, percent)
 
 
-def test_large_blocks_are_searched_in_cells(make_docs, ws, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 300)
+@pytest.mark.parametrize("name, value", [("BLOCK_SHINGLES", 300), ("BLOCK_CLASSES", 4)])
+def test_large_blocks_are_searched_in_cells(make_docs, ws, monkeypatch, name, value):
+    monkeypatch.setattr(jaccard, name, value)
     rows = list(enumerate(corpus(4)))
     check(make_docs(rows), ws, rows)
 

@@ -22,7 +22,7 @@ QUEUES = 1024
 QUANTA = 32
 PIECE_ROWS = 20_000
 # Sums over all sources are taken for so many rounds at a time that this many numbers are held.
-CELLS = 1 << 20
+CELLS = 1 << 18
 
 
 @dataclass(frozen=True)

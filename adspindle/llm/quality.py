@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,8 +84,11 @@ def document_statistics(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measure(batches: Iterator[pa.RecordBatch], only: Sequence | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        if only is not None:
+            kind = batch.schema.field("doc_id").type
+            batch = batch.filter(pc.is_in(batch.column("doc_id"), value_set=pa.array(only, kind)))
         kept = [batch.column(n) for n in batch.schema.names if n != "__text"]
         names = [n for n in batch.schema.names if n != "__text"]
         found = [document_statistics(o, d) for _, o, d in slices(batch.column("__text"))]
@@ -175,27 +179,27 @@ def classify_quality(docs: DataFrame, labels: DataFrame, workspace: Workspace) -
     return predictions(measured, model)
 
 
-def fitting_rows(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
-    """Rows of ``docs`` to learn from: those with a label that are in no held-out fold.
+def fitting_ids(labels: DataFrame, fit_docs: int = FIT_DOCS) -> list:
+    """Ids of documents to learn from: those with a label of 0 or 1 that are in no held-out fold.
 
-    Beyond about ``fit_docs`` labelled ids a share of them is taken by a hash of the id, so that they can be
-    sent to the texts. Rows without an id, and labels other than 0 and 1, are not used.
+    Beyond about ``fit_docs`` of them a share is taken by a hash of the id, so that they can be sent to the texts.
     """
-    ids = labels.where("quality IN (0, 1)").where(fold(F.col("doc_id")) != HELD_OUT).select(F.col("doc_id").alias("__id")).distinct()
+    ids = labels.where("quality IN (0, 1)").where(fold(F.col("doc_id")) != HELD_OUT)
+    ids = ids.where("doc_id IS NOT NULL").select("doc_id").distinct()
     share = fit_docs / max(ids.count(), 1)
     if share < 1:
-        ids = ids.where(F.pmod(F.xxhash64("__id"), F.lit(2**30)) < int(share * 2**30))
-    return docs.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi")
+        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < int(share * 2**30))
+    return [r[0] for r in ids.collect()]
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """``doc_id, x`` of every row: its statistics; those of a null or empty text are all zero.
+def measure(docs: DataFrame, only: Sequence | None = None) -> DataFrame:
+    """``doc_id, x`` of every row, or of rows with one of the ids ``only``: its statistics.
 
-    Equal rows have equal statistics; an empty table gives no rows; only ``doc_id`` and ``text`` are read.
+    Those of a null or empty text are all zero. Equal rows have equal statistics; an empty table gives no rows; only ``doc_id`` and ``text`` are read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     narrow = docs.select("doc_id", F.col("text").alias("__text"))
-    return narrow.mapInArrow(in_task(_measure), f"doc_id {kind}, x array<double>")
+    return narrow.mapInArrow(in_task(_measure, only), f"doc_id {kind}, x array<double>")
 
 
 def predictions(measured: DataFrame, model: Discriminant | None) -> DataFrame:

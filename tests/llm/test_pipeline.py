@@ -111,7 +111,11 @@ def test_a_bounded_number_of_labelled_documents_is_measured(spark):
     from adspindle.llm import quality
 
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    usable = labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 3 <> 1").count()
-    assert quality.fitting_rows(docs, labels).count() == usable
-    assert 0 < quality.fitting_rows(docs, labels, 100).count() < 160
-    assert quality.fitting_rows(docs, labels.where("quality > 1")).count() == 0
+    usable = labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 3 <> 1")
+    ids = quality.fitting_ids(labels)
+    assert sorted(ids) == sorted(r["doc_id"] for r in usable.collect())
+    some = quality.fitting_ids(labels, 100)
+    assert 0 < len(some) < 160 and set(some) < set(ids)
+    measured = quality.measure(docs, ids)
+    assert {r["doc_id"] for r in measured.collect()} == set(ids)
+    assert quality.fitting_ids(labels.where("quality > 1")) == [] and quality.measure(docs, []).count() == 0

@@ -28,8 +28,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    fitting = quality.fitting_rows(docs, labels)
-    measured, _ = Workspace(spark, "quality").save(quality.measure(fitting), "statistics")
+    fitting = quality.fitting_ids(labels)
+    measured, _ = Workspace(spark, "quality").save(quality.measure(docs, fitting), "statistics")
     return quality.keep_good(docs, quality.learn(measured, labels))
 
 

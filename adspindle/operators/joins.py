@@ -162,9 +162,13 @@ def skew_join_full_salt(
     how: str = "left",
     spread: Sequence[str] | None = None,
 ) -> DataFrame:
-    """For many hot keys against an even table: salt all of the left, copy all of the right."""
+    """For many hot keys against an even table: salt all of the left, copy all of the right.
+
+    The copies are shuffled: the optimizer's estimate is of one copy of compressed files, and a right side that is
+    small enough to be broadcast needs no salts.
+    """
     number = F.pmod(_spread_number(left, spread), F.lit(salts).cast("bigint")).cast("int")
-    return left.withColumn(SALT, number).join(replicate(right, salts), [on, SALT], how).drop(SALT)
+    return left.withColumn(SALT, number).join(replicate(right, salts).hint("merge"), [on, SALT], how).drop(SALT)
 
 
 def measured(df: DataFrame, workspace: Workspace, name: str) -> tuple[DataFrame, int]:

@@ -53,6 +53,15 @@ def test_full_salt(spark):
     assert joined.count() == 15
 
 
+def test_full_salt_broadcasts_no_copies(spark):
+    """The estimated size of a table says nothing about ten copies of it."""
+    right = spark.range(2000).selectExpr("id % 900 AS key", "id AS y")
+    left = spark.range(3000).selectExpr("if(id % 5 = 0, null, id % 1000) AS key", "id AS x")
+    joined = joins.skew_join_full_salt(left, right, "key")
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined) == rows(left.join(right, "key", "left"))
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """Half of the rows on key 7, a tenth without key, and many exact copies."""

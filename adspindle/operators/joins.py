@@ -254,7 +254,7 @@ def grid_join(
     grids: Mapping[object, tuple[int, int]] | None = None,
     how: str = "left",
     min_rows: int = HOT_ROWS,
-    spread: tuple[Sequence[str], Sequence[str]] | None = None,
+    spread: tuple[Sequence[str] | None, Sequence[str] | None] | None = None,
 ) -> DataFrame:
     """Left or inner join for keys that are hot on both sides: each such key is a grid of tasks.
 
@@ -294,6 +294,21 @@ def grid_join(
     return joined.drop("__row", "__column", "__many", "__met")
 
 
+# The number of the slice that a total is of, a column that outlives the totals' shuffle.
+SLICE = "__slice"
+
+
+def totals_in_slices(df: DataFrame, on: str, slices: int, *totals: Column) -> DataFrame:
+    """Totals per key, those of a key with many rows in up to ``slices`` rows, each of other rows of the key.
+
+    For a join whose pairs are only going to be counted or summed up: a row that met every row of a hot key
+    meets its few totals instead, so the work grows with the rows and not with the pairs. The totals must be such that
+    those of slices add up to those of the key: counts, sums, least, greatest.
+    """
+    number = F.pmod(_spread_number(df, None), F.lit(slices).cast("bigint")).cast("int")
+    return df.withColumn(SLICE, number).groupBy(on, SLICE).agg(*totals)
+
+
 # Bits of the filter of a table's keys: 16 MiB, whatever the table's size. More keys make it let more rows through.
 KEY_BITS = 2**27
 # Where the number of keys is known, so many bits per key, up to 128 MiB in all.

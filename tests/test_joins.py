@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from adspindle.operators import aggregates, filters, joins
 from tests.conftest import rows
+from workload.queries import QUERIES
 
 CLASSES = [("class_01", "python"), ("class_02", "data"), ("class_03", "java")]
 
@@ -224,6 +225,24 @@ def test_a_grid_copies_no_more_than_it_may(left_rows, right_rows, copies):
         assert (r, c) == (2, 2)
 
 
+def test_grid_join_query_meets_totals_not_pairs(spark, tmp_path):
+    """The hot key has 1000 x 1000 pairs; the join makes a few rows per left row. Rows repeat, some have no key."""
+    customer = spark.range(3000).selectExpr("if(id % 50 = 1, null, id - id % 500 % 2) AS c_custkey")
+    part = spark.range(3000).selectExpr("if(id % 70 = 1, null, id) AS p_partkey", "if(id % 9 = 0, null, cast(id % 50 AS int)) AS p_size")
+    customer.write.parquet(str(tmp_path / "customer.parquet"))
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    found = QUERIES["grid_join"](spark, str(tmp_path))
+    left = customer.selectExpr("case when c_custkey % 3 = 0 then 7 else c_custkey end as key", "c_custkey")
+    right = part.selectExpr("case when p_partkey % 3 = 1 then 7 else p_partkey end as key", "p_partkey", "p_size")
+    pairs = left.join(right, "key", "left").groupBy("key", "c_custkey").agg(
+        F.count("p_partkey").alias("parts"), F.sum("p_size").alias("size"), F.max("p_partkey").alias("last")
+    )
+    assert found.schema.simpleString() == pairs.schema.simpleString()
+    assert rows(found) == rows(pairs)
+    most = max(output_rows(found, "Join"))
+    assert 3000 <= most <= 3000 * (2 + 16)
+
+
 @pytest.fixture()
 def shuffled_joins(spark):
     """The engine broadcasts none of the small test tables by itself."""
@@ -264,6 +283,26 @@ def shuffled_rows(df):
     return found
 
 
+def output_rows(df, kind):
+    """Rows that came out of every operator of a kind in a frame that has been run."""
+    found = []
+
+    def walk(plan):
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(plan.plan())
+        if kind in name:
+            found.append(plan.metrics().apply("numOutputRows").value())
+        children = plan.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
 @pytest.mark.parametrize("bits", [2**15, 2**20])
 def test_filtered_left_join_equals_plain_join(hot_both, bits):
     left, right = hot_both

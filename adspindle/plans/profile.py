@@ -15,6 +15,7 @@ from adspindle.operators.places import geohash_district_join
 from adspindle.operators.profile import merge_user_tags
 from adspindle.operators.tags import ALL_RULES, Rule, tag_rows, with_dictionary_values
 from adspindle.schema import TAG_COLUMNS
+from adspindle.sources.adlog import compile_wide_rows
 from adspindle.sources.daily import in_buckets
 from adspindle.sources.workspace import Workspace
 
@@ -48,6 +49,7 @@ def tagged_log(
     ods: DataFrame, lookups: Lookups, limit: int = BROADCAST_BYTES, min_rows: int = HOT_ROWS
 ) -> DataFrame:
     """The log with everything the tag rules read: areas, dictionary values."""
+    compile_wide_rows(ods.sparkSession)
     placed = geohash_district_join(ods, lookups.districts, limit, small=lookups.small_districts, min_rows=min_rows)
     return with_dictionary_values(
         placed, lookups.apps, lookups.devices, limit, small_apps=lookups.small_apps, min_rows=min_rows

@@ -35,3 +35,17 @@ def unreadable_lines(log: DataFrame) -> DataFrame:
     bad = log.where(F.col(CORRUPT_COLUMN).isNotNull())
     # The second column is read as well because the engine refuses to read the text of such lines alone.
     return bad.select(F.col(CORRUPT_COLUMN).alias("line"), F.col("ip").isNotNull().alias("in_part"))
+
+
+# The JVM never compiles a generated method of more bytes.
+COMPILED_BYTES = 8000
+
+
+def compile_wide_rows(spark: SparkSession) -> None:
+    """Lets the session do without generated methods too large to be compiled, such as those over all columns of a log.
+
+    Its operators then run one by one, on small methods that are compiled. A lower limit stays.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(limit)) > COMPILED_BYTES:
+        spark.conf.set(limit, COMPILED_BYTES)

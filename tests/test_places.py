@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from adspindle.operators import places
 from adspindle.operators.joins import BROADCAST_BYTES
+from adspindle.plans.ingest import enrich_log
 from adspindle.sources.workspace import Workspace
 from tests.conftest import rows
+from workload import adlog
 
 RANGE = "ip_start long, ip_end long, country string, area string, longitude double, latitude double"
 
@@ -180,3 +182,28 @@ def test_a_dictionary_extended_day_by_day_is_the_dictionary_of_all(spark, limit)
     want = places.build_district_dictionary(log(*range(6)), late)
     assert rows(stored.dictionary) == rows(want)
     assert stored.locations.count() == len(asked) == stored.locations.distinct().count()
+
+
+def test_a_wide_log_runs_in_methods_that_are_compiled(spark, tmp_path):
+    """A compact file of events is dealt to all tasks, and no generated method is too large for the JVM."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    day = F.expr("timestamp'2024-01-15 00:00:00' + make_interval(0, 0, 0, id % 3)")
+    events = spark.range(400).select(
+        F.expr("id - id % 200 % 2").alias("event_id"), day.alias("ts"), (F.col("id") % 9).alias("user_id"),
+        F.lit("view").alias("event_type"), (F.col("id") / 7).alias("value"),
+    )
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    try:
+        spark.conf.unset(limit)
+        log = adlog.raw_log(spark, str(tmp_path), spread=True)
+        assert rows(log) == rows(adlog.raw_log(spark, str(tmp_path)))
+        used = log.groupBy(F.spark_partition_id()).count()
+        assert used.count() > spark.sparkContext.defaultParallelism
+        found = enrich_log(log, ranges(spark, [(0, 10)]))
+        assert int(spark.conf.get(limit)) <= 8000 and found.count() == 400
+        spark.conf.set(limit, 100)
+        enrich_log(log, ranges(spark, [(0, 10)]))
+        assert spark.conf.get(limit) == "100"
+    finally:
+        spark.conf.set(limit, before)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from adspindle.operators.history import format_ids
 from adspindle.operators.identity import first_id, identity_ids
+from adspindle.operators.joins import shuffle_partitions
 from adspindle.operators.tags import tag_set
 from adspindle.schema import ODS_COLUMNS, RAW_COLUMNS
 from adspindle.sources.dictionary import SEPARATOR, device_dictionary, read_dictionary
@@ -162,12 +163,30 @@ def derived(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFra
     return spark.sql(text.replace(f"from {source}\n", f"from {view}\n"))
 
 
-def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*select_list([*EXTRA, *ODS_COLUMNS]))
+# The columns of the events that the log is derived from.
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*select_list([*EXTRA, *RAW_COLUMNS]))
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, spread over all tasks before they become wide rows, if their file has too few splits for that.
+
+    Rows are in a fixed order in each partition, since salts come from a row's place there.
+    """
+    found = table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    if found.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism:
+        return found
+    n = max(shuffle_partitions(spark), 2 * spark.sparkContext.defaultParallelism)
+    return found.repartition(n, "event_id").sortWithinPartitions(*EVENT_COLUMNS)
+
+
+def ods(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    source = events(spark, sf_dir) if spread else table(spark, sf_dir, "events")
+    return source.selectExpr(*select_list([*EXTRA, *ODS_COLUMNS]))
+
+
+def raw_log(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    source = events(spark, sf_dir) if spread else table(spark, sf_dir, "events")
+    return source.selectExpr(*select_list([*EXTRA, *RAW_COLUMNS]))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,7 +177,7 @@ def ip_range_join_nested(spark, sf):
 @query
 def ip_geo_enrich(spark, sf):
     # The row number travels in a column of the log that nothing else reads.
-    log = adlog.raw_log(spark, sf).withColumn(ROW_COLUMN, F.col("rid").cast("string"))
+    log = adlog.raw_log(spark, sf, spread=True).withColumn(ROW_COLUMN, F.col("rid").cast("string"))
     enriched = enrich_log(log, adlog.ip_ranges(spark, sf))
     return enriched.withColumns({c: F.col(c).cast("double") for c in ("longitude", "latitude")})
 
@@ -494,7 +494,7 @@ def user_profile_today(spark, sf):
 
 def _two_days(spark, sf) -> tuple[DataFrame, profile_plan.History, profile_plan.Lookups]:
     """Today's log, and a history of one stored profile per row of the days before."""
-    log, lookups, work = adlog.ods(spark, sf), _lookups(spark, sf), Workspace(spark, "history")
+    log, lookups, work = adlog.ods(spark, sf, spread=True), _lookups(spark, sf), Workspace(spark, "history")
     texts, _ = work.save(adlog.history(profile_plan.tagged_log(log.where(F.col("dt") < TODAY), lookups)), "texts")
     return log.where(F.col("dt") >= TODAY), profile_plan.History(*history.import_profiles(texts)), lookups
 
@@ -590,7 +590,7 @@ def profile_round_trip(spark, sf):
 @query
 def run_day_twice(spark, sf):
     """The daily job over two days, the second carrying the first one's profiles over."""
-    root, log = Workspace(spark, "days").path, adlog.raw_log(spark, sf)
+    root, log = Workspace(spark, "days").path, adlog.raw_log(spark, sf, spread=True)
     shared = (
         adlog.ip_ranges(spark, sf), adlog.replies(spark, sf), adlog.app_dictionary(spark, sf), adlog.devices(spark)
     )
@@ -606,7 +606,7 @@ def _day_inputs(spark, sf) -> tuple[DataFrame, ...]:
 @query
 def run_three_days(spark, sf):
     """The daily job over three days, each resolved and decayed against what the one before has stored."""
-    root, log = Workspace(spark, "three-days").path, adlog.raw_log(spark, sf)
+    root, log = Workspace(spark, "three-days").path, adlog.raw_log(spark, sf, spread=True)
     shared, before = _day_inputs(spark, sf), None
     for number, dt in enumerate(adlog.THREE_DAYS):
         own = log.where(f"{adlog.DAY_OF_THREE} = {number}")

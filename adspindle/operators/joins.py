@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from adspindle.sources.workspace import Workspace
 
-# A table is sent whole to every executor only if its measured content is at most this.
-BROADCAST_BYTES = 128 * 1024 * 1024
+# A table is sent whole to every executor only if its measured content is at most this. All of them pass through
+# the driver, several in one job, and rows of short values take a multiple of their content there.
+BROADCAST_BYTES = 16 * 1024 * 1024
 # Past this multiple of the limit the optimizer's own estimate settles it without a measuring job,
 # unless the estimate only says that nothing is known about a source.
 ESTIMATE_MARGIN = 64
@@ -115,6 +116,7 @@ def skew_join(
     how: str = "left",
     null_keys: bool = True,
     spread: Sequence[str] | None = None,
+    merge: bool = False,
 ) -> DataFrame:
     """Left or inner join in one pass over each side, each hot key spread over several tasks.
 
@@ -125,7 +127,8 @@ def skew_join(
 
     The salt comes from the row's place in its partition, so no further column is read for it. That
     place is the same on every attempt where the left side is read from stored files. Above a shuffle
-    it may not be; then the caller names columns in ``spread`` to take it from.
+    it may not be; then the caller names columns in ``spread`` to take it from. With ``merge`` the right side is
+    known to be large, and is not broadcast whatever the optimizer makes of its compressed files.
     """
     if how not in ("left", "inner"):
         raise ValueError("salting the left side fits left and inner joins only")
@@ -133,7 +136,7 @@ def skew_join(
         left, null_keys = left.where(F.col(on).isNotNull()), False
     right = right.where(F.col(on).isNotNull())
     if not hot and not null_keys:
-        return left.join(right, on, how)
+        return left.join(right.hint("merge") if merge else right, on, how)
     spark = left.sparkSession
     everywhere = shuffle_partitions(spark)
     counts = dict(hot) if isinstance(hot, Mapping) else dict.fromkeys(hot, salts or everywhere)
@@ -151,7 +154,7 @@ def skew_join(
     # Also salt 0 alone comes from a generator: as a literal it would be folded out of the join key.
     last = F.coalesce(F.col(SALTS), F.lit(1)) - 1
     copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), last))).drop(SALTS)
-    return salted.join(copies, [on, SALT], how).drop(SALT)
+    return salted.join(copies.hint("merge") if merge else copies, [on, SALT], how).drop(SALT)
 
 
 def skew_join_full_salt(
@@ -204,7 +207,7 @@ def lookup_join(
         return left.join(F.broadcast(right), on, how)
     if hot is None:
         hot = hot_keys(left, on, min_rows)
-    return skew_join(left, right, on, hot, how=how, null_keys=null_keys)
+    return skew_join(left, right, on, hot, how=how, null_keys=null_keys, merge=True)
 
 
 # A grid sends at most this many times the rows of a key; more cells need a higher value.

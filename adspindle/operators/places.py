@@ -35,6 +35,8 @@ BLOCK_BITS, CELL_BITS = 16, 8
 # A block with more ranges is dense, so no address is compared with more ranges than this.
 DENSE_RANGES = 256
 WHOLE_BLOCK = -1
+# The log is so much wider than anything else that is joined that its ranges are broadcast up to this size.
+RANGES_BYTES = 128 * 1024 * 1024
 
 PLACE_FIELDS = ["country", "area", "longitude", "latitude"]
 
@@ -121,7 +123,7 @@ def ip_range_join(
     df: DataFrame,
     ranges: DataFrame,
     ip: str = "ip",
-    limit: int = BROADCAST_BYTES,
+    limit: int = RANGES_BYTES,
     min_rows: int = HOT_ROWS,
     workspace: Workspace | None = None,
 ) -> DataFrame:
@@ -163,7 +165,7 @@ def ip_range_join(
 
 
 def ip_geo_enrich(
-    log: DataFrame, ranges: DataFrame, limit: int = BROADCAST_BYTES, workspace: Workspace | None = None
+    log: DataFrame, ranges: DataFrame, limit: int = RANGES_BYTES, workspace: Workspace | None = None
 ) -> DataFrame:
     """The log with ``longitude, latitude, region, city`` looked up, one row out per row in."""
     placed = ip_range_join(log, ranges, "ip", limit, workspace=workspace)

@@ -63,6 +63,18 @@ def test_full_salt_broadcasts_no_copies(spark):
     assert rows(joined) == rows(left.join(right, "key", "left"))
 
 
+@pytest.mark.parametrize("null_keys", [True, False])
+@pytest.mark.parametrize("hot", [{}, {7: 3}])
+def test_a_table_measured_as_large_is_not_broadcast(spark, tmp_path, hot, null_keys):
+    """Its compressed files may look small to the optimizer."""
+    spark.range(3000).selectExpr("id % 900 AS key", "id AS y").write.parquet(str(tmp_path / "right"))
+    left, right = spark.range(500).selectExpr("id % 50 AS key", "id AS x"), spark.read.parquet(str(tmp_path / "right"))
+    joined = joins.lookup_join(left, right, "key", small=False, hot=hot, null_keys=null_keys)
+    sent = [line for line in joined._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert "merge" in sent[0], sent
+    assert rows(joined) == rows(left.join(right, "key", "left"))
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """Half of the rows on key 7, a tenth without key, and many exact copies."""

@@ -11,12 +11,16 @@ ARROW = " -> "
 DECAY = 0.9
 
 
+def _weight_of(piece: Column) -> Column:
+    return F.substring_index(piece, ARROW, -1).try_cast("double")
+
+
 def _read_pieces(text: Column) -> Column:
     def entry(piece: Column, position: Column) -> Column:
         return F.struct(
             F.substring_index(piece, ARROW, 1).alias("tag"),
             position.alias("position"),
-            F.substring_index(piece, ARROW, -1).try_cast("double").alias("weight"),
+            _weight_of(piece).alias("weight"),
         )
 
     return F.transform(pieces(text), entry)
@@ -51,7 +55,7 @@ def parse_tag_map(text: Column) -> Column:
 
 def bad_pieces(text: Column) -> Column:
     """How many pieces of the text hold no readable weight."""
-    return F.size(F.filter(_read_pieces(text), lambda e: e["weight"].isNull()))
+    return F.size(F.filter(pieces(text), lambda piece: _weight_of(piece).isNull()))
 
 
 def weight_text(weight: Column, digits: int | None = None) -> Column:
@@ -62,7 +66,7 @@ def format_tag_string(entries: Column, digits: int | None = None) -> Column:
     """An array of ``(tag, weight)`` as text, sorted by tag."""
     return F.array_join(
         F.transform(
-            F.array_sort(entries),
+            F.sort_array(entries),
             lambda e: F.concat(e["tag"], F.lit(ARROW), weight_text(e["weight"], digits)),
         ),
         ",",
@@ -95,11 +99,16 @@ def import_profiles(profiles: DataFrame, allow_bad: bool = False) -> tuple[DataF
     known = profiles.where(not_blank(F.col("userid")))
     if not allow_bad and not known.where(bad_pieces(F.col("tags")) > 0).isEmpty():
         raise ValueError("some profile texts hold pieces without a readable weight")
-    tags = known.select("userid", F.inline_outer(parse_tag_string(F.col("tags")))).where("tag IS NOT NULL")
+    tags = text_rows(known)
     ids = known.select("userid", F.explode(F.array_union(F.array("userid"), read_ids(F.col("allUserId")))).alias("id"))
     return tags, ids
 
 
+def text_rows(profiles: DataFrame) -> DataFrame:
+    """``(userid, tag, weight)`` of profiles whose ``tags`` are texts."""
+    return profiles.select("userid", F.inline_outer(parse_tag_string(F.col("tags")))).where("tag IS NOT NULL")
+
+
 AS_OF = "as_of"
 
 

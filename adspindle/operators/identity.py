@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from adspindle.functions.text import not_blank
 from adspindle.operators.joins import (
     BROADCAST_BYTES,
+    HOT_PARTITIONS,
     HOT_ROWS,
     fits_broadcast,
     hot_key_sketch,
     hot_keys_of_sketch,
     lookup_join,
     measured,
+    shuffle_partitions,
     skew_join,
 )
 from adspindle.schema import ID_COLUMNS
@@ -40,6 +42,12 @@ def identity_pairs(records: DataFrame) -> DataFrame:
     return listed.where("id IS NOT NULL").distinct()
 
 
+def counted_pairs(records: DataFrame) -> DataFrame:
+    """The same pairs with ``rows``, the number of records that hold them."""
+    listed = records.select("userid", F.explode_outer("ids").alias("id"))
+    return listed.where("id IS NOT NULL").groupBy("userid", "id").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def identity_edges(pairs: DataFrame) -> DataFrame:
     """The pairs that link two different identifiers, as ``(u, v)``."""
     return pairs.where("userid <> id").select(F.col("userid").alias("u"), F.col("id").alias("v"))
@@ -169,12 +177,17 @@ def component_attach_join(
 
 @dataclass(frozen=True)
 class Users:
-    """Resolved users: ``members`` (userid, id), and what it takes to relabel records."""
+    """Resolved users: ``members`` (userid, id), and what it takes to relabel records.
+
+    ``hot`` are the busiest identifiers that stand for users in the records, ``hot_users`` the resolved users with
+    too many records for one task, each with the number of tasks that these fill.
+    """
 
     components: DataFrame
     members: DataFrame
     small: bool
     hot: Mapping
+    hot_users: Mapping = field(default_factory=dict)
 
     def relabel(self, df: DataFrame) -> DataFrame:
         """Rows with ``userid`` replaced by the user that it belongs to."""
@@ -182,6 +195,25 @@ class Users:
         return attached.withColumn("userid", F.col("component")).drop("component")
 
 
+def hot_users(
+    pairs: DataFrame, components: DataFrame, rows: int, small: bool, min_rows: int = HOT_ROWS
+) -> dict[object, int]:
+    """Resolved users with more of all ``rows`` records than a few shuffle partitions hold, from ``counted_pairs``.
+
+    A record's user is among its identifiers, so the pairs of an identifier with itself count the records.
+    """
+    mean = max(1, rows / shuffle_partitions(pairs.sparkSession))
+    floor = max(HOT_PARTITIONS * mean, min_rows)
+    if rows < floor:
+        return {}
+    own = pairs.where("userid = id").select("userid", "rows")
+    # Each identifier has one row here, so none of them is hot.
+    counted = attach_component(own, components, small=small, hot={})
+    counted = counted.groupBy("component").agg(F.sum("rows").alias("rows"))
+    # Fewer users than shuffle partitions.
+    return {r[0]: max(2, -int(-r[1] // mean)) for r in counted.where(F.col("rows") >= floor).collect()}
+
+
 def resolve_users(
     records: DataFrame, workspace: Workspace, limit: int = BROADCAST_BYTES, min_rows: int = HOT_ROWS
 ) -> Users:
@@ -194,15 +226,17 @@ def resolve_users(
     spark = workspace.spark
     seen = Observation()
     watched = records.observe(seen, F.count(F.lit(1)).alias("rows"), hot_key_sketch(spark, "userid").alias("sketch"))
-    pairs, _ = workspace.save(identity_pairs(watched), "pairs")
+    pairs, _ = workspace.save(counted_pairs(watched), "pairs")
     found = observed(seen)
     components = connected_components(identity_edges(pairs), workspace, min_rows)
     members = all_components(pairs.select("id").distinct(), components)
+    small = fits_broadcast(components, limit)
     return Users(
         components,
         members.select(F.col("component").alias("userid"), "id"),
-        fits_broadcast(components, limit),
+        small,
         hot_keys_of_sketch(spark, found.get("sketch"), found["rows"], min_rows),
+        hot_users(pairs, components, found["rows"], small, min_rows),
     )
 
 

@@ -157,6 +157,27 @@ def skew_join(
     return salted.join(copies.hint("merge") if merge else copies, [on, SALT], how).drop(SALT)
 
 
+def gather(df: DataFrame, key: str, hot: Mapping[object, int]) -> DataFrame:
+    """Rows of one key brought together in one task, those of a hot key dealt to as many tasks as ``hot`` says.
+
+    Without hot keys what is grouped by the key, alone or with others, is not shuffled again. The salt is taken
+    from the row's values, since rows may come from a shuffle.
+    """
+    if not hot:
+        return df.repartition(key)
+    fields = [T.StructField(key, df.schema[key].dataType), T.StructField(SALTS, T.IntegerType())]
+    # Fewer rows than shuffle partitions.
+    table = F.broadcast(df.sparkSession.createDataFrame(list(hot.items()), T.StructType(fields)))
+    of = F.coalesce(SALTS, F.lit(1))
+    number = F.when(of > 1, F.pmod(_spread_number(df, df.columns), of.cast("bigint"))).otherwise(F.lit(0))
+    return df.join(table, key, "left").withColumn(SALT, number).repartition(key, SALT).drop(SALT, SALTS)
+
+
+def used_keys(df: DataFrame, key: Column, table: DataFrame, on: str) -> DataFrame:
+    """The rows of a table that a column of another one asks for; a join with them is the join with the table."""
+    return table.join(df.select(key.alias(on)).distinct(), on, "left_semi")
+
+
 def skew_join_full_salt(
     left: DataFrame,
     right: DataFrame,

@@ -192,10 +192,14 @@ def one_row_per_geohash(districts: DataFrame) -> DataFrame:
 
 
 def distinct_districts(replies: DataFrame) -> DataFrame:
-    """Distinct ``(geohash, areas)`` of a table of geocoder replies, empty answers dropped."""
+    """Distinct ``(geohash, areas)`` of a table of geocoder replies, empty answers dropped.
+
+    The generator keeps the optimizer from reading replies out once more in a filter next to the scan, before
+    they are distinct and dealt to all tasks.
+    """
     named = replies.select(
         geohash8(F.col("longitude"), F.col("latitude")).alias("geohash"),
-        districts_of_reply(F.col("response")).alias("areas"),
+        F.explode_outer(F.array(districts_of_reply(F.col("response")))).alias("areas"),
     )
     return nonempty(named, "areas").where("geohash is not null").distinct()
 

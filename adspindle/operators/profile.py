@@ -20,15 +20,17 @@ def merge_user_tags(tag_rows: DataFrame) -> DataFrame:
 def fold_profiles(tags: DataFrame, members: DataFrame) -> DataFrame:
     """One row per user, ``(userid, ids, entries)``, from the two long tables.
 
-    For exports: a row holds all of its user's entries, so this is not what the daily job stores.
+    For exports: a row holds all of its user's entries, so this is not what the daily job stores. Tags that
+    are together by user already stay where they are, and the members are sent there.
     """
     nothing = {"id": "string", "tag": "string", "weight": "double"}
-    listed = members.select("userid", "id").unionByName(tags, allowMissingColumns=True)
+    listed = members.select("userid", "id").repartition("userid").unionByName(tags, allowMissingColumns=True)
     listed = listed.select("userid", *[F.col(c).cast(t) for c, t in nothing.items()])
     entry = F.when(F.col("tag").isNotNull(), F.struct("tag", "weight"))
     return listed.groupBy("userid").agg(
-        F.array_union(F.array("userid"), F.array_sort(F.collect_list("id"))).alias("ids"),
-        F.array_sort(F.collect_list(entry)).alias("entries"),
+        # Lists without nulls; the other function for sorting calls a comparator that isn't compiled.
+        F.array_union(F.array("userid"), F.sort_array(F.collect_list("id"))).alias("ids"),
+        F.sort_array(F.collect_list(entry)).alias("entries"),
     )
 
 

@@ -139,5 +139,10 @@ def tag_rows(df: DataFrame, keep: Sequence[str], rules: Sequence[Rule] = ALL_RUL
     The outer form of explode keeps the optimizer from testing for empty sets with a second
     evaluation of all rules; rows without tags are dropped afterwards.
     """
-    exploded = df.select(*keep, F.explode_outer(tag_set(rules)).alias("tag"))
+    return set_rows(df.select(*keep, tag_set(rules).alias("tags")), keep)
+
+
+def set_rows(sets: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The long form of rows that hold their tag set in ``tags``."""
+    exploded = sets.select(*keep, F.explode_outer("tags").alias("tag"))
     return exploded.where("tag IS NOT NULL").withColumn("weight", F.lit(1.0))

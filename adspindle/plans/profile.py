@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspindle.operators.history import AS_OF, DECAY, decay_tags, weights_on
+from adspindle.functions.place import geohash8
+from adspindle.functions.text import not_blank
+from adspindle.operators.history import AS_OF, DECAY, decay_tags, import_profiles, text_rows, weights_on
 from adspindle.operators.identity import Increment, first_id, identity_ids, resolve_increment, resolve_users
-from adspindle.operators.joins import BROADCAST_BYTES, HOT_ROWS, measured
+from adspindle.operators.joins import BROADCAST_BYTES, HOT_ROWS, gather, measured, used_keys
 from adspindle.operators.places import geohash_district_join
 from adspindle.operators.profile import merge_user_tags
-from adspindle.operators.tags import ALL_RULES, Rule, tag_rows, with_dictionary_values
+from adspindle.operators.tags import ALL_RULES, Rule, set_rows, tag_rows, tag_set, with_dictionary_values
 from adspindle.schema import TAG_COLUMNS
 from adspindle.sources.adlog import compile_wide_rows
 from adspindle.sources.daily import in_buckets
@@ -36,13 +38,40 @@ class Lookups:
         districts, district_bytes = measured(self.districts, workspace, "districts")
         return Lookups(apps, self.devices, districts, app_bytes <= limit, district_bytes <= limit)
 
+    def used_by(self, ods: DataFrame, workspace: Workspace, limit: int = BROADCAST_BYTES) -> Lookups:
+        """The same tables; of those measured and found large only the rows that the log asks for.
+
+        A log has few apps and cells for its size. What they need of a large table is usually small, and then the
+        log is not shuffled by keys that a few tasks would get all of.
+        """
+        used = self
+        if self.small_apps is False:
+            apps, size = measured(used_keys(ods, F.col("appid"), self.apps, "key"), workspace, "apps-used")
+            used = replace(used, apps=apps, small_apps=size <= limit)
+        if self.small_districts is False:
+            cell = geohash8(F.col("longitude"), F.col("latitude"))
+            districts, size = measured(used_keys(ods, cell, self.districts, "geohash"), workspace, "districts-used")
+            used = replace(used, districts=districts, small_districts=size <= limit)
+        return used
+
 
 @dataclass(frozen=True)
 class History:
-    """Stored profiles in long form: ``(userid, tag, weight)`` and ``(userid, id)``."""
+    """Stored profiles in long form: ``(userid, tag, weight)`` and ``(userid, id)``.
+
+    Where the tags were read from texts, ``texts`` has these, ``(userid, tags)``: a row is one profile, so it is
+    moved to its user's others before its tags become rows.
+    """
 
     tags: DataFrame
     ids: DataFrame
+    texts: DataFrame | None = None
+
+    @staticmethod
+    def of_texts(profiles: DataFrame) -> History:
+        """The history in a table of profiles in text form, see ``import_profiles``."""
+        tags, ids = import_profiles(profiles)
+        return History(tags, ids, profiles.where(not_blank(F.col("userid"))).select("userid", "tags"))
 
 
 def tagged_log(
@@ -82,18 +111,24 @@ def user_profile_long(
 
     Identity is resolved once over both days: merged identifier lists keep a history's links, so
     resolving today first and then again with the history gives the same users and sums. Users are
-    put on the narrow log rows, the ``columns`` that the rules read, before these become many tag rows
-    each, so tag rows are shuffled only once, already summed. A history's tag rows are relabelled as
-    they are, one row per tag.
+    put on the narrow log rows, the ``columns`` that the rules read, and rows with their tag sets are
+    brought together by user before they become many tag rows each, which are summed where they arise. The
+    same goes for a history in texts; stored tag rows are relabelled as they are, one row per tag, and
+    shuffled once, already summed.
     """
+    lookups = lookups.used_by(ods, workspace, limit)
     records = today_records(ods)
     if history is not None:
         known = history.ids.select("userid", F.array_distinct(F.array("userid", "id")).alias("ids"))
         records = records.unionByName(known)
     users = resolve_users(records, workspace, limit, min_rows)
     placed = users.relabel(known_users(ods, columns))
-    tags = tag_rows(tagged_log(placed, lookups, limit, min_rows), ["userid"], rules)
-    if history is not None:
+    sets = tagged_log(placed, lookups, limit, min_rows).select("userid", tag_set(rules).alias("tags"))
+    tags = set_rows(gather(sets, "userid", users.hot_users), ["userid"])
+    if history is not None and history.texts is not None:
+        past = text_rows(gather(users.relabel(history.texts), "userid", users.hot_users))
+        tags = tags.unionByName(decay_tags(past, factor))
+    elif history is not None:
         tags = tags.unionByName(decay_tags(users.relabel(history.tags), factor))
     return merge_user_tags(tags), users.members
 
@@ -135,6 +170,7 @@ def user_profile_increment(
     members; the results have the same columns. Rows that the day does not change come from where they are
     stored, all others are dealt into buckets of ``userid`` (tags) and ``id`` (members).
     """
+    lookups = lookups.used_by(ods, workspace, limit)
     increment = resolve_increment(today_records(ods), history.ids, workspace, limit, min_rows)
     placed = increment.users.relabel(known_users(ods, columns))
     tags = merge_user_tags(tag_rows(tagged_log(placed, lookups, limit, min_rows), ["userid"], rules))

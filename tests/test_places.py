@@ -207,3 +207,12 @@ def test_a_wide_log_runs_in_methods_that_are_compiled(spark, tmp_path):
         assert spark.conf.get(limit) == "100"
     finally:
         spark.conf.set(limit, before)
+
+
+def test_replies_are_read_out_once_and_not_next_to_the_scan(spark, tmp_path):
+    replies = spark.createDataFrame([(1.0, 2.0, "garbage")] * 3, "longitude double, latitude double, response string")
+    replies.write.parquet(str(tmp_path / "replies"))
+    found = places.distinct_districts(spark.read.parquet(str(tmp_path / "replies")).distinct())
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in text and "from_json" not in text.split("Aggregate")[-1]
+    assert text.count("from_json") <= 2 and rows(found) == []

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from adspindle.operators import history, profile, tags
 from adspindle.operators.identity import resolve_increment, resolve_users
+from adspindle.operators.joins import gather
 from adspindle.plans import profile as plan
 from adspindle.schema import ODS_SCHEMA
 from adspindle.sources.daily import StagedDay, in_buckets
@@ -169,6 +170,69 @@ def test_stored_tags_are_not_shuffled(spark, workspace, tmp_path, limit):
     assert merged.rdd.getNumPartitions() == 4
 
 
+def test_tag_rows_are_not_shuffled(spark, lookups, workspace):
+    """Rows meet their user's others before they become tag rows; these are summed and folded where they arise."""
+    today = log_rows(spark, *[{"imei": f"i{n % 7}", "mac": f"m{n % 5}" if n % 3 else None, "age": str(n % 4)} for n in range(40)])
+    texts = [("i3", "i3,x", "AGE_0 -> 1.0,AGE_0 -> 2.0"), ("x", "x,m9", "AGE_1 -> 1.0"), (" ", "y", "AGE_2 -> 1.0"), ("q", "q", None)]
+    past = plan.History.of_texts(spark.createDataFrame(texts, "userid string, allUserId string, tags string"))
+    found, members = plan.user_profile_long(today, lookups, workspace, past)
+    text = profile.fold_profiles(found, members)._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1].split(")")[0] for line in text.splitlines() if "hashpartitioning(" in line]
+    assert keys and not any("tag#" in k for k in keys)
+    long_form, _ = plan.user_profile_long(today, lookups, workspace, plan.History(past.tags, past.ids))
+    rounded = lambda df: rows(df.select("userid", "tag", F.round("weight", 6)))
+    assert rounded(found) == rounded(long_form)
+    assert ("q",) in rows(members.select("userid"))
+
+
+def test_users_with_too_many_rows_are_dealt_to_several_tasks(spark, lookups, workspace):
+    """Also one whose rows are spread over many identifiers, none of which is busy itself."""
+    given = [{"imei": f"i{n}", "mac": "m" if n % 3 == 0 else f"m{n}", "age": str(n % 40)} for n in range(90)]
+    users = resolve_users(plan.today_records(log_rows(spark, *given)), workspace, min_rows=10)
+    assert not users.hot and users.hot_users == {}
+    given = [{"imei": f"i{n}", "mac": "m" if n % 30 else f"m{n}", "age": str(n % 40)} for n in range(90)]
+    log = log_rows(spark, *given)
+    assert resolve_users(plan.today_records(log), workspace).hot_users == {}
+    with_tasks = _with_partitions(spark, 24, lambda: resolve_users(plan.today_records(log), workspace, min_rows=10))
+    assert not with_tasks.hot and with_tasks.hot_users == {"i1": 24}
+    sets = with_tasks.relabel(plan.known_users(log, ["age"])).select("userid", F.array("age").alias("tags"))
+    dealt = _with_partitions(spark, 24, lambda: rows(
+        gather(sets, "userid", with_tasks.hot_users).select("userid", "tags", F.spark_partition_id().alias("task"))
+    ))
+    assert len(dealt) == 90 and len({t for u, _, t in dealt if u == "i1"}) > 4
+    usual, _ = plan.user_profile_long(log, lookups, workspace, rules=[tags.age_rule])
+    spread, _ = _with_partitions(spark, 24, lambda: [
+        workspace.save(x, "x")[0] for x in plan.user_profile_long(log, lookups, workspace, rules=[tags.age_rule], min_rows=10)
+    ])
+    assert rows(spread) == rows(usual)
+
+
+def _with_partitions(spark, n, run):
+    names = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        return run()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_of_large_lookup_tables_only_what_the_log_asks_for_is_joined(spark, workspace):
+    apps = spark.range(5000).selectExpr("'x' || id as key", "'app' || id as value")
+    districts = spark.createDataFrame([("wx4g09q0", "one"), ("00000000", "two")], "geohash string, areas string")
+    log = log_rows(spark, {"appid": "x7", "longitude": 116.3974, "latitude": 39.9093}, {"appid": "x7"}, {"appid": "none"}, {})
+    large = plan.Lookups(apps, device_dictionary(spark), districts).stored(workspace, limit=0)
+    assert (large.small_apps, large.small_districts) == (False, False)
+    used = large.used_by(log, workspace)
+    assert rows(used.apps) == [("x7", "app7")] and rows(used.districts) == [("wx4g09q0", "one")]
+    assert (used.small_apps, used.small_districts) == (True, True)
+    assert sorted(tag_list(plan.tagged_log(log, used))) == sorted(tag_list(plan.tagged_log(log, large)))
+    small = plan.Lookups(apps, device_dictionary(spark), districts).stored(workspace)
+    assert small.used_by(log, workspace) is small
+
+
 def test_resolving_in_two_steps_gives_the_same(spark, lookups, workspace):
     today = log_rows(spark, *[{"imei": f"i{n % 7}", "mac": f"m{n % 5}" if n % 3 else None, "age": str(n % 4)} for n in range(40)])
     past = stored(spark, ("i3", "i3,x", "AGE_0 -> 1.0"), ("x", "x,m9", "AGE_1 -> 1.0"))

@@ -494,9 +494,10 @@ def user_profile_today(spark, sf):
 
 def _two_days(spark, sf) -> tuple[DataFrame, profile_plan.History, profile_plan.Lookups]:
     """Today's log, and a history of one stored profile per row of the days before."""
-    log, lookups, work = adlog.ods(spark, sf, spread=True), _lookups(spark, sf), Workspace(spark, "history")
+    log, work = adlog.ods(spark, sf, spread=True), Workspace(spark, "history")
+    lookups = _lookups(spark, sf).used_by(log, work)
     texts, _ = work.save(adlog.history(profile_plan.tagged_log(log.where(F.col("dt") < TODAY), lookups)), "texts")
-    return log.where(F.col("dt") >= TODAY), profile_plan.History(*history.import_profiles(texts)), lookups
+    return log.where(F.col("dt") >= TODAY), profile_plan.History.of_texts(texts), lookups
 
 
 def _tag_text() -> Column:

@@ -31,8 +31,9 @@ SHINGLE, PERCENT = 3, 90
 # Below this similarity buckets hold so few shingles that unlike texts agree on empty ones and nearly
 # all meet in one block: signatures are then each set's rarest shingles.
 BUCKET_PERCENT = 90
-# Which shingles are common is judged from about so many texts; the order of no more than so many is kept.
-SAMPLE_TEXTS, MOST_COMMON = 16_384, 2**17
+# Which shingles are common is judged from about so many texts, or every so manieth if that is more: the sample grows
+# with the table, so a shingle that it misses is in a bounded number of texts. The order of no more than so many is kept.
+SAMPLE_TEXTS, SAMPLE_EVERY, MOST_COMMON = 16_384, 16, 2**20
 # So many classes with the same shingle are compared one by one; more are taken together.
 FEW = 128
 # Bands of set sizes; similar sets lie in one band or in neighbouring ones.
@@ -166,15 +167,26 @@ def _shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_pydict({"shingle": pa.array(numbers.view(np.int64))})
 
 
-def _common(narrow: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _common(narrow: DataFrame, size: int, workspace: Workspace) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several different texts of a sample have, sorted, and in how many."""
-    every = max(1, narrow.count() // SAMPLE_TEXTS)
+    every = max(1, min(narrow.count() // SAMPLE_TEXTS, SAMPLE_EVERY))
     texts = narrow.where(F.pmod("key", F.lit(every)) == 0).dropDuplicates(["key"]).select("__text")
     counts = texts.mapInArrow(in_task(_shingles, size), "shingle bigint").groupBy("shingle").count().where("count > 1")
-    rows = counts.orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).collect()
-    found = np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)
+    counts, _ = workspace.save(counts, "common")
+    # As many rows as there are different counts, which the sample's shingles bound by their square root.
+    levels = counts.groupBy(F.col("count").alias("level")).count().orderBy(F.desc("level")).collect()
+    kept, least, part, of = 0, 1, 1, 1
+    for level, many in levels:
+        if kept + many > MOST_COMMON:
+            least, part, of = level, MOST_COMMON - kept, many
+            break
+        kept += many
+    # Of the level that exceeds the limit about as many as there is room for.
+    rows = counts.where((F.col("count") > least) | (F.pmod(F.xxhash64("shingle"), F.lit(of)) < part) & (F.col("count") == least))
+    rows = rows.toArrow()
+    found = rows.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(found)
-    return found[order], np.array([r[1] for r in rows], dtype=np.int64)[order]
+    return found[order], rows.column("count").to_numpy()[order].astype(np.int32)
 
 
 def _classify(
@@ -534,6 +546,16 @@ def _all_vertices(components: DataFrame, name: str) -> DataFrame:
     return components.unionByName(lowest).select(F.col("id").alias("class"), F.col("component").alias(name))
 
 
+def _one_of_each(signed: DataFrame, workspace: Workspace) -> DataFrame:
+    """One row of each class. Only rows that a bitmap of the classes with several lets through are shuffled."""
+    several = signed.groupBy("class").count().where("count > 1").select("class")
+    several, seen = workspace.save(several, "several")
+    bits = key_bits(seen["rows"])
+    asked = with_possible_match(signed, "class", key_filter(several, "class", bits), "__may", bits)
+    alone, others = asked.where("NOT __may"), asked.where("__may").dropDuplicates(["class"])
+    return alone.unionByName(others).drop("__may")
+
+
 def _first() -> Column:
     """The row of a group that stands for it: the smallest doc_id, rows without one last."""
     return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "place"))
@@ -551,7 +573,7 @@ def _grouped(
     place = F.monotonically_increasing_id() if place is None else place
     narrow = docs.select("doc_id", F.xxhash64("text").alias("key"), place.alias("place"), F.col("text").alias("__text"))
     schema = f"doc_id {kind}, key bigint, place bigint, n_shingles bigint, class bigint, signatures binary, bits binary"
-    common = _common(narrow, size) if percent < BUCKET_PERCENT else None
+    common = _common(narrow, size, workspace) if percent < BUCKET_PERCENT else None
     rows, _ = workspace.save(narrow.mapInArrow(in_task(_classify, size, percent, common), schema), "classes")
     full = rows.where("class IS NOT NULL")
     signed = full.where("octet_length(signatures) > 0")
@@ -561,12 +583,11 @@ def _grouped(
         placed = postings.repartition("signature").sortWithinPartitions("signature", "class")
         edges = placed.mapInArrow(in_task(_stars), "u bigint, v bigint")
     else:
-        one = signed.select("class", "n_shingles", "signatures").dropDuplicates(["class"])
-        postings = one.mapInArrow(in_task(_sized_postings, percent), SIZED)
+        one = _one_of_each(signed, workspace)
+        postings = one.select("class", "n_shingles", "signatures").mapInArrow(in_task(_sized_postings, percent), SIZED)
         placed = postings.repartition("signature").sortWithinPartitions("signature", "size", "class")
         edges = placed.mapInArrow(in_task(_sized_stars, percent), "u bigint, v bigint, tied bigint").distinct()
-        maps = signed.select("class", "n_shingles", "bits").dropDuplicates(["class"])
-        edges = _candidates(workspace.save(edges, "pairs")[0], maps, percent)
+        edges = _candidates(workspace.save(edges, "pairs")[0], one.select("class", "n_shingles", "bits"), percent)
     edges, _ = workspace.save(edges.distinct(), "edges")
     blocks = _all_vertices(connected_components(edges, workspace, name="blocks"), "block")
     firsts = full.groupBy("class").agg(_first().alias("own"), F.max("n_shingles").alias("n_shingles"))
@@ -633,6 +654,7 @@ def keep_representatives(
     first = classes.select("class", F.col("first.place").alias("__first"))
     gone = rows.where("class IS NOT NULL").join(first, "class").where(F.col("place") != F.col("__first"))
     gone, seen = workspace.save(gone.select(F.col("place").alias("__at")), "gone")
+    workspace.drop("classes")  # its signatures are large, and only ``gone`` is still read
     bits = key_bits(seen["rows"])
     # What goes may grow with the table: a bitmap of it tells which texts must be shuffled to find out.
     asked = with_possible_match(docs, "__at", key_filter(gone, "__at", bits), "__may", bits)

@@ -11,6 +11,7 @@ from adspindle.llm.jaccard import (
 )
 from adspindle.llm.queries import QUERIES
 from adspindle.llm.text import mix
+from adspindle.sources.workspace import Workspace
 
 from . import brute
 
@@ -195,3 +196,39 @@ def test_texts_that_share_passages_do_not_meet(spark, make_docs, ws, tmp_path, m
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute.components(list(enumerate(texts)), 5, 80)
     assert spark.read.parquet(ws._latest["pairs"]).where("tied = 0").count() > 30
     assert spark.read.parquet(ws._latest["members"]).count() == 5
+
+
+@pytest.mark.parametrize("most", [0, 5, 40])
+def test_any_part_of_the_order_of_common_shingles_will_do(make_docs, ws, monkeypatch, most):
+    monkeypatch.setattr(jaccard, "MOST_COMMON", most)
+    rows = list(enumerate(corpus(7)))
+    check(make_docs(rows), ws, rows, 5, 80)
+
+
+def test_passages_of_a_large_table_tie_no_texts(make_docs, ws, monkeypatch, tmp_path):
+    """The sample that common shingles are judged from grows with the table: unlike texts meet nowhere."""
+    monkeypatch.setattr(jaccard, "SAMPLE_TEXTS", 20)
+    monkeypatch.setattr(jaccard, "FEW", 16)
+    saved, save = {}, Workspace.save
+
+    def watched(self, df, name, **metrics):
+        found = save(self, df, name, **metrics)
+        saved[name] = found[1]["rows"]
+        return found
+
+    monkeypatch.setattr(Workspace, "save", watched)
+    rng = random.Random(5)
+    passages = [" ".join(f"p{k}x{i}" for i in range(8)) for k in range(20)]
+    texts = [f"{passages[n % 20]} " + " ".join(f"w{n}x{i}" for i in range(30 + rng.randrange(8))) for n in range(3200)]
+    texts += [texts[0], f"{texts[1]} more"]
+    kept = keep_representatives(make_docs(texts, tmp_path / "docs"), ws, 5, 80)
+    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == list(range(3200))
+    assert saved["pairs"] < 20 and saved["members"] < 20 and saved["gone"] == 2
+
+
+def test_one_row_of_each_class_without_shuffling_the_others(spark, ws):
+    signed = spark.createDataFrame([(k % 70 if k < 90 else k, bytes([k])) for k in range(200)], "class bigint, signatures binary")
+    found = jaccard._one_of_each(signed, ws).collect()
+    names = [r["class"] for r in found]
+    assert sorted(names) == [*range(70), *range(90, 200)]
+    assert all(r["signatures"][0] % 70 == r["class"] or r["signatures"][0] == r["class"] for r in found)
